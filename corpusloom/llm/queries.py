@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, langid, mixing
+from corpusloom.llm import bpe, jaccard, langid, mixing, suffix
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -24,6 +24,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(table(spark, sf_dir, "documents"), 50).select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), 4, 85)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -67,5 +77,5 @@ from rows r join epoch e on r.source is not distinct from e.source
 left join ends x on r.source is not distinct from x.source
 """
 
-QUERIES = {"op2_byte_bpe": op2_byte_bpe, "op7_mix_sources": op7_mix_sources, "op10_language_id": op10_language_id}
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_suffix_dedup, op5_ngram_jaccard, op7_mix_sources, op10_language_id)}
 ORACLE = {"op7_mix_sources": OP7_SQL}
