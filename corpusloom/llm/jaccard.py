@@ -312,7 +312,7 @@ def _verify(rule: Rule):
     return run
 
 
-def _id_filter(ids: DataFrame) -> np.ndarray:
+def id_filter(ids: DataFrame) -> np.ndarray:
     """FILTER_BITS bits, of which those of the hashed ids are set: at most 1 MB reaches the driver, whatever the input."""
     h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     rows = ids.select(h.alias("h")).groupBy(F.shiftright("h", 15).alias("at")).agg(F.bitmap_construct_agg(F.col("h").bitwiseAND(F.lit(32767))).alias("bits")).collect()
@@ -336,7 +336,7 @@ class _Join:
         sets = self.scratch.save(
             self.texts.where("doc_id is not null")
             .withColumn("h", F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(FILTER_BITS)))
-            .mapInArrow(_fetch(self.k, _id_filter(ids)), "doc_id bigint, elements binary")
+            .mapInArrow(_fetch(self.k, id_filter(ids)), "doc_id bigint, elements binary")
             .join(ids, "doc_id", "left_semi")
             .dropDuplicates(["doc_id"]),
             f"{name}_sets",

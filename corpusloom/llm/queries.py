@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, jaccard, langid, mixing, suffix
+from corpusloom.llm import ann, bpe, jaccard, langid, mixing, suffix, topk, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,6 +20,10 @@ def held_out(n: int, remainder: int):
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n == remainder, F.lit(False))
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
@@ -38,12 +42,34 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", held_out(3, 1).alias("held_out"), "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out(3, 1)).select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.learn(documents.where(~F.col("held_out")), labels)
+    return toxicity.score(documents, model).select("*", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").withColumn("held_out", held_out(4, 2))
     learned = langid.learn(documents.where(~F.col("held_out")))
     return langid.identify(documents.select("doc_id", "held_out", "text"), learned)
 
 
+OP1_SQL = """
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as q from embeddings
+  where vec_id is not null and embedding is not null and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+s as (
+  select a.vec_id as query_id, b.vec_id, list_inner_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
+r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s)
+select * from r where rank <= 20
+"""
+
 OP7_SQL = r"""
 with rows as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
@@ -77,5 +103,8 @@ from rows r join epoch e on r.source is not distinct from e.source
 left join ends x on r.source is not distinct from x.source
 """
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_suffix_dedup, op5_ngram_jaccard, op7_mix_sources, op10_language_id)}
-ORACLE = {"op7_mix_sources": OP7_SQL}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_exact_top_k, op2_byte_bpe, op3_suffix_dedup, op5_ngram_jaccard, op7_mix_sources, op8_nearest_neighbours, op9_toxicity, op10_language_id)
+}
+ORACLE = {"op1_exact_top_k": OP1_SQL, "op7_mix_sources": OP7_SQL}

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -181,7 +182,7 @@ class Repeats:
     def match(self, table: pa.Table) -> pa.Table:
         """A bin of anchors to spans that repeat (kind 1) and to contexts to be fetched (kind 2)."""
         out = [(b["bin"], b["kind"], b["packed"]) for b in self.passed(table)]
-        key, context, doc, tag, start, strings, _ = unpack(table.filter(pa.compute.equal(table["kind"], 0))["packed"], ANCHOR)
+        key, context, doc, tag, start, strings, _ = unpack(table.filter(pc.equal(table["kind"], 0))["packed"], ANCHOR)
         doc = doc.view(np.int64)
         order = np.lexsort((doc, context, key))
         key, context, doc, tag, start, strings = (x[order] for x in (key, context, doc, tag, start, strings))
@@ -200,7 +201,7 @@ class Repeats:
 
     def passed(self, table: pa.Table) -> list[dict]:
         """Spans that only pass through, dealt by document."""
-        cols = unpack(table.filter(pa.compute.equal(table["kind"], 1))["packed"], SPAN)
+        cols = unpack(table.filter(pc.equal(table["kind"], 1))["packed"], SPAN)
         return [dict(zip(("bin", "kind", "packed"), x, strict=True)) for x in packed(self.text_bin(cols[0].view(np.int64)), self.text_bins, cols, SPAN, 1)] if len(cols[0]) else []
 
     def fetch(self, documents: pa.Table, asked: pa.Table) -> pa.Table:
