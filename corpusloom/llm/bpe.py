@@ -40,7 +40,8 @@ class Encoder:
 
         self.ranks, self.findall, self.text_leaf, self.match_leaf = ranks, regex.compile(pattern).findall, max(4, text_leaf), max(2, match_leaf)
         self.bytes_of = {v: k for k, v in ranks.items()}
-        self.short = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
+        library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.short, self.leaf = library._encode_single_piece, library.encode_ordinary
         self.known: dict[str, tuple[int, ...]] = {}
 
     # One match.
@@ -131,6 +132,9 @@ class Encoder:
             n *= 2
 
     def encode(self, text: str) -> list[int]:
+        """A text of one leaf goes to the library; of a longer one, the leaves' matches are joined up the tree."""
+        if len(text) <= self.text_leaf:
+            return self.leaf(text)
         known, ids = self.known, []
         for m in self.split(text):
             found = known.get(m)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import ann, bpe, jaccard, langid, mixing, suffix, topk, toxicity
+from corpusloom.llm import ann, bpe, jaccard, langid, licences, materialise, mixing, suffix, topk, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -34,10 +34,18 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise.materialise(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), 4, 85)
 
 
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -103,8 +111,30 @@ from rows r join epoch e on r.source is not distinct from e.source
 left join ends x on r.source is not distinct from x.source
 """
 
+def _licence_sql() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({quoted(k)}, [{', '.join(map(quoted, licences.bigrams(t)))}])" for k, texts in licences.TEMPLATES.items() for t in texts)
+    return rf"""
+with t(licence, pairs) as (values {rows}),
+d as (select doc_id, row_number() over () as r, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+u as (
+  select r, i as line, list_filter(string_split(regexp_replace(lower(lines[i]), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') as w
+  from (select r, lines, unnest(range(1, len(lines) + 1)) as i from d)
+  union all
+  select r, 0, list_filter(string_split(regexp_replace(lower(array_to_string(lines, chr(10))), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') from d),
+p as (select r, line, len(w) - 1 as n, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as own from u where len(w) between 2 and 400),
+h as (
+  select r, line, licence, 2.0::double * len(list_intersect(own, pairs)) / (n + len(pairs)) as dice
+  from p join t on 200 * least(n, len(pairs)) >= 80 * (n + len(pairs)) and 200 * len(list_intersect(own, pairs)) >= 80 * (n + len(pairs))),
+b as (select r, first(licence order by dice desc, line, licence) as licence, max(dice) as dice, first(line order by dice desc, line, licence)::int as line_no, count(distinct line) filter (where line > 0)::int as n_notices from h group by r)
+select doc_id, licence, dice, line_no, coalesce(n_notices, 0)::int as n_notices from d left join b using (r)
+"""
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_exact_top_k, op2_byte_bpe, op3_suffix_dedup, op5_ngram_jaccard, op7_mix_sources, op8_nearest_neighbours, op9_toxicity, op10_language_id)
+    for f in (
+        op1_exact_top_k, op2_byte_bpe, op3_suffix_dedup, op4_training_order, op5_ngram_jaccard, op6_licence_scan, op7_mix_sources, op8_nearest_neighbours, op9_toxicity, op10_language_id,
+    )
 }
-ORACLE = {"op1_exact_top_k": OP1_SQL, "op7_mix_sources": OP7_SQL}
+ORACLE = {"op1_exact_top_k": OP1_SQL, "op6_licence_scan": _licence_sql(), "op7_mix_sources": OP7_SQL}
