@@ -183,6 +183,21 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
+def checked(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id, text`` to ``doc_id, n_tokens, ids, lossless``: the ids and whether they decode to the text."""
+    bound_batches(documents.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = load(path, pattern)
+        for batch in batches:
+            texts = [t.as_py() or "" for t in batch["text"]]
+            ids = [encoder.encode(t) for t in texts]
+            same = [encoder.decode(i) == t.encode("utf-8", "replace") for i, t in zip(ids, texts, strict=True)]
+            yield pa.record_batch({"doc_id": batch["doc_id"], "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32())), "lossless": pa.array(same)})
+
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids array<int>, lossless boolean")
+
+
 def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, ids`` to ``doc_id, bytes``. Null ids give no bytes."""
     bound_batches(tokens.sparkSession)

@@ -43,22 +43,16 @@ def targets(sizes: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
     return held.select("skey", "source_size", F.coalesce(F.least(F.col("level") * F.col("weight"), F.col("most").cast("double")), F.col("most").cast("double")).alias("target"))
 
 
-def mix(documents: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: int = 0) -> DataFrame:
-    """Takes each source's documents near its target: ``doc_id, source, size, source_size, target, taken``.
+def _skey(source: Column) -> Column:
+    return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source))
 
-    ``documents`` has ``doc_id, source, text``; other columns are ignored. A document is taken whole, as many times as
-    its source's target holds the source, and once more where its hash is below the source's threshold. The threshold
-    comes from sums of sizes by source and hash bin: the bin in which the budget ends is found, only its rows are
-    binned again by the next bits, and after the last bits the bin is taken if that is nearer to the target.
-    Nothing is sorted; an input's rows are read once, then a table of ids and sizes.
 
-    Null texts and texts of no word have size 0, null sources form one source that comes last, rows that repeat an id
-    share its decision, null ids are hashed as one id. An empty table gives no rows.
-    """
+def _plan(documents: DataFrame, weights: Sequence[int], cap: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """(sizes and hashes of the rows; for each source its size, target, whole epochs and the hash below which a document
+    is taken once more)."""
     scratch = Scratch(documents.sparkSession, "mix")
-    skey = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source")))
     rows = scratch.save(
-        documents.select("doc_id", "source", skey.alias("skey"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), hash36(F.col("doc_id"), seed).alias("h")),
+        documents.select("doc_id", "source", _skey(F.col("source")).alias("skey"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), hash36(F.col("doc_id"), seed).alias("h")),
         "sizes",
     )
     epochs = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(cap))).otherwise(0).cast("bigint")
@@ -84,7 +78,33 @@ def mix(documents: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3,
             f"plan{level}",
         )
     limit = F.when(F.coalesce(F.col("bin_size") - F.col("left") < F.col("left"), F.lit(False)), F.col("prefix") + 1).otherwise(F.col("prefix"))
-    taken = F.col("size") * (F.col("epochs") + F.when(F.col("h") < F.col("limit"), 1).otherwise(0))
-    return rows.join(plan.withColumn("limit", limit).select("skey", "source_size", "target", "epochs", "limit"), "skey").select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("taken")
-    )
+    return rows, plan.select("skey", "source_size", "target", "epochs", limit.alias("limit"))
+
+
+def _copies() -> Column:
+    return F.col("epochs") + F.when(F.col("h") < F.col("limit"), 1).otherwise(0)
+
+
+def mix(documents: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: int = 0) -> DataFrame:
+    """Takes each source's documents near its target: ``doc_id, source, size, source_size, target, taken``.
+
+    ``documents`` has ``doc_id, source, text``; other columns are ignored. A document is taken whole, as many times as
+    its source's target holds the source, and once more where its hash is below the source's threshold. The threshold
+    comes from sums of sizes by source and hash bin: the bin in which the budget ends is found, only its rows are
+    binned again by the next bits, and after the last bits the bin is taken if that is nearer to the target.
+    Documents aren't sorted; an input's rows are read once, then a table of ids and sizes.
+
+    Null texts and texts of no word have size 0, null sources form one source that comes last, rows that repeat an id
+    share its decision, null ids are hashed as one id. An empty table gives no rows.
+    """
+    rows, plan = _plan(documents, weights, cap, seed)
+    return rows.join(plan, "skey").select("doc_id", "source", "size", "source_size", "target", (F.col("size") * _copies()).alias("taken"))
+
+
+def mixed(documents: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: int = 0) -> DataFrame:
+    """The rows of ``documents``, with all of their columns, each as many times as :func:`mix` takes it. What has no
+    word isn't taken."""
+    _, plan = _plan(documents, weights, cap, seed)
+    held = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("held")
+    tagged = documents.where(F.coalesce(F.regexp_like("text", F.lit(WORD)), F.lit(False))).select(held, _skey(F.col("source")).alias("skey"), hash36(F.col("doc_id"), seed).alias("h"))
+    return tagged.join(plan, "skey").select("held", F.explode(F.sequence(F.lit(0).cast("bigint"), _copies())).alias("copy")).where("copy > 0").select("held.*")
