@@ -1,10 +1,637 @@
-"""All registered queries of the library, with their SQL."""
+"""All registered queries of the library, with the equivalent SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+import io
+import tarfile
+import uuid
+from collections.abc import Callable, Iterator
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def flagship(spark, sf_dir):
-    raise NotImplementedError
+from corpusloom.functions import ids, search, text, xml
+from corpusloom.operators import compare, dedup, graph, mirror, save, state, stats
+from corpusloom.plans import derive
+from corpusloom.plans.derive import MIXED, PAPERS, mixed_id, papers, table
+from corpusloom.sources import feeds, files
+from corpusloom.streaming import incremental
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a query under its name."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return put
+
+
+# Identifiers.
+
+
+@query(f"with {PAPERS} select doc_id, pmcid from p")
+def q_normalize_pmcid(spark, d):
+    return papers(spark, d).select("doc_id", ids.normalize_pmcid("raw_pmcid").alias("pmcid"))
+
+
+_KIND = f"case when upper(trim({MIXED})) like 'PMC%' then 'pmcid' when {MIXED} like '%/%' then 'doi' when regexp_full_match(trim({MIXED}), '[0-9]{{7,}}') then 'pmid' else 'unknown' end"
+_NORMAL = f"case {_KIND} when 'pmcid' then upper(trim({MIXED})) when 'doi' then lower(trim({MIXED})) else trim({MIXED}) end"
+
+
+@query(f"with {PAPERS} select doc_id, {_KIND} as id_type from p")
+def q_detect_id_type(spark, d):
+    return papers(spark, d).select("doc_id", ids.detect_id_type(mixed_id()).alias("id_type"))
+
+
+@query(f"with {PAPERS} select doc_id, {_NORMAL} as id from p")
+def q_normalize_id(spark, d):
+    return papers(spark, d).select("doc_id", ids.normalize_id(mixed_id()).alias("id"))
+
+
+@query(f"with {PAPERS} select doc_id, doi as doi_key from p")
+def q_doi_key(spark, d):
+    return papers(spark, d).select("doc_id", ids.doi_key("raw_doi").alias("doi_key"))
+
+
+@query(f"with {PAPERS} select doc_id, trim(raw_doi) as doi from p")
+def q_extract_doi(spark, d):
+    line = F.concat(F.substring("text", 1, 40), F.lit(" see https://doi.org/"), F.trim("raw_doi"), F.lit("). More"))
+    return papers(spark, d).select("doc_id", text.extract_doi(line).alias("doi"))
+
+
+@query(f"with {PAPERS} select doc_id, trim(raw_doi) as doi from p")
+def q_biorxiv_doi(spark, d):
+    i = F.col("doc_id")
+    prefix = F.when(i % 3 == 0, "https://doi.org/").when(i % 3 == 1, "doi:").otherwise("http://doi.org/")
+    return papers(spark, d).select("doc_id", ids.biorxiv_doi(F.concat(F.lit(" "), prefix, F.trim("raw_doi"))).alias("doi"))
+
+
+def _records(spark, d):
+    i = F.col("doc_id")
+    source = F.when(i % 4 == 0, "MED").when(i % 4 == 1, "PMC").when(i % 4 == 2, "PPR").otherwise("")
+    return papers(spark, d).select(
+        "doc_id", source.alias("src"), F.when(i % 4 == 1, F.col("raw_pmcid")).when(i % 4 == 2, F.concat(F.lit("PPR"), i.cast("string"))).otherwise(F.col("pmid")).alias("id"),
+        F.when(i % 5 != 0, F.col("pmid")).alias("pmid"), F.when(i % 6 == 0, F.col("raw_pmcid")).alias("pmcid"), "raw_doi",
+    )
+
+
+_RECORDS = f"""{PAPERS}, r as (select doc_id, (['MED', 'PMC', 'PPR', ''])[(doc_id % 4 + 1)::int] as src,
+  case doc_id % 4 when 1 then raw_pmcid when 2 then 'PPR' || doc_id else pmid end as id, case when doc_id % 5 <> 0 then pmid end as pmid2,
+  case when doc_id % 6 = 0 then pmcid end as pmcid2, doi, pmcid from p)"""
+
+
+@query(f"""with {_RECORDS} select doc_id, case when src = 'MED' then 'MED' when src = 'PMC' then 'PMC' when src = 'PPR' then 'PPR' when pmcid2 is not null then 'PMC' else 'MED' end as source,
+  case when src = 'MED' then coalesce(pmid2, id) when src = 'PMC' then pmcid when src = 'PPR' then id when pmcid2 is not null then pmcid2 else coalesce(pmid2, id) end as id from r""")
+def q_best_id(spark, d):
+    best = ids.best_id("src", "id", "pmid", "pmcid")
+    return _records(spark, d).select("doc_id", best["source"].alias("source"), best["id"].alias("id"))
+
+
+@query(f"""with {_RECORDS} select doc_id, array_to_string(list_sort(list_distinct(list_filter(['doi:' || doi, 'pmcid:' || pmcid2, case when src = 'PMC' then 'pmcid:' || pmcid end,
+  'pmid:' || pmid2, case when src = 'MED' then 'pmid:' || id end, case when src = 'PPR' then 'PPR:' || id end], lambda x: x is not null))), ' ') as keys from r""")
+def q_identity_keys(spark, d):
+    return _records(spark, d).select("doc_id", F.array_join(F.sort_array(ids.identity_keys("src", "id", "raw_doi", "pmid", "pmcid")), " ").alias("keys"))
+
+
+@query(f"""with {PAPERS} select doc_id, case when doc_id % 3 = 0 then pmcid when doc_id % 3 = 1 then 'PMID' || pmid else 'EPMC' || doc_id end as article_key,
+  doc_id || '.' || '12' as short_id, source || '_' || replace(doi, '/', '_') || '.xml' as file, path || '.' || sha1(text) || '.tei.xml' as cache_key from p""")
+def q_filename_keys(spark, d):
+    i = F.col("doc_id")
+    article = ids.article_file_key(F.when(i % 3 == 0, ids.normalize_pmcid("raw_pmcid")), F.when(i % 3 == 1, F.col("pmid")), i.cast("string"))
+    return papers(spark, d).select(
+        "doc_id", article.alias("article_key"), ids.without_version(F.concat(i.cast("string"), F.lit(".12v3"))).alias("short_id"),
+        ids.safe_file_name("source", ids.doi_key("raw_doi")).alias("file"), ids.cache_key("path", "text").alias("cache_key"),
+    )
+
+
+# Text, dates, names.
+
+
+@query("select doc_id, md5(trim(regexp_replace(text, '\\s+', ' ', 'g'))) as cleaned from documents union all select -1 - page_id, md5(trim(regexp_replace(html, '\\s+', ' ', 'g'))) from pages")
+def q_clean_ws(spark, d):
+    both = table(spark, d, "documents").select("doc_id", "text").union(table(spark, d, "pages").select(-1 - F.col("page_id"), "html"))
+    return both.select("doc_id", F.md5(text.clean_spaces("text")).alias("cleaned"))
+
+
+@query()
+def q_clean_nfkc(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.clean_text("text"), 256).alias("cleaned"))
+
+
+@query()
+def q_transliterate(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.clean_ascii("text"), 256).alias("ascii"))
+
+
+@query("select doc_id, sha1(text) as sha1, sha256(text) as sha256 from documents")
+def q_content_hash(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha1("text").alias("sha1"), F.sha2("text", 256).alias("sha256"))
+
+
+@query("""select o_orderkey, strftime(o_orderdate, '%Y/%m/%d') as slash, strftime(o_orderdate, '%Y%m%d') as compact, strftime(o_orderdate, '%Y') as year,
+  strftime(o_orderdate, '%Y-%m-%d') as day, case when o_orderkey % 2 = 0 then strftime(o_orderdate, '%Y-%m-%d') end as parsed, o_orderkey % 3 <> 0 as is_slash from orders""")
+def q_date_forms(spark, d):
+    o = table(spark, d, "orders").withColumn("iso", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    i = F.col("o_orderkey")
+    return o.select(
+        "o_orderkey", text.slash_date("iso").alias("slash"), text.compact_date("o_orderdate").alias("compact"), text.extract_year(F.concat(F.lit("on "), F.col("iso"))).alias("year"),
+        text.date_prefix(F.col("o_orderdate").cast("string")).alias("day"), F.date_format(text.parsed_time(F.when(i % 2 == 0, F.col("iso")).otherwise("soon"), "yyyy-MM-dd"), "yyyy-MM-dd").alias("parsed"),
+        text.is_slash_date(F.when(i % 3 == 0, F.col("iso")).otherwise(text.slash_date("iso"))).alias("is_slash"),
+    )
+
+
+@query("select c_custkey, c_name || '|' || c_mktsegment as authors, 2::int as n, 'A ' || c_name as joined from customer")
+def q_author_parse(spark, d):
+    line = F.concat(F.lit(" "), F.col("c_name"), F.lit(" ; ;"), F.col("c_mktsegment"), F.lit(";"))
+    people = F.array(F.struct(F.lit("A").alias("firstName"), F.col("c_name").alias("lastName")), F.struct(F.lit(" ").alias("firstName"), F.lit("").alias("lastName")))
+    names = text.split_names(line, ";")
+    return table(spark, d, "customer").select("c_custkey", F.array_join(names, "|").alias("authors"), F.size(names).alias("n"), F.array_join(text.joined_names(people), "|").alias("joined"))
+
+
+@query("""select doc_id, case doc_id % 4 when 0 then 4 when 1 then 14 when 2 then 20 end::int as category from documents""")
+def q_category_lookup(spark, d):
+    i = F.col("doc_id")
+    name = F.when(i % 4 == 0, "Catalysis").when(i % 4 == 1, "Materials Chemistry").when(i % 4 == 2, "polymer-chemistry").otherwise("Alchemy")
+    return table(spark, d, "documents").select("doc_id", search.chemrxiv_category(name).alias("category"))
+
+
+@query("""select o_orderkey, case when o_orderkey % 3 = 0 then (o_orderkey % 60)::varchar || '.0s' when o_orderkey % 3 = 1 then (o_orderkey % 59 + 1)::varchar || ':' || lpad((o_orderkey % 60)::varchar, 2, '0')
+  else (o_orderkey % 9 + 1)::varchar || ':' || lpad((o_orderkey % 60)::varchar, 2, '0') || ':' || lpad((o_orderkey % 60)::varchar, 2, '0') end as shown from orders""")
+def q_duration(spark, d):
+    i = F.col("o_orderkey")
+    s = F.when(i % 3 == 0, i % 60).when(i % 3 == 1, (i % 59 + 1) * 60 + i % 60).otherwise((i % 9 + 1) * 3600 + i % 60 * 60 + i % 60)
+    return table(spark, d, "orders").select("o_orderkey", text.duration(s.cast("double")).alias("shown"))
+
+
+@query("""select doc_id, case doc_id % 4 when 0 then false when 1 then false when 2 then true else false end as ok from documents""")
+def q_fulltext_sanity(spark, d):
+    i, pad = F.col("doc_id"), F.repeat(F.lit("x"), 120)
+    body = F.when(i % 4 == 0, F.concat(F.lit("<article><Error>"), pad)).when(i % 4 == 1, F.concat(F.lit("ID not found"), pad)).when(i % 4 == 2, F.concat(F.lit("<article>"), pad, F.substring("text", 1, 20))).otherwise(F.substring("text", 1, 90))
+    return table(spark, d, "documents").select("doc_id", text.is_full_text(body).alias("ok"))
+
+
+@query("select page_id, unnest(list_distinct(regexp_extract_all(html, 'href=\"([^\"]+)\"', 1))) as href from pages")
+def q_page_links(spark, d):
+    return table(spark, d, "pages").select("page_id", F.explode(text.hrefs("html")).alias("href"))
+
+
+@query("select page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) as title from pages")
+def q_page_titles(spark, d):
+    return table(spark, d, "pages").select("page_id", text.page_title("html").alias("title"))
+
+
+# Duplicates and state.
+
+
+@query(f"with {PAPERS}, r as (select *, row_number() over (partition by doi order by prio, path) as n from p) select doc_id, doi, source from r where n = 1")
+def q_dedup_winners(spark, d):
+    return dedup.winners(papers(spark, d), "raw_doi").select("doc_id", ids.doi_key("raw_doi").alias("doi"), "source")
+
+
+@query(f"with {PAPERS}, r as (select *, row_number() over w as n, first(path) over w as kept from p window w as (partition by doi order by prio, path)) select doi, path as removed, kept from r where n > 1")
+def q_dedup_log(spark, d):
+    return dedup.duplicates(papers(spark, d), "raw_doi")
+
+
+@query(f"with {PAPERS} select doc_id, doi from p where doi not in (select doi from p where doc_id % 4 = 0)")
+def q_workspace_new(spark, d):
+    p = papers(spark, d)
+    return dedup.unknown(p, p.where("doc_id % 4 = 0"), "raw_doi", "raw_doi").select("doc_id", ids.doi_key("raw_doi").alias("doi"))
+
+
+@query(f"with {PAPERS} select source, count(*) as skipped from p where doi in (select doi from p where doc_id % 4 = 0) group by source")
+def q_workspace_skipped(spark, d):
+    p = papers(spark, d)
+    return dedup.already_known(p, p.where("doc_id % 4 = 0"), "raw_doi", "raw_doi").groupBy("source").agg(F.count("*").alias("skipped"))
+
+
+def _progress(spark, d):
+    i = F.col("doc_id")
+    return table(spark, d, "documents").select(i.alias("id"), F.when(i % 3 == 0, "completed").when(i % 10 == 1, "failed").alias("state")).where("state is not null")
+
+
+@query("select doc_id as id from documents where doc_id % 3 <> 0")
+def q_resume_todo(spark, d):
+    return dedup.remaining(table(spark, d, "documents").select(F.col("doc_id").alias("id")), _progress(spark, d))
+
+
+@query("""with s as (select count(*) filter (where doc_id % 3 = 0) as completed, count(*) filter (where doc_id % 3 <> 0 and doc_id % 10 = 1) as failed from documents)
+  select completed, failed, failed as remaining, round(100.0 * completed / (completed + failed), 1)::double as percent from s""")
+def q_progress(spark, d):
+    return state.progress(_progress(spark, d))
+
+
+@query(f"with {PAPERS} select doc_id, pmcid from p where doc_id % 4 <> 0")
+def q_changed_content(spark, d):
+    i = F.col("doc_id")
+    p = papers(spark, d).select("doc_id", ids.normalize_pmcid("raw_pmcid").alias("pmcid"), F.sha2("text", 256).alias("sha256"))
+    manifest = p.where(i % 2 == 0).withColumn("sha256", F.when(i % 4 == 0, F.col("sha256")).otherwise("other"))
+    return dedup.changed(p, manifest, "pmcid", "sha256").select("doc_id", "pmcid")
+
+
+_CUT = "(select min(ts) + (max(ts) - min(ts)) / 2 from events)"
+
+
+def _markers(spark, d):
+    e = table(spark, d, "events")
+    span = e.agg((F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("cut"))
+    return e.join(F.broadcast(span)).where("ts < cut").groupBy(F.col("event_type").alias("source")).agg(F.max("ts").alias("last_fetch"), F.count("*").alias("papers_fetched"))
+
+
+@query(f"""with m as (select event_type, max(ts) as last from events where ts < {_CUT} group by 1)
+  select e.event_id, e.event_type as source from events e left join m using (event_type) where m.last is null or e.ts::date >= m.last::date""")
+def q_incremental_since_marker(spark, d):
+    rows = table(spark, d, "events").select("event_id", F.col("event_type").alias("source"), "ts")
+    return state.since_marker(rows, _markers(spark, d)).select("event_id", "source")
+
+
+@query(f"""with m as (select event_type as source, max(ts) as last_fetch, count(*) as n from events where ts < {_CUT} group by 1),
+  r as (select event_type as source, max(ts) as last_fetch, count(*) as n from events where ts >= {_CUT} and event_type <> 'error' group by 1)
+  select source, strftime(max(last_fetch), '%Y-%m-%d %H:%M:%S') as last_fetch, sum(n)::bigint as papers_fetched from (select * from m union all select * from r) group by source""")
+def q_source_marker(spark, d):
+    e = table(spark, d, "events")
+    span = e.agg((F.min("ts") + (F.max("ts") - F.min("ts")) / 2).alias("cut"))
+    runs = e.join(F.broadcast(span)).where("ts >= cut").groupBy(F.col("event_type").alias("source")).agg(F.max("ts").alias("ts"), F.count("*").alias("fetched"))
+    runs = runs.withColumn("errors", F.when(F.col("source") == "error", 1).otherwise(0))
+    return state.advanced(_markers(spark, d), runs).select("source", F.date_format("last_fetch", "yyyy-MM-dd HH:mm:ss").alias("last_fetch"), "papers_fetched")
+
+
+# Mirror.
+
+
+def _remote(spark, d):
+    return papers(spark, d).select(
+        F.concat(F.lit("oa/"), F.col("path"), F.lit(".tar.gz")).alias("filename"), F.concat(F.lit("PMC"), F.col("doc_id").cast("string")).alias("accession_id"),
+        F.concat(F.col("pub_date").cast("string"), F.lit(" 12:00:00")).alias("last_updated"), F.col("lang").alias("subset"), "doc_id", F.col("n_chars").alias("length"),
+    )
+
+
+def _manifest(spark, d):
+    i = F.col("doc_id")
+    r = _remote(spark, d).where(i % 4 != 0)
+    return r.select(
+        "filename", "accession_id", F.when(i % 5 == 0, F.lit("2000-01-01 00:00:00")).otherwise(F.col("last_updated")).alias("source_updated"),
+        F.when(i % 7 == 0, F.col("length") + 1).otherwise(F.col("length")).alias("size_bytes"), F.when(i % 9 != 0, F.col("subset")).alias("subset"),
+    )
+
+
+@query(f"with {PAPERS} select pmcid as accession_id, pub_date || ' 12:00:00' as last_updated from p where doc_id % 4 = 0 or doc_id % 5 = 0")
+def q_mirror_updates(spark, d):
+    return mirror.updates(_remote(spark, d), _manifest(spark, d)).select("accession_id", "last_updated")
+
+
+@query("""select 'PMC' || doc_id as accession_id, case when doc_id % 6 = 1 then 'missing' when doc_id % 7 = 0 then 'size_mismatch' else 'verified' end as state from documents where doc_id % 4 <> 0""")
+def q_mirror_verify(spark, d):
+    local = _remote(spark, d).where("doc_id % 6 <> 1").select("filename", "length")
+    return mirror.verify(_manifest(spark, d), local).select("accession_id", "state")
+
+
+@query("""select case when grouping(s) = 0 then s end as subset, count(*) as files, sum(b)::bigint as bytes
+  from (select case when doc_id % 9 <> 0 then lang else 'unknown' end as s, n_chars + (doc_id % 7 = 0)::int as b from documents where doc_id % 4 <> 0) group by rollup (s)""")
+def q_mirror_status(spark, d):
+    return mirror.status(_manifest(spark, d))
+
+
+@query("select '/old/' || lpad(doc_id::varchar, 10, '0') || '.tar.gz' as filename, case when doc_id % 3 = 0 then 'PMC' || doc_id end as accession_id, doc_id % 3 = 0 as matched from documents")
+def q_mirror_import(spark, d):
+    r = _remote(spark, d)
+    local = r.select(F.regexp_replace("filename", "^oa", "/old").alias("filename"))
+    return mirror.imported(local, r.where("doc_id % 3 = 0"))
+
+
+# Ids across tables.
+
+
+@query("select o_orderkey, o_custkey, c_name from orders join customer on o_custkey = c_custkey where c_custkey % 2 = 0")
+def q_id_conversion(spark, d):
+    known = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey").join(known, "o_custkey").select("o_orderkey", "o_custkey", "c_name")
+
+
+@query("select c_custkey, min(o_orderkey) as first_seen, any_value(c_name) as c_name from orders join customer on o_custkey = c_custkey group by c_custkey")
+def q_batch_lookup(spark, d):
+    asked = dedup.distinct_in_order(table(spark, d, "orders"), "o_custkey", "o_orderkey")
+    return table(spark, d, "customer").join(asked, F.col("c_custkey") == F.col("o_custkey")).select("c_custkey", F.col("o_orderkey").alias("first_seen"), "c_name")
+
+
+@query(f"""with {PAPERS}, i as (select distinct {_NORMAL} as id from p), k as (select doi as k, min(pmcid) as v from p group by 1 union all select pmid, min(pmcid) from p group by 1)
+  select id, case when id like 'PMC%' then id else coalesce(v, id) end as resolved from i left join k on id = k""")
+def q_resolve_ids(spark, d):
+    p = papers(spark, d)
+    return compare.resolve(p.select(mixed_id().alias("id")), p.select(F.col("raw_pmcid").alias("pmcid"), F.col("raw_doi").alias("doi"), "pmid"))
+
+
+# Counts.
+
+_OUTCOME = "case doc_id % 11 when 0 then 'errors' when 1 then 'skipped' when 2 then 'duplicates' when 3 then 'resumed' when 4 then 'fetched' else status end"
+_COUNTS = "count(*) as found, " + ", ".join(f"count(*) filter (where o = '{o}') as {o}" for o in stats.OUTCOMES)
+
+
+def _outcomes(spark, d):
+    i = F.col("doc_id") % 11
+    return papers(spark, d).select("source", F.when(i == 0, "errors").when(i == 1, "skipped").when(i == 2, "duplicates").when(i == 3, "resumed").when(i == 4, "fetched").otherwise(F.col("status")).alias("outcome"))
+
+
+@query(f"with {PAPERS}, q as (select source, {_OUTCOME} as o from p) select source, {_COUNTS} from q group by source")
+def q_outcomes_by_source(spark, d):
+    return stats.outcomes(_outcomes(spark, d))
+
+
+@query(f"with {PAPERS}, q as (select source, {_OUTCOME} as o from p) select {_COUNTS}, count(distinct source) as sources from q")
+def q_outcomes_total(spark, d):
+    return stats.totals(_outcomes(spark, d))
+
+
+@query(f"with {PAPERS} select count(*) as total, count(*) filter (where status = 'valid') as valid, count(*) filter (where status = 'incomplete') as incomplete, 0::bigint as invalid from p")
+def q_manifest_stats(spark, d):
+    return stats.manifest(papers(spark, d))
+
+
+@query(f"""with {PAPERS} select count(*) as files, sum(strlen(text))::bigint as bytes, count(*) filter (where status = 'valid') as valid, count(*) filter (where status = 'incomplete') as incomplete,
+  string_agg(distinct source, ',' order by source) as sources from p""")
+def q_tarball_stats(spark, d):
+    return stats.package(papers(spark, d).withColumn("size", F.octet_length("text").cast("bigint")))
+
+
+@query("""select source, n * 153600 as bytes, floor(n * 153600 / 10)::bigint as compressed_bytes, n / 2.0::double as seconds, n * 5242880 as package_bytes from (select source, count(*) as n from documents group by source)""")
+def q_resource_estimate(spark, d):
+    return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n")).select("source", *stats.estimate("n"))
+
+
+@query("select case when quality = 1 then 'text' else 'title_abstract' end as origin, count(*) as n, sum(case when quality = 1 then length(text) else length(substr(text, 1, 480)) end)::bigint as chars from documents left join labels using (doc_id) group by 1")
+def q_rag_documents(spark, d):
+    labels = table(spark, d, "labels").select("doc_id", "quality")
+    p = papers(spark, d).join(labels, "doc_id", "left")
+    full = F.coalesce(F.col("quality") == 1, F.lit(False))
+    body = F.when(full, F.col("text")).otherwise(F.concat("title", "abstract"))
+    return p.select(F.when(full, "text").otherwise("title_abstract").alias("origin"), F.length(body).cast("bigint").alias("chars")).groupBy("origin").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+
+
+# Search.
+
+SEARCH = search.Search(virus_keywords=("the", "que"), disease_keywords=("tion", "ment"), date_range=search.DateRange("2022/01/01", "2024/06/30"))
+_HAS = lambda words: "(" + " or ".join(f"contains(lower({c}), '{w}')" for c in ("title", "abstract") for w in words) + ")"
+
+
+@query(f"with {PAPERS} select doc_id from p where {_HAS(('the', 'que', 'tion', 'ment'))}")
+def q_keyword_any(spark, d):
+    return papers(spark, d).where(SEARCH.predicate("any")).select("doc_id")
+
+
+@query(f"with {PAPERS} select doc_id from p where {_HAS(('the', 'que'))} and {_HAS(('tion', 'ment'))} and pub_date between '2022-01-01' and '2024-06-30'")
+def q_keyword_by_category(spark, d):
+    return papers(spark, d).where(SEARCH.predicate("category", date="pub_date")).select("doc_id")
+
+
+@query(f"with {PAPERS} select doc_id, pub_date::varchar as day from p where pub_date >= '2023-05-01'")
+def q_date_window(spark, d):
+    return papers(spark, d).where(search.in_dates(F.col("pub_date"), "2023-05-01", "*")).select("doc_id", F.col("pub_date").cast("string").alias("day"))
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders order by o_orderdate desc, o_orderkey limit 50")
+def q_recent_topk(spark, d):
+    return table(spark, d, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(50).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+
+
+@query("select event_type as source, max(struct_pack(t := ts, i := event_id)).i as event_id from events group by 1")
+def q_latest_search(spark, d):
+    log = table(spark, d, "events").select(F.col("event_type").alias("source"), "ts", F.col("event_id").alias("id"))
+    return state.latest(log).select("source", F.col("id").alias("event_id"))
+
+
+# Comparison.
+
+
+def _corpora(spark, d):
+    p = papers(spark, d)
+    reference = table(spark, d, "labels").where("quality = 1").select("doc_id").join(p, "doc_id")
+    return tuple(compare.parse_ids(x.select(mixed_id().alias("value"))) for x in (reference, p.where("lang = 'en'")))
+
+
+_CORPORA = f"""{PAPERS}, r as (select distinct {_NORMAL} as id from p join labels using (doc_id) where quality = 1), c as (select distinct {_NORMAL} as id from p where lang = 'en'),
+  o as (select id from r intersect select id from c)"""
+
+
+@query(f"""with {_CORPORA}, n as (select (select count(*) from r) as rn, (select count(*) from c) as cn, (select count(*) from o) as onn)
+  select rn as reference_count, cn as candidate_count, onn as overlap_count, rn - onn as reference_only_count, cn - onn as candidate_only_count,
+  case when rn + cn = 0 then 0 else onn::double / (rn + cn - onn) end as jaccard, case when rn = 0 then 0 else onn::double / rn end as recall, case when cn = 0 then 0 else onn::double / cn end as precision from n""")
+def q_compare_metrics(spark, d):
+    return compare.metrics(*_corpora(spark, d))
+
+
+@query(f"with {_CORPORA} select id from o")
+def q_compare_overlap(spark, d):
+    return compare.overlap(*_corpora(spark, d))
+
+
+@query(f"with {_CORPORA} select id from r where id not in (select id from o)")
+def q_compare_ref_only(spark, d):
+    return compare.only_reference(*_corpora(spark, d))
+
+
+@query(f"with {_CORPORA} select id from c where id not in (select id from o)")
+def q_compare_cand_only(spark, d):
+    return compare.only_candidate(*_corpora(spark, d))
+
+
+@query(f"with {PAPERS} select {_KIND} as id_type, count(*) as n from p where lang = 'en' group by 1")
+def q_id_type_counts(spark, d):
+    return compare.type_counts(_corpora(spark, d)[1])
+
+
+# Expansion.
+
+_SEEDED = """s as (select o_orderkey as o from orders where o_orderkey < 20),
+  l1 as (select l_orderkey as o, l_linenumber as n, l_partkey as x from lineitem where l_orderkey in (select o from s)),
+  a1 as (select x from l1 group by x), l2 as (select l_orderkey as o, l_partkey as x from lineitem where l_partkey in (select x from a1)),
+  a2 as (select o from l2 where o not in (select o from s) group by o)"""
+
+
+def _expanded(spark, d, **how):
+    return graph.expand(derive.seeds(spark, d), derive.edges(spark, d), **how)
+
+
+@query(f"with {_SEEDED} select x::varchar as id, 'references' as kind, 1::int as depth from a1")
+def q_expand_depth1(spark, d):
+    return _expanded(spark, d).papers.select("id", "kind", "depth")
+
+
+@query(f"with {_SEEDED} select x::varchar as id, 'references' as kind, 1::int as depth from a1 union all select o::varchar, 'citations', 2 from a2")
+def q_expand_depth2(spark, d):
+    return _expanded(spark, d, depth=2).papers.select("id", "kind", "depth")
+
+
+@query(f"with {_SEEDED} select 1::int as depth, 'references' as kind, count(*) as n from a1 union all select 2, 'citations', count(*) from a2")
+def q_expand_layers(spark, d):
+    return _expanded(spark, d, depth=2).layers
+
+
+@query(f"""with {_SEEDED}, n as (select (select count(*) from l1) as r, (select count(*) from l2) as c, (select count(*) from a1) + (select count(*) from a2) as u)
+  select r as references_found, c as citations_found, u as total_unique, r + c - u as duplicates_skipped from n""")
+def q_expand_stats(spark, d):
+    return _expanded(spark, d, depth=2).stats
+
+
+@query(f"""with {_SEEDED}, n as (select (select count(*) from s) as seeds, (select count(distinct o) from l1) as r)
+  select seeds, 0::bigint as with_citations, r as with_references, 0::bigint as with_both, seeds - r as with_neither, 0.0::double as with_citations_percent, round(100.0 * r / seeds, 1)::double as with_references_percent from n""")
+def q_expand_coverage(spark, d):
+    return _expanded(spark, d).coverage
+
+
+@query(f"with {_SEEDED}, f as (select x, row_number() over (partition by x order by o, n, x) as k, o, n from l1) select x::varchar as id, row_number() over (order by o, n, x) as ord from f where k = 1 order by o, n, x limit 30")
+def q_expand_budget(spark, d):
+    return _expanded(spark, d, depth=2, budget=30).papers.select("id", "ord")
+
+
+@query("select (select count(distinct x) from (select l_partkey as x from lineitem union select o_orderkey from orders)) as total")
+def q_union_plan_total(spark, d):
+    own = table(spark, d, "lineitem").select(F.col("l_partkey").alias("x")).union(table(spark, d, "orders").select("o_orderkey"))
+    return own.agg(F.countDistinct("x").alias("total"))
+
+
+# Article XML.
+
+_BODY = "length(trim(regexp_replace(text, '\\s+', ' ', 'g')))"
+
+
+@query(f"""with {PAPERS} select doc_id, case when doc_id % 7 = 0 then 'invalid' else 'valid' end as status, doc_id % 7 <> 0 as has_title, doc_id % 7 <> 0 and {_BODY} >= 800 as has_body,
+  case when doc_id % 7 = 0 then 0 else {_BODY} end::int as body_chars, case when doc_id % 7 <> 0 then pmcid end as pmcid from p""")
+def q_jats_validate(spark, d):
+    v = derive.jats(papers(spark, d)).select("doc_id", xml.validate_jats("xml").alias("v"))
+    return v.select("doc_id", "v.status", "v.has_title", "v.has_body", "v.body_chars", "v.pmcid")
+
+
+@query("select case when doc_id % 7 = 0 then 'invalid' else 'valid' end as status, count(*) as n from documents group by 1")
+def q_jats_status_counts(spark, d):
+    return derive.jats(papers(spark, d)).select(xml.validate_jats("xml")["status"].alias("status")).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@query(f"with {PAPERS} select doc_id, trim(raw_doi) as doi, strftime(pub_date, '%Y') as year, 'S' || doc_id as first_author from p")
+def q_tei_metadata(spark, d):
+    m = derive.tei(papers(spark, d)).select("doc_id", xml.tei_fields("xml").alias("m"))
+    return m.select("doc_id", F.col("m")["DOI"].alias("doi"), F.col("m")["year"].alias("year"), F.col("m")["first_author"].alias("first_author"))
+
+
+@query(f"with {PAPERS} select doc_id, 'valid' as status, true as has_title, {_BODY} + 4 as body_chars from p")
+def q_tei_to_jats(spark, d):
+    v = derive.tei(papers(spark, d)).select("doc_id", xml.validate_jats(xml.jats_of_tei("xml")).alias("v"))
+    return v.select("doc_id", "v.status", "v.has_title", F.col("v.body_chars").cast("bigint").alias("body_chars"))
+
+
+# Feeds and archives.
+
+
+@query(f"""with {PAPERS} select doc_id::varchar as id, source, pmid, pmcid, trim(raw_doi) as doi, title, 'A B|C' as authors, year(pub_date)::int as pub_year, pub_date::varchar as first_publication_date,
+  doc_id % 2 = 0 as is_open_access, source = 'pmc' as has_full_text from p""")
+def q_feed_europepmc(spark, d):
+    i = F.col("doc_id")
+    item = F.struct(
+        i.cast("string").alias("id"), "source", "pmid", F.col("raw_pmcid").alias("pmcid"), F.trim("raw_doi").alias("doi"), "title", F.lit("A B, C,").alias("authorString"),
+        F.year("pub_date").cast("string").alias("pubYear"), F.col("pub_date").cast("string").alias("firstPublicationDate"), F.when(i % 2 == 0, "Y").otherwise("N").alias("isOpenAccess"),
+        F.when(F.col("source") == "pmc", "Y").otherwise("N").alias("hasFullText"),
+    )
+    pages = papers(spark, d).select(F.to_json(F.struct(F.struct(F.array(item).alias("result")).alias("resultList"))).alias("json"))
+    a = feeds.europepmc_articles(pages)
+    return a.select("id", "source", "pmid", "pmcid", "doi", "title", F.array_join("authors", "|").alias("authors"), "pub_year", F.col("first_publication_date").cast("string").alias("first_publication_date"), "is_open_access", "has_full_text")
+
+
+@query(f"with {PAPERS} select trim(raw_doi) as doi, 'A|B' as authors, case when doc_id % 5 = 0 then '2030-01-01' else pub_date::varchar end as date, (doc_id % 3 + 1)::int as version, case when doc_id % 2 = 0 then '10.1/x' end as published_doi from p")
+def q_feed_biorxiv(spark, d):
+    i = F.col("doc_id")
+    item = F.struct(
+        F.trim("raw_doi").alias("doi"), "title", F.lit("A; B;").alias("authors"), F.when(i % 5 == 0, "soon").otherwise(F.col("pub_date").cast("string")).alias("date"),
+        (i % 3 + 1).cast("string").alias("version"), F.when(i % 2 == 0, "10.1/x").otherwise("NA").alias("published"),
+    )
+    pages = papers(spark, d).select(F.to_json(F.struct(F.array(item).alias("collection"))).alias("json"))
+    a = feeds.biorxiv_articles(pages, F.lit("2030-01-01"))
+    return a.select("doi", F.array_join("authors", "|").alias("authors"), F.col("date").cast("string").alias("date"), "version", "published_doi")
+
+
+@query(f"with {PAPERS} select 'item_' || doc_id as item_id, trim(raw_doi) as doi, 'A B' as authors, 'catalysis' as categories, pub_date::varchar as day from p")
+def q_feed_chemrxiv(spark, d):
+    i = F.col("doc_id").cast("string")
+    person = F.struct(F.lit("A").alias("firstName"), F.lit("B").alias("lastName"))
+    item = F.struct(
+        ids.chemrxiv_id(F.concat(F.lit("https://example.org/item_"), i)).alias("id"), F.trim("raw_doi").alias("doi"), "title", F.array(person).alias("authors"),
+        F.array(F.struct(F.lit("catalysis").alias("name"))).alias("categories"), F.concat(F.col("pub_date").cast("string"), F.lit("T00:00:00Z")).alias("publishedDate"),
+    )
+    pages = papers(spark, d).select(F.to_json(F.struct(F.array(F.struct(item.alias("item"))).alias("itemHits"))).alias("json"))
+    a = feeds.chemrxiv_articles(pages, F.lit("2030-01-01"))
+    return a.select("item_id", "doi", F.array_join("authors", "|").alias("authors"), F.array_join("categories", "|").alias("categories"), F.date_format("published_date", "yyyy-MM-dd").alias("day"))
+
+
+@query(f"with {PAPERS} select doc_id || 'v1' as arxiv_id, 'q-bio.PE|cs.LG' as categories, lower(trim(raw_doi)) as doi, pub_date::varchar as day from p")
+def q_feed_arxiv(spark, d):
+    page = F.concat(
+        F.lit('<feed xmlns="http://www.w3.org/2005/Atom" xmlns:arxiv="http://arxiv.org/schemas/atom"><entry><id>http://arxiv.org/abs/'), F.col("doc_id").cast("string"), F.lit("v1</id><title>"), derive.escaped("title"),
+        F.lit('</title><published>'), F.col("pub_date").cast("string"), F.lit('T10:00:00Z</published><link title="doi" href="http://dx.doi.org/'), F.lower(F.trim("raw_doi")),
+        F.lit('"/><arxiv:primary_category term="q-bio.PE"/><category term="cs.LG"/><category term="q-bio.PE"/></entry></feed>'),
+    )
+    a = feeds.arxiv_articles(papers(spark, d).select(page.alias("xml")), F.lit("2030-01-01"))
+    return a.select("arxiv_id", F.array_join("categories", "|").alias("categories"), "doi", F.date_format("published", "yyyy-MM-dd").alias("day"))
+
+
+def _tarred(rows: Iterator) -> Iterator:
+    import json
+
+    import pyarrow as pa
+
+    for b in rows:
+        made = []
+        for r in b.to_pylist():
+            out = io.BytesIO()
+            with tarfile.open(fileobj=out, mode="w:gz") as tar:
+                entry = {"pmcid": r["pmcid"], "filename": "a.xml"} if r["doc_id"] % 3 == 0 else {"doi": r["doi"]} if r["doc_id"] % 3 == 1 else None
+                parts = [(f"valid/PMC{r['doc_id']}.xml", r["text"] or "")] + ([("manifest.json", json.dumps({"files": [entry]}))] if entry else [])
+                for name, body in parts:
+                    info = tarfile.TarInfo(name)
+                    info.size = len(data := body.encode())
+                    tar.addfile(info, io.BytesIO(data))
+            made.append(out.getvalue())
+        yield pa.record_batch({"path": b["path"], "content": pa.array(made, pa.binary())})
+
+
+@query(f"with {PAPERS} select path, case doc_id % 3 when 0 then 'PMC' || doc_id when 1 then doi else 'PMC' || doc_id end as id, case doc_id % 3 when 1 then 'doi' else 'pmcid' end as id_type from p")
+def q_tar_members(spark, d):
+    rows = papers(spark, d).select("doc_id", "path", "text", F.col("raw_pmcid").alias("r"), F.concat(F.lit("pmc"), F.col("doc_id").cast("string")).alias("pmcid"), F.trim("raw_doi").alias("doi"))
+    archives = rows.mapInArrow(_tarred, "path string, content binary")
+    return files.archive_ids(files.tar_members(archives))
+
+
+@query("select distinct '10.1/' || user_id as doi from events")
+def q_stream_dedup(spark, d):
+    base = graph._write(spark, table(spark, d, "events").select(F.concat(F.lit("10.1/"), F.col("user_id").cast("string")).alias("doi"), "ts"))
+    source = base.inputFiles()[0].rpartition("/")[0]
+    root = source.rpartition("/")[0] + f"/stream-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    q = incremental.index_stream(stream, f"{root}/index", f"{root}/out", f"{root}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("doi")
+
+
+@query("with w as (select time_bucket(interval 1 hour, ts) as w, event_type, count(*) as n, sum(value) as total from events group by 1, 2) select strftime(w, '%Y-%m-%d %H:%M') as start, event_type, n, total from w")
+def q_event_windows(spark, d):
+    return incremental.windowed_counts(table(spark, d, "events")).select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", "total")
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as articles: validated, one of each DOI by priority, counted by source and status."""
+    p = papers(spark, sf_dir)
+    valid = save.validated(derive.jats(p))
+    articles = p.drop("status", "text").join(valid.select("doc_id", "status", "body_chars", "sha256"), "doc_id")
+    kept = dedup.winners(articles, "raw_doi")
+    return kept.groupBy("source", "status").agg(F.count("*").alias("articles"), F.sum("body_chars").alias("body_chars"), F.countDistinct("sha256").alias("contents"))
+
+
+@query(f"""with {PAPERS}, v as (select *, case when doc_id % 7 = 0 then 'invalid' else 'valid' end as st, case when doc_id % 7 = 0 then 0 else {_BODY} end as chars from p),
+  r as (select *, row_number() over (partition by doi order by prio, path) as n from v)
+  select source, st as status, count(*) as articles, sum(chars)::bigint as body_chars, count(*) as contents from r where n = 1 group by 1, 2""")
+def q_flagship(spark, d):
+    return flagship(spark, d)
