@@ -31,6 +31,8 @@ LIST, CHUNK = 64, 1024
 #: What a row costs against a set that shares a part by chance, and the chance that two sets share an element of it:
 #: for the choice between whole parts and one-deletion neighbourhoods.
 CHANCE_COST, CHANCE = 100.0, 0.5
+#: Rounds in which each member of an open group is compared with its nearest alone.
+NEAREST = 1
 #: Bits of the filter on the ids whose sets are fetched. It only saves work; its size doesn't grow with the input.
 FILTER_BITS = 1 << 23
 INDEX, PROBE, EMPTY, HEAVY = 1, 2, 4, 8
@@ -133,7 +135,7 @@ def signatures(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
 def sketch(s: np.ndarray) -> bytes:
     """Parities of how many elements fall on each bit: two sets differ by as many elements at least as their sketches
     differ by bits. Wider sketches fold into narrower ones."""
-    width = 1 << min(17, max(6, (len(s) * 7 // 10 - 1).bit_length()))
+    width = 1 << min(17, max(6, (2 * len(s) - 1).bit_length()))
     return np.packbits((np.bincount((s & U(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
@@ -241,10 +243,10 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"kind": pa.array([x[0] for x in out], pa.int32()), "key": pa.array([x[1] for x in out], pa.int64()), "docs": pa.array([x[2] for x in out], pa.list_(pa.int64()))})
 
 
-def _near(rule: Rule, na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray) -> np.ndarray:
-    """Which pairs of sizes and folded sketches may be linked; broadcasts."""
+def _near(rule: Rule, na: np.ndarray, nb: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Which pairs of sizes, with so many bits apart in their sketches, may be linked; broadcasts."""
     fits = (100 * np.minimum(na, nb) >= rule.p * np.maximum(na, nb)) & (np.minimum(na, nb) > 0)
-    return fits & (np.bitwise_count(sa ^ sb).sum(-1) <= rule.apart(na + nb))
+    return fits & (apart <= rule.apart(na + nb))
 
 
 def _pairs(a: list[int], b: list[int]) -> pa.RecordBatch:
@@ -257,7 +259,7 @@ def _prune_pairs(rule: Rule):
             a, b = [], []
             for x in batch.to_pylist():
                 s = folded([x["sketch"], x["sketch2"]])
-                if _near(rule, np.int64(x["n"]), np.int64(x["n2"]), s[0], s[1]):
+                if _near(rule, np.int64(x["n"]), np.int64(x["n2"]), np.bitwise_count(s[0] ^ s[1]).sum()):
                     a.append(x["a"])
                     b.append(x["b"])
             yield _pairs(a, b)
@@ -265,9 +267,9 @@ def _prune_pairs(rule: Rule):
     return run
 
 
-def _prune_members(rule: Rule):
+def _prune_members(rule: Rule, nearest: bool):
     """Members (component, id, size, sketch) of two groups that share a signature, to the pairs across components that
-    may be linked."""
+    may be linked: for each member on the left the nearest by its sketch, or all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,11 +277,17 @@ def _prune_members(rule: Rule):
                 left, right = x["left"], x["right"]
                 s = folded([m["sketch"] for m in left + right])
                 comp, doc, n = (np.array([m[k] for m in left + right]) for k in ("component", "doc", "n"))
-                i, j, cut = slice(0, len(left)), slice(len(left), None), max(1, (1 << 20) // (len(right) * s.shape[1]))
+                j, cut = slice(len(left), None), max(1, (1 << 20) // (len(right) * s.shape[1]))
                 for at in range(0, len(left), cut):
                     i = slice(at, min(at + cut, len(left)))
-                    fits = _near(rule, n[i, None], n[None, j], s[i, None], s[None, j]) & (comp[i, None] != comp[None, j])
-                    p, q = np.nonzero(fits)
+                    total, apart = n[i, None] + n[None, j], np.bitwise_count(s[i, None] ^ s[None, j]).sum(-1)
+                    fits = _near(rule, n[i, None], n[None, j], apart) & (comp[i, None] != comp[None, j])
+                    if nearest:
+                        far = np.where(fits, apart / total, 2.0)
+                        p = np.flatnonzero(fits.any(axis=1))
+                        q = far.argmin(axis=1)[p]
+                    else:
+                        p, q = np.nonzero(fits)
                     a, b = doc[i][p], doc[j][q]
                     yield _pairs(np.minimum(a, b).tolist(), np.maximum(a, b).tolist())
 
@@ -372,28 +380,34 @@ class _Join:
         copies = profile.join(profile.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("a"), F.count("*").alias("m")).where("m > 1"), ["fp1", "fp2"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
         found = components(copies.union(first), self.scratch, "first_components")
 
-        # Then the pairs across components that share a signature: any other link joins what is joined already.
+        # Then across components, where any other link joins what is joined already: a few rounds of each member's
+        # nearest, which leave large groups of near copies in one component, and all pairs of what remains apart.
+        for turn, nearest in enumerate((True,) * NEAREST + (False,)):
+            across = self.across(profile, lists, large, found, nearest, f"open{turn}")
+            more = self.verified(across, f"more{turn}")
+            found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more), self.scratch, f"components{turn}_")
+        return rows.select("doc_id", "n"), found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+
+    def across(self, profile: DataFrame, lists: DataFrame, large: DataFrame, found: DataFrame, nearest: bool, name: str) -> DataFrame:
+        """Pairs of documents of different components that share a signature and may be linked."""
         known = self.scratch.save(
-            profile.select(F.col("doc_id").alias("doc"), "n", "sketch").join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")), "known"
+            profile.select(F.col("doc_id").alias("doc"), "n", "sketch").join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")), f"{name}_known"
         )
         member = F.struct("component", "doc", "n", "sketch")
-        open_lists = (
-            lists.select("key", F.explode("docs").alias("doc")).join(known, "doc")
-            .groupBy("key").agg(F.collect_list(member).alias("left"), F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2")
-            .select("left", F.col("left").alias("right"))
-        )
+        # Whether a list is open shows without the sketches, which only open lists need.
+        placed = lists.select("key", F.explode("docs").alias("doc")).join(known.select("doc", "component"), "doc")
+        apart = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("key")
+        open_lists = placed.select("key", "doc").join(apart, "key").join(known, "doc").groupBy("key").agg(F.collect_list(member).alias("left")).select("left", F.col("left").alias("right"))
         tagged = large.join(known.select("doc", "component"), "doc")
         sizes = tagged.groupBy("key", "component").agg(F.count("*").alias("m"))
         open_keys = sizes.groupBy("key").agg(F.count("*").alias("c"), F.sum("m").alias("m"), F.max_by("component", "m").alias("main")).where("c > 1").select("key", "m", "main")
         members = self.scratch.save(
-            tagged.join(open_keys, "key").withColumn("chunk", F.pmod(F.xxhash64("doc"), F.ceil(F.col("m") / CHUNK))).join(known.drop("component"), "doc"), "open"
+            tagged.join(open_keys, "key").withColumn("chunk", F.pmod(F.xxhash64("doc"), F.ceil(F.col("m") / CHUNK))).join(known.drop("component"), "doc"), name
         )
         chunks = members.groupBy("key", "chunk").agg(F.collect_list(member).alias("right"))
         few = members.where("component <> main").groupBy("key", "chunk").agg(F.collect_list(member).alias("left")).drop("chunk")
-        across = open_lists.union(few.join(chunks, "key").select("left", "right")).mapInArrow(_prune_members(self.rule), "a bigint, b bigint").distinct()
-        more = self.verified(across, "more")
-        found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more), self.scratch, "components")
-        return rows.select("doc_id", "n"), found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+        pairs = open_lists.union(few.join(chunks, "key").select("left", "right"))
+        return pairs.mapInArrow(_prune_members(self.rule, nearest), "a bigint, b bigint").distinct()
 
 
 def near_duplicates(documents: DataFrame, k: int, percent: int) -> DataFrame:
