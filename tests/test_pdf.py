@@ -6,11 +6,12 @@ from corpusloom.__main__ import main
 from corpusloom.plans import pdf
 
 
-def service(body, full):
-    return TEI if body == b"whole" and full or body == b"head" and not full else None
+def test_conversion(spark):
+    tei = TEI
 
+    def service(body, full):
+        return tei if body == b"whole" and full or body == b"head" and not full else None
 
-def test_conversion(spark, tmp_path):
     files = spark.createDataFrame([("/d/a.pdf", bytearray(b"whole")), ("/d/b.pdf", bytearray(b"head")), ("/d/c.pdf", bytearray(b"none"))], "path string, content binary")
     made = pdf.tei_of(files, service)
     assert sorted((r.path, r.source, r.tei is None) for r in made.collect()) == [("/d/a.pdf", "grobid-fulltext", False), ("/d/b.pdf", "grobid-header", False), ("/d/c.pdf", "unknown", True)]
