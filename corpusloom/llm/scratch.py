@@ -40,14 +40,11 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def bins(df: DataFrame, bytes_each: int, least: int = 4) -> int:
-    """Into how many bins to deal what is made from ``df``, so that a bin stays near ``bytes_each``: in proportion to
-    the input, and at least ``least`` for each shuffle partition, so that hashing evens them out."""
-    spark = df.sparkSession
+def bins(df: DataFrame, bytes_each: int, least: int = 24) -> int:
+    """Into how many bins to deal what is made from ``df``, so that a bin stays near ``bytes_each`` of the input. It
+    follows the input and not the number of partitions: values packed for each pair of bins would be many and small."""
     size = plan_bytes(df)
-    if size > 1 << 50:  # no estimate
-        size = 0
-    return max(least * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))
+    return max(least, -(-size // bytes_each) if size < 1 << 50 else 0)  # else there is no estimate
 
 
 class Scratch:

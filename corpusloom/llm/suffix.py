@@ -32,7 +32,7 @@ from corpusloom.llm.scratch import Scratch, bins, bound_batches
 #: Bytes hashed together, anchors packed together, and suffixes sorted together.
 BLOCK, FLUSH, SORTED = 1 << 21, 1 << 19, 1 << 17
 #: Input bytes for each bin of anchors, and of texts.
-ANCHOR_BYTES, TEXT_BYTES = 2 << 20, 4 << 20
+ANCHOR_BYTES, TEXT_BYTES = 2 << 20, 2 << 20
 #: Columns: of anchors, of removed spans, of contexts asked for, and of contexts given.
 ANCHOR = (6, 6, 8, 1, 5, 2, 2)  # key, context, doc, tag, start, strings, place of the anchor
 SPAN = (8, 1, 5, 5)  # doc, tag, start, length
