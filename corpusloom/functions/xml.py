@@ -15,6 +15,8 @@ from corpusloom.functions.text import _clean
 
 JATS_NS, TEI_NS, XML_NS = "http://jats.nlm.nih.gov", "http://www.tei-c.org/ns/1.0", "http://www.w3.org/XML/1998/namespace"
 BODY_MIN_CHARS = 800
+# The validator's messages.
+MISSING, SHORT, BROKEN = "Missing or empty <{}>", "Body too short: {} chars (minimum: {})", "XML parse error: {}"
 VALIDATION = T.StructType([
     T.StructField("status", T.StringType()), T.StructField("has_title", T.BooleanType()), T.StructField("has_abstract", T.BooleanType()), T.StructField("has_body", T.BooleanType()),
     T.StructField("body_chars", T.IntegerType()), T.StructField("errors", T.ArrayType(T.StringType())), T.StructField("pmcid", T.StringType()),
@@ -38,13 +40,13 @@ def validate(xml: str | None, body_min_chars: int = BODY_MIN_CHARS) -> dict:
     try:
         root = ET.fromstring(xml or "")
     except (ET.ParseError, ValueError) as e:
-        return {"status": "invalid", "has_title": False, "has_abstract": False, "has_body": False, "body_chars": 0, "errors": [f"XML parse error: {e}"], "pmcid": None}
+        return {"status": "invalid", "has_title": False, "has_abstract": False, "has_body": False, "body_chars": 0, "errors": [BROKEN.format(e)], "pmcid": None}
     title, abstract = (any(map(spaced_text, named(root, tag))) for tag in ("article-title", "abstract"))
     chars = sum(len(spaced_text(b)) for b in named(root, "body"))
     body = chars >= body_min_chars
-    errors = [f"Missing or empty <{tag}>" for tag, there in (("article-title", title), ("abstract", abstract)) if not there]
-    if not body:
-        errors.append(f"Body too short: {chars} chars (minimum: {body_min_chars})" if chars else "Missing or empty <body>")
+    errors = [MISSING.format(tag) for tag, there in (("article-title", title), ("abstract", abstract), ("body", body or chars)) if not there]
+    if chars and not body:
+        errors.append(SHORT.format(chars, body_min_chars))
     ids = (e.text.strip() for e in root.iter("article-id") if e.get("pub-id-type", "").lower() == "pmcid" and e.text)
     return {"status": "valid" if title or abstract or body else "incomplete", "has_title": title, "has_abstract": abstract, "has_body": body, "body_chars": chars, "errors": errors, "pmcid": next(ids, None)}
 
