@@ -93,7 +93,7 @@ def top_k(vectors: DataFrame, is_query: str, k: int, scale: float = 64.0) -> Dat
     spark = vectors.sparkSession
     bound_batches(spark)
     scratch = Scratch(spark, "topk")
-    ranges = bins(vectors, RANGE_BYTES, 1)
+    ranges = bins(vectors, RANGE_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
     axes = np.random.default_rng(7).choice([-1.0, 1.0], (4096, CODE_BITS))
 
     def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
