@@ -103,7 +103,7 @@ class Classifier:
             keys, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             n = np.bincount(back, np.concatenate([p[1] for p in parts])).astype(np.int64)
         own = top(keys, n, self.size)
-        if not (own >> np.uint64(21) == 0).any() and not len(own):
+        if not len(own):
             return UNKNOWN, 0.0
         i = np.searchsorted(self.keys, own)
         i = np.where(self.keys[np.minimum(i, len(self.keys) - 1)] == own, i, len(self.keys))
