@@ -41,7 +41,7 @@ class Settings:
     labelled row); ``candidates``, ``features``: most features that are counted in both classes, and that get a weight;
     ``swap``: weight of the counterfactual penalty; ``l2``: of the squared weights."""
 
-    rows: int = 40_000
+    rows: int = 20_000
     candidates: int = 1 << 17
     features: int = 1 << 13
     least: int = 3
@@ -127,16 +127,21 @@ def _sampled(vocabulary: list[str], identities: Sequence[Sequence[str]]):
                 changed = [other.get(w, w) for w in own]
                 swapped.append(sorted(extract(changed)) if changed != own else None)
             kind = pa.list_(pa.int32())
-            yield pa.record_batch({"label": batch["label"], "at": pa.array(at, kind), "swapped": pa.array(swapped, kind)})
+            yield pa.record_batch({"doc_id": batch["doc_id"], "label": batch["label"], "at": pa.array(at, kind), "swapped": pa.array(swapped, kind)})
 
     return run
 
 
 class Sparse:
-    def __init__(self, rows: list[list[int]], width: int):
-        self.n, self.width = len(rows), width
-        self.row = np.repeat(np.arange(self.n), [len(r) for r in rows])
-        self.col = np.fromiter((c for r in rows for c in r), np.int64, len(self.row))
+    """Rows of places, in Arrow's layout: where each row begins, and all places."""
+
+    def __init__(self, begin: np.ndarray, col: np.ndarray, width: int):
+        self.n, self.width, self.col = len(begin) - 1, width, col.astype(np.int32)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(begin))
+
+    @classmethod
+    def of(cls, lists: pa.ListArray, width: int) -> Sparse:
+        return cls(np.asarray(lists.offsets) - lists.offsets[0].as_py(), lists.flatten().to_numpy(), width)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.col], self.n)
@@ -145,19 +150,18 @@ class Sparse:
         return np.bincount(self.col, g[self.row], self.width)
 
 
-def fit(labels: np.ndarray, at: list[list[int]], swapped: list[list[int] | None], width: int, settings: Settings) -> tuple[np.ndarray, float]:
-    """Weights and intercept: mean log loss, classes weighted by the root of their odds, plus the penalties (Adam)."""
-    x, pairs = Sparse(at, width), [i for i, s in enumerate(swapped) if s is not None]
-    a, b = Sparse([at[i] for i in pairs], width), Sparse([swapped[i] for i in pairs], width)
-    toxic = max(1e-9, labels.mean())
+def fit(labels: np.ndarray, x: Sparse, a: Sparse, b: Sparse, settings: Settings) -> tuple[np.ndarray, float]:
+    """Weights and intercept: mean log loss, classes weighted by the root of their odds, plus the penalties (Adam). ``a``
+    has the rows that mention a group, ``b`` the same after the swap."""
+    width, toxic = x.width, max(1e-9, labels.mean())
     cost = np.where(labels == 1, np.sqrt((1 - toxic) / toxic), 1.0)
     cost /= cost.sum()
     w, c, m, v = np.zeros(width), float(np.log(toxic / max(1e-9, 1 - toxic))), np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, settings.steps + 1):
         off = cost * (1 / (1 + np.exp(-(x.dot(w) + c))) - labels)
         grad = x.back(off) + settings.l2 * w
-        if pairs:
-            change = 2 * settings.swap / len(pairs) * (a.dot(w) - b.dot(w))
+        if a.n:
+            change = 2 * settings.swap / a.n * (a.dot(w) - b.dot(w))
             grad += a.back(change) - b.back(change)
         g = np.r_[grad, off.sum()]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
@@ -215,11 +219,12 @@ def learn(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
     chosen = [f for z, f in far[: settings.features] if z > 4]
     vocabulary = sorted({*chosen, *(t for group in settings.identities for t in group)})
     part = min(1.0, settings.rows / sum(total.values()))
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(part * (1 << 30)) + (part == 1.0)).select("words", "label")
-    got = sample.mapInArrow(_sampled(vocabulary, settings.identities), "label int, at array<int>, swapped array<int>").toArrow()
-    labels_, at, swapped = got["label"].to_numpy(), got["at"].to_pylist(), got["swapped"].to_pylist()
-    order = sorted(range(len(at)), key=lambda i: (labels_[i], at[i]))  # the same sums whatever the order of rows
-    weights, intercept = fit(labels_[order].astype(float), [at[i] for i in order], [swapped[i] for i in order], len(vocabulary), settings)
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(part * (1 << 30)) + (part == 1.0)).select("doc_id", "words", "label")
+    got = sample.mapInArrow(_sampled(vocabulary, settings.identities), "doc_id bigint, label int, at array<int>, swapped array<int>").toArrow()
+    got = got.sort_by("doc_id").combine_chunks()  # the same sums whatever the order of rows
+    lists = lambda t, c: Sparse.of(t[c].chunk(0) if t.num_rows else pa.array([], pa.list_(pa.int32())), len(vocabulary))
+    pairs = got.filter(got["swapped"].is_valid()).combine_chunks()
+    weights, intercept = fit(got["label"].to_numpy().astype(float), lists(got, "at"), lists(pairs, "at"), lists(pairs, "swapped"), settings)
     return Model(vocabulary, weights, intercept)
 
 
