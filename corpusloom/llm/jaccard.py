@@ -25,7 +25,7 @@ from corpusloom.llm.packing import U, dealt, mix, pack, starts, unpack
 from corpusloom.llm.scratch import Scratch, bins, bound_batches
 
 #: Signatures that a task sorts at once, and input bytes for each bin they are dealt to.
-FLUSH, BIN_BYTES = 1 << 20, 4 << 20
+FLUSH, BIN_BYTES = 1 << 19, 2 << 20
 #: Sets that share a signature and are kept as one list; larger groups are kept as rows, compared chunk by chunk.
 LIST, CHUNK = 64, 1024
 #: What a row costs against a set that shares a part by chance, and the chance that two sets share an element of it:
