@@ -29,9 +29,9 @@ FOUND = "query_id bigint, vec_id bigint, score double"
 
 @dataclass(frozen=True)
 class Hashing:
-    """``tables`` of ``hashes`` functions of ``width``; ``probes`` buckets visited in each. With these numbers, at least
-    0.94 of the true neighbours of uniformly random unit vectors of 64 dimensions are found among 500 vectors, and more
-    among more (measured); nearer neighbours are found more often."""
+    """``tables`` of ``hashes`` functions of ``width``; ``probes`` buckets visited in each. The numbers were picked in a
+    simulation on random-looking unit vectors of 64 dimensions; with them the operator found 0.94 of the 5 nearest of 500
+    such vectors and 0.97 of those of 10,256 (see the README)."""
 
     tables: int = 10
     hashes: int = 5
