@@ -30,7 +30,7 @@ FLUSH, BIN_BYTES = 1 << 19, 2 << 20
 LIST, CHUNK = 64, 1024
 #: What a row costs against a set that shares a part by chance, and the chance that two sets share an element of it:
 #: for the choice between whole parts and one-deletion neighbourhoods.
-CHANCE_COST, CHANCE = 100.0, 0.5
+CHANCE_COST, CHANCE = 10.0, 0.5
 #: Rounds in which each member of an open group is compared with its nearest alone.
 NEAREST = 1
 #: Bits of the filter on the ids whose sets are fetched. It only saves work; its size doesn't grow with the input.
