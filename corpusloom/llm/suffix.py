@@ -234,10 +234,11 @@ class Repeats:
         order = np.argsort(key, kind="stable")
         key, doc, tag, start, size, begin = key[order], doc[order].view(np.int64), tag[order], start[order].astype(np.int64), size[order], begin[order]
         run = np.r_[starts(key), len(key)]
+        upto = np.r_[0, np.cumsum(size - self.min_len + 1)][run]  # suffixes before each anchor
         found: list[np.ndarray] = []
         i = 0
         while i < len(run) - 1:  # whole anchors, up to SORTED suffixes at once
-            j = max(i + 1, int(np.searchsorted(run, run[i] + SORTED // 16, "right")) - 1)
+            j = max(i + 1, int(np.searchsorted(upto, upto[i] + SORTED, "right")) - 1)
             some = slice(run[i], run[j])
             spans_ = self.spans_of(data, doc[some], start[some], size[some], begin[some])
             if len(spans_):
