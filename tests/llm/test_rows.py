@@ -62,6 +62,29 @@ def test_licences(spark):
     assert licences.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_wrapped_and_embedded_licences(spark):
+    import textwrap
+
+    both = [(k, t) for m in (licences.TEMPLATES, licences.PASSAGES) for k, texts in m.items() for t in texts]
+    prose_ = " ".join(f"word{i}" for i in range(300))
+    rows, want = [], {}
+    for k, t in both:
+        for form in (prose_ + "\n" + "\n".join("# " + x for x in textwrap.wrap(t, 40)) + "\n" + prose_, f"{prose_} {t} {prose_}"):
+            want[len(rows)] = (k, 2 if "\n" in form else 1, 1)
+            rows.append((len(rows), form))
+    two = "\n".join(textwrap.wrap(licences.TEMPLATES["ISC"][0], 60))
+    for text, found in (
+        ("Copyright X. Licensed under the MIT License. See the file.", ("MIT", 1, 1)),
+        (f"{prose_}\n{two}\n{prose_}\n{two}\n{prose_}", ("ISC", 2, 2)),
+        (f"{prose_}\nReleased under the MIT License.\n{two}\n{prose_}", ("MIT", 2, 2)),
+        (f"{prose_} of the software and to permit persons. In the License and use of the work, the terms of it. {prose_}", (None, None, 0)),
+    ):
+        want[len(rows)] = found
+        rows.append((len(rows), text))
+    found = {r.doc_id: (r.licence, r.line_no, r.n_notices) for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == want
+
+
 # Mixing.
 
 
