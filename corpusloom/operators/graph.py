@@ -46,6 +46,19 @@ def _write(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _numbered(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``name``, their number from 1 in the order of ``at``: ranges are numbered apart, each from the size of
+    those before it. To the driver comes a number for each range."""
+    dealt = _write(spark, rows.repartitionByRange("at").withColumn("__range", F.spark_partition_id()))
+    sizes, before, offsets = sorted(dealt.groupBy("__range").count().collect()), 0, []
+    for k, n in sizes:
+        offsets.append((k, before))
+        before += n
+    begun = F.broadcast(spark.createDataFrame(offsets, "__range int, __before bigint"))
+    own = F.row_number().over(Window.partitionBy("__range").orderBy("at"))
+    return dealt.withColumn("__own", own).join(begun, "__range").withColumn(name, F.col("__before") + F.col("__own")).drop("__range", "__before", "__own")
+
+
 def record_keys(prefix: str = "") -> Column:
     c = lambda n: F.col(f"{prefix}{n}")
     return identity_keys(c("source"), c("id"), c("doi"), c("pmid"), c("pmcid"))
@@ -87,8 +100,8 @@ def expand(seeds: DataFrame, edges: DataFrame, kinds: tuple[str, ...] = KINDS, d
         judged = by_key.join(first, "key").join(old, "key", "left").groupBy("at").agg(F.bool_and((F.col("at") == F.col("first")) & F.col("old").isNull()).alias("accepted"))
         candidates = keyed.join(judged, "at")
         if room is not None:
-            # Only accepted rows reach the window. A list is read if fewer than `room` accepted rows come before it.
-            accepted = candidates.where("accepted").withColumn("nth", F.row_number().over(Window.orderBy("at")))
+            # Only accepted rows are numbered. A list is read if fewer than `room` accepted rows come before it.
+            accepted = _numbered(spark, candidates.where("accepted").select("at"), "nth")
             stop = accepted.where(F.col("nth") == room + 1).select(F.col("at").alias("stop"))
             last = accepted.where(F.col("nth") == room).select(F.col("at").alias("last"))
             limits = stop.select("stop", F.lit(None).cast(stop.schema["stop"].dataType).alias("last")).union(last.select(F.lit(None).cast(stop.schema["stop"].dataType), "last")).agg(F.max("stop").alias("stop"), F.max("last").alias("last"))
@@ -110,7 +123,7 @@ def expand(seeds: DataFrame, edges: DataFrame, kinds: tuple[str, ...] = KINDS, d
         partial = read.where("not complete").select(F.concat_ws("/", "src_source", "src_id").alias("node")).distinct()
         failed = partial if failed is None else failed.union(partial)
         # Parents are numbered anew by the order of acceptance, which also orders the next hop.
-        new = processed.where("accepted").withColumn("ord", F.row_number().over(Window.orderBy("at")).cast("bigint") + sum(t[2] for t in totals[:-1]))
+        new = _numbered(spark, processed.where("accepted"), "ord").withColumn("ord", F.col("ord") + sum(t[2] for t in totals[:-1]))
         new = _write(spark, new.select("ord", "parent", F.lit(hop).alias("depth"), "kind", *RECORD))
         papers = new if papers is None else papers.union(new)
         seen = _write(spark, seen.union(processed.select(F.explode("keys").alias("key"))).distinct())

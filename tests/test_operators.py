@@ -4,6 +4,7 @@ import random
 import tarfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.operators import compare, dedup, graph, mirror, state, stats
 from corpusloom.sources import feeds, files, services
@@ -78,6 +79,26 @@ def test_expansion_matches_the_sequential_search(spark, seed, depth, budget):
     assert tuple(e.stats.first()) == (found["references"], found["citations"], len(papers), dup)
 
 
+def test_hops_are_numbered_without_a_global_window(spark, monkeypatch):
+    class Partitioned(graph.Window):
+        @staticmethod
+        def orderBy(*c):
+            raise AssertionError("one task for a whole hop")
+
+    monkeypatch.setattr(graph, "Window", Partitioned)
+    rng = random.Random(5)
+    start = spark.createDataFrame([(i, str(i), "ORD", None, None, None, None) for i in range(700)], f"ord long, {RECORD[7:-1].replace(':', '')}")
+    rows = [("ORD", str(i), "references", j, (str(rng.randrange(900)), "PPR", None, None, None, None), True) for i in range(700) for j in range(3)]
+    edges = spark.createDataFrame(rows, f"src_source string, src_id string, kind string, pos int, record {RECORD}, complete boolean").repartition(7)
+    firsts = list(dict.fromkeys(r[4][0] for r in rows))
+    for budget in (None, 250):
+        found = sorted((r.ord, r.id) for r in graph.expand(start, edges, budget=budget).papers.collect())
+        assert found == list(enumerate(firsts[:budget], 1))
+    ids = spark.range(1000).select(F.struct((F.lit(5000) - F.col("id") * 3).alias("parent"), F.lit(0).alias("k"), F.lit(1).alias("pos")).alias("at"))
+    assert [r.n for r in graph._numbered(spark, ids, "n").orderBy("at").collect()] == list(range(1, 1001))
+
+
+
 def test_no_direction(spark):
     start = spark.createDataFrame([(0, "1", "MED", None, None, None, None)], "ord long, id string, source string, title string, doi string, pmid string, pmcid string")
     edges = spark.createDataFrame([], f"src_source string, src_id string, kind string, pos int, record {RECORD}, complete boolean")
