@@ -42,10 +42,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes from each text what repeats from a document of a smaller id. A character of which a byte goes, goes;
     documents of which nothing but white space is left go."""
-    kept = suffix.without_repeats(docs, REPEAT).where("size(removed) > 0")
-    text = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
-    cut = kept.where("doc_id is not null").select("doc_id", text.alias("__text")).dropDuplicates(["doc_id"])
-    joined = docs.join(cut, "doc_id", "left").withColumn("__text", F.coalesce("__text", "text"))
+    kept = suffix.without_repeats(docs, REPEAT, characters=True).where("size(removed) > 0 and doc_id is not null")
+    cut = kept.select("doc_id", F.col("text_md5").alias("__md5"), F.col("kept").cast("string").alias("__text")).dropDuplicates(["doc_id", "__md5"])
+    joined = docs.withColumn("__md5", F.md5(F.col("text").cast("binary"))).join(cut, ["doc_id", "__md5"], "left").withColumn("__text", F.coalesce("__text", "text"))
     columns = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col("__text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)

@@ -17,6 +17,7 @@ Documents between texts are dealt to bins by id, anchors by their hash, both pac
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -266,8 +267,9 @@ class Repeats:
                 out.append(np.stack([owner[later], place[later], np.full(len(later), length)], axis=1))
         return np.concatenate(out) if out else np.empty((0, 3), np.int64)
 
-    def cut(self, documents: pa.Table, removed: pa.Table) -> pa.Table:
-        """A bin of texts and its removed spans to what is kept, and the spans merged."""
+    def cut(self, documents: pa.Table, removed: pa.Table, characters: bool = False) -> pa.Table:
+        """A bin of texts and its removed spans to what is kept, and the spans merged. By ``characters``: the bytes of
+        a character stay or go together in what is kept, and the texts' MD5 goes along."""
         texts = Texts(documents)
         mask = np.zeros(len(texts.data) + 1, np.int32)
         if removed.num_rows and documents.num_rows:
@@ -275,6 +277,10 @@ class Repeats:
             at = texts.begin[texts.find(doc.view(np.int64), tag)] + start.astype(np.int64)
             mask += np.bincount(at, minlength=len(mask)).astype(np.int32) - np.bincount(at + length.astype(np.int64), minlength=len(mask)).astype(np.int32)
         gone = np.cumsum(mask)[:-1] > 0
+        left = gone
+        if characters and len(gone):
+            of = np.cumsum((texts.data & 0xC0) != 0x80) - 1
+            left = np.bincount(of[gone], minlength=of[-1] + 1)[of] > 0
         kept, where = [], []
         for row in range(documents.num_rows):
             a = texts.begin[texts.same[row]]
@@ -282,12 +288,15 @@ class Repeats:
             if own.any():
                 edges = np.flatnonzero(np.diff(np.r_[False, own, False].astype(np.int8)))
                 where.append([{"start": int(s), "length": int(e - s)} for s, e in zip(edges[::2], edges[1::2], strict=True)])
-                kept.append(texts.data[a : a + texts.size[row]][~own].tobytes())
+                kept.append(texts.data[a : a + texts.size[row]][~left[a : a + texts.size[row]]].tobytes())
             else:
                 where.append([])
                 kept.append(texts.data[a : a + texts.size[row]].tobytes())
         kinds = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
-        return pa.table({"doc_id": documents["doc_id"].cast(pa.int64()), "n_bytes": pa.array(texts.size, pa.int64()), "kept": pa.array(kept, pa.binary()), "removed": pa.array(where, kinds)})
+        out = {"doc_id": documents["doc_id"].cast(pa.int64()), "n_bytes": pa.array(texts.size, pa.int64()), "kept": pa.array(kept, pa.binary()), "removed": pa.array(where, kinds)}
+        if characters:
+            out["text_md5"] = pa.array([hashlib.md5((v.as_py() or "").encode("utf-8", "replace")).hexdigest() for v in documents["text"]], pa.string())
+        return pa.table(out)
 
 
 class Texts:
@@ -323,13 +332,14 @@ def rows(bin_: np.ndarray, n: int, columns: list[np.ndarray], widths: tuple[int,
 BINNED = "bin bigint, kind int, packed binary"
 
 
-def without_repeats(documents: DataFrame, min_len: int = 50, gram: int = 20) -> DataFrame:
+def without_repeats(documents: DataFrame, min_len: int = 50, gram: int = 20, characters: bool = False) -> DataFrame:
     """``doc_id, text`` to ``doc_id, n_bytes, kept, removed``, a row for each row; other columns are ignored.
 
     Texts are UTF-8 bytes. Every byte goes that is covered by a string of ``min_len`` bytes that also starts in a
     document of a smaller id; overlaps count and the strings are those of the input. ``kept`` has the remaining bytes,
-    ``removed`` the maximal removed spans (start, length). Null, empty and short texts lose nothing. Rows that repeat an
-    id don't take from each other and lose the same; rows without an id neither lose nor take. Texts are read whole.
+    ``removed`` the maximal removed spans (start, length). Null, empty and short texts lose nothing. By
+    ``characters``, a character of which a byte goes is not in ``kept``, and ``text_md5`` has the hash of the whole text,
+    which tells rows of one id apart. Rows that repeat an id don't take from each other and lose the same; rows without an id neither lose nor take. Texts are read whole.
     """
     spark = documents.sparkSession
     bound_batches(spark)
@@ -343,5 +353,5 @@ def without_repeats(documents: DataFrame, min_len: int = 50, gram: int = 20) ->
     given = keyed.groupBy("bin").cogroup(asked.groupBy("bin")).applyInArrow(lambda t, a: find.fetch(t, a), BINNED)
     shared = scratch.save(given.groupBy("bin").applyInArrow(lambda t: find.repeated(t), BINNED), "shared")
     removed = matched.where("kind = 1").union(shared).select("bin", "packed")
-    out = "doc_id bigint, n_bytes bigint, kept binary, removed array<struct<start: bigint, length: bigint>>"
-    return keyed.groupBy("bin").cogroup(removed.groupBy("bin")).applyInArrow(lambda t, r: find.cut(t, r), out)
+    out = "doc_id bigint, n_bytes bigint, kept binary, removed array<struct<start: bigint, length: bigint>>" + (", text_md5 string" if characters else "")
+    return keyed.groupBy("bin").cogroup(removed.groupBy("bin")).applyInArrow(lambda t, r: find.cut(t, r, characters), out)

@@ -47,3 +47,21 @@ def test_stages(spark):
     encoder = bpe.load(public_tokenizers.path(corpus_pipeline.RANKS), public_tokenizers.PATTERN)
     assert sorted(r.doc_id for r in out["byte_bpe"]) == sorted(mixed)
     assert all(r.lossless and list(r.ids) == encoder.encode(got[r.doc_id]) and r.n_tokens == len(r.ids) for r in out["byte_bpe"])
+
+
+def test_rows_of_one_id_keep_their_own_texts(spark):
+    passage = "".join(f"ab{i}é " for i in range(60))
+    rows = [(1, passage), (2, f"first \ufffd own {passage} end"), (2, f"second own text {passage}"), (2, "third, without a repeat"), (3, f"q {passage}\ufffd"), (None, passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id or 0, r.text) for r in corpus_pipeline.suffix_dedup(spark, docs, "").collect())
+    assert len(found) == 6 and (0, passage) in found and (1, passage) in found and (2, "third, without a repeat") in found
+    own = [t for i, t in found if i == 2]
+    assert any(t.startswith("first \ufffd own") for t in own) and any(t.startswith("second own text") for t in own)
+    assert next(t for i, t in found if i == 3).endswith("\ufffd") and sum(passage in t for _, t in found) == 2
+
+
+def test_a_character_goes_whole(spark):
+    shared = "".join(f"x{i}é" for i in range(50))
+    rows = [(1, "é" + shared + "é1"), (2, "\ufffd ü" + shared + "è2")]  # é and è, é and ü share their first byte
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, "").collect()} == {1: rows[0][1], 2: "\ufffd ü2"}
