@@ -65,3 +65,12 @@ def test_a_character_goes_whole(spark):
     rows = [(1, "é" + shared + "é1"), (2, "\ufffd ü" + shared + "è2")]  # é and è, é and ü share their first byte
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.text for r in corpus_pipeline.suffix_dedup(spark, docs, "").collect()} == {1: rows[0][1], 2: "\ufffd ü2"}
+
+
+def test_documents_without_any_language_stay(spark):
+    rows = [(1, "some words", None), (2, None, None), (3, "12 34", None), (4, "мир", None), (5, "12", "en")]
+    for given in (rows[:4], rows):
+        docs = spark.createDataFrame(given, "doc_id long, text string, lang string")
+        found = corpus_pipeline.language_id(spark, docs, "")
+        assert found.columns == docs.columns
+        assert sorted(tuple(r) for r in found.collect()) == [rows[0], rows[3]]
