@@ -38,11 +38,10 @@ REMEMBERED = 400_000
 @dataclass(frozen=True)
 class Settings:
     """``rows``: most labelled rows the weights are fitted on, chosen by a hash of their ids (all counts cover every
-    labelled row); ``candidates``, ``features``: most features that are counted in both classes, and that get a weight;
+    labelled row, and every feature of at least ``least`` toxic rows); ``features``: most features that get a weight;
     ``swap``: weight of the counterfactual penalty; ``l2``: of the squared weights."""
 
     rows: int = 20_000
-    candidates: int = 1 << 17
     features: int = 1 << 13
     least: int = 3
     swap: float = 0.1
@@ -61,18 +60,21 @@ def features(word: str) -> list[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features of the rows, each once a row, to how many rows have them."""
-    counts: Counter[str] = Counter()
+    """Features of the rows, each once a row, to how many rows of each label have them."""
+    counts: tuple[Counter[str], Counter[str]] = Counter(), Counter()
 
     def flush() -> pa.RecordBatch:
-        return pa.record_batch({"feature": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
+        clean, toxic = counts
+        own = list(clean.keys() | toxic.keys())
+        return pa.record_batch({"feature": pa.array(own, pa.string()), "clean": pa.array([clean[f] for f in own], pa.int64()), "toxic": pa.array([toxic[f] for f in own], pa.int64())})
 
     for batch in batches:
-        for own in batch["words"].to_pylist():
-            counts.update({f for w in own.split() for f in features(w)})
-            if len(counts) >= REMEMBERED:
+        for own, label in zip(batch["words"].to_pylist(), batch["label"].to_pylist(), strict=True):
+            counts[label].update({f for w in own.split() for f in features(w)})
+            if len(counts[0]) + len(counts[1]) >= REMEMBERED:
                 yield flush()
-                counts.clear()
+                counts[0].clear()
+                counts[1].clear()
     yield flush()
 
 
@@ -97,21 +99,6 @@ class Extractor:
         return found
 
 
-def _both(vocabulary: list[str]):
-    """How many rows of each label have each feature."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        extract, n = Extractor(vocabulary), np.zeros((2, len(vocabulary)), np.int64)
-        for batch in batches:
-            for own, label in zip(batch["words"].to_pylist(), batch["label"].to_pylist(), strict=True):
-                found = extract(own.split())
-                n[label][np.fromiter(found, np.int64, len(found))] += 1
-        at = np.flatnonzero(n.any(axis=0))
-        yield pa.record_batch({"place": at, "clean": n[0][at], "toxic": n[1][at]})
-
-    return run
-
-
 def _sampled(vocabulary: list[str], identities: Sequence[Sequence[str]]):
     """Rows to places of features, and the same after the swap of identity terms (null if there are none)."""
 
@@ -191,7 +178,7 @@ def learn(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
 
     Rows of null id, null label or other labels are skipped; of several labels of a document the largest counts. The
     texts of labelled documents are reduced to their words before they are joined; their ids are first tested against a
-    filter of fixed size. To the driver come at most ``settings.candidates`` features and ``settings.rows`` rows of
+    filter of fixed size. To the driver come at most ``settings.features`` features and ``settings.rows`` rows of
     places. Without a toxic label every score is 0 but for rounding.
     """
     spark, settings = documents.sparkSession, settings or Settings()
@@ -210,13 +197,12 @@ def learn(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
     total = dict(rows.groupBy("label").count().collect())
     if not total.get(1):
         return Model([], np.zeros(0), -40.0)
-    counted = rows.where("label = 1").select("words").mapInArrow(_count, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= settings.least)
-    candidates = [r.feature for r in counted.orderBy(F.desc("n"), "feature").limit(settings.candidates).select("feature").collect()]
-    both = rows.select("words", "label").mapInArrow(_both(candidates), "place bigint, clean bigint, toxic bigint").groupBy("place").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).collect()
+    counted = rows.select("words", "label").mapInArrow(_count, "feature string, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= settings.least)
     share = total[1] / sum(total.values())
     # How far a feature's toxic rows exceed or fall short of its share of all rows, in standard deviations.
-    far = sorted(((abs(r.toxic - share * (r.clean + r.toxic)) / np.sqrt(share * (1 - share) * (r.clean + r.toxic) + 1e-9), candidates[r.place]) for r in both), reverse=True)
-    chosen = [f for z, f in far[: settings.features] if z > 4]
+    n = F.col("clean") + F.col("toxic")
+    far = counted.select("feature", (F.abs(F.col("toxic") - F.lit(share) * n) / F.sqrt(F.lit(share * (1 - share)) * n + F.lit(1e-9))).alias("z"))
+    chosen = [r.feature for r in far.where(F.col("z") > 4).orderBy(F.desc("z"), F.desc("feature")).limit(settings.features).select("feature").collect()]
     vocabulary = sorted({*chosen, *(t for group in settings.identities for t in group)})
     part = min(1.0, settings.rows / sum(total.values()))
     sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(part * (1 << 30)) + (part == 1.0)).select("doc_id", "words", "label")

@@ -156,6 +156,16 @@ def test_toxicity(spark):
     assert {r.score < 0.01 for r in toxicity.score(docs, none).collect()} == {True}
 
 
+def test_rare_toxic_features_are_compared_whatever_their_number(spark):
+    common = " ".join("".join(chr(97 + i // 26**k % 26) for k in (3, 2, 1, 0)) + "xyz" for i in range(36_000))  # four features each
+    rows = [(i, common if i < 4 or 7 <= i < 15 else "a dog", int(i < 7)) for i in range(100)]
+    rows = [(i, t + " scumbag" if i in (4, 5, 6) else t, label) for i, t, label in rows]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int")
+    model = toxicity.learn(docs, labels)
+    assert "scumbag" in model.vocabulary and "aaaaxyz" not in model.vocabulary
+
+
 # Language ID.
 
 
