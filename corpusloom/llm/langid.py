@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.scratch import Scratch, bound_batches
+from corpusloom.llm.scratch import Scratch, bound_batches, lean
 
 #: Longest n-gram, in characters (three code points of 21 bits fill a key), and n-grams in a profile.
 LONGEST, PROFILE = 3, 400
@@ -76,7 +76,7 @@ def profiles(labelled: DataFrame, size: int = PROFILE) -> DataFrame:
     """``lang, text`` to ``lang, rank, gram``: the ``size`` most frequent n-grams of each language, counted over all of
     its texts. Null texts and null languages are skipped."""
     bound_batches(labelled.sparkSession)
-    counts = labelled.select("lang", "text").where("lang is not null and text is not null").mapInArrow(_count, "lang string, gram bigint, n bigint")
+    counts = labelled.select("lang", "text").where("lang is not null and text is not null").mapInArrow(lean(_count), "lang string, gram bigint, n bigint")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < size).select("lang", "rank", "gram")
 
@@ -130,7 +130,7 @@ def identify(documents: DataFrame, learned: DataFrame, size: int = PROFILE) -> D
 
     kept = [f for f in documents.schema if f.name not in ("text", "lang_pred", "score")]
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return documents.select(*[f"`{f.name}`" for f in kept], "text").mapInArrow(predict, f"{out}, lang_pred string, score double")
+    return documents.select(*[f"`{f.name}`" for f in kept], "text").mapInArrow(lean(predict), f"{out}, lang_pred string, score double")
 
 
 def learn(documents: DataFrame, size: int = PROFILE) -> DataFrame:

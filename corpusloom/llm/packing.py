@@ -38,10 +38,10 @@ def pack(columns: Sequence[np.ndarray], widths: Sequence[int]) -> bytes:
 
 
 def unpack(packed, widths: Sequence[int]) -> list[np.ndarray]:
-    """What :func:`pack` packed, as unsigned numbers; ``packed`` is an Arrow column of binary values."""
+    """What :func:`pack` packed, as unsigned numbers; ``packed`` is an Arrow column of binary values, or buffers."""
     parts: list[list[np.ndarray]] = [[] for _ in widths]
     for value in packed:
-        data = np.frombuffer(value.as_buffer(), np.uint8)
+        data = np.frombuffer(value.as_buffer() if hasattr(value, "as_buffer") else value, np.uint8)
         n, at = len(data) // sum(widths), 0
         for out, w in zip(parts, widths, strict=True):
             wide = np.zeros((n, 8), np.uint8)

@@ -6,27 +6,34 @@ later tasks read the files instead of recomputing what led to them.
 
 from __future__ import annotations
 
-import gc
+import ctypes
+import inspect
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Most bytes of an Arrow batch: bounds what a Python worker holds of long texts.
 ARROW_BYTES = 8 << 20
+#: Bits of a filter on ids. It only saves work; its size doesn't grow with the input.
+FILTER_BITS = 1 << 23
 _ARROW_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests, one machine), a temporary folder."""
-    given = spark.conf.get("spark.checkpoint.dir", None)
-    if given:
-        return given.rstrip("/")
-    found = spark.sparkContext.getCheckpointDir()
-    if not found:
+    """The folder of ``spark.checkpoint.dir``. Where it is unset, a local session (tests) gets a temporary folder; on a
+    cluster, whose executors would not see that, it is an error."""
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not given:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='corpusloom-')}")
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
+        given = spark.sparkContext.getCheckpointDir()
+    return given.rstrip("/")
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -47,6 +54,17 @@ def bins(df: DataFrame, bytes_each: int, least: int = 24) -> int:
     return max(least, -(-size // bytes_each) if size < 1 << 50 else 0)  # else there is no estimate
 
 
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits, of which those of the hashed ids are set: at most 1 MB reaches the driver, whatever the input."""
+    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = F.bitmap_construct_agg(F.col("h").bitwiseAND(F.lit(32767)))
+    rows = ids.select(h.alias("h")).groupBy(F.shiftright("h", 15).alias("at")).agg(bits.alias("bits")).collect()
+    bits = np.zeros((FILTER_BITS >> 15, 32768 // 8), np.uint8)
+    for r in rows:
+        bits[r["at"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return np.unpackbits(bits.ravel(), bitorder="little").astype(bool)
+
+
 class Scratch:
     """Tables of one run of an operator, below :func:`shared_dir`."""
 
@@ -58,21 +76,63 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
-        """Writes ``df`` and returns the written table."""
+        """Writes ``df`` and returns the written table. The shuffle files that made it go at once, the table itself
+        when the session ends, or by :meth:`drop`."""
         path, schema = self.path(name), df.schema
-        df.write.mode("overwrite").option("compression", codec).parquet(path)
-        del df
-        free(self.spark)
+        before = self.spark.conf.get(_CLEANUP_KEY)
+        self.spark.conf.set(_CLEANUP_KEY, "true")
+        try:
+            df.write.mode("overwrite").option("compression", codec).parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP_KEY, before)
+        hadoop, fs = self._hadoop(name)
+        fs.deleteOnExit(hadoop)
         return self.spark.read.schema(schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         """Deletes tables that nothing will read again."""
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            hadoop, fs = self._hadoop(name)
+            fs.delete(hadoop, True)
+
+    def _hadoop(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+
+def lean(f: Callable) -> Callable:
+    """``f``, of Arrow batches or tables, after which the worker gives back the memory that it holds for reuse: workers
+    outlive their tasks and would keep each one's peak."""
+    if inspect.isgeneratorfunction(f):
+
+        def batches(given):
+            yield from f(given)
+            release()
+
+        return batches
+    if len(inspect.signature(f).parameters) == 2:
+
+        def pair(left, right):
+            out = f(left, right)
+            release()
+            return out
+
+        return pair
+
+    def one(given):
+        out = f(given)
+        release()
+        return out
+
+    return one
+
 
+def release() -> None:
+    """Gives free memory back to the system, where the allocators can."""
+    import pyarrow as pa
 
-def free(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that no one holds any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass

@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.jaccard import FILTER_BITS, id_filter
-from corpusloom.llm.scratch import Scratch, bound_batches
+from corpusloom.llm.scratch import FILTER_BITS, Scratch, bound_batches, id_filter, lean
 
 # Terms for groups of people, by kind. A term is swapped for another of its kind.
 IDENTITIES = (
@@ -193,11 +192,11 @@ def learn(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
             yield pa.record_batch({"doc_id": some["doc_id"].cast(pa.int64()), "words": pa.array([" ".join(sorted(words(t.as_py()))) for t in some["text"]], pa.string())})
 
     texts = documents.select("doc_id", "text").where("doc_id is not null").withColumn("h", F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(FILTER_BITS)))
-    rows = scratch.save(texts.mapInArrow(reduced, "doc_id bigint, words string").join(known, "doc_id"), "rows")
+    rows = scratch.save(texts.mapInArrow(lean(reduced), "doc_id bigint, words string").join(known, "doc_id"), "rows")
     total = dict(rows.groupBy("label").count().collect())
     if not total.get(1):
         return Model([], np.zeros(0), -40.0)
-    counted = rows.select("words", "label").mapInArrow(_count, "feature string, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= settings.least)
+    counted = rows.select("words", "label").mapInArrow(lean(_count), "feature string, clean bigint, toxic bigint").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where(F.col("toxic") >= settings.least)
     share = total[1] / sum(total.values())
     # How far a feature's toxic rows exceed or fall short of its share of all rows, in standard deviations.
     n = F.col("clean") + F.col("toxic")
@@ -206,7 +205,7 @@ def learn(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
     vocabulary = sorted({*chosen, *(t for group in settings.identities for t in group)})
     part = min(1.0, settings.rows / sum(total.values()))
     sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) < int(part * (1 << 30)) + (part == 1.0)).select("doc_id", "words", "label")
-    got = sample.mapInArrow(_sampled(vocabulary, settings.identities), "doc_id bigint, label int, at array<int>, swapped array<int>").toArrow()
+    got = sample.mapInArrow(lean(_sampled(vocabulary, settings.identities)), "doc_id bigint, label int, at array<int>, swapped array<int>").toArrow()
     got = got.sort_by("doc_id").combine_chunks()  # the same sums whatever the order of rows
     lists = lambda t, c: Sparse.of(t[c].chunk(0) if t.num_rows else pa.array([], pa.list_(pa.int32())), len(vocabulary))
     pairs = got.filter(got["swapped"].is_valid()).combine_chunks()
@@ -227,4 +226,4 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
 
     kept = [f for f in documents.schema if f.name not in ("text", "score")]
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return documents.select(*[f"`{f.name}`" for f in kept], "text").mapInArrow(run, f"{out}, score double")
+    return documents.select(*[f"`{f.name}`" for f in kept], "text").mapInArrow(lean(run), f"{out}, score double")
