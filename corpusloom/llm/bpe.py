@@ -1,14 +1,19 @@
 """Byte-level BPE encoding and decoding as a monoid over pieces of text.
 
-A text is encoded by halves. Two neighbours are joined by encoding a window around their border again, which grows
-until the tokens outside it provably stay as they are:
-
-* Between matches of the pre-tokenisation pattern. Scanning has no memory, so a match of the left part stands if its
-  scan never looked past the part's end (:func:`Encoder.stable`), and every match of the right part stands from the
+A text is encoded by halves down to small leaves. Two neighbours are joined by encoding a window around their border
+again, which grows until the tokens outside it provably stay as they are:
+
+* Between words. Patterns for byte-level vocabularies start a match at each blank behind a printable ASCII character
+  (a border), whatever comes before or after, since scanning has no memory. The window grows on both sides until
+  it ends at such borders (:meth:`Encoder.joined`).
+* Where a text has no such border for a long stretch, halves are lists of matches. A match of the left part stands if
+  its scan never looked past the part's end (:meth:`Encoder.stable`), and every match of the right part stands from the
   first border that the window's scan shares with it.
 * Within one long match. A sequence of tokens is the BPE encoding of its bytes if each pair of neighbours encodes to
   itself: the first merge across a border would also come first when those two tokens are encoded alone, since merges
   go by rank and then from the left. So the window is enough as soon as the pairs at its two ends pass that test.
+
+Patterns for which this does not hold are refused (:func:`unfit`).
 """
 
 from __future__ import annotations
@@ -18,17 +23,35 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from corpusloom.llm.scratch import bound_batches
+from corpusloom.llm.scratch import bound_batches, lean
 
 #: Characters of a text, and bytes of one match, that are encoded at once.
-TEXT_LEAF, MATCH_LEAF = 16_384, 256
+TEXT_LEAF, MATCH_LEAF = 256, 32
 #: Matches and tokens of the first window.
 WINDOW = 4
+#: The longest stretch of bytes without a border for which windows grow to it.
+STRETCH = 4096
 #: Matches whose tokens a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 1 << 16
+
+
+def unfit(pattern: str) -> bool:
+    """Whether the proofs may not hold for ``pattern``: a scan that looks back, or further than one character past its
+    match (a repeated class of white space that something else must follow), or a match that goes on over a border."""
+    import regex
+
+    if regex.search(r"\\s[*+]{1,2}(?!\(\?!\\S\))(?=[^|)$])|\(\?<", pattern):
+        return True
+    find = regex.compile(pattern)
+    for c in map(chr, range(33, 127)):
+        for before, after in ((c, " "), (f"a{c}", " a"), (f"1 {c}", " 1"), (f"'{c}", "  '"), (f"é\n{c}", " \n")):
+            if len(before) not in {m.end() for m in find.finditer(before + after)}:
+                return True
+    return False
 
 
 class Encoder:
@@ -36,18 +59,27 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, text_leaf: int = TEXT_LEAF, match_leaf: int = MATCH_LEAF):
         import regex
+
         import tiktoken
 
-        self.ranks, self.findall, self.text_leaf, self.match_leaf = ranks, regex.compile(pattern).findall, max(4, text_leaf), max(2, match_leaf)
+        if unfit(pattern):
+            raise ValueError(f"the borders of matches of {pattern!r} can't be proved from a window")
+        self.leaf = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.ranks, self.findall = ranks, regex.compile(pattern).findall
+        self.text_leaf, self.match_leaf = max(4, text_leaf), max(2, match_leaf)
         self.bytes_of = {v: k for k, v in ranks.items()}
-        library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.short, self.leaf = library._encode_single_piece, library.encode_ordinary
+        self.none = max(self.bytes_of, default=0) + 1
+        tokens = [self.bytes_of.get(i, b"") for i in range(self.none)]
+        self.blank = [t[:1] == b" " for t in tokens]
+        self.plain = [b"!" <= t[-1:] <= b"~" for t in tokens]
         self.known: dict[str, tuple[int, ...]] = {}
 
     # One match.
 
     def merge(self, data: bytes) -> list[int]:
         """Merges the neighbours of lowest rank, the leftmost first, until no pair is left."""
+        if len(data) <= MATCH_LEAF:
+            return self.merge_few(data)
         ends = list(range(1, len(data) + 1))
         before, alive = list(range(-1, len(data) - 1)), [True] * len(data)
         rank = self.ranks.get
@@ -70,9 +102,22 @@ class Encoder:
             i = ends[i]
         return found
 
+    def merge_few(self, data: bytes) -> list[int]:
+        """The same for a few bytes, looking at all pairs each time."""
+        rank, none = self.ranks.get, self.none
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while pairs and (least := min(pairs)) < none:
+            i = pairs.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+            if i < len(pairs):
+                pairs[i] = rank(parts[i] + parts[i + 1], none)
+        return [self.ranks[x] for x in parts]
+
     def match(self, data: bytes) -> list[int]:
-        if len(data) <= self.match_leaf:
-            return self.short(data)
         whole = self.ranks.get(data)
         return self.tree(data) if whole is None else [whole]
 
@@ -100,7 +145,7 @@ class Encoder:
         if len(text) <= self.text_leaf:
             return self.findall(text)
         half = len(text) // 2
-        return self.joined(self.split(text[:half]), self.split(text[half:]))
+        return self.spliced(self.split(text[:half]), self.split(text[half:]))
 
     @staticmethod
     def stable(matches: list[str]) -> int:
@@ -112,7 +157,7 @@ class Encoder:
             length += len(matches[kept])
         return max(0, kept)
 
-    def joined(self, left: list[str], right: list[str]) -> list[str]:
+    def spliced(self, left: list[str], right: list[str]) -> list[str]:
         kept, n = self.stable(left), WINDOW
         head = "".join(left[kept:])
         while True:
@@ -131,10 +176,8 @@ class Encoder:
                 return left[:kept] + window
             n *= 2
 
-    def encode(self, text: str) -> list[int]:
-        """A text of one leaf goes to the library; of a longer one, the leaves' matches are joined up the tree."""
-        if len(text) <= self.text_leaf:
-            return self.leaf(text)
+    def by_matches(self, text: str) -> list[int]:
+        """The tokens of the matches of ``text``, which are joined up the tree."""
         known, ids = self.known, []
         for m in self.split(text):
             found = known.get(m)
@@ -147,6 +190,30 @@ class Encoder:
             ids += found
         return ids
 
+    def joined(self, left: list[int], right: list[int]) -> list[int]:
+        """The window grows to the last border of the left part and the first one of the right. A border lies between
+        a token that ends in a printable character and one that starts with a blank."""
+        plain, blank = self.plain, self.blank
+        a, b = len(left) - 1, 1
+        while a > 0 and not (blank[left[a]] and plain[left[a - 1]]):
+            a -= 1
+        while b < len(right) and not (blank[right[b]] and plain[right[b - 1]]):
+            b += 1
+        window = b"".join(map(self.bytes_of.__getitem__, left[a:] + right[:b]))
+        return left[:a] + self.leaf(window.decode()) + right[b:]
+
+    def by_halves(self, text: str) -> list[int]:
+        if len(text) <= self.text_leaf:
+            return self.leaf(text)
+        half = len(text) // 2
+        return self.joined(self.by_halves(text[:half]), self.by_halves(text[half:]))
+
+    def encode(self, text: str) -> list[int]:
+        data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
+        borders = np.flatnonzero((data[1:] == 32) & (data[:-1] > 32) & (data[:-1] < 127))
+        stretch = np.diff(borders, prepend=0, append=len(data)).max()
+        return self.by_halves(text) if stretch <= STRETCH else self.by_matches(text)
+
     def decode(self, ids: list[int]) -> bytes:
         """The bytes of ``ids``, concatenated up a tree of halves."""
         if len(ids) <= self.text_leaf:
@@ -157,13 +224,13 @@ class Encoder:
 _loaded: dict[tuple, Encoder] = {}
 
 
-def load(path: str, pattern: str) -> Encoder:
+def load(path: str, pattern: str, text_leaf: int = TEXT_LEAF) -> Encoder:
     """The encoder of a rank file: lines of base64 and rank. A worker loads each once."""
-    if (path, pattern) not in _loaded:
+    if (path, pattern, text_leaf) not in _loaded:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
-        _loaded[path, pattern] = Encoder(ranks, pattern)
-    return _loaded[path, pattern]
+        _loaded[path, pattern, text_leaf] = Encoder(ranks, pattern, text_leaf)
+    return _loaded[path, pattern, text_leaf]
 
 
 def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -180,11 +247,14 @@ def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = [encoder.encode(t.as_py() or "") for t in batch["text"]]
             yield pa.record_batch({"doc_id": batch["doc_id"], "ids": pa.array(ids, pa.list_(pa.int32()))})
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return documents.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def checked(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, text`` to ``doc_id, n_tokens, ids, lossless``: the ids and whether they decode to the text."""
+    """``doc_id, text`` to ``doc_id, n_tokens, ids, lossless``: the ids and whether they decode to the text.
+
+    Null and empty texts have no ids and are lossless; rows that repeat give repeated rows; an empty table gives no
+    rows; other columns are ignored, whatever their names. Texts are read whole, however long."""
     bound_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,7 +265,7 @@ def checked(documents: DataFrame, path: str, pattern: str) -> DataFrame:
             same = [encoder.decode(i) == t.encode("utf-8", "replace") for i, t in zip(ids, texts, strict=True)]
             yield pa.record_batch({"doc_id": batch["doc_id"], "n_tokens": pa.array(map(len, ids), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32())), "lossless": pa.array(same)})
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids array<int>, lossless boolean")
+    return documents.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids array<int>, lossless boolean")
 
 
 def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -207,12 +277,15 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             yield pa.record_batch({"doc_id": batch["doc_id"], "bytes": pa.array([encoder.decode(x.as_py() or []) for x in batch["ids"]], pa.binary())})
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}, bytes binary")
+    return tokens.select("doc_id", "ids").mapInArrow(lean(run), f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}, bytes binary")
 
 
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: encodes each text, decodes the ids and hashes both (the
-    decimal ids joined by commas, and the bytes) without shipping either. Null and empty texts: the hash of nothing."""
+    decimal ids joined by commas, and the bytes) without shipping either.
+
+    Null and empty texts: no tokens and the hash of nothing. Rows that repeat give repeated rows; an empty table gives
+    no rows; other columns are ignored, whatever their names. Texts are read whole, however long."""
     bound_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,4 +300,4 @@ def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
                 back.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
             yield pa.record_batch({"doc_id": batch["doc_id"], "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(own), "decoded_sha256": pa.array(back)})
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return documents.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe
 from corpusloom.llm.packing import U, mix
-from corpusloom.llm.scratch import Scratch, bound_batches
+from corpusloom.llm.scratch import Scratch, bound_batches, lean
 
 ROUNDS = 6
+#: Characters that the library encodes at once: this operator is about order, not about encoding.
+LEAF = 16_384
 STAGED = "part bigint, first bigint, doc_id bigint, n bigint, tokens binary"
 SLOTTED = "shard bigint, slot bigint, doc_id bigint, seq_no bigint, n_tokens bigint, tokens binary"
 INDEX = "slot bigint, doc_id bigint, seq_no bigint, n_tokens bigint, shard string, offset bigint"
@@ -47,7 +49,7 @@ def _stage(path: str, pattern: str, length: int, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, first, encoder = TaskContext.get().partitionId(), 0, bpe.load(path, pattern)
+        part, first, encoder = TaskContext.get().partitionId(), 0, bpe.load(path, pattern, LEAF)
         for batch in batches:
             out = []
             for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
@@ -133,7 +135,7 @@ def materialise(documents: DataFrame, path: str, pattern: str, out: str | None =
     bound_batches(spark)
     scratch = Scratch(spark, "materialise")
     uri = out or scratch.path("shards")
-    staged = scratch.save(documents.select("doc_id", "text").mapInArrow(_stage(path, pattern, length, end), STAGED), "staged")
+    staged = scratch.save(documents.select("doc_id", "text").mapInArrow(lean(_stage(path, pattern, length, end)), STAGED), "staged")
     counts = staged.groupBy("part").agg(F.max(F.col("first") + F.col("n")).alias("n")).orderBy("part").collect()
     offsets, total = {}, 0
     for r in counts:
