@@ -17,12 +17,12 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
 from corpusloom.llm.packing import U, dealt, mix, pack, starts, unpack
-from corpusloom.llm.scratch import Scratch, bins, bound_batches
+from corpusloom.llm.scratch import FILTER_BITS, Scratch, bins, bound_batches, id_filter, lean
 
 #: Signatures that a task sorts at once, and input bytes for each bin they are dealt to.
 FLUSH, BIN_BYTES = 1 << 19, 2 << 20
@@ -33,16 +33,20 @@ LIST, CHUNK = 64, 1024
 CHANCE_COST, CHANCE = 10.0, 0.5
 #: Rounds in which each member of an open group is compared with its nearest alone.
 NEAREST = 1
-#: Bits of the filter on the ids whose sets are fetched. It only saves work; its size doesn't grow with the input.
-FILTER_BITS = 1 << 23
+#: Sets made at once when they are fetched.
+FETCHED = 256
 INDEX, PROBE, EMPTY, HEAVY = 1, 2, 4, 8
 #: Bytes of a packed signature: its upper bits, the document, the flags.
 PACKED = (6, 8, 1)
 
 
-def shingles(text: str | None, k: int) -> np.ndarray:
+def utf8(text: pa.StringScalar) -> bytes:
+    return text.as_buffer().to_pybytes() if text.is_valid else b""
+
+
+def shingles(text: bytes, k: int) -> np.ndarray:
     """Hashes of the distinct k-word shingles, ascending; of fewer words, the hash of all of them; else none."""
-    words = (text or "").encode("utf-8", "replace").lower().split()  # bytes: ASCII letters and ASCII white space only
+    words = text.lower().split()  # bytes: ASCII letters and ASCII white space only
     if not words:
         return np.empty(0, U)
     if len(words) < k:
@@ -187,7 +191,7 @@ def _profile(rule: Rule, k: int, n_bins: int):
         for batch in batches:
             ids, out = batch["doc_id"].to_pylist(), []
             for doc, text in zip(ids, batch["text"], strict=True):
-                s = shingles(text.as_py(), k)
+                s = shingles(utf8(text), k)
                 fp = xxhash.xxh3_128_intdigest(s.tobytes())
                 fp1, fp2 = (fp >> 64) - (1 << 63), (fp & (1 << 64) - 1) - (1 << 63)
                 out.append((len(s), fp1, fp2, sketch(s)))
@@ -209,6 +213,7 @@ def _profile(rule: Rule, k: int, n_bins: int):
 
 PROFILED = "kind int, doc_id bigint, n bigint, fp1 bigint, fp2 bigint, sketch binary, bin bigint, packed binary"
 GROUPED = "kind int, key bigint, docs array<bigint>"
+PAIRED = "a bigint, b bigint"
 
 
 def _shared(table: pa.Table) -> pa.Table:
@@ -297,9 +302,11 @@ def _prune_members(rule: Rule, nearest: bool):
 def _fetch(k: int, bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.flatnonzero(bits[batch["h"].to_numpy(zero_copy_only=False)])
-            some = batch.take(pa.array(at))
-            yield pa.record_batch({"doc_id": some["doc_id"].cast(pa.int64()), "elements": pa.array([shingles(t.as_py(), k).tobytes() for t in some["text"]], pa.binary())})
+            asked = pa.array(np.flatnonzero(bits[batch["h"].to_numpy(zero_copy_only=False)]))
+            for i in range(0, len(asked), FETCHED):
+                some = batch.take(asked[i : i + FETCHED])
+                elements = pa.array([shingles(utf8(t), k).tobytes() for t in some["text"]], pa.binary())
+                yield pa.record_batch({"doc_id": some["doc_id"].cast(pa.int64()), "elements": elements})
 
     return run
 
@@ -320,73 +327,77 @@ def _verify(rule: Rule):
     return run
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """FILTER_BITS bits, of which those of the hashed ids are set: at most 1 MB reaches the driver, whatever the input."""
-    h = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    rows = ids.select(h.alias("h")).groupBy(F.shiftright("h", 15).alias("at")).agg(F.bitmap_construct_agg(F.col("h").bitwiseAND(F.lit(32767))).alias("bits")).collect()
-    bits = np.zeros((FILTER_BITS >> 15, 32768 // 8), np.uint8)
-    for r in rows:
-        bits[r["at"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return np.unpackbits(bits.ravel(), bitorder="little").astype(bool)
-
-
 class _Join:
     def __init__(self, documents: DataFrame, k: int, percent: int):
         self.spark: SparkSession = documents.sparkSession
         bound_batches(self.spark)
         self.rule, self.k, self.scratch = Rule(percent), k, Scratch(self.spark, "jaccard")
-        self.texts = documents.select("doc_id", "text")
+        self.texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs whose sets are linked. Only the sets of their documents are made again and shuffled."""
         pairs = self.scratch.save(pairs, f"{name}_pairs")
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        sets = self.scratch.save(
-            self.texts.where("doc_id is not null")
-            .withColumn("h", F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(FILTER_BITS)))
-            .mapInArrow(_fetch(self.k, id_filter(ids)), "doc_id bigint, elements binary")
-            .join(ids, "doc_id", "left_semi")
-            .dropDuplicates(["doc_id"]),
-            f"{name}_sets",
-        )
+        fetch = lean(_fetch(self.k, id_filter(ids)))
+        some = self.texts.where("doc_id is not null").withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
+        sets = some.mapInArrow(fetch, "doc_id bigint, elements binary").join(ids, "doc_id", "left_semi")
+        sets = self.scratch.save(sets, f"{name}_sets")
         other = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("elements2"))
         joined = pairs.join(sets.withColumnRenamed("doc_id", "a"), "a").join(other, "b")
-        edges = self.scratch.save(joined.select("a", "b", "elements", "elements2").mapInArrow(_verify(self.rule), "a bigint, b bigint"), f"{name}_edges")
-        self.scratch.drop(f"{name}_sets")
+        linked = joined.select("a", "b", "elements", "elements2").mapInArrow(lean(_verify(self.rule)), PAIRED)
+        edges = self.scratch.save(linked, f"{name}_edges")
+        self.scratch.drop(f"{name}_sets", f"{name}_pairs")
         return edges
 
+    def copies(self, profile: DataFrame, n_bins: int) -> DataFrame:
+        """Links between equal sets. A group of copies is dealt by id first, then only the smallest ids meet."""
+        salt = F.pmod(F.xxhash64("doc_id"), F.lit(n_bins))
+        own = Window.partitionBy("fp1", "fp2", "salt")
+        some = profile.select("doc_id", "fp1", "fp2", salt.alias("salt")).withColumn("a", F.min("doc_id").over(own))
+        every = Window.partitionBy("fp1", "fp2")
+        heads = some.where("a = doc_id").select("doc_id", "fp1", "fp2").distinct()
+        heads = heads.withColumn("a", F.min("doc_id").over(every))
+        pairs = some.select("a", F.col("doc_id").alias("b")).union(heads.select("a", F.col("doc_id").alias("b")))
+        return pairs.where("a <> b")
+
     def run(self) -> tuple[DataFrame, DataFrame]:
         """(doc_id, n of each row; doc_id, component_id of documents that aren't the smallest of theirs)."""
-        n_bins = bins(self.texts, BIN_BYTES)
-        made = self.scratch.save(self.texts.mapInArrow(_profile(self.rule, self.k, n_bins), PROFILED), "made")
-        rows = made.where("kind = 0").select("doc_id", "n", "fp1", "fp2", "sketch")
-        profile = rows.where("doc_id is not null and n > 0").dropDuplicates(["doc_id"])
-        groups = self.scratch.save(made.where("kind = 1").select("bin", "packed").groupBy("bin").applyInArrow(_shared, GROUPED), "groups")
+        n_bins, save = bins(self.texts, BIN_BYTES), self.scratch.save
+        made = save(self.texts.mapInArrow(lean(_profile(self.rule, self.k, n_bins)), PROFILED), "made")
+        packed = made.where("kind = 1").select("bin", "packed")
+        groups = save(packed.groupBy("bin").applyInArrow(lean(_shared), GROUPED), "groups")
+        rows = save(made.where("kind = 0").select("doc_id", "n"), "rows")
+        known = made.where("kind = 0 and doc_id is not null and n > 0")
+        profile = known.groupBy("doc_id", "fp1", "fp2", "n").agg(F.first("sketch").alias("sketch"))
+        profile = save(profile, "profile")
+        self.scratch.drop("made")
         lists = groups.where("kind = 1").select("docs").distinct().select(F.xxhash64("docs").alias("key"), "docs")
         large = groups.where("kind = 2").select("key", F.col("docs")[0].alias("doc")).distinct()
 
         # First each member against the smallest of its group.
         heads = large.groupBy("key").agg(F.min("doc").alias("a"))
+        others = F.explode(F.slice("docs", F.lit(2), F.lit(LIST)))
         stars = (
-            lists.select(F.col("docs")[0].alias("a"), F.explode(F.slice("docs", F.lit(2), F.lit(LIST))).alias("b"))
+            lists.select(F.col("docs")[0].alias("a"), others.alias("b"))
             .union(large.join(heads, "key").where("a <> doc").select("a", F.col("doc").alias("b")))
             .union(groups.where("kind = 3").select(F.array_min("docs").alias("a"), F.array_max("docs").alias("b")))
             .distinct()
         )
-        mine = profile.select(F.col("doc_id").alias("a"), "n", "fp1", "fp2", "sketch")
-        other = profile.select(F.col("doc_id").alias("b"), F.col("n").alias("n2"), F.col("fp1").alias("fp12"), F.col("fp2").alias("fp22"), F.col("sketch").alias("sketch2"))
-        fit = stars.join(mine, "a").join(other, "b").where("(fp1 <> fp12 or fp2 <> fp22) and 100 * least(n, n2) >= %d * greatest(n, n2)" % self.rule.p)
-        first = self.verified(fit.select("a", "b", "n", "n2", "sketch", "sketch2").mapInArrow(_prune_pairs(self.rule), "a bigint, b bigint"), "first")
-        copies = profile.join(profile.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("a"), F.count("*").alias("m")).where("m > 1"), ["fp1", "fp2"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b"))
-        found = components(copies.union(first), self.scratch, "first_components")
+        mine = profile.withColumnRenamed("doc_id", "a")
+        other = profile.toDF("b", "fp12", "fp22", "n2", "sketch2")
+        fits = "(fp1 <> fp12 or fp2 <> fp22) and 100 * least(n, n2) >= %d * greatest(n, n2)" % self.rule.p
+        fit = stars.join(mine, "a").join(other, "b").where(fits).select("a", "b", "n", "n2", "sketch", "sketch2")
+        first = self.verified(fit.mapInArrow(lean(_prune_pairs(self.rule)), PAIRED).distinct(), "first")
+        found = components(self.copies(profile, n_bins).union(first), self.scratch, "first_components")
 
         # Then across components, where any other link joins what is joined already: a few rounds of each member's
         # nearest, which leave large groups of near copies in one component, and all pairs of what remains apart.
         for turn, nearest in enumerate((True,) * NEAREST + (False,)):
             across = self.across(profile, lists, large, found, nearest, f"open{turn}")
             more = self.verified(across, f"more{turn}")
-            found = components(found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more), self.scratch, f"components{turn}_")
-        return rows.select("doc_id", "n"), found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+            joined = found.select(F.col("component").alias("a"), F.col("node").alias("b")).union(more)
+            found = components(joined, self.scratch, f"components{turn}_")
+        return rows, found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
 
     def across(self, profile: DataFrame, lists: DataFrame, large: DataFrame, found: DataFrame, nearest: bool, name: str) -> DataFrame:
         """Pairs of documents of different components that share a signature and may be linked."""
@@ -407,7 +418,7 @@ class _Join:
         chunks = members.groupBy("key", "chunk").agg(F.collect_list(member).alias("right"))
         few = members.where("component <> main").groupBy("key", "chunk").agg(F.collect_list(member).alias("left")).drop("chunk")
         pairs = open_lists.union(few.join(chunks, "key").select("left", "right"))
-        return pairs.mapInArrow(_prune_members(self.rule, nearest), "a bigint, b bigint").distinct()
+        return pairs.mapInArrow(lean(_prune_members(self.rule, nearest)), PAIRED).distinct()
 
 
 def near_duplicates(documents: DataFrame, k: int, percent: int) -> DataFrame:
@@ -416,8 +427,9 @@ def near_duplicates(documents: DataFrame, k: int, percent: int) -> DataFrame:
     Words are runs of other bytes than ASCII white space, A-Z in lower case; a document's set holds its distinct
     k-word shingles, or all of its words as one if it has fewer. Documents link where
     ``100 * intersection >= percent * union``; ``component_id`` is the smallest id reachable by links, itself included.
-    Null, empty and blank texts have an empty set and no links. Rows of one id count as one document (of one of their
-    texts), rows without an id link with nothing and have no component. Texts are read whole; no group is capped.
+    Null, empty and blank texts have an empty set and no links. Rows of one id count as one document, which has the
+    links of all of their texts; rows without an id link with nothing and have no component. Texts are read whole; no
+    group is capped. An empty table gives no rows.
     """
     rows, found = _Join(documents, k, percent).run()
     return rows.join(found, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
