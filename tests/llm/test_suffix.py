@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,8 +72,52 @@ def test_maximal_repeats_of_one_text():
 
 def test_packing(spark):
     a, b = np.array([0, 5, 255, 1 << 40], np.uint64), np.array([-1, 1, 7, -(1 << 62)], np.int64)
-    import pyarrow as pa
-
     x, y = unpack(pa.array([pack([a, b], (6, 8)), pack([a, b], (6, 8))]), (6, 8))
     assert x.tolist() == a.tolist() * 2 and y.view(np.int64).tolist() == b.tolist() * 2
     assert [r.h for r in spark.createDataFrame([(int(i),) for i in b], "x long").select(F.xxhash64("x").alias("h")).collect()] == xxhash64(b).tolist()
+
+
+def results(spark, rows, n=50, gram=20, **more):
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix.without_repeats(df, n, gram, **more).collect()
+    return sorted(((r.doc_id, r.n_bytes, [(x.start, x.length) for x in r.removed], bytes(r.kept)) for r in found), key=repr)
+
+
+def test_many_texts_of_one_id_keep_their_own(spark):
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(90))
+    rows = [(7, "".join(rng.choice("xyz é") for _ in range(80)) + (passage if i % 2 else "")) for i in range(300)]
+    rows += [(7, rows[3][1]), (6, passage), (8, rows[5][1]), (9, None), (9, "")]
+    assert results(spark, rows) == brute(rows, 50)
+
+
+@pytest.mark.parametrize("hot", [40, 1 << 12])
+def test_an_anchor_of_many_contexts_is_split(spark, hot):
+    """A passage in many documents: its edges have as many contexts as documents, equal only in part."""
+    limits = suffix.Limits(strings=300, hot=hot)
+    rng = random.Random(8)
+    passage = " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(20))
+    around = lambda: "".join(rng.choice("01") for _ in range(rng.randint(0, 30)))
+    rows = [(i, f"{around()}{passage}{around()}") for i in range(200)]
+    find = suffix.Repeats(50, 20, 4, 4, False, limits)
+    asked = find.match(pa.concat_tables(map(pa.Table.from_batches, [[b] for b in find.scan([as_batch(rows)]) if b["bin"][0].as_py() >= 0])))
+    assert suffix.ASKED_STRINGS in asked["kind"].to_pylist()
+    assert results(spark, rows, limits=limits) == brute(rows, 50)
+
+
+def as_batch(rows):
+    return pa.record_batch({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string())})
+
+
+def test_a_text_of_many_blocks_and_flushes(spark):
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcd é") for _ in range(3000))
+    rows = [(1, long), (2, long[700:1900] + "zz" + long[100:160]), (3, "q" + long), (4, long[:10])]
+    assert results(spark, rows, limits=suffix.Limits(block=256, flush=64)) == brute(rows, 50)
+
+
+def test_other_columns_go_along(spark):
+    rows = [(1, "ab" * 40, "x", 1), (2, "ab" * 40, None, 2)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, bin string, kept long")
+    found = suffix.without_repeats(df, rest=True).collect()
+    assert sorted((r.doc_id, r.rest.bin, r.rest.kept, len(r.kept)) for r in found) == [(1, "x", 1, 80), (2, None, 2, 0)]
