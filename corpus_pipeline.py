@@ -45,14 +45,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes from each text what repeats from a document of a smaller id. A character of which a byte goes, goes;
-    documents of which nothing but white space is left go."""
-    kept = suffix.without_repeats(docs, REPEAT, characters=True).where("size(removed) > 0 and doc_id is not null")
-    cut = kept.select("doc_id", F.col("text_md5").alias("__md5"), F.col("kept").cast("string").alias("__text")).dropDuplicates(["doc_id", "__md5"])
-    joined = docs.withColumn("__md5", F.md5(F.col("text").cast("binary"))).join(cut, ["doc_id", "__md5"], "left").withColumn("__text", F.coalesce("__text", "text"))
-    columns = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col("__text")}
+    documents of which nothing but white space is left go, and so do those that had no word before. Rows of one id keep
+    their own texts and don't take from each other; other columns stay, but ``n_chars`` of a cut text is counted
+    anew."""
+    found = suffix.without_repeats(docs, REPEAT, characters=True, rest=True)
+    text = F.col("kept").cast("string")
+    cut = F.size("removed") > 0
+    columns = {c: F.col(f"rest.`{c}`") for c in docs.columns} | {
+        "doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType),
+        "text": F.when(F.col("n_bytes") > 0, text),
+    }
     if "n_chars" in columns:
-        columns["n_chars"] = F.length("__text").cast(docs.schema["n_chars"].dataType)
-    return joined.where(F.regexp_like("__text", F.lit(mixing.WORD))).select(*[c.alias(k) for k, c in columns.items()])
+        columns["n_chars"] = F.when(cut, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return found.where(F.regexp_like(text, F.lit(mixing.WORD))).select(*[c.alias(k) for k, c in columns.items()])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
