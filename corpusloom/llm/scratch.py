@@ -128,11 +128,10 @@ def lean(f: Callable) -> Callable:
 
 
 def release() -> None:
-    """Gives free memory back to the system, where the allocators can."""
-    import pyarrow as pa
-
-    pa.default_memory_pool().release_unused()
+    """Gives free memory back to the system, where the C library can."""
     try:
-        ctypes.CDLL(None).malloc_trim(0)
+        trim = ctypes.CDLL(None).malloc_trim
     except (AttributeError, OSError):  # not glibc
-        pass
+        return
+    trim.argtypes = [ctypes.c_size_t]
+    trim(0)
