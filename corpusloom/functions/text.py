@@ -117,3 +117,11 @@ def hrefs(html: Column | str) -> Column:
 
 def page_title(html: Column | str) -> Column:
     return F.regexp_extract(col(html), "<title>([^<]*)</title>", 1)
+
+
+def rag_document(full_text: Column, title: Column | str, abstract: Column | str) -> Column:
+    """``origin, body``: the full text where there is one, else title and abstract."""
+    told = filled(full_text).isNotNull()
+    parts = F.concat(F.coalesce(col(title), F.lit("")), F.coalesce(col(abstract), F.lit("")))
+    origin = F.when(told, "text").otherwise("title_abstract")
+    return F.struct(origin.alias("origin"), F.when(told, full_text).otherwise(parts).alias("body"))

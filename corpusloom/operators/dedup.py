@@ -64,3 +64,11 @@ def first_of_each(df: DataFrame, key: str, *order: Column | str) -> DataFrame:
 def distinct_in_order(df: DataFrame, key: str, order: str) -> DataFrame:
     """Each key once, with the place where it first occurs."""
     return df.groupBy(key).agg(F.min(order).alias(order))
+
+
+def converted(asked: DataFrame, answers: DataFrame, key: str) -> DataFrame:
+    """Each row of ``asked`` with the columns of its key's answer, null where there is none; of several answers one counts,
+    the smallest."""
+    others = [c for c in answers.columns if c != key]
+    one = answers.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*others)).alias("__answer"))
+    return asked.join(one, key, "left").select(*[asked[c] for c in asked.columns], *[F.col(f"__answer.{c}") for c in others])

@@ -38,3 +38,8 @@ def latest(log: DataFrame, key: str = "source", time: str = "ts", tie: str = "id
 def next_search_id(log: DataFrame) -> str:
     found = log.agg(F.max(F.regexp_extract("id", r"^search_(\d+)\z", 1).try_cast("int"))).first()[0]
     return f"search_{(found or 0) + 1:03d}"
+
+
+def newest(rows: DataFrame, time: str, k: int, *ties: str) -> DataFrame:
+    """The k latest rows, ties in order of ``ties``."""
+    return rows.orderBy(F.desc(time), *ties).limit(k)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +41,9 @@ def estimate(papers: Column | str, has_key: bool = False) -> list[Column]:
         (n / (RATE_WITH_KEY if has_key else RATE)).cast("double").alias("seconds"),
         (n * PACKAGE_BYTES).cast("bigint").alias("package_bytes"),
     ]
+
+
+def plan_total(*ids: DataFrame, key: str = "id") -> DataFrame:
+    """``total``: how many different ids several plans hold together."""
+    together = reduce(DataFrame.union, [x.select(key) for x in ids])
+    return together.agg(F.countDistinct(key).alias("total"))

@@ -92,8 +92,8 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refer.union(cites)
 
 
-def seeds(spark: SparkSession, sf_dir: str, below: int = 20) -> DataFrame:
-    """Orders of the lowest keys as seeds."""
+def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The finished orders as seeds; an expansion finds the others."""
     none = F.lit(None).cast("string")
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") < below)
+    o = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
     return o.select(F.col("o_orderkey").alias("ord"), F.col("o_orderkey").cast("string").alias("id"), F.lit("ORD").alias("source"), *[none.alias(c) for c in ("title", "doi", "pmid", "pmcid")])

@@ -60,9 +60,10 @@ def q_doi_key(spark, d):
     return papers(spark, d).select("doc_id", ids.doi_key("raw_doi").alias("doi_key"))
 
 
-@query(f"with {PAPERS} select doc_id, trim(raw_doi) as doi from p")
+@query(f"""with {PAPERS}, t as (select doc_id, coalesce(text, '') || ' see https://doi.org/' || trim(raw_doi) || '). More' as line from p)
+  select doc_id, nullif(rtrim(regexp_extract(line, '(?i)10\\.\\d{{4,9}}/[-._;()/:A-Z0-9]+', 0), ' .;,)' || chr(10) || chr(13)), '') as doi from t""")
 def q_extract_doi(spark, d):
-    line = F.concat(F.substring("text", 1, 40), F.lit(" see https://doi.org/"), F.trim("raw_doi"), F.lit("). More"))
+    line = F.concat(F.coalesce("text", F.lit("")), F.lit(" see https://doi.org/"), F.trim("raw_doi"), F.lit("). More"))
     return papers(spark, d).select("doc_id", text.extract_doi(line).alias("doi"))
 
 
@@ -170,10 +171,13 @@ def q_duration(spark, d):
     return table(spark, d, "orders").select("o_orderkey", text.duration(s.cast("double")).alias("shown"))
 
 
-@query("""select doc_id, case doc_id % 4 when 0 then false when 1 then false when 2 then true else false end as ok from documents""")
+@query("""with b as (select doc_id, case doc_id % 4 when 0 then '<article><Error>' when 1 then 'ID not found <article>' when 2 then '<article>' else '' end || text as body from documents)
+  select doc_id, length(body) >= 100 and not contains(lower(body), '<error>') and not contains(lower(body), 'id not found')
+    and (contains(body, '<article') or contains(body, '<pmc-articleset')) as ok from b""")
 def q_fulltext_sanity(spark, d):
-    i, pad = F.col("doc_id"), F.repeat(F.lit("x"), 120)
-    body = F.when(i % 4 == 0, F.concat(F.lit("<article><Error>"), pad)).when(i % 4 == 1, F.concat(F.lit("ID not found"), pad)).when(i % 4 == 2, F.concat(F.lit("<article>"), pad, F.substring("text", 1, 20))).otherwise(F.substring("text", 1, 90))
+    i = F.col("doc_id")
+    head = F.when(i % 4 == 0, "<article><Error>").when(i % 4 == 1, "ID not found <article>").when(i % 4 == 2, "<article>").otherwise("")
+    body = F.concat(head, "text")
     return table(spark, d, "documents").select("doc_id", text.is_full_text(body).alias("ok"))
 
 
@@ -309,10 +313,13 @@ def q_mirror_import(spark, d):
 # Ids across tables.
 
 
-@query("select o_orderkey, o_custkey, c_name from orders join customer on o_custkey = c_custkey where c_custkey % 2 = 0")
+@query("select o_custkey::varchar as pmid, case when c_acctbal >= 0 then 'PMC' || c_custkey end as pmcid, count(*) as n from orders left join customer on o_custkey = c_custkey group by all")
 def q_id_conversion(spark, d):
-    known = table(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
-    return table(spark, d, "orders").select("o_orderkey", "o_custkey").join(known, "o_custkey").select("o_orderkey", "o_custkey", "c_name")
+    """Ids asked for, with what a converter answered; those without an answer stay."""
+    pmcid = F.when(F.col("c_acctbal") >= 0, F.concat(F.lit("PMC"), F.col("c_custkey").cast("string")))
+    answers = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("pmid"), pmcid.alias("pmcid"))
+    asked = table(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("pmid"))
+    return dedup.converted(asked, answers, "pmid").groupBy("pmid", "pmcid").agg(F.count("*").alias("n"))
 
 
 @query("select c_custkey, min(o_orderkey) as first_seen, any_value(c_name) as c_name from orders join customer on o_custkey = c_custkey group by c_custkey")
@@ -365,29 +372,30 @@ def q_resource_estimate(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n")).select("source", *stats.estimate("n"))
 
 
-@query("select case when quality = 1 then 'text' else 'title_abstract' end as origin, count(*) as n, sum(case when quality = 1 then length(text) else length(substr(text, 1, 480)) end)::bigint as chars from documents left join labels using (doc_id) group by 1")
+@query("select case when quality = 1 and text <> '' then 'text' else 'title_abstract' end as origin, count(*) as n, sum(case when quality = 1 and text <> '' then length(text) else length(substr(text, 1, 480)) end)::bigint as chars from documents left join labels using (doc_id) group by 1")
 def q_rag_documents(spark, d):
     labels = table(spark, d, "labels").select("doc_id", "quality")
     p = papers(spark, d).join(labels, "doc_id", "left")
     full = F.coalesce(F.col("quality") == 1, F.lit(False))
-    body = F.when(full, F.col("text")).otherwise(F.concat("title", "abstract"))
-    return p.select(F.when(full, "text").otherwise("title_abstract").alias("origin"), F.length(body).cast("bigint").alias("chars")).groupBy("origin").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+    told = text.rag_document(F.when(full, F.col("text")), "title", "abstract")
+    return p.select(told["origin"].alias("origin"), F.length(told["body"]).cast("bigint").alias("chars")).groupBy("origin").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
 
 
 # Search.
 
 SEARCH = search.Search(virus_keywords=("the", "que"), disease_keywords=("tion", "ment"), date_range=search.DateRange("2022/01/01", "2024/06/30"))
-_HAS = lambda words: "(" + " or ".join(f"contains(lower({c}), '{w}')" for c in ("title", "abstract") for w in words) + ")"
+WHOLE = ("title", "abstract", "text")
+_HAS = lambda words: "(" + " or ".join(f"contains(lower({c}), '{w}')" for c in ("title", "abstract", "text") for w in words) + ")"
 
 
 @query(f"with {PAPERS} select doc_id from p where {_HAS(('the', 'que', 'tion', 'ment'))}")
 def q_keyword_any(spark, d):
-    return papers(spark, d).where(SEARCH.predicate("any")).select("doc_id")
+    return papers(spark, d).where(SEARCH.predicate("any", WHOLE)).select("doc_id")
 
 
 @query(f"with {PAPERS} select doc_id from p where {_HAS(('the', 'que'))} and {_HAS(('tion', 'ment'))} and pub_date between '2022-01-01' and '2024-06-30'")
 def q_keyword_by_category(spark, d):
-    return papers(spark, d).where(SEARCH.predicate("category", date="pub_date")).select("doc_id")
+    return papers(spark, d).where(SEARCH.predicate("category", WHOLE, date="pub_date")).select("doc_id")
 
 
 @query(f"with {PAPERS} select doc_id, pub_date::varchar as day from p where pub_date >= '2023-05-01'")
@@ -397,7 +405,7 @@ def q_date_window(spark, d):
 
 @query("select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders order by o_orderdate desc, o_orderkey limit 50")
 def q_recent_topk(spark, d):
-    return table(spark, d, "orders").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(50).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    return state.newest(table(spark, d, "orders"), "o_orderdate", 50, "o_orderkey").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
 
 
 @query("select event_type as source, max(struct_pack(t := ts, i := event_id)).i as event_id from events group by 1")
@@ -448,7 +456,7 @@ def q_id_type_counts(spark, d):
 
 # Expansion.
 
-_SEEDED = """s as (select o_orderkey as o from orders where o_orderkey < 20),
+_SEEDED = """s as (select o_orderkey as o from orders where o_orderstatus = 'F'),
   l1 as (select l_orderkey as o, l_linenumber as n, l_partkey as x from lineitem where l_orderkey in (select o from s)),
   a1 as (select x from l1 group by x), l2 as (select l_orderkey as o, l_partkey as x from lineitem where l_partkey in (select x from a1)),
   a2 as (select o from l2 where o not in (select o from s) group by o)"""
@@ -492,8 +500,9 @@ def q_expand_budget(spark, d):
 
 @query("select (select count(distinct x) from (select l_partkey as x from lineitem union select o_orderkey from orders)) as total")
 def q_union_plan_total(spark, d):
-    own = table(spark, d, "lineitem").select(F.col("l_partkey").alias("x")).union(table(spark, d, "orders").select("o_orderkey"))
-    return own.agg(F.countDistinct("x").alias("total"))
+    one = table(spark, d, "lineitem").select(F.col("l_partkey").alias("id"))
+    other = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"))
+    return stats.plan_total(one, other)
 
 
 # Article XML.
