@@ -33,6 +33,8 @@ LIST, CHUNK = 64, 1024
 CHANCE_COST, CHANCE = 10.0, 0.5
 #: Rounds in which each member of an open group is compared with its nearest alone.
 NEAREST = 1
+#: Parts over which the members of one signature are dealt when they meet what is known of it.
+SALTS = 32
 #: Sets made at once when they are fetched.
 FETCHED = 256
 INDEX, PROBE, EMPTY, HEAVY = 1, 2, 4, 8
@@ -327,6 +329,13 @@ def _verify(rule: Rule):
     return run
 
 
+def _with(members: DataFrame, keys: DataFrame) -> DataFrame:
+    """``members`` (``key, doc``) with the one row of their ``key``. A key of very many members is dealt over SALTS."""
+    salt, salts = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"), F.sequence(F.lit(0), F.lit(SALTS - 1))
+    each = keys.withColumn("salt", F.explode(salts))
+    return members.withColumn("salt", salt).join(each, ["key", "salt"]).drop("salt")
+
+
 class _Join:
     def __init__(self, documents: DataFrame, k: int, percent: int):
         self.spark: SparkSession = documents.sparkSession
@@ -379,7 +388,7 @@ class _Join:
         others = F.explode(F.slice("docs", F.lit(2), F.lit(LIST)))
         stars = (
             lists.select(F.col("docs")[0].alias("a"), others.alias("b"))
-            .union(large.join(heads, "key").where("a <> doc").select("a", F.col("doc").alias("b")))
+            .union(_with(large, heads).where("a <> doc").select("a", F.col("doc").alias("b")))
             .union(groups.where("kind = 3").select(F.array_min("docs").alias("a"), F.array_max("docs").alias("b")))
             .distinct()
         )
@@ -413,7 +422,7 @@ class _Join:
         sizes = tagged.groupBy("key", "component").agg(F.count("*").alias("m"))
         open_keys = sizes.groupBy("key").agg(F.count("*").alias("c"), F.sum("m").alias("m"), F.max_by("component", "m").alias("main")).where("c > 1").select("key", "m", "main")
         members = self.scratch.save(
-            tagged.join(open_keys, "key").withColumn("chunk", F.pmod(F.xxhash64("doc"), F.ceil(F.col("m") / CHUNK))).join(known.drop("component"), "doc"), name
+            _with(tagged, open_keys).withColumn("chunk", F.pmod(F.xxhash64("doc"), F.ceil(F.col("m") / CHUNK))).join(known.drop("component"), "doc"), name
         )
         chunks = members.groupBy("key", "chunk").agg(F.collect_list(member).alias("right"))
         few = members.where("component <> main").groupBy("key", "chunk").agg(F.collect_list(member).alias("left")).drop("chunk")

@@ -88,3 +88,12 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 150), (150, 170), (150, 200)]
     found = dict(components(spark.createDataFrame(chain, "a long, b long"), Scratch(spark, "t")).collect())
     assert found == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 140)} | {170: 150, 200: 150}
+
+
+def test_texts_of_one_id_all_count(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(3, a), (3, b), (7, b), (9, b + " more"), (5, a + " more"), (11, "c d e f g")]
+    for given in (rows, rows[::-1]):
+        df = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+        found = {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(df, 4, 85).collect()}
+        assert found == {(3, 3), (7, 3), (9, 3), (5, 3), (11, 11)}
