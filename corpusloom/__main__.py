@@ -1,4 +1,4 @@
-"""Command line: compare corpora, list ids of archives, compile searches, look after workspaces."""
+"""Command line: settings, collecting from the sources, mirrors, archives, workspaces, searches, comparisons."""
 
 from __future__ import annotations
 
@@ -60,6 +60,92 @@ def workspace(args: argparse.Namespace) -> None:
         w.clear(keep_history=args.keep_history)
 
 
+def settings(args: argparse.Namespace):
+    from corpusloom import config
+
+    return config.load({"email": args.email, "api_key": args.api_key})
+
+
+def show_config(args: argparse.Namespace) -> None:
+    print(json.dumps(settings(args).shown(), indent=2, ensure_ascii=False))
+
+
+def _services(args: argparse.Namespace):
+    from corpusloom.plans.fetchers import Services
+
+    return Services(args.transport, settings(args).http())
+
+
+def fetch(args: argparse.Namespace) -> None:
+    """Collects from the sources of a search, or shows what would be collected."""
+    from dataclasses import asdict, replace
+
+    from corpusloom.plans.collect import Workspace, collect
+
+    s = Search.from_json(Path(args.config).read_text())
+    if args.source:
+        s = replace(s, sources=tuple(args.source))
+    if args.max_results is not None:
+        s = replace(s, max_results_per_source=args.max_results)
+    reached, spark = _services(args), _spark()
+    if args.dry_run:
+        finders = reached.finders()
+        for source in s.sources or ("pmc",):
+            print(json.dumps({"source": source, "found": finders[source](spark, s, None).count()}))
+        return
+    outcomes, total = collect(Workspace(spark, args.root), s, reached.finders(), reached.fetchers(), args.update)
+    for o in outcomes:
+        print(json.dumps(asdict(o)))
+    print(json.dumps({"source": "all", "counts": total}))
+
+
+def update(args: argparse.Namespace) -> None:
+    from dataclasses import asdict
+
+    from corpusloom.plans.collect import Workspace, refresh
+
+    reached = _services(args)
+    for o in refresh(Workspace(_spark(), args.root), reached.finders(), reached.fetchers()):
+        print(json.dumps(asdict(o)))
+
+
+def mirror(args: argparse.Namespace) -> None:
+    """A dry run unless ``--go``."""
+    from corpusloom.plans.sync import Mirror
+    from corpusloom.sources.files import file_list
+    from corpusloom.sources.services import Http
+
+    spark = _spark()
+    m = Mirror(spark, args.root)
+    if args.action == "status":
+        _shown(m.status().collect())
+    elif args.action == "verify":
+        _shown(m.verify().where("state <> 'verified'").collect())
+    else:
+        remote = file_list(spark, args.list, args.subset)
+        if not args.go:
+            print(json.dumps({"pending": m.pending(remote).count()}))
+            return
+        http = Http(**settings(args).http())
+        done = m.sync(remote, lambda name: http.raw(f"{args.base.rstrip('/')}/{name}", "efetch"), args.n)
+        print(json.dumps({"downloaded": done.downloaded, "bytes": done.bytes, "failed": done.failed}))
+
+
+def archive(args: argparse.Namespace) -> None:
+    from corpusloom.sources.files import archive_folder, embed_documents
+
+    n = archive_folder(args.folder, args.path)
+    if args.provenance:
+        embed_documents(args.path, {"provenance": json.loads(Path(args.provenance).read_text())})
+    print(json.dumps({"files": n, "archive": args.path}))
+
+
+def _reaching(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--email")
+    p.add_argument("--api-key")
+    p.add_argument("--transport", help="module:name of another transport than HTTP")
+
+
 def main(argv: list[str] | None = None) -> int:
     top = argparse.ArgumentParser(prog="corpusloom", description=__doc__)
     sub = top.add_subparsers(required=True)
@@ -80,6 +166,37 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("-n", type=int, default=5)
     p.add_argument("--keep-history", action="store_true")
     p.set_defaults(run=workspace)
+    p = sub.add_parser("config", help="the settings that hold, the key masked")
+    _reaching(p)
+    p.set_defaults(run=show_config)
+    p = sub.add_parser("fetch", help="collect from sources into a workspace")
+    p.add_argument("config")
+    p.add_argument("root")
+    p.add_argument("--source", action="append", choices=("pmc", "europepmc", "biorxiv", "medrxiv", "arxiv", "chemrxiv"))
+    p.add_argument("--max-results", type=int)
+    p.add_argument("--update", action="store_true", help="only what is new since the last run without errors")
+    p.add_argument("--dry-run", action="store_true")
+    _reaching(p)
+    p.set_defaults(run=fetch)
+    p = sub.add_parser("update", help="each source of a workspace again, for what is new")
+    p.add_argument("root")
+    _reaching(p)
+    p.set_defaults(run=update)
+    p = sub.add_parser("mirror", help="sync (dry unless --go), status or verification of a mirror")
+    p.add_argument("action", choices=("sync", "status", "verify"))
+    p.add_argument("root")
+    p.add_argument("--list", help="the remote list of files")
+    p.add_argument("--subset", default="oa_comm")
+    p.add_argument("--base", help="address before the names of files")
+    p.add_argument("--go", action="store_true")
+    p.add_argument("-n", type=int)
+    _reaching(p)
+    p.set_defaults(run=mirror)
+    p = sub.add_parser("archive", help="archive of a folder, with a document of provenance if given")
+    p.add_argument("folder")
+    p.add_argument("path")
+    p.add_argument("--provenance")
+    p.set_defaults(run=archive)
     args = top.parse_args(argv)
     try:
         args.run(args)

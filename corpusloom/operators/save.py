@@ -42,3 +42,10 @@ def added(articles: DataFrame, index: DataFrame) -> DataFrame:
 def metadata_csv(rows: DataFrame, path: str) -> None:
     """Metadata of converted files; lists of notes are joined."""
     rows.withColumn("notes", F.array_join("notes", ";")).write.mode("overwrite").csv(path, header=True)
+
+
+def unified_manifest(outcomes: DataFrame, articles: DataFrame) -> DataFrame:
+    """One row of JSON for a run over several sources: the counts of each and of all, and of the manifest."""
+    by = F.map_from_entries(F.array_sort(F.collect_list(F.struct("source", F.struct(*[c for c in outcomes.columns if c != "source"])))))
+    counts = manifest_counts(articles).select(F.struct("*").alias("manifest"))
+    return outcomes.agg(by.alias("sources")).join(F.broadcast(counts)).select(F.to_json(F.struct("sources", "manifest")).alias("json"))

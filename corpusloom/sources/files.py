@@ -154,3 +154,45 @@ def write_archive(rows: Iterator, path: str, documents: dict[str, dict], folder:
             add(f"{folder}/{name}.json", json.dumps(doc, indent=2, sort_keys=True).encode())
     os.replace(temp, path)
     return stats
+
+
+#: Folders of a corpus that never go into an archive of it.
+CONTROL = ("valid", "incomplete", "_duplicates")
+
+
+def archive_folder(root: str, path: str, exclude: tuple[str, ...] = CONTROL, compression: str = "gz") -> int:
+    """Archives the files of a local folder, in order of their names, without those of control folders. Returns how many.
+    The archive appears whole or not at all."""
+    import os
+    from pathlib import Path
+
+    top, n = Path(root), 0
+    with tarfile.open(f"{path}.part", f"w:{compression}" if compression != "none" else "w") as tar:
+        for p in sorted(x for x in top.rglob("*") if x.is_file()):
+            name = p.relative_to(top)
+            if name.parts[0] not in exclude:
+                tar.add(p, str(name))
+                n += 1
+    os.replace(f"{path}.part", path)
+    return n
+
+
+def embed_documents(path: str, documents: dict[str, dict], folder: str = ".provenance") -> int:
+    """Puts JSON documents into an existing archive, in place of those that it has in ``folder``; members stay as they
+    are. Returns how many members stayed. A broken archive raises and stays."""
+    import os
+
+    kept = 0
+    mode = "gz" if path.endswith("gz") else "xz" if path.endswith("xz") else "bz2" if path.endswith("bz2") else ""
+    with tarfile.open(path) as old, tarfile.open(f"{path}.part", f"w:{mode}") as new:
+        for m in old:
+            if not m.name.startswith(f"{folder}/"):
+                new.addfile(m, old.extractfile(m) if m.isfile() else None)
+                kept += 1
+        for name, doc in documents.items():
+            body = json.dumps(doc, indent=2, sort_keys=True).encode()
+            info = tarfile.TarInfo(f"{folder}/{name}.json")
+            info.size = len(body)
+            new.addfile(info, io.BytesIO(body))
+    os.replace(f"{path}.part", path)
+    return kept

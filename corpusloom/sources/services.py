@@ -1,35 +1,56 @@
 """Remote services as a Spark data source.
 
-``spark.read.format("literature")`` reads pages of a service as rows ``page, body``; :mod:`corpusloom.sources.feeds` parses
-them. A transport is any picklable callable from (service, parameters) to a page's text or None; the default one fetches
-over HTTP. Cursors follow one another, so they make one partition; pages by offset are read in parallel.
+``spark.read.format("literature")`` reads pages of a service as rows ``page, body, error``;
+:mod:`corpusloom.sources.feeds` parses them. A transport is any picklable callable from (service, parameters) to a page's
+text, or None for what the service says it does not have; any other failure is a :class:`ServiceError`. A scan that fails
+in the middle raises it with the pages that were read, or ends in a row with ``error`` where that is asked for: it never
+looks complete. Pages that follow one another make one partition; where the total is known, pages by offset are read in
+parallel.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 Transport = Callable[[str, dict], "str | None"]
 
-# Addresses of the services, and seconds that must pass between two requests.
+# Addresses of the services, and seconds that must pass between two requests. Names in braces are taken from
+# the parameters; the others go behind the question mark.
 SERVICES = {
     "europepmc": ("https://www.ebi.ac.uk/europepmc/webservices/rest/search", 0.2),
+    "europepmc_links": ("https://www.ebi.ac.uk/europepmc/webservices/rest/{source}/{id}/{kind}", 0.2),
+    "europepmc_text": ("https://www.ebi.ac.uk/europepmc/webservices/rest/{id}/fullTextXML", 0.2),
     "esearch": ("https://eutils.ncbi.nlm.nih.gov/entrez/eutils/esearch.fcgi", 0.34),
     "efetch": ("https://eutils.ncbi.nlm.nih.gov/entrez/eutils/efetch.fcgi", 0.34),
     "idconv": ("https://pmc.ncbi.nlm.nih.gov/tools/idconv/api/v1/articles/", 0.34),
     "arxiv": ("https://export.arxiv.org/api/query", 3.0),
-    "biorxiv": ("https://api.biorxiv.org/details", 1.0),
+    "biorxiv": ("https://api.biorxiv.org/details/{server}/{interval}/{cursor}/json", 1.0),
+    "biorxiv_doi": ("https://api.biorxiv.org/details/{server}/{doi}/na/json", 1.0),
     "chemrxiv": ("https://chemrxiv.org/engage/chemrxiv/public-api/v1/items", 1.0),
+    "chemrxiv_item": ("https://chemrxiv.org/engage/chemrxiv/public-api/v1/items/{id}", 1.0),
+    "chemrxiv_doi": ("https://chemrxiv.org/engage/chemrxiv/public-api/v1/items/doi/{doi}", 1.0),
 }
+NCBI = ("esearch", "efetch", "idconv")
+#: Seconds between requests to NCBI by who has a key, and ids in one request.
+KEYED_INTERVAL, BATCH = 0.1, 200
+
+
+class ServiceError(Exception):
+    """A request that failed for good, with the pages that were read before it."""
+
+    def __init__(self, service: str, reason: str, pages: list[str] | None = None):
+        super().__init__(f"{service}: {reason}")
+        self.service, self.reason, self.pages = service, reason, pages or []
 
 
 class Limiter:
@@ -44,45 +65,156 @@ class Limiter:
         self.last = self.clock()
 
 
+def address(service: str, params: dict) -> str:
+    """The URL of a request."""
+    url, own = SERVICES[service][0], dict(params)
+    filled = re.sub(r"\{(\w+)\}", lambda m: urllib.parse.quote(str(own.pop(m[1])), safe="/"), url)
+    return f"{filled}?{urllib.parse.urlencode(own)}" if own else filled
+
+
 @dataclass
 class Http:
-    """Fetches with a limit on the rate, and tries again after 429 and 5xx, longer each time or as long as it is told."""
+    """Fetches with a limit on the rate of each service, kept over calls, and tries again after 429 and 5xx, longer each
+    time or as long as it is told. What a service does not have (404) is None; other failures raise."""
 
     tries: int = 5
     first_wait: float = 1.0
     timeout: float = 30.0
-
-    def __call__(self, service: str, params: dict) -> str | None:
-        url, interval = SERVICES[service]
-        limiter = Limiter(interval)
+    email: str | None = None
+    api_key: str | None = None
+    tool: str = "corpusloom"
+    open: Callable = urllib.request.urlopen
+    clock: Callable[[], float] = time.monotonic
+    sleep: Callable[[float], None] = time.sleep
+    limiters: dict = field(default_factory=dict, repr=False)
+
+    def interval(self, service: str) -> float:
+        return KEYED_INTERVAL if service in NCBI and self.api_key else SERVICES[service][1]
+
+    def base(self, service: str) -> dict:
+        """What every request to NCBI carries."""
+        if service not in NCBI:
+            return {}
+        named = {"tool": self.tool, "email": self.email, "api_key": self.api_key}
+        return {k: v for k, v in named.items() if v}
+
+    def raw(self, url: str, service: str) -> bytes | None:
+        host = urllib.parse.urlsplit(url).netloc  # services of one host share its limit
+        limiter = self.limiters.setdefault(host, Limiter(self.interval(service), self.clock, self.sleep))
+        reason = "no answer"
         for k in range(self.tries):
             limiter.wait()
+            pause = self.first_wait * 2**k
             try:
-                with urllib.request.urlopen(f"{url}?{urllib.parse.urlencode(params)}", timeout=self.timeout) as r:
-                    return r.read().decode("utf-8", "replace")
+                with self.open(url, timeout=self.timeout) as r:
+                    return r.read()
             except urllib.error.HTTPError as e:
-                if e.code != 429 and e.code < 500:
+                if e.code == 404:
                     return None
-                time.sleep(float(e.headers.get("Retry-After") or self.first_wait * 2**k))
-            except OSError:
-                time.sleep(self.first_wait * 2**k)
-        return None
-
-
-def cursor_pages(fetch: Transport, service: str, params: dict, limit: int | None) -> Iterator[tuple[int, str]]:
-    """Pages from cursor to cursor, until it stops moving or the limit on rows is reached."""
-    cursor, page, rows = "*", 0, 0
-    while cursor:
-        body = fetch(service, params | {"cursorMark": cursor, "format": "json"})
-        if body is None:
-            return
-        yield page, body
-        found = json.loads(body)
-        n = len((found.get("resultList") or {}).get("result") or ())
-        rows, page, new = rows + n, page + 1, found.get("nextCursorMark")
-        if not n or new == cursor or (limit and rows >= limit):
+                reason = f"HTTP {e.code}"
+                if e.code != 429 and e.code < 500:
+                    break
+                told = e.headers.get("Retry-After") if e.headers else None
+                pause = float(told) if told and told.isdigit() else pause
+            except OSError as e:
+                reason = str(e) or type(e).__name__
+            if k + 1 < self.tries:
+                self.sleep(pause)
+        raise ServiceError(service, reason)
+
+    def __call__(self, service: str, params: dict) -> str | None:
+        found = self.raw(address(service, self.base(service) | params), service)
+        return None if found is None else found.decode("utf-8", "replace")
+
+    def download(self, url: str, path: str, service: str) -> bool:
+        """A file to a path, whole or not at all; False if the service has none."""
+        import os
+
+        found = self.raw(url, service)
+        if found is None:
+            return False
+        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+        with open(f"{path}.part", "wb") as out:
+            out.write(found)
+        os.replace(f"{path}.part", path)
+        return True
+
+
+# Paging: each yields the parameters of the next page as long as the last one says that there is more.
+
+
+def _rows(found: dict, *path: str) -> int:
+    for name in path:
+        found = found.get(name) or {}
+    return len(found) if isinstance(found, list) else 1 if found else 0
+
+
+def _cursor(found: dict, n: int, params: dict) -> tuple[int, dict | None]:
+    rows, new = _rows(found, "resultList", "result"), found.get("nextCursorMark")
+    more = rows and new and new != params["cursorMark"]
+    return rows, {"cursorMark": new} if more else None
+
+
+def _numbered(found: dict, n: int, params: dict) -> tuple[int, dict | None]:
+    outer, inner = ("citationList", "citation") if params["kind"] == "citations" else ("referenceList", "reference")
+    rows, hits = _rows(found, outer, inner), str(found.get("hitCount") or "")
+    return rows, {"page": params["page"] + 1} if rows and hits.isdigit() and n + rows < int(hits) else None
+
+
+def _biorxiv(found: dict, n: int, params: dict) -> tuple[int, dict | None]:
+    rows, told = _rows(found, "collection"), (found.get("messages") or [{}])[0]
+    total = str(told.get("total") or "")
+    return rows, {"cursor": int(params["cursor"]) + rows} if rows and total.isdigit() and int(params["cursor"]) + rows < int(total) else None
+
+
+def _chemrxiv(found: dict, n: int, params: dict) -> tuple[int, dict | None]:
+    rows, total = _rows(found, "itemHits"), int(found.get("totalCount") or 0)
+    return rows, {"skip": params["skip"] + rows} if rows and params["skip"] + rows < total else None
+
+
+def _arxiv(body: str, n: int, params: dict) -> tuple[int, dict | None]:
+    rows = len(re.findall(r"<entry[\s>]", body))
+    total = re.search(r"totalResults[^>]*>(\d+)<", body)
+    more = rows and total and params["start"] + rows < int(total[1])
+    return rows, {"start": params["start"] + rows} if more else None
+
+
+#: First parameters and the step of each paged service; ``size`` names the parameter for rows of a page and their most.
+PAGED = {
+    "europepmc": ({"cursorMark": "*", "format": "json", "resultType": "core"}, ("pageSize", 1000), _cursor),
+    "europepmc_links": ({"page": 1, "format": "json"}, ("pageSize", 1000), _numbered),
+    "biorxiv": ({"cursor": 0}, None, _biorxiv),
+    "chemrxiv": ({"skip": 0}, ("limit", 50), _chemrxiv),
+    "arxiv": ({"start": 0, "sortBy": "submittedDate", "sortOrder": "descending"}, ("max_results", 200), _arxiv),
+}
+
+
+def scan(fetch: Transport, service: str, params: dict, limit: int | None = None, size: int = 100) -> Iterator[str]:
+    """The pages of a search, one after the other, until the service has no more or they hold ``limit`` rows. Services
+    without pages give one. A page that fails raises, with the pages before it."""
+    first, sized, step = PAGED.get(service, ({}, None, None))
+    params = first | ({sized[0]: min(size, sized[1])} if sized else {}) | params
+    read: list[str] = []
+    n = 0
+    while params is not None:
+        try:
+            body = fetch(service, params)
+            if body is None and read:
+                raise ServiceError(service, "a page is missing")
+            if body is None:
+                return
+            found = json.loads(body) if step not in (None, _arxiv) else body
+        except ServiceError as e:
+            raise ServiceError(service, e.reason, read) from e
+        except ValueError as e:
+            raise ServiceError(service, f"not JSON: {e}", read) from e
+        yield body
+        if step is None:
             return
-        cursor = new
+        read.append(body)
+        rows, new = step(found, n, params)
+        n += rows
+        params = None if new is None or limit and n >= limit else params | new
 
 
 class Pages(InputPartition):
@@ -94,22 +226,32 @@ class LiteratureReader(DataSourceReader):
     def __init__(self, options: dict):
         self.service, self.params = options["service"], json.loads(options.get("params", "{}"))
         self.limit, self.size = int(options.get("limit") or 0) or None, int(options.get("pagesize") or 100)
-        self.total = int(options.get("total") or 0)
-        self.fetch: Transport = _loaded(options["transport"]) if options.get("transport") else Http()
+        self.total, self.mark = int(options.get("total") or 0), options.get("onerror", "raise") == "mark"
+        self.http = json.loads(options.get("http", "{}"))
+        self.transport = options.get("transport")
 
     def partitions(self) -> list[InputPartition]:
-        total = min(self.total, self.limit or self.total)
+        total = min(self.total, self.limit or self.total) if self.service == "chemrxiv" else 0
         return [Pages(o) for o in range(0, total, self.size)] or [Pages(None)]
 
     def read(self, partition: Pages) -> Iterator[tuple]:
-        if partition.offset is not None:
-            body = self.fetch(self.service, self.params | {"skip": partition.offset, "limit": self.size})
-            if body is not None:
-                yield partition.offset // self.size, body
-        elif self.service == "europepmc":
-            yield from cursor_pages(self.fetch, self.service, self.params | {"pageSize": min(self.size, 1000)}, self.limit)
-        elif (body := self.fetch(self.service, self.params)) is not None:
-            yield 0, body
+        fetch = _loaded(self.transport) if self.transport else Http(**self.http)
+        first = 0 if partition.offset is None else partition.offset // self.size
+        page = first
+        try:
+            if partition.offset is None:
+                for body in scan(fetch, self.service, self.params, self.limit, self.size):
+                    yield page, body, None
+                    page += 1
+            else:
+                body = fetch(self.service, self.params | {"skip": partition.offset, "limit": self.size})
+                if body is None:
+                    raise ServiceError(self.service, "a page is missing")
+                yield page, body, None
+        except ServiceError as e:
+            if not self.mark:
+                raise
+            yield page, None, e.reason
 
 
 def _loaded(name: str) -> Transport:
@@ -126,17 +268,33 @@ class Literature(DataSource):
         return "literature"
 
     def schema(self) -> str:
-        return "page int, body string"
+        return "page int, body string, error string"
 
     def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
         return LiteratureReader(self.options)
 
 
-def pages(spark: SparkSession, service: str, params: dict, transport: str | None = None, limit: int | None = None, size: int = 100, total: int | None = None) -> DataFrame:
-    """Pages of a service. ``total``: rows there are, where pages go by offset."""
+def pages(
+    spark: SparkSession,
+    service: str,
+    params: dict,
+    transport: str | None = None,
+    limit: int | None = None,
+    size: int = 100,
+    total: int | None = None,
+    http: dict | None = None,
+    on_error: str = "raise",
+) -> DataFrame:
+    """Pages of a service: ``page, body, error``. ``total``: rows there are, where pages go by offset. ``on_error``:
+    "raise", or "mark" for a last row with the error."""
     spark.dataSource.register(Literature)
-    options = {"service": service, "params": json.dumps(params), "pagesize": str(size), "limit": str(limit or 0), "total": str(total or 0)}
-    return spark.read.format("literature").options(**options, **({"transport": transport} if transport else {})).load()
+    options = {
+        "service": service, "params": json.dumps(params), "pagesize": str(size), "limit": str(limit or 0),
+        "total": str(total or 0), "http": json.dumps(http or {}), "onerror": on_error,
+    }
+    if transport:
+        options["transport"] = transport
+    return spark.read.format("literature").options(**options).load()
 
 
 def batches(keys: list[str], size: int) -> list[list[str]]:
@@ -149,14 +307,77 @@ def pmid_query(pmids: list[str]) -> str:
     return f"EXT_ID:({' OR '.join(pmids)}) AND SRC:MED"
 
 
-def fetch_texts(articles: DataFrame, transport: Transport, key: str = "pmcid") -> DataFrame:
-    """``key, xml`` of each article, null where it can't be had; one limiter for each partition. Write the result before
-    using it twice: fetching again would ask again."""
+# The query for an article by each kind of id.
+POINT = {"pmcid": "PMCID:{}", "pmid": "EXT_ID:{} AND SRC:MED", "doi": 'DOI:"{}"'}
+
+
+def lookup(fetch: Transport, kind: str, id_: str) -> dict | None:
+    """The first article that Europe PMC has for an id of this kind, or None."""
+    body = fetch("europepmc", {"query": POINT[kind].format(id_), "format": "json", "resultType": "core", "pageSize": 1})
+    found = (((json.loads(body) if body else {}).get("resultList") or {}).get("result")) or []
+    return found[0] if found else None
+
+
+def esearch(fetch: Transport, query: str, most: int = 10_000, db: str = "pubmed") -> list[str]:
+    """Ids that a search finds. An answer that holds an error raises."""
+    body = fetch("esearch", {"db": db, "term": query, "retmax": most, "retmode": "json"})
+    found = (json.loads(body) if body else {}).get("esearchresult") or {}
+    if "ERROR" in found:
+        raise ServiceError("esearch", str(found["ERROR"]))
+    return list(found.get("idlist") or [])
+
+
+def converted(fetch: Transport, ids: list[str], kind: str = "pmid") -> dict[str, dict]:
+    """What the converter knows of each id, BATCH to a request; ids in error are left out."""
+    out: dict[str, dict] = {}
+    for some in batches(ids, BATCH):
+        body = fetch("idconv", {"ids": ",".join(some), "idtype": kind, "format": "json"})
+        for r in (json.loads(body) if body else {}).get("records") or ():
+            if r.get("status") != "error":
+                asked = r.get("requested-id") or r.get(kind)
+                out[str(asked)] = {k: str(r[k]) for k in ("pmid", "pmcid", "doi") if r.get(k)}
+    return out
+
+
+def split_articles(xml: str | None) -> dict[str, str]:
+    """The articles of an answer to a request for several, by the number of their PMCID."""
+    out = {}
+    for body in re.findall(r"<article[\s>].*?</article>", xml or "", re.S):
+        found = re.search(r'pub-id-type="pmc(?:id|aid)?"[^>]*>\s*(?:PMC)?(\d+)', body[: body.find("<body") if "<body" in body else None])
+        if found:
+            out.setdefault(found[1], body)
+    return out
+
+
+def fetch_batch(fetch: Transport, pmcids: list[str], size: int = BATCH) -> dict[str, str | None]:
+    """Full texts by id as the caller spells it, several to a request; null where there is none or the request fails."""
+    out: dict[str, str | None] = dict.fromkeys(pmcids)
+    number = {p: re.sub(r"\D", "", p) for p in out}
+    for some in batches([p for p in out if number[p]], size):
+        try:
+            found = split_articles(fetch("efetch", {"db": "pmc", "id": ",".join(number[p] for p in some)}))
+        except ServiceError:
+            continue
+        for p in some:
+            out[p] = found.get(number[p])
+    return out
+
+
+def fetch_texts(articles: DataFrame, transport: Transport, key: str = "pmcid", service: str = "efetch") -> DataFrame:
+    """``key, xml`` of each article, null where it can't be had. The rows are read by one task, which keeps the limits of
+    the services; ids are asked for in batches. Write the result before using it twice: fetching again would ask again."""
     import pyarrow as pa
 
+    def text(id_: str) -> str | None:
+        try:
+            return transport(service, {"id": id_})
+        except ServiceError:
+            return None
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows:
-            ids = b[key].to_pylist()
-            yield pa.record_batch({key: b[key], "xml": pa.array([transport("efetch", {"db": "pmc", "id": i}) for i in ids], pa.string())})
+            ids = [i or "" for i in b[key].to_pylist()]
+            found = fetch_batch(transport, ids) if service == "efetch" else {i: text(i) for i in ids}
+            yield pa.record_batch({key: b[key], "xml": pa.array([found[i] for i in ids], pa.string())})
 
-    return articles.select(key).mapInArrow(run, f"{key} string, xml string")
+    return articles.select(key).coalesce(1).mapInArrow(run, f"{key} string, xml string")

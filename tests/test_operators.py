@@ -202,16 +202,7 @@ def test_links_and_ids(spark):
     assert [r.pmid for r in feeds.esearch_ids(spark.createDataFrame([('{"esearchresult": {"count": "2", "idlist": ["1", "2"]}}',)], "json string")).collect()] == ["1", "2"]
 
 
-def fake(service, params):
-    if service == "europepmc":
-        n = {"*": 0, "a": 1, "b": 2}[params["cursorMark"]]
-        return json.dumps({"nextCursorMark": "abb"[n], "resultList": {"result": [{"id": str(n)}] if n < 2 else []}})
-    return json.dumps({"skip": params["skip"]})
-
-
 def test_services(spark):
-    assert [p for p, _ in services.cursor_pages(fake, "europepmc", {}, None)] == [0, 1, 2]
-    assert len(list(services.cursor_pages(fake, "europepmc", {}, 1))) == 1
     slept = []
     limiter = services.Limiter(2.0, clock=lambda: 10.0 + sum(slept), sleep=slept.append)
     limiter.wait(), limiter.wait()
