@@ -1,0 +1,39 @@
+"""The registered queries of the subpackage that SQL can express, against it on the smallest tables."""
+
+import math
+import os
+
+import duckdb
+import pytest
+
+from corpusloom.llm import queries
+
+DATA = "/root/testdata/sf0.001"
+
+
+def plain(v):
+    return float(f"{v:.9g}") if isinstance(v, float) and not math.isnan(v) else v
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
+    df = queries.QUERIES[name](spark, DATA)
+    columns = sorted(df.columns)
+    expected = con.sql(queries.ORACLE[name])
+    assert sorted(expected.columns) == columns
+    rows = expected.select(*[f'"{c}"' for c in columns]).fetchall()
+    found = df.select(*columns).collect()
+    assert sorted(([plain(v) for v in r] for r in found), key=repr) == sorted(([plain(v) for v in r] for r in rows), key=repr)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no tables")
+def test_held_out_rows_are_those_of_the_checksum(spark):
+    import zlib
+
+    for name, n, remainder in (("op9_toxicity", 3, 1), ("op10_language_id", 4, 2)):
+        for r in queries.QUERIES[name](spark, DATA).select("doc_id", "held_out").collect():
+            assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % n == remainder)
