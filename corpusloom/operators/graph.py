@@ -145,7 +145,9 @@ def expand(seeds: DataFrame, edges: DataFrame, kinds: tuple[str, ...] = KINDS, d
 def coverage(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """One row: how many seeds have citations, references, both, neither, in number and percent of all seeds."""
     nodes = seeds.select("ord", record_node().alias("node")).select("ord", F.col("node.source").alias("src_source"), F.col("node.id").alias("src_id"))
-    has = edges.groupBy("src_source", "src_id").agg(*[F.bool_or(F.col("kind") == k).alias(k) for k in KINDS])
+    # Only the seeds' own edges are counted; the others don't reach the aggregate.
+    own = edges.join(nodes.select("src_source", "src_id").distinct(), ["src_source", "src_id"], "left_semi")
+    has = own.groupBy("src_source", "src_id").agg(*[F.bool_or(F.col("kind") == k).alias(k) for k in KINDS])
     flags = nodes.join(has, ["src_source", "src_id"], "left").select(*[F.coalesce(k, F.lit(False)).alias(k) for k in KINDS])
     r, c = (F.col(k) for k in KINDS)
     counts = flags.agg(F.count("*").alias("seeds"), F.count_if(c).alias("with_citations"), F.count_if(r).alias("with_references"), F.count_if(c & r).alias("with_both"), F.count_if(~c & ~r).alias("with_neither"))
