@@ -24,14 +24,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose language can't be told: null texts and texts without a letter. A null ``lang`` becomes
     the prediction, and stays null where no document states a language; stated languages stay."""
     learned = langid.learn(docs)
-    found = langid.identify(docs.withColumn("__body", F.col("text")), learned)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # apart from what the operator adds
+    found = langid.identify(docs.select(row, "text"), learned)
     if learned.limit(1).count():
         found = found.where(F.col("lang_pred") != langid.UNKNOWN)
     else:  # no document states a language, so none is told from another
-        found = found.where(F.regexp_like("__body", F.lit(r"\p{L}"))).withColumn("lang_pred", F.lit(None).cast("string"))
-    columns = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col("__body")}
+        letter = F.regexp_like("row.text", F.lit(r"\p{L}"))
+        found = found.where(letter).withColumn("lang_pred", F.lit(None).cast("string"))
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns}
     if "lang" in columns:
-        columns["lang"] = F.coalesce("lang", "lang_pred")
+        columns["lang"] = F.coalesce("row.lang", "lang_pred")
     return found.select(*[c.alias(k) for k, c in columns.items()])
 
 
