@@ -74,3 +74,11 @@ def test_documents_without_any_language_stay(spark):
         found = corpus_pipeline.language_id(spark, docs, "")
         assert found.columns == docs.columns
         assert sorted(tuple(r) for r in found.collect()) == [rows[0], rows[3]]
+
+
+def test_clashing_columns_stay(spark):
+    rows = [(1, "some words here", "en", 7.5, "x", "own"), (2, "more words there", None, 8.5, "y", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, lang_pred string, row string")
+    found = corpus_pipeline.language_id(spark, docs, "")
+    assert found.columns == docs.columns
+    assert sorted(tuple(r) for r in found.collect()) == [rows[0], (2, "more words there", "en", 8.5, "y", None)]
