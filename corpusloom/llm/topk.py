@@ -3,8 +3,9 @@
 Vectors of integers are documents whose terms are the dimensions. They are put in ranges, in order of a sign code that
 brings near vectors together, and cut into blocks that keep each term's largest and smallest weight besides the forward
 index, the vectors themselves. A query's sum of term maxima bounds what a block can score. Each query first scores its
-own range, whose k-th score is a threshold that holds everywhere; then it meets the other ranges, where it scores blocks
-in order of their bounds until the bounds fall below its k-th score.
+own range, whose k-th score is a threshold that holds everywhere. Then groups of queries meet lanes of ranges in tiles: a
+tile goes through its ranges, scores blocks in order of their bounds until the bounds fall below a query's k-th score so
+far, and passes that threshold on to its next range. A query gets at most k candidates from each lane.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ from corpusloom.llm.vectors import best, valid_rows, wide
 BLOCK, ROW, QUERIES = 256, 4096, 512
 #: Input bytes of a range, and bits of the sign code.
 RANGE_BYTES, CODE_BITS = 16 << 20, 16
+#: Rows of queries in a tile, and input bytes of a lane: more of them make longer tasks, fewer more copies and candidates.
+TILE_QUERIES, LANE_BYTES = 8, 1 << 30
+#: Most partitions that tiles are dealt to; beyond it, a task has several tiles, one after the other.
+TASKS = 1 << 14
 NOTHING = -(1 << 62)
 PACKED = "kind int, part bigint, d int, ids binary, vectors binary, most binary, least binary, floor binary"
 FOUND = "query_id bigint, vec_id bigint, score bigint"
@@ -50,35 +55,44 @@ class Scored:
         q, c = np.nonzero((scores >= self.floor[query][:, None]) & (ids[None, :] != self.ids[query][:, None]))
         if not len(q):
             return
-        self.query, self.found, self.score = np.r_[self.query, query[q]], np.r_[self.found, ids[c]], np.r_[self.score, scores[q, c]]
-        at = best(self.query, self.found, self.score, self.k)
-        self.query, self.found, self.score = self.query[at], self.found[at], self.score[at]
-        n = np.bincount(self.query, minlength=len(self.ids))
-        last = np.cumsum(n)[n == self.k] - 1
-        self.floor[n == self.k] = np.maximum(self.floor[n == self.k], self.score[last])
+        touched = np.zeros(len(self.ids), bool)
+        touched[query[q]] = True
+        again = touched[self.query]
+        merged = [np.r_[old[again], new] for old, new in zip(self.parts(), (query[q], ids[c], scores[q, c]), strict=True)]
+        at = best(*merged, self.k)
+        merged = [m[at] for m in merged]
+        self.query, self.found, self.score = (np.r_[old[~again], m] for old, m in zip(self.parts(), merged, strict=True))
+        n = np.bincount(merged[0], minlength=len(self.ids))
+        full = n == self.k
+        self.floor[full] = np.maximum(self.floor[full], merged[2][np.cumsum(n)[full] - 1])
+
+    def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.query, self.found, self.score
 
     def batch(self) -> pa.RecordBatch:
         return pa.record_batch({"query_id": self.ids[self.query], "vec_id": self.found, "score": self.score})
 
 
-def search(ids: np.ndarray, queries: np.ndarray, floor: np.ndarray, k: int, cand: np.ndarray, vectors: np.ndarray, most: np.ndarray, least: np.ndarray) -> Scored:
-    """Scores a row of the index, block by block in order of each query's bounds."""
-    scored = Scored(ids, floor, k)
+def search(scored: Scored, queries: np.ndarray, cand: np.ndarray, vectors: np.ndarray, most: np.ndarray, least: np.ndarray) -> int:
+    """Scores a row of the index, block by block in order of each query's bounds. Returns how many pairs of query and
+    block were scored."""
+    pairs = 0
     queries, vectors = wide(queries, vectors)
     _, most = wide(queries, most)
     _, least = wide(queries, least)
     bound = products(np.maximum(queries, 0), most) + products(np.minimum(queries, 0), least)
-    order = np.argsort(-bound, axis=1, kind="stable")
+    order, every = np.argsort(-bound, axis=1, kind="stable"), np.arange(len(queries))
     for turn in range(order.shape[1]):
         block = order[:, turn]
-        live = np.flatnonzero(bound[np.arange(len(ids)), block] >= scored.floor)
+        live = np.flatnonzero(bound[every, block] >= scored.floor)
         if not len(live):
             break
+        pairs += len(live)
         for b in np.unique(block[live]):
             some = live[block[live] == b]
             at = slice(b * BLOCK, (b + 1) * BLOCK)
             scored.add(some, cand[at], products(queries[some], vectors[at]))
-    return scored
+    return pairs
 
 
 def top_k(vectors: DataFrame, is_query: str, k: int, scale: float = 64.0) -> DataFrame:
@@ -93,7 +107,7 @@ def top_k(vectors: DataFrame, is_query: str, k: int, scale: float = 64.0) -> Dat
     spark = vectors.sparkSession
     bound_batches(spark)
     scratch = Scratch(spark, "topk")
-    ranges = bins(vectors, RANGE_BYTES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges, lanes = bins(vectors, RANGE_BYTES), bins(vectors, LANE_BYTES)
     axes = np.random.default_rng(7).choice([-1.0, 1.0], (4096, CODE_BITS))
 
     def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +142,8 @@ def top_k(vectors: DataFrame, is_query: str, k: int, scale: float = 64.0) -> Dat
                 some = own[i : i + QUERIES]
                 row = out[0]
                 most, least = (np.frombuffer(row[c], np.int64).reshape(-1, d) for c in ("most", "least"))
-                home = search(ids[some], m[some], np.full(len(some), NOTHING), k, ids, m, most, least)
+                home = Scored(ids[some], np.full(len(some), NOTHING), k)
+                search(home, m[some], ids, m, most, least)
                 out.append(packed(1, ids[some], m[some], None, home.floor))
             return pa.RecordBatch.from_pylist(out, schema)
 
@@ -148,21 +163,42 @@ def top_k(vectors: DataFrame, is_query: str, k: int, scale: float = 64.0) -> Dat
             yield flush()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Tiles, one after the other; in each the queries come first."""
+        tile, asked, scored, queries = None, [], None, None
         for batch in batches:
             for r in batch.to_pylist():
-                ints = lambda c: np.frombuffer(r[c], np.int64)  # noqa: B023, E731
-                ids, floor = ints("q_ids"), ints("floor")
-                yield search(ids, ints("q_vectors").reshape(-1, r["q_d"]), floor, k, ints("ids"), ints("vectors").reshape(-1, r["d"]), ints("most").reshape(-1, r["d"]), ints("least").reshape(-1, r["d"])).batch()
+                if r["tile"] != tile:
+                    if scored:
+                        yield scored.batch()
+                    tile, asked, scored = r["tile"], [], None
+                ids, m = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["vectors"], np.int64).reshape(-1, r["d"])
+                if r["kind"] == 1:
+                    asked.append((ids, m, np.frombuffer(r["floor"], np.int64)))
+                    continue
+                if asked:
+                    width = max(q.shape[1] for _, q, _ in asked)
+                    queries = np.concatenate([np.pad(q, ((0, 0), (0, width - q.shape[1]))) for _, q, _ in asked])
+                    scored = Scored(np.concatenate([a[0] for a in asked]), np.concatenate([a[2] for a in asked]), k)
+                    asked = []
+                if scored:
+                    most, least = (np.frombuffer(r[c], np.int64).reshape(-1, r["d"]) for c in ("most", "least"))
+                    search(scored, queries, ids, m, most, least)
+        if scored:
+            yield scored.batch()
 
     rows = vectors.select("vec_id", "embedding", F.coalesce(F.expr(is_query), F.lit(False)).alias("asks")).mapInArrow(quantise, "vec_id bigint, asks boolean, code bigint, q array<bigint>")
     ranged = rows.where("size(q) > 0").repartitionByRange(ranges, "code", "vec_id").sortWithinPartitions("code", "vec_id")
     table = scratch.save(ranged.mapInArrow(index, PACKED), "index")
-    parts = table.agg(F.max("part")).first()[0]
-    # Each batch of queries goes to each range: a stated query set against all rows, in blocks.
-    asked = table.where("kind = 1").select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts or 0).cast("bigint"))).alias("part"), F.col("d").alias("q_d"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), "floor"
-    )
-    pairs = table.where("kind = 0").drop("kind", "floor").join(asked, "part")
-    found = pairs.drop("part").mapInArrow(score, FOUND)
+    groups = max(1, -(-table.where("kind = 1").count() // TILE_QUERIES))
+    # Each group of queries meets each lane: a stated query set against all rows, in blocks.
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    columns = ("tile", "kind", "d", "ids", "vectors", "most", "least", "floor")
+    group = F.pmod(F.xxhash64("ids"), F.lit(groups))
+    asked = table.where("kind = 1").withColumn("lane", every(lanes)).withColumn("tile", group * lanes + F.col("lane"))
+    index_rows = table.where("kind = 0").withColumn("group", every(groups)).withColumn("tile", F.col("group") * lanes + F.col("part") % lanes)
+    tiles = asked.select(*columns).union(index_rows.select(*columns))
+    tasks = min(groups * lanes, TASKS)
+    dealt = tiles.repartitionById(tasks, F.pmod("tile", F.lit(tasks)).cast("int")).sortWithinPartitions("tile", F.desc("kind"))
+    found = dealt.mapInArrow(score, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

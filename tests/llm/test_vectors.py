@@ -59,3 +59,26 @@ def test_few_and_none(spark):
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in topk.top_k(few, "vec_id = 0", 5).collect()) == [(0, 1, 7), (0, 2, 50)]
     for none in (few.limit(0), frame(spark, [(0, None)])):
         assert ann.neighbours(none, "vec_id % 50 = 0", 5).count() == topk.top_k(none, "vec_id = 0", 5).count() == 0
+
+
+def test_bounds_prune_clustered_vectors():
+    rng = np.random.default_rng(3)
+    centres = rng.integers(-200, 200, (16, 24))
+    vectors = np.concatenate([c + rng.integers(-8, 9, (topk.BLOCK, 24)) for c in centres])
+    ids, asks = np.arange(len(vectors)), np.arange(0, len(vectors), 20)
+    cuts = range(0, len(vectors), topk.BLOCK)
+    most, least = (np.stack([f(vectors[i : i + topk.BLOCK], axis=0) for i in cuts]) for f in (np.max, np.min))
+    scored = topk.Scored(ids[asks], np.full(len(asks), topk.NOTHING), 20)
+    pairs = topk.search(scored, vectors[asks], ids, vectors, most, least)
+    assert pairs < 0.25 * len(asks) * len(cuts)
+    products = vectors[asks] @ vectors.T
+    for i, q in enumerate(asks):
+        expected = sorted((-s, c) for c, s in enumerate(products[i].tolist()) if c != q)[:20]
+        at = scored.query == i
+        assert sorted(zip((-scored.score[at]).tolist(), scored.found[at].tolist(), strict=True)) == expected
+
+
+def test_tiles_pass_queries_and_lanes(spark, monkeypatch):
+    monkeypatch.setattr(topk, "TILE_QUERIES", 1)
+    monkeypatch.setattr(topk, "ROW", 300)
+    test_exact_top_k(spark)
