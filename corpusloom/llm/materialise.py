@@ -129,9 +129,13 @@ def materialise(documents: DataFrame, path: str, pattern: str, out: str | None =
     Slots depend on the key and on how Spark splits the input. Shards are written in ``waves`` of slots, so that only a
     part of the tokens is being shuffled at a time. To the driver comes a number for each input task. Null and empty
     texts have no sequence; rows that repeat, and rows without an id, have sequences of their own. Texts are cut,
-    never shortened. An empty table gives no shard and no row.
+    never shortened. An empty table gives no shard and no row. Ranks that two bytes can't hold, and an ``end`` that is a
+    rank, are refused.
     """
     spark = documents.sparkSession
+    known = set(bpe.load(path, pattern, LEAF).ranks.values())
+    if end in known or max(end, *known) >= 1 << 16:
+        raise ValueError(f"tokens take two bytes, and {end} must not be one of the ranks of {path}")
     bound_batches(spark)
     scratch = Scratch(spark, "materialise")
     uri = out or scratch.path("shards")

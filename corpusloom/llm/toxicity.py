@@ -136,6 +136,17 @@ class Sparse:
         return np.bincount(self.col, g[self.row], self.width)
 
 
+def gradient(w: np.ndarray, c: float, labels: np.ndarray, cost: np.ndarray, x: Sparse, a: Sparse, b: Sparse, settings: Settings) -> np.ndarray:
+    """Of the loss by the weights and the intercept: log loss of the rows, each of its cost; half of ``l2`` times the
+    squared weights; ``swap`` times the mean squared change of the logit from ``a`` to ``b``."""
+    off = cost * (1 / (1 + np.exp(-(x.dot(w) + c))) - labels)
+    grad = x.back(off) + settings.l2 * w
+    if a.n:
+        change = 2 * settings.swap / a.n * (a.dot(w) - b.dot(w))
+        grad += a.back(change) - b.back(change)
+    return np.r_[grad, off.sum()]
+
+
 def fit(labels: np.ndarray, x: Sparse, a: Sparse, b: Sparse, settings: Settings) -> tuple[np.ndarray, float]:
     """Weights and intercept: mean log loss, classes weighted by the root of their odds, plus the penalties (Adam). ``a``
     has the rows that mention a group, ``b`` the same after the swap."""
@@ -144,12 +155,7 @@ def fit(labels: np.ndarray, x: Sparse, a: Sparse, b: Sparse, settings: Settings)
     cost /= cost.sum()
     w, c, m, v = np.zeros(width), float(np.log(toxic / max(1e-9, 1 - toxic))), np.zeros(width + 1), np.zeros(width + 1)
     for step in range(1, settings.steps + 1):
-        off = cost * (1 / (1 + np.exp(-(x.dot(w) + c))) - labels)
-        grad = x.back(off) + settings.l2 * w
-        if a.n:
-            change = 2 * settings.swap / a.n * (a.dot(w) - b.dot(w))
-            grad += a.back(change) - b.back(change)
-        g = np.r_[grad, off.sum()]
+        g = gradient(w, c, labels, cost, x, a, b, settings)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = 0.1 * (1 - step / (settings.steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
         w, c = w - move[:-1], c - move[-1]
@@ -214,8 +220,9 @@ def learn(documents: DataFrame, labels: DataFrame, settings: Settings | None = N
 
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, text`` to ``doc_id, score`` between 0 and 1; extra columns go along. Null and empty texts get the
-    score of no word; texts are read whole; equal texts get equal scores."""
+    """``doc_id, text`` to ``doc_id, score`` between 0 and 1; extra columns go along, but for one named ``score``. Null
+    and empty texts get the score of no word; texts are read whole; equal texts get equal scores. Rows that repeat stay;
+    an empty table gives no rows."""
     bound_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe, langid, licences, materialise, mixing, toxicity
 
@@ -47,6 +48,9 @@ def test_shards_hold_every_sequence(spark, tmp_path):
     assert 90 not in parts and 91 not in parts and None in parts
     assert [x.tolist() for x in materialise.read(uri, 40, 5, 16, 32)] == [x.tolist() for x in read[40:45]]
     assert materialise.materialise(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+    for end in (0, 1 << 16):
+        with pytest.raises(ValueError):
+            materialise.materialise(df, PATH, public_tokenizers.PATTERN, end=end)
 
 
 # Licences.
@@ -145,17 +149,97 @@ def test_toxicity(spark):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows if r[0] % 3] + [(None, 1), (5, None), (8, 7)], "doc_id long, label int")
     model, free = (toxicity.learn(docs, labels, toxicity.Settings(swap=w)) for w in (5.0, 0.0))
-    got = {r.doc_id: r.score for r in toxicity.score(docs.withColumnRenamed("x", "score"), model).collect()}
+    clashing = docs.withColumn("score", F.lit("x")).withColumn("label", F.lit(1)).withColumn("words", F.lit("y"))
+    found = toxicity.score(clashing.union(clashing.where("doc_id = 7")), model)
+    assert found.columns == ["doc_id", "label", "words", "score"] and found.where("doc_id = 7").count() == 2
+    got = {r.doc_id: r.score for r in found.collect()}
     held = [(got[i], t) for i, _, t in rows if i % 3 == 0]
     assert sum((s >= 0.7) == bool(t) for s, t in held) >= 0.95 * len(held)
     neutral = "the women and the dog"
     assert model.scorer()(neutral) < free.scorer()(neutral)
+    assert all(model.scorer()(f"the {g} and the dog") < 0.7 for group in toxicity.IDENTITIES for g in group)
     assert model.scorer()(None) == model.scorer()("") and 0 <= model.scorer()("") <= 1
     assert toxicity.score(docs.limit(0), model).count() == 0
     none = toxicity.learn(docs, labels.where("label = 0"))
     assert {r.score < 0.01 for r in toxicity.score(docs, none).collect()} == {True}
 
 
+def sparse(lists, width):
+    return toxicity.Sparse(np.cumsum([0, *map(len, lists)]), np.array([c for x in lists for c in x], np.int32), width)
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(5)
+    own = [sorted(rng.choice(8, rng.integers(0, 5), replace=False).tolist()) for _ in range(30)]
+    other = [sorted(rng.choice(8, 3, replace=False).tolist()) for _ in range(10)]
+    labels, cost, settings = (rng.random(30) < 0.4).astype(float), rng.random(30), toxicity.Settings(swap=0.7, l2=0.3)
+    dense = lambda lists: np.array([[float(c in x) for c in range(8)] for x in lists])
+
+    def loss(at):
+        w, c = at[:-1], at[-1]
+        p = 1 / (1 + np.exp(-(dense(own) @ w + c)))
+        change = (dense(own[:10]) - dense(other)) @ w
+        return -(cost * (labels * np.log(p) + (1 - labels) * np.log(1 - p))).sum() + 0.15 * (w * w).sum() + 0.7 * (change * change).mean()
+
+    at = rng.normal(size=9)
+    slope = [(loss(at + e) - loss(at - e)) / 2e-6 for e in np.eye(9) * 1e-6]
+    got = toxicity.gradient(at[:-1], at[-1], labels, cost, sparse(own, 8), sparse(own[:10], 8), sparse(other, 8), settings)
+    assert np.allclose(got, slope, atol=1e-6)
+
+
+def slow_toxicity(texts, labels, settings):
+    """Scores of all texts by a dense fit, with features counted one by one."""
+    import math
+    import re
+
+    def grams(words):
+        return {f for w in words for f in [w] + [w[:n] + "*" for n in (4, 5, 6) if len(w) > n]}
+
+    words = {i: set(re.findall(r"\w+", (t or "").lower())) for i, t in texts.items()}
+    share, far = sum(labels.values()) / len(labels), {}
+    for f in sorted(set().union(*(grams(words[i]) for i in labels))):
+        has = [y for i, y in labels.items() if f in grams(words[i])]
+        if sum(has) >= settings.least:
+            far[f] = abs(sum(has) - share * len(has)) / math.sqrt(share * (1 - share) * len(has) + 1e-9)
+    kept = sorted((f for f in far if far[f] > 4), key=lambda f: (far[f], f), reverse=True)[: settings.features]
+    known = sorted({*kept, *(t for g in settings.identities for t in g)})
+    place = {f: i for i, f in enumerate(known)}
+    swap = {t: g[(i + 1 + len(g) // 3) % len(g)] for g in settings.identities for i, t in enumerate(g)}
+
+    def row(words):
+        out = np.zeros(len(known) + 1)
+        out[[place[f] for f in grams(words) if f in place]] = 1
+        out[-1] = 1
+        return out
+
+    rows = {i: row(w) for i, w in words.items()}
+    x, y = np.array([rows[i] for i in sorted(labels)]), np.array([float(labels[i]) for i in sorted(labels)])
+    change = [rows[i] - row({swap.get(w, w) for w in words[i]}) for i in labels if words[i] & set(swap)]
+    cost = np.where(y == 1, math.sqrt((1 - share) / share), 1.0)
+    cost, w = cost / cost.sum(), np.r_[np.zeros(len(known)), math.log(share / (1 - share))]
+    m = v = np.zeros(len(w))
+    for step in range(1, settings.steps + 1):
+        g = x.T @ (cost * (1 / (1 + np.exp(-x @ w)) - y)) + settings.l2 * np.r_[w[:-1], 0]
+        for d in change:
+            g = g + 2 * settings.swap / len(change) * d * (d @ w)
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w = w - 0.1 * (1 - step / (settings.steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+    return {i: 1 / (1 + math.exp(-(r @ w))) for i, r in rows.items()}
+
+
+def test_toxicity_against_brute_force(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, EN, rng.randint(3, 30)) + (" Vilest scumbags" if i % 3 == 0 else "") + rng.choice(["", "", " women", " blind men"])) for i in range(240)]
+    rows += [(300, None), (301, ""), (302, "scumbag " * 20_000 + "ünïcode"), (303, "scumbags")]
+    labels = {i: int(i % 3 == 0) for i in range(0, 240, 2)} | {300: 0, 301: 1}
+    settings = toxicity.Settings(steps=40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    given = spark.createDataFrame([*labels.items(), (2, None), (999, 1)], "doc_id long, label int")
+    found = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.learn(docs, given, settings)).collect()}
+    want = slow_toxicity(dict(rows), labels, settings)
+    assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 1e-6 for i in want)
+
+
 def test_rare_toxic_features_are_compared_whatever_their_number(spark):
     common = " ".join("".join(chr(97 + i // 26**k % 26) for k in (3, 2, 1, 0)) + "xyz" for i in range(36_000))  # four features each
     rows = [(i, common if i < 4 or 7 <= i < 15 else "a dog", int(i < 7)) for i in range(100)]
@@ -205,5 +289,9 @@ def test_language_id(spark):
         best = min(off, key=lambda k: (off[k], k))
         assert found[i][0] == best and abs(found[i][1] - (1 - off[best] / (50 * len(own)))) < 1e-12
     assert sum(found[i][0] == g for i, _, g in rows[:120]) >= 115
+    clashing = df.withColumns({c: F.lit("x") for c in ("lang_pred", "score", "gram", "rank", "h")})
+    again = langid.identify(clashing, learned, 50)
+    assert {(r.doc_id, r.lang_pred, r.score) for r in again.collect()} == {(i, *f) for i, f in found.items()}
+    assert {r.rank for r in again.collect()} == {"x"}
     assert langid.identify(df.limit(0), learned).count() == 0
     assert {r.lang_pred for r in langid.identify(df, learned.limit(0)).collect()} == {"und"}
