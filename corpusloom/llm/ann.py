@@ -74,9 +74,11 @@ def scored(q_ids: np.ndarray, q: np.ndarray, group: list[tuple[np.ndarray, np.nd
     norm = lambda m: np.sqrt((m * m).sum(axis=1))
     qn, vn = norm(q), norm(v)
     rows, cands = [], []
+    # One number for equal vectors, by their bytes: the groups then compare numbers.
+    same = np.unique(np.ascontiguousarray(v).view(np.dtype((np.void, v.itemsize * v.shape[1]))).ravel(), return_inverse=True)[1]
     for some, at in group:
         at = at[np.argsort(ids[at], kind="stable")]
-        unique, place, back = np.unique(v[at].view([("", v.dtype)] * v.shape[1]).ravel(), return_index=True, return_inverse=True)
+        _, place, back = np.unique(same[at], return_index=True, return_inverse=True)
         order = np.argsort(back, kind="stable")
         first = np.flatnonzero(np.r_[True, back[order][1:] != back[order][:-1]])
         nth = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
@@ -176,10 +178,9 @@ def neighbours(vectors: DataFrame, is_query: str, k: int, hashing: Hashing | Non
                         group = [(np.arange(len(q_ids)), np.arange(len(ids)))]
                     else:
                         order, q_order = np.argsort(key, kind="stable"), np.argsort(q_key, kind="stable")
-                        group = []
-                        for x in np.intersect1d(key, q_key):
-                            a, b = (slice(np.searchsorted(s, x), np.searchsorted(s, x, "right")) for s in (key[order], q_key[q_order]))
-                            group.append((q_who[q_order[b]], who[order[a]]))
+                        both = np.intersect1d(key, q_key)
+                        (a, z), (q_a, q_z) = ([np.searchsorted(s, both, side) for side in ("left", "right")] for s in (key[order], q_key[q_order]))
+                        group = [(q_who[q_order[q_a[i] : q_z[i]]], who[order[a[i] : z[i]]]) for i in range(len(both))]
                     yield scored(q_ids, q, group, ids, v, k)
 
         return run
