@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.llm import ann, topk
@@ -34,11 +35,15 @@ def test_exact_top_k(spark):
     assert sorted(tuple(r) for r in topk.top_k(frame(spark, rows), "vec_id % 20 = 0", 20).collect()) == sorted(expected)
 
 
-def test_neighbours(spark):
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_neighbours(spark, kind):
     rows = corpus(900)
+    if kind == "float":
+        rows = [(i, v and [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
     vectors = {i: np.array(v + [0.0] * (24 - len(v))) for i, v in usable(rows).items() if any(v)}
     found: dict = {}
-    for r in ann.neighbours(frame(spark, rows), "vec_id % 50 = 0", 5).collect():
+    given = frame(spark, rows).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    for r in ann.neighbours(given, "vec_id % 50 = 0", 5).collect():
         found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     assert set(found) == {i for i in vectors if i % 50 == 0}
     hits = total = 0
@@ -82,3 +87,23 @@ def test_tiles_pass_queries_and_lanes(spark, monkeypatch):
     monkeypatch.setattr(topk, "TILE_QUERIES", 1)
     monkeypatch.setattr(topk, "ROW", 300)
     test_exact_top_k(spark)
+
+
+def test_recall_of_clustered_vectors(spark):
+    """Where vectors have near neighbours, buckets hold most of them and few others."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(60, 32))
+    vectors = np.concatenate([c + 0.15 * rng.normal(size=(40, 32)) for c in centres])
+    given = spark.createDataFrame(list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>").repartition(4)
+    hashing, found = ann.Hashing(hashes=8, width=1.0, probes=8), {}
+    for r in ann.neighbours(given, "vec_id % 50 = 0", 5, hashing).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    hits = seen = 0
+    for q, got in found.items():
+        cos = unit @ unit[q]
+        cos[q] = -2
+        hits += len(got & set(np.argsort(-cos)[:5].tolist()))
+        held = [np.isin(hashing.own(unit, t), hashing.visited(unit[q : q + 1], t)) for t in range(hashing.tables)]
+        seen += np.any(held, axis=0).sum()
+    assert len(found) == 48 and hits >= 0.95 * 5 * 48 and seen < 0.05 * 48 * len(unit)
