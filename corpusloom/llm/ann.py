@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from corpusloom.llm.packing import U, dealt, mix, pack, unpack
 from corpusloom.llm.scratch import Scratch, bound_batches, plan_bytes
@@ -114,6 +115,8 @@ def neighbours(vectors: DataFrame, is_query: str, k: int, hashing: Hashing | Non
     bound_batches(spark)
     scratch = Scratch(spark, "ann")
     size = plan_bytes(vectors)
+    # Components travel as they came; doubles are made of them where they meet, and unit vectors before that.
+    stored = np.dtype(np.float32 if isinstance(vectors.schema["embedding"].dataType.elementType, FloatType) else np.float64)
     per_table = max(4, -(-size // BIN_BYTES) if size < 1 << 50 else 4)
     schema = pa.schema([("bin", pa.int64()), ("kind", pa.int32()), ("d", pa.int32()), ("packed", pa.binary()), ("vectors", pa.binary())])
 
@@ -136,13 +139,13 @@ def neighbours(vectors: DataFrame, is_query: str, k: int, hashing: Hashing | Non
                     for b, places in dealt((key % U(per_table)).astype(np.int64), per_table):
                         mine, who_at = np.unique(who[places], return_inverse=True)
                         packed = pack([key[places], who_at.astype(np.int64)], (8, 3)) + ids[some[mine]].tobytes()
-                        out.append({"bin": t * per_table + b, "kind": kind, "d": x.shape[1], "packed": np.int64(len(places)).tobytes() + packed, "vectors": x[some[mine]].tobytes()})
+                        out.append({"bin": t * per_table + b, "kind": kind, "d": x.shape[1], "packed": np.int64(len(places)).tobytes() + packed, "vectors": x[some[mine]].astype(stored).tobytes()})
             yield pa.RecordBatch.from_pylist(out, schema)
 
     def opened(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         n = int(np.frombuffer(r["packed"][:8], np.int64)[0])
         key, who = unpack([pa.scalar(r["packed"][8 : 8 + 11 * n], pa.binary())], (8, 3))
-        return key, who.astype(np.int64), np.frombuffer(r["packed"][8 + 11 * n :], np.int64), np.frombuffer(r["vectors"], np.float64).reshape(-1, r["d"])
+        return key, who.astype(np.int64), np.frombuffer(r["packed"][8 + 11 * n :], np.int64), np.frombuffer(r["vectors"], stored).reshape(-1, r["d"])
 
     def compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of a bin, which come one after the other, into rows of about ROW vectors."""
@@ -164,7 +167,7 @@ def neighbours(vectors: DataFrame, is_query: str, k: int, hashing: Hashing | Non
                     held.clear()
                     n = 0
                 held.append(r)
-                n += len(r["vectors"]) // (8 * r["d"])
+                n += len(r["vectors"]) // (stored.itemsize * r["d"])
         if held:
             yield flush()
 
@@ -181,7 +184,7 @@ def neighbours(vectors: DataFrame, is_query: str, k: int, hashing: Hashing | Non
                         both = np.intersect1d(key, q_key)
                         (a, z), (q_a, q_z) = ([np.searchsorted(s, both, side) for side in ("left", "right")] for s in (key[order], q_key[q_order]))
                         group = [(q_who[q_order[q_a[i] : q_z[i]]], who[order[a[i] : z[i]]]) for i in range(len(both))]
-                    yield scored(q_ids, q, group, ids, v, k)
+                    yield scored(q_ids, q.astype(np.float64), group, ids, v.astype(np.float64), k)
 
         return run
 
