@@ -47,11 +47,13 @@ class Limits:
     """What a task holds at once; results don't depend on it."""
 
     #: Bytes hashed together; longer texts are hashed in overlapping pieces.
-    block: int = 1 << 20
+    block: int = 1 << 18
     #: Anchors packed together.
     flush: int = 1 << 19
-    #: Strings sorted together. An anchor that has more is split.
+    #: Strings of an anchor that are sorted together. One that has more is split.
     strings: int = 1 << 16
+    #: Strings of smaller anchors that are sorted together.
+    together: int = 1 << 14
     #: Strings of one anchor above which a flush splits it, so that its bin gets no more of it from any task.
     hot: int = 1 << 12
 
@@ -352,8 +354,8 @@ class Repeats:
         upto = np.r_[0, np.cumsum(strings)][run]  # strings before each anchor
         found: list[np.ndarray] = []
         i = 0
-        while i < len(run) - 1:  # whole anchors, of which none has more strings than that
-            j = max(i + 1, int(np.searchsorted(upto, upto[i] + self.limits.strings, "right")) - 1)
+        while i < len(run) - 1:  # whole anchors, of which none has more than `strings`
+            j = max(i + 1, int(np.searchsorted(upto, upto[i] + self.limits.together, "right")) - 1)
             some = slice(run[i], run[j])
             spans_ = self.spans_of(data, doc[some].view(np.int64), size[some], begin[some])
             spans_[:, 0] += run[i]
