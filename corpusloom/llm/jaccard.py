@@ -193,6 +193,9 @@ def _profile(rule: Rule, k: int, n_bins: int):
         for batch in batches:
             ids, out = batch["doc_id"].to_pylist(), []
             for doc, text in zip(ids, batch["text"], strict=True):
+                if held >= FLUSH or len(waiting) >= FLUSH >> 3:
+                    yield from flush()
+                    waiting, held = {}, 0
                 s = shingles(utf8(text), k)
                 fp = xxhash.xxh3_128_intdigest(s.tobytes())
                 fp1, fp2 = (fp >> 64) - (1 << 63), (fp & (1 << 64) - 1) - (1 << 63)
@@ -205,9 +208,6 @@ def _profile(rule: Rule, k: int, n_bins: int):
                     elif doc < seen[0]:
                         waiting[fp1, fp2] = (doc, *seen[1:])
             yield pa.record_batch([pa.array([0] * len(out), pa.int32()), batch["doc_id"].cast(pa.int64()), *(pa.array([x[i] for x in out], pa.int64()) for i in range(3)), pa.array([x[3] for x in out], pa.binary()), pa.nulls(len(out), pa.int64()), pa.nulls(len(out), pa.binary())], schema=schema)
-            if held >= FLUSH or len(waiting) >= FLUSH >> 3:
-                yield from flush()
-                waiting, held = {}, 0
         yield from flush()
 
     return run
