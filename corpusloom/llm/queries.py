@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import ann, bpe, jaccard, langid, licences, materialise, mixing, suffix, topk, toxicity
+from corpusloom.llm import ann, bpe, importance, jaccard, langid, licences, materialise, mixing, suffix, topk, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -67,6 +67,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(documents.select("doc_id", "held_out", "text"), learned)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 OP1_SQL = """
 with v as (
   select distinct vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as q from embeddings
@@ -111,6 +116,31 @@ from rows r join epoch e on r.source is not distinct from e.source
 left join ends x on r.source is not distinct from x.source
 """
 
+OP11_SQL = r"""
+with crcs as (select list(list_reduce(range(8), lambda c, j: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end, i) order by i) as t from range(256) r(i)),
+d as (select row_number() over () as r, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as words from documents),
+w as (select r, unnest(words) as word from d),
+tw as (select unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word from benchmark),
+vocabulary as (select distinct word, hex(encode(word)) as x from (select word from w union all select word from tw)),
+buckets as (
+  select word, xor(list_reduce(list_transform(range(1, length(x), 2), lambda i: ('0x' || substr(x, i, 2))::bigint), lambda c, b: xor(c // 256, t[(xor(c, b) % 256 + 1)::int]), 4294967295::bigint), 4294967295) % 10000 as bucket
+  from vocabulary, crcs),
+s as (select bucket, count(*) as n from w join buckets using (word) group by bucket),
+t as (select bucket, count(*) as n from tw join buckets using (word) group by bucket),
+gains as (
+  select bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * ((select count(*) from w) + 10000)::double / ((coalesce(s.n, 0) + 1)::double * ((select count(*) from tw) + 10000)::double)))::bigint as gain
+  from s full join t using (bucket)),
+weights as (select r, sum(gain)::bigint as weight from w join buckets using (word) join gains using (bucket) group by r),
+scored as (
+  select d.r, doc_id, len(words)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+         coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, 'null')), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from d left join weights using (r)),
+ranks as (
+  select r, row_number() over (order by score desc, doc_id nulls last, n_features, weight) as rank, count(*) over () as n from scored where n_features >= 20)
+select doc_id, n_features, weight, score, case when rank <= 10 * n // 100 then rank end as rank from scored left join ranks using (r)
+"""
+
+
 def _licence_sql() -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     rows = ", ".join(f"({quoted(k)}, [{', '.join(map(quoted, licences.bigrams(t)))}])" for k, texts in licences.TEMPLATES.items() for t in texts)
@@ -134,7 +164,7 @@ select doc_id, licence, dice, line_no, coalesce(n_notices, 0)::int as n_notices
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_exact_top_k, op2_byte_bpe, op3_suffix_dedup, op4_training_order, op5_ngram_jaccard, op6_licence_scan, op7_mix_sources, op8_nearest_neighbours, op9_toxicity, op10_language_id,
+        op1_exact_top_k, op2_byte_bpe, op3_suffix_dedup, op4_training_order, op5_ngram_jaccard, op6_licence_scan, op7_mix_sources, op8_nearest_neighbours, op9_toxicity, op10_language_id, op11_importance_resampling,
     )
 }
-ORACLE = {"op1_exact_top_k": OP1_SQL, "op6_licence_scan": _licence_sql(), "op7_mix_sources": OP7_SQL}
+ORACLE = {"op1_exact_top_k": OP1_SQL, "op6_licence_scan": _licence_sql(), "op7_mix_sources": OP7_SQL, "op11_importance_resampling": OP11_SQL}

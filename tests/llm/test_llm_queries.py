@@ -19,7 +19,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     df = queries.QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
