@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import ann, bpe, importance, jaccard, langid, licences, materialise, mixing, suffix, topk, toxicity
+from corpusloom.llm import ann, bpe, codes, importance, jaccard, langid, licences, maintext, materialise, mixing, suffix, topk, toxicity
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -72,6 +72,14 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(table(spark, sf_dir, "pages"))
+
+
 OP1_SQL = """
 with v as (
   select distinct vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as q from embeddings
@@ -141,6 +149,43 @@ select doc_id, n_features, weight, score, case when rank <= 10 * n // 100 then r
 """
 
 
+def _codes_sql(positions: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Lloyd's method written out: one common table expression each for a round's assignment and its codebooks."""
+    steps = [f"""
+books0 as (
+  select p, row_number() over (partition by p order by vec_id nulls last, r) - 1 as e, x from parts
+  where r in (select r from kept order by vec_id nulls last, r limit {entries}))"""]
+    for i in range(rounds + 1):
+        # |x - e|^2 without |x|^2, which is the same for all entries; all terms are integers, exact in doubles.
+        steps.append(f"""
+codes{i} as materialized (
+  select r, p, arg_min(e, (list_inner_product(b.x, b.x) - 2 * list_inner_product(a.x, b.x)) * {entries} + e) as e
+  from parts a join books{i} b using (p) group by r, p)""")
+        if i < rounds:
+            steps.append(f"""
+sums{i} as (
+  select p, e, k, floor(sum(x[k]) / count(*)) as c
+  from (select r, p, c.e, x, unnest(range(1, len(x) + 1)) as k from codes{i} c join parts using (r, p)) group by p, e, k),
+books{i + 1} as materialized (
+  select p, e, coalesce(n.x, b.x) as x from books{i} b left join (select p, e, list(c order by k) as x from sums{i} group by p, e) n using (p, e))""")
+    last = f"codes{rounds}", f"books{rounds}"
+    return f"""
+with kept as (
+  select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::double)) as x from embeddings
+  where embedding is not null and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+parts as materialized (
+  select r, vec_id, p, x[p * (len(x) // {positions}) + 1 : (p + 1) * (len(x) // {positions})] as x from kept, range({positions}) t(p)),
+{",".join(steps)},
+coded as (
+  select a.r, string_agg(lower(printf('%02x', c.e)), '' order by p) as code,
+         sum(list_inner_product(a.x, a.x) - 2 * list_inner_product(a.x, b.x) + list_inner_product(b.x, b.x))::bigint as error
+  from parts a join {last[0]} c using (r, p) join {last[1]} b using (p, e) group by a.r),
+sha as (select sha256(string_agg(array_to_string(list_transform(x, lambda c: c::bigint), ','), ',' order by p, e)) as codebooks_sha256 from {last[1]})
+select vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256
+from kept join coded using (r), sha
+"""
+
+
 def _licence_sql() -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     rows = ", ".join(f"({quoted(k)}, [{', '.join(map(quoted, licences.bigrams(t)))}])" for k, texts in licences.TEMPLATES.items() for t in texts)
@@ -165,6 +210,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_top_k, op2_byte_bpe, op3_suffix_dedup, op4_training_order, op5_ngram_jaccard, op6_licence_scan, op7_mix_sources, op8_nearest_neighbours, op9_toxicity, op10_language_id, op11_importance_resampling,
+        op12_vector_codes, op13_main_text,
     )
 }
-ORACLE = {"op1_exact_top_k": OP1_SQL, "op6_licence_scan": _licence_sql(), "op7_mix_sources": OP7_SQL, "op11_importance_resampling": OP11_SQL}
+ORACLE = {"op1_exact_top_k": OP1_SQL, "op6_licence_scan": _licence_sql(), "op7_mix_sources": OP7_SQL, "op11_importance_resampling": OP11_SQL, "op12_vector_codes": _codes_sql()}
