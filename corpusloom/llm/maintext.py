@@ -31,6 +31,8 @@ REPLACES = {
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tfoot"}, {"table"}),
     "thead": ({"tbody", "thead", "tfoot"}, {"table"}), "tfoot": ({"tbody", "thead", "tfoot"}, {"table"}), "option": ({"option"}, {"select"}),
 }
+TABLE = frozenset("caption table tbody td tfoot th thead tr".split())
+SCOPES = frozenset("button caption object td template th".split())
 #: Names (of classes, ids and roles) of what surrounds articles, and of parts that name the article itself.
 AROUND = frozenset(
     "ad ads adsense advert advertisement advertisements advertising adverts alert banner breadcrumb breadcrumbs comment commentary commentlist comments complementary consent contentinfo "
@@ -58,22 +60,17 @@ THRESHOLD = 0.5
 
 
 class Element:
-    """A block element: where it is, what it may hold, and the inline elements open in it."""
+    """A block element: where it is, what it holds, and the inline elements open in it."""
 
-    def __init__(self, tag: str, parent: Element | None, names: frozenset[str] = frozenset(), hidden: bool = False):
-        self.tag, self.parent, self.hidden = tag, parent, hidden
-        self.names = names
-        self.path = f"{parent.path}/{tag}" if parent else tag
+    def __init__(self, tag: str, parent: Element | None, path: int, names: frozenset[str] = frozenset(), hidden: bool = False):
+        self.tag, self.parent, self.path, self.names, self.hidden = tag, parent, path, names, hidden
         self.inline: list[tuple[str, bool]] = []
         self.holds: set[str] = set()
+        #: Tags of articles that it is in, and whether it is in (or is) something dropped or the article's region.
+        self.within: frozenset[str] = parent.within | {parent.tag} & {"article", "main"} if parent else frozenset()
+        self.dropped = self.inside = False
         self.mass = 0.0
 
-    def chain(self) -> Iterator[Element]:
-        e: Element | None = self
-        while e:
-            yield e
-            e = e.parent
-
 
 class Leaf:
     """A block's run of text."""
@@ -98,18 +95,22 @@ def attributes(given: str) -> tuple[frozenset[str], bool]:
     return frozenset(w.lower() for w in _WORDS.findall(names)), hidden
 
 
-def leaves(page: str) -> list[Leaf]:
-    """Runs of text of all blocks in page order, with the elements that hold them. Unclosed and misnested elements end
-    where HTML ends them; inline elements don't cut a run, ``br`` is white space in it."""
-    stack, out, at = [Element("html", None)], [], 0
+def parsed(page: str) -> tuple[list[Leaf], list[Element]]:
+    """Runs of text of all blocks in page order, and all block elements, parents first. Unclosed and misnested elements
+    end where HTML ends them; inline elements don't cut a run, ``br`` is white space in it. Linear in the page."""
+    paths: dict[tuple[int, str], int] = {}
+    number = lambda parent, tag: paths.setdefault((parent, tag), len(paths))
+    stack, out, at = [Element("html", None, number(-1, "html"))], [], 0
+    elements = stack[:]
+    # How often each tag is open: altogether, and since the innermost cell (or what else an end tag doesn't reach out of).
     opened: Counter[str] = Counter()
+    scopes: list[Counter[str]] = [Counter()]
     leaf = Leaf(stack[0])
 
     def text(piece: str) -> None:
-        if piece:
-            inline = stack[-1].inline
-            if not any(dropped for _, dropped in inline):
-                leaf.pieces.append((html.unescape(piece), any(tag == "a" for tag, _ in inline)))
+        inline = stack[-1].inline
+        if piece and not any(dropped for _, dropped in inline):
+            leaf.pieces.append((html.unescape(piece), any(tag == "a" for tag, _ in inline)))
 
     def turn() -> None:
         """The current run ends; the next belongs to the innermost element."""
@@ -118,17 +119,31 @@ def leaves(page: str) -> list[Leaf]:
             out.append(leaf)
         leaf = Leaf(stack[-1])
 
-    def pop(until: int) -> None:
-        while len(stack) > max(until, 1):
-            opened[stack.pop().tag] -= 1
-
-    def find(tags: set[str] | frozenset[str], stop: set[str]) -> int | None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                return i
-            if stack[i].tag in stop:
-                return None
-        return None
+    def pop(tags: set[str]) -> None:
+        """Closes elements up to the innermost of ``tags``, one of which is open."""
+        while len(stack) > 1:
+            tag = stack.pop().tag
+            opened[tag] -= 1
+            if tag in SCOPES:
+                scopes.pop()
+            scopes[-1][tag] -= 1
+            if tag in tags:
+                return
+
+    def push(tag: str, given: str) -> None:
+        parent = stack[-1]
+        element = Element(tag, parent, number(parent.path, tag), *attributes(given))
+        if tag in ("article", "h1", "main"):
+            for e in reversed(stack):
+                if tag in e.holds:
+                    break
+                e.holds.add(tag)
+        stack.append(element)
+        elements.append(element)
+        opened[tag] += 1
+        scopes[-1][tag] += 1
+        if tag in SCOPES:
+            scopes.append(Counter())
 
     while m := _TOKEN.search(page, at):
         text(page[at : m.start()])
@@ -138,7 +153,7 @@ def leaves(page: str) -> list[Leaf]:
         tag, ends = m[2].lower(), bool(m[1])
         if tag in ("html", "body"):
             if not ends and opened["head"]:
-                pop(find({"head"}, set()) or 1)
+                pop({"head"})
                 turn()
         elif tag in INLINE:
             inline = stack[-1].inline
@@ -153,35 +168,31 @@ def leaves(page: str) -> list[Leaf]:
             if tag == "hr":
                 turn()
         elif ends:
-            if opened[tag]:
-                i = find({tag}, set() if tag in ("table", "td", "th", "tr", "tbody", "thead", "tfoot", "caption") else {"td", "th", "caption"})
-                if i:
-                    pop(i)
+            if scopes[-1][tag] or tag in TABLE | SCOPES and opened[tag]:
+                pop({tag})
             turn()
+        elif tag in RAW:
+            text(" " if tag in ("iframe", "textarea") else "")
+            end = _END_OF[tag].search(page, at)
+            at = end.start() if end else len(page)
         else:
-            if tag in ENDS_P and opened["p"] and (i := find({"p"}, {"td", "th", "caption", "button", "object"})):
-                pop(i)
-            if tag in REPLACES and (i := find(*REPLACES[tag])):
-                pop(i)
-            if opened["head"] and tag not in RAW | {"head", "noscript", "template"}:
-                pop(find({"head"}, set()) or 1)
-            if tag in RAW:
-                if tag in ("iframe", "textarea"):
-                    text(" ")
-                end = _END_OF[tag].search(page, at)
-                at = end.start() if end else len(page)
-                continue
-            element = Element(tag, stack[-1], *attributes(m[3]))
-            stack[-1].holds.add(tag)
-            if tag in ("article", "h1", "main"):
-                for e in stack:
-                    e.holds.add(tag)
-            stack.append(element)
-            opened[tag] += 1
+            if tag in ENDS_P and scopes[-1]["p"]:
+                pop({"p"})
+            if tag in REPLACES:
+                tags, stop = REPLACES[tag]
+                for e in reversed(stack):
+                    if e.tag in tags:
+                        pop(tags)
+                        break
+                    if e.tag in stop or not any(opened[t] for t in tags):
+                        break
+            if opened["head"] and tag not in ("noscript", "template"):
+                pop({"head"})
+            push(tag, m[3])
             turn()
     text(page[at:])
     turn()
-    return out
+    return out, elements
 
 
 def boilerplate(e: Element) -> bool:
@@ -192,9 +203,8 @@ def boilerplate(e: Element) -> bool:
         return not (e.tag == "form" and e.holds & {"article", "main", "h1"})
     if e.tag == "main" or e.tag == "body":
         return False
-    inside = any(x.tag in ("article", "main") for x in e.chain() if x is not e)
     if e.tag == "header" or e.names & HEADER and not e.names & OWN:
-        return not inside and not e.holds & {"article", "main"}
+        return not e.within and not e.holds & {"article", "main"}
     return bool(e.names & AROUND) and not e.holds & {"main", "h1"}
 
 
@@ -204,8 +214,7 @@ def scores(found: list[Leaf]) -> tuple[np.ndarray, np.ndarray]:
     A path's ratios are plain (not linked) characters and points for each of its leaves. Every leaf takes its path's
     ratios; both sequences are smoothed in page order, related to their means and fused by their geometric mean. Paths
     whose leaves score on average less than ``THRESHOLD`` standard deviations are not content."""
-    numbers: dict[str, int] = {}
-    of = np.array([numbers.setdefault(x.element.path, len(numbers)) for x in found])
+    of = np.unique([x.element.path for x in found], return_inverse=True)[1]
     n = np.bincount(of)
     plain = np.array([max(0, len(x.text) - x.linked) for x in found], float)
     points = np.array([len(POINTS.findall(x.text)) if p else 0 for x, p in zip(found, plain, strict=True)], float)
@@ -216,46 +225,32 @@ def scores(found: list[Leaf]) -> tuple[np.ndarray, np.ndarray]:
     return of, (score >= THRESHOLD * fused.std()) & (np.bincount(of, plain) > 0)
 
 
-def region(found: list[Leaf], mass: np.ndarray) -> tuple[Element, bool]:
-    """The element that holds the article, and whether its tag says so: the outermost ``article``, or else
-    ``main``, that has more than half of the content; otherwise the innermost element that holds nine tenths of it."""
-    held: dict[int, Element] = {}
+def region(found: list[Leaf], elements: list[Element], mass: np.ndarray) -> tuple[Element, bool]:
+    """The element that holds the article, and whether its tag says so: the outermost ``article``, or else ``main``,
+    that has more than half of the content; otherwise the innermost element that holds nine tenths of it."""
     for x, m in zip(found, mass.tolist(), strict=True):
-        for e in x.element.chain():
-            if id(e) not in held:
-                held[id(e)], e.mass = e, 0.0
-            e.mass += m
-    total = float(mass.sum())
+        x.element.mass += m
+    for e in reversed(elements):
+        if e.parent:
+            e.parent.mass += e.mass
+    total = elements[0].mass
     for tag in ("article", "main"):
-        outer = [e for e in held.values() if e.tag == tag and not any(p.tag == tag for p in e.chain() if p is not e)]
-        large = [e for e in outer if e.mass > total / 2]
+        large = [e for e in elements if e.tag == tag and tag not in e.within and e.mass > total / 2]
         if large:
             return large[0], True
-    best = next(e for e in held.values() if e.parent is None)
-    children: dict[int, list[Element]] = {}
-    for e in held.values():
-        if e.parent is not None:
-            children.setdefault(id(e.parent), []).append(e)
-    while deeper := [e for e in children.get(id(best), []) if e.mass >= 0.9 * total and e.tag not in ("p", "li")]:
-        best = deeper[0]
+    best = elements[0]
+    for e in elements:
+        if e.parent is best and e.mass >= 0.9 * total and e.tag not in ("p", "li"):
+            best = e
     return best, False
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks, each with its white space as one blank, joined by one blank."""
-    known: dict[int, bool] = {}
-
-    def dropped(e: Element) -> bool:
-        path = []
-        while e is not None and id(e) not in known:
-            path.append(e)
-            e = e.parent
-        verdict = known[id(e)] if e is not None else False
-        for e in reversed(path):
-            verdict = known[id(e)] = verdict or boilerplate(e)
-        return verdict
-
-    found = [x for x in leaves(page or "") if not dropped(x.element)]
+    found, elements = parsed(page or "")
+    for e in elements:
+        e.dropped = bool(e.parent and e.parent.dropped) or boilerplate(e)
+    found = [x for x in found if not x.element.dropped]
     if not found:
         return ""
     of, content = scores(found)
@@ -263,8 +258,10 @@ def main_text(page: str | None) -> str:
     mass = np.where(chosen, [len(x.text) for x in found], 0)
     if not mass.sum():
         return ""
-    root, told = region(found, mass)
-    inside = np.array([any(e is root for e in x.element.chain()) for x in found])
+    root, told = region(found, elements, mass)
+    for e in elements:
+        e.inside = e is root or bool(e.parent and e.parent.inside)
+    inside = np.array([x.element.inside for x in found])
     if told:
         return " ".join(x.text for x, i in zip(found, inside.tolist(), strict=True) if i)
     span = np.flatnonzero(chosen & inside)
