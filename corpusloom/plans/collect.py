@@ -1,12 +1,14 @@
 """Collecting a corpus: search, gates, full texts, validation, duplicates, manifest. And a workspace that remembers.
 
-State is kept as Parquet tables below a folder: ``doi_index``, ``markers``, ``searches``, ``progress``, ``articles``. Every run
-appends; counts are taken from the tables and never kept beside them.
+State is kept in tables of a :class:`corpusloom.operators.commits.CommitLog`: ``doi_index``, ``markers``, ``searches``,
+``progress``, ``articles``. A source is read once, its articles are then dealt with in batches; what a batch did is seen in
+all tables at once, so a run that is broken off anywhere goes on where its last batch ended.
 """
 
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -19,21 +21,32 @@ from corpusloom.functions.search import SOURCES, Search
 from corpusloom.functions.text import is_full_text
 from corpusloom.functions.xml import jats_doi
 from corpusloom.operators import dedup, graph, save, state, stats
+from corpusloom.operators.commits import CommitLog
+from corpusloom.operators.observed import Progress, reporter, written
 
 ARTICLE = "source string, id string, pmcid string, doi string, title string, first_date date, xml string"
 #: A source's articles for a search: DataFrame of ARTICLE; xml may be null if it has to be fetched.
 Finder = Callable[[SparkSession, Search, "str | None"], DataFrame]
-#: id to full text, for articles without xml: DataFrame of ``id, xml`` for a DataFrame of articles.
+#: Articles without xml to ``id, xml`` and, if it can tell, ``error``: why there is none.
 Fetcher = Callable[[DataFrame], DataFrame]
 
 
-@dataclass
+@dataclass(frozen=True)
+class Cadence:
+    """A batch has ``items`` articles at first, then as many as lasted about ``seconds``, and never fewer: a run that is
+    lost loses at most about that much work."""
+
+    items: int = 10
+    seconds: float = 30.0
+    clock: Callable[[], float] = time.monotonic
+
+    def next(self, size: int, took: float) -> int:
+        return max(self.items, min(8 * size, int(size * self.seconds / max(took, 1e-3))))
+
+
 class Workspace:
     """A corpus that grows over runs."""
 
-    spark: SparkSession
-    root: str
-
     TABLES = {
         "doi_index": "doi string, file string, source string, search_id string, added timestamp",
         "markers": "source string, last_fetch timestamp, papers_fetched bigint",
@@ -42,34 +55,48 @@ class Workspace:
         "articles": "source string, id string, pmcid string, doi string, title string, file string, status string, body_chars int, sha256 string, xml string, search_id string, folder string",
     }
 
-    def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.log = CommitLog(spark, root, self.TABLES, keyed={"doi_index": ("doi", 64)})
 
-    def _fs(self, name: str):
-        at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+    @classmethod
+    def init(cls, spark: SparkSession, root: str) -> Workspace:
+        """A new workspace; one that is there already is an error."""
+        w = cls(spark, root)
+        if w.is_workspace():
+            raise ValueError(f"{root} is a workspace already")
+        w.log.publish("init")
+        return w
+
+    def is_workspace(self) -> bool:
+        return self.log.exists("commits")
+
+    def path(self, name: str) -> str:
+        return self.log.path(name)
 
     def table(self, name: str) -> DataFrame:
-        fs, at = self._fs(name)
-        schema = self.TABLES[name]
-        return self.spark.read.schema(schema).parquet(self.path(name)) if fs.exists(at) else self.spark.createDataFrame([], schema)
+        return self.log.table(name)
 
     def append(self, name: str, rows: DataFrame) -> None:
-        names = [c.split()[0] for c in self.TABLES[name].split(", ")]
-        rows.select(*names).write.mode("append").parquet(self.path(name))
+        self.log.commit(f"{name}-{datetime.now(UTC):%Y%m%dT%H%M%S%f}", {name: rows})
 
     def clear(self, keep_history: bool = False) -> None:
         """Deletes the articles and the index; markers and searches too, unless history is kept."""
         for name in self.TABLES:
             if not (keep_history and name in ("markers", "searches")):
-                fs, at = self._fs(name)
-                fs.delete(at, True)
+                self.log.delete(name)
+        self.log.delete("staging")
+
+    def searched(self, number: str, source: str, config: Search, statistics: dict) -> DataFrame:
+        """The row of a search."""
+        row = [(number, datetime.now(UTC).replace(tzinfo=None), source, json.dumps(config.to_dict(), sort_keys=True), json.dumps(statistics, sort_keys=True))]
+        return self.spark.createDataFrame(row, self.TABLES["searches"])
 
     def record_search(self, source: str, config: Search, statistics: dict) -> str:
-        found = state.next_search_id(self.table("searches"))
-        row = [(found, datetime.now(UTC).replace(tzinfo=None), source, json.dumps(config.to_dict(), sort_keys=True), json.dumps(statistics, sort_keys=True))]
-        self.append("searches", self.spark.createDataFrame(row, self.TABLES["searches"]))
-        return found
+        number = self.log.reserve("search_", f"{source}-{config.config_hash()}")
+        self.log.commit(f"{source}-{number}", {"searches": self.searched(number, source, config, statistics)})
+        self.log.close(number)
+        return number
 
     def history(self) -> DataFrame:
         return self.table("searches").orderBy(F.desc("ts"), F.desc("id"))
@@ -95,66 +122,116 @@ class Outcome:
     error: str | None = None
 
 
-def collect_source(workspace: Workspace, source: str, search: Search, find: Finder, fetch: Fetcher | None = None, update: bool = False) -> Outcome:
-    """One source: what is found, less what is done or known, fetched, validated and added.
-
-    Requested articles end as resumed, duplicates, errors, or valid, incomplete or invalid. Completed ids of the same
-    configuration aren't fetched again, failed ones are. The marker moves if there is no error."""
-    spark, key = workspace.spark, search.config_hash()
-    found = find(spark, search, workspace.last_day(source) if update else None)
-    own = workspace.table("progress").where((F.col("source") == source) & (F.col("config_hash") == key))
+def _staged(workspace: Workspace, source: str, search: Search, found: DataFrame, stage: str) -> tuple[DataFrame, dict[str, int]]:
+    """What a source found, read once and written: (what is to be done, numbered from 1 in ``ordinal``; how many were
+    found, how many are left after those done before, and how many of them are new)."""
+    spark, own = workspace.spark, workspace.table("progress").where((F.col("source") == source) & (F.col("config_hash") == search.config_hash()))
     limit = search._limit(source)
     wanted = found.orderBy("id").limit(limit) if limit else found
-    todo = dedup.remaining(wanted.dropDuplicates(["id"]), own)
-    fresh = dedup.unknown(todo, workspace.table("doi_index"))
-    stage = workspace.path(f"staging/{source}-{datetime.now(UTC):%Y%m%dT%H%M%S%f}")
+    everything, counts = written(wanted.dropDuplicates(["id"]), f"{stage}/found", found=F.count(F.lit(1)))
+    index = workspace.table("doi_index").select(doi_key("doi").alias("__key")).where("__key is not null").distinct().withColumn("__old", F.lit(True))
+    todo = dedup.remaining(everything, own).withColumn("__key", doi_key("doi")).join(index, "__key", "left")
+    new = F.col("__old").isNull()
+    fresh, more = written(todo, f"{stage}/fresh", keep=new, left=F.count(F.lit(1)), new=F.count_if(new))
+    numbered = graph._numbered(spark, fresh.select(*everything.columns, F.col("id").alias("at")), "ordinal")
+    return written(numbered.select(*everything.columns, "ordinal"), f"{stage}/todo")[0], counts | more
+
+
+def _batch(workspace: Workspace, source: str, key: str, number: str, rows: DataFrame, fetch: Fetcher | None, name: str, stage: str) -> dict[str, int]:
+    """One batch: fetched, judged, written to all tables and published. Returns its counts."""
+    log, now = workspace.log, F.current_timestamp()
+    rows = rows.withColumn("__why", F.lit(None).cast("string"))
     if fetch is not None:
-        missing = fresh.where("xml is null")
-        got = fetch(missing)
-        got.write.parquet(f"{stage}-fetched")  # fetched once, whatever reads it
-        got = spark.read.parquet(f"{stage}-fetched").withColumnRenamed("xml", "__xml")
-        fresh = fresh.join(got, "id", "left").withColumn("xml", F.coalesce("xml", "__xml")).drop("__xml")
+        got = fetch(rows.where("xml is null").drop("__why"))
+        why = F.col("error") if "error" in got.columns else F.lit(None).cast("string")
+        got, _ = written(got.select("id", F.col("xml").alias("__xml"), why.alias("__error")), f"{stage}/{name}")  # fetched once, whatever reads it
+        rows = rows.join(got, "id", "left").withColumns({"xml": F.coalesce("xml", "__xml"), "__why": F.coalesce("__why", "__error")}).drop("__xml", "__error")
     usable = F.coalesce(is_full_text("xml"), F.lit(False))
-    with_doi = fresh.withColumn("doi", F.coalesce(filled("doi"), F.when(usable, jats_doi("xml"))))
-    judged = save.validated(with_doi.where(usable).withColumn("pmcid", F.coalesce(normalize_pmcid("pmcid"), F.col("pmcid"))))
+    with_doi = rows.withColumn("doi", F.coalesce(filled("doi"), F.when(usable, jats_doi("xml"))))
+    texts, seen = written(with_doi.where(usable).withColumn("pmcid", F.coalesce(normalize_pmcid("pmcid"), F.col("pmcid"))).withColumn("key", doi_key("doi")), f"{stage}/{name}-texts", usable=F.count(F.lit(1)))
     # A DOI that only the text tells may be known, or come twice.
-    judged = dedup.winners(dedup.unknown(judged, workspace.table("doi_index")), path="id")
-    name = F.when(doi_key("doi").isNotNull(), safe_file_name("source", doi_key("doi"))).otherwise(F.concat("source", F.lit("_"), "id", F.lit(".xml")))
-    saved = judged.select("source", "id", "pmcid", doi_key("doi").alias("doi"), "title", name.alias("file"), "status", "body_chars", "sha256", "xml", F.when(F.col("status") == "valid", "valid").otherwise("incomplete").alias("folder"))
-    saved.write.parquet(stage)
-    saved = spark.read.parquet(stage)
-    errors = fresh.where(~usable).select("id")
-    total, left, new = wanted.dropDuplicates(["id"]).count(), todo.count(), fresh.count()
-    failed, by = errors.count(), {r.status: r.n for r in saved.groupBy("status").agg(F.count("*").alias("n")).collect()}
-    kept = sum(by.values())
-    counts = {"found": total, "resumed": total - left, "duplicates": left - new + (new - failed - kept), "errors": failed, "fetched": kept, "valid": by.get("valid", 0), "incomplete": by.get("incomplete", 0), "invalid": by.get("invalid", 0)}
-    sid = workspace.record_search(source, search, counts)
-    now = F.current_timestamp()
-    workspace.append("articles", saved.withColumn("search_id", F.lit(sid)))
-    workspace.append("doi_index", saved.where("doi is not null").select("doi", "file", "source", F.lit(sid).alias("search_id"), now.alias("added")))
-    done = saved.select("id", F.lit("completed").alias("state"), F.lit(None).cast("string").alias("error")).union(errors.select("id", F.lit("failed"), F.lit("no full text")))
-    workspace.append("progress", done.select(F.lit(source).alias("source"), F.lit(key).alias("config_hash"), "id", "state", "error", now.alias("ts")))
-    if not failed:
-        workspace.append("markers", spark.range(1).select(F.lit(source).alias("source"), now.alias("last_fetch"), F.lit(kept).cast("bigint").alias("papers_fetched")))
+    old = log.known("doi_index", texts, "key").select("id")
+    judged = dedup.winners(save.validated(texts.join(old, "id", "left_anti")), path="id")
+    file = F.when(doi_key("doi").isNotNull(), safe_file_name("source", doi_key("doi"))).otherwise(F.concat("source", F.lit("_"), "id", F.lit(".xml")))
+    folder = F.when(F.col("status") == "valid", "valid").otherwise("incomplete")
+    saved = judged.select("source", "id", "pmcid", doi_key("doi").alias("doi"), "title", file.alias("file"), "status", "body_chars", "sha256", "xml", F.lit(number).alias("search_id"), folder.alias("folder"))
+    by = {k: F.count_if(F.col("status") == k) for k in ("valid", "incomplete", "invalid")}
+    saved, counts = log.write(name, "articles", saved, fetched=F.count(F.lit(1)), **by)
+    log.write(name, "doi_index", saved.where("doi is not null").select("doi", "file", "source", "search_id", now.alias("added")))
+    none = F.lit(None).cast("string")
+    done = texts.select("id", F.lit("completed").alias("state"), none.alias("error")).union(rows.where(~usable).select("id", F.lit("failed"), F.coalesce("__why", F.lit("no full text"))))
+    _, ended = log.write(name, "progress", done.select(F.lit(source).alias("source"), F.lit(key).alias("config_hash"), "id", "state", "error", now.alias("ts")), errors=F.count_if(F.col("state") == "failed"))
+    log.publish(name)
+    return counts | ended | {"duplicates": seen["usable"] - counts["fetched"]}
+
+
+def collect_source(
+    workspace: Workspace, source: str, search: Search, find: Finder, fetch: Fetcher | None = None, update: bool = False,
+    on_progress: Callable[[Progress], None] | None = None, cadence: Cadence | None = None,
+) -> Outcome:
+    """One source: what is found, less what is done or known, fetched, validated and added, batch by batch.
+
+    The source is read once; all counts are observed in the writes that the run makes anyway. Requested articles end as
+    resumed, duplicates, errors, or valid, incomplete or invalid. Completed ids of the same configuration aren't fetched
+    again, failed ones are. After each batch ``on_progress`` is told. The search's row and, if there is no error, the
+    marker come with a last commit."""
+    cadence, report = cadence or Cadence(), reporter(on_progress, source)
+    key, started = search.config_hash(), f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}"
+    number, stage = workspace.log.reserve("search_", f"{source}-{key}"), workspace.path(f"staging/{source}-{started}")
+    try:
+        found = find(workspace.spark, search, workspace.last_day(source) if update else None)
+        todo, told = _staged(workspace, source, search, found, stage)
+        counts = {k: 0 for k in ("found", "resumed", "duplicates", "errors", "fetched", "valid", "incomplete", "invalid")}
+        counts |= {"found": told["found"], "resumed": told["found"] - told["left"], "duplicates": told["left"] - told["new"]}
+        done, size, k, known = 0, cadence.items, 0, told["new"]
+        report(0, known, counts)
+        while done < known:
+            began = cadence.clock()
+            rows = todo.where((F.col("ordinal") > done) & (F.col("ordinal") <= done + size)).drop("ordinal")
+            new = _batch(workspace, source, key, number, rows, fetch, f"{source}-{started}-{k:06d}", stage)
+            counts = {c: n + new.get(c, 0) for c, n in counts.items()}
+            done, k = min(known, done + size), k + 1
+            report(done, known, counts)
+            size = cadence.next(size, cadence.clock() - began)
+        last = {"searches": workspace.searched(number, source, search, counts)}
+        if not counts["errors"]:
+            # All articles of the source that no marker has counted: also those of a run that was broken off.
+            before = workspace.table("markers").where(F.col("source") == source).agg(F.coalesce(F.sum("papers_fetched"), F.lit(0)).alias("before"))
+            held = workspace.table("articles").where(F.col("source") == source).agg(F.count("*").alias("held"))
+            fetched = F.greatest(F.col("held") - F.col("before"), F.lit(0)).cast("bigint")
+            last["markers"] = held.crossJoin(before).select(F.lit(source).alias("source"), F.current_timestamp().alias("last_fetch"), fetched.alias("papers_fetched"))
+        workspace.log.commit(f"{source}-{started}-last", last)
+        workspace.log.close(number)
+    finally:
+        workspace.log.delete(f"staging/{source}-{started}")
     return Outcome(source, counts)
 
 
-def collect(workspace: Workspace, search: Search, finders: dict[str, Finder], fetchers: dict[str, Fetcher] | None = None, update: bool = False) -> tuple[list[Outcome], dict[str, int]]:
+def _tried(workspace: Workspace, source: str, search: Search, finders: dict[str, Finder], fetchers: dict[str, Fetcher] | None, **how) -> Outcome:  # noqa: ANN003
+    """A source's outcome, or why it failed: one that fails doesn't stop the others."""
+    try:
+        return collect_source(workspace, source, search, finders[source], (fetchers or {}).get(source), **how)
+    except Exception as e:  # noqa: BLE001
+        return Outcome(source, {}, str(e).splitlines()[0] if str(e) else type(e).__name__)
+
+
+def collect(
+    workspace: Workspace, search: Search, finders: dict[str, Finder], fetchers: dict[str, Fetcher] | None = None, update: bool = False,
+    on_progress: Callable[[Progress], None] | None = None, cadence: Cadence | None = None,
+) -> tuple[list[Outcome], dict[str, int]]:
     """Every source of the search, one after the other, in the order of priority; one that fails doesn't stop the others.
     Returns the outcomes and their sums."""
-    outcomes = []
-    for source in sorted(search.sources or ("pmc",), key=lambda s: SOURCES.index(s) if s in SOURCES else len(SOURCES)):
-        try:
-            outcomes.append(collect_source(workspace, source, search, finders[source], (fetchers or {}).get(source), update))
-        except Exception as e:  # noqa: BLE001
-            outcomes.append(Outcome(source, {}, str(e).splitlines()[0] if str(e) else type(e).__name__))
+    order = sorted(search.sources or ("pmc",), key=lambda s: SOURCES.index(s) if s in SOURCES else len(SOURCES))
+    outcomes = [_tried(workspace, s, search, finders, fetchers, update=update, on_progress=on_progress, cadence=cadence) for s in order]
     names = sorted({k for o in outcomes for k in o.counts})
     return outcomes, {k: sum(o.counts.get(k, 0) for o in outcomes) for k in names}
 
 
-def refresh(workspace: Workspace, finders: dict[str, Finder], fetchers: dict[str, Fetcher] | None = None) -> list[Outcome]:
-    """Each source again with its last configuration, for what is new since its marker."""
-    return [collect_source(workspace, s, c, finders[s], (fetchers or {}).get(s), update=True) for s, c in sorted(workspace.latest_configs().items()) if s in finders]
+def refresh(workspace: Workspace, finders: dict[str, Finder], fetchers: dict[str, Fetcher] | None = None, on_progress: Callable[[Progress], None] | None = None) -> list[Outcome]:
+    """Each source again with its last configuration, for what is new since its marker; one that fails doesn't stop the
+    others."""
+    known = sorted(workspace.latest_configs().items())
+    return [_tried(workspace, s, c, finders, fetchers, update=True, on_progress=on_progress) for s, c in known if s in finders]
 
 
 def expand_search(seeds: DataFrame, edges: DataFrame, search: Search, limit: int | None = None) -> DataFrame:

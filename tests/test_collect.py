@@ -1,6 +1,9 @@
+from pathlib import Path
 
 from corpusloom.functions.search import Search
-from corpusloom.plans.collect import ARTICLE, Workspace, collect, expand_search, refresh
+from corpusloom.operators.commits import CommitLog
+from corpusloom.plans import fetchers
+from corpusloom.plans.collect import ARTICLE, Cadence, Workspace, collect, collect_source, expand_search, refresh
 
 
 def xml(doi, title="T"):
@@ -58,3 +61,104 @@ def test_plan(spark):
     search = Search(keywords=("k",), expand_references=True)
     assert sorted((r.pmcid, r.role) for r in expand_search(seeds, edges, search).collect()) == [("PMC1", "seed"), ("PMC7", "expanded"), ("PMC8", "expanded")]
     assert [r.pmcid for r in expand_search(seeds, edges, search, 2).collect()] == ["PMC1", "PMC7"]
+
+
+REQUESTS = """
+import fake_services
+LOG = {path!r}
+
+def transport(service, params):
+    with open(LOG, "a") as out:
+        out.write(service + " " + str(params.get("cursorMark", params.get("start", params.get("id", "")))) + chr(10))
+    return fake_services.transport(service, params)
+"""
+
+
+def counted(spark, tmp_path, name):
+    """Services whose requests are written down, whichever process makes them."""
+    (tmp_path / f"{name}.py").write_text(REQUESTS.format(path=str(tmp_path / "requests")))
+    for path in (tmp_path / f"{name}.py", Path(__file__).with_name("fake_services.py")):
+        spark.sparkContext.addPyFile(str(path))
+    return fetchers.Services(f"{name}:transport")
+
+
+def test_a_source_is_read_once(spark, tmp_path):
+    services, told = counted(spark, tmp_path, "counted_once"), []
+    w = Workspace(spark, str(tmp_path / "w"))
+    outcome = collect_source(w, "europepmc", Search(keywords=("k",)), services.find_europepmc, services.fetch_europepmc, on_progress=told.append)
+    asked = (tmp_path / "requests").read_text().split("\n")[:-1]
+    assert [a for a in asked if a.startswith("europepmc ")] == ["europepmc *", "europepmc 2", "europepmc 4", "europepmc 5"]
+    assert sorted(a for a in asked if a.startswith("europepmc_text")) == [f"europepmc_text PMC{i}" for i in range(5)]
+    assert outcome.counts == {"found": 5, "resumed": 0, "duplicates": 0, "errors": 1, "fetched": 4, "valid": 4, "incomplete": 0, "invalid": 0}
+    assert [(p.source, p.done, p.total) for p in told] == [("europepmc", 0, 5), ("europepmc", 5, 5)] and told[-1].counts == outcome.counts
+    assert not list((tmp_path / "w/staging").iterdir())
+
+
+def kept(w):
+    """What the tables hold, but for times."""
+    tables = {"articles": ("source", "id", "doi", "file", "status", "search_id"), "doi_index": ("doi", "file", "search_id"), "progress": ("source", "id", "state", "error"), "markers": ("source", "papers_fetched"), "searches": ("id", "source")}
+    return {t: sorted(map(tuple, w.table(t).select(*c).collect()), key=repr) for t, c in tables.items()}
+
+
+def test_a_run_broken_off_at_any_write_goes_on(spark, tmp_path):
+    rows = [("pmc", f"PMC{i}", f"PMC{i}", None, "T", None, xml(f"10.1/{i % 4}")) for i in range(5)]
+    find, search = lambda s, *_: s.createDataFrame(rows, ARTICLE), Search(keywords=("k",))
+    cadence = Cadence(items=3, seconds=0.0)
+    whole = Workspace(spark, str(tmp_path / "whole"))
+    collect_source(whole, "pmc", search, find, cadence=cadence)
+    expected = kept(whole)
+    assert len(expected["articles"]) == 4 and len(expected["progress"]) == 5 and expected["markers"] == [("pmc", 4)]
+    steps = 0
+    while True:
+        w, left = Workspace(spark, str(tmp_path / f"w{steps}")), [steps]
+
+        def broken(f, left=left):
+            def run(*args, **how):
+                if left[0] == 0:
+                    raise OSError("the power went")
+                left[0] -= 1
+                return f(*args, **how)
+
+            return run
+
+        w.log.write, w.log.publish = broken(w.log.write), broken(w.log.publish)
+        try:
+            collect_source(w, "pmc", search, find, cadence=cadence)
+            break
+        except OSError:
+            again = Workspace(spark, w.root)
+            before = kept(again)
+            assert len(before["progress"]) in (0, 3, 5)  # whole batches only
+            collect_source(again, "pmc", search, find, cadence=cadence)
+            assert kept(again) == expected
+        steps += 3 if steps else 1
+    assert steps > 6
+
+
+def test_batches_are_merged_and_numbers_are_taken_once(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"), {"a": "k string, n int", "b": "n int"}, keyed={"a": ("k", 4)})
+    rows = lambda *x: spark.createDataFrame([(str(i), i) for i in x], "k string, n int")
+    log.commit("one", {"a": rows(1, 2), "b": rows(7).select("n")})
+    log.commit("two", {"a": rows(3, 4)})
+    log.write("lost", "a", rows(5))
+    log.publish("one")
+    both = [sorted(r.n for r in log.table("a").collect()), [r.n for r in log.table("b").collect()]]
+    assert both == [[1, 2, 3, 4], [7]]
+    asked = spark.createDataFrame([("2",), ("5",), ("9",), (None,)], "q string")
+    assert [r.q for r in log.known("a", asked, "q").collect()] == ["2"]
+    assert log.compact() and log.compact() is None and log.vacuum() == 4
+    assert [sorted(r.n for r in log.table("a").collect()), [r.n for r in log.table("b").collect()]] == both
+    assert [r.q for r in log.known("a", asked, "q").collect()] == ["2"]
+    first, other = log.reserve("search_", "x-1"), log.reserve("search_", "y-1")
+    assert (first, other, log.reserve("search_", "x-1")) == ("search_001", "search_002", "search_001")
+    log.close(first)
+    assert log.reserve("search_", "x-1") == "search_003"
+
+
+def test_a_callback_that_fails_stops_nothing(spark, tmp_path):
+    def fails(progress):
+        raise ValueError("no")
+
+    find = lambda s, *_: s.createDataFrame([], ARTICLE)
+    outcome = collect_source(Workspace(spark, str(tmp_path / "w")), "pmc", Search(keywords=("k",)), find, on_progress=fails)
+    assert set(outcome.counts.values()) == {0}
