@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,12 +19,14 @@ from corpusloom.functions.ids import best_id, identity_keys
 
 RECORD = ("id", "source", "title", "doi", "pmid", "pmcid")
 KINDS = ("references", "citations")
+#: Nodes (``src_source, src_id``) to the edges of their lists and, if it can tell, each list's outcome.
+Lists = Callable[[DataFrame], "tuple[DataFrame, DataFrame | None]"]
 
 
 @dataclass
 class Expansion:
     """``papers``: accepted records with kind, depth and order; ``stats``: one row; ``failed``: nodes whose lists were
-    partial; ``coverage``: what lists the seeds have."""
+    partial or could not be had at all; ``coverage``: what lists the seeds have."""
 
     papers: DataFrame
     stats: DataFrame
@@ -80,19 +83,26 @@ def prepared_seeds(papers: DataFrame, order: str) -> DataFrame:
     return valid.withColumn("__r", F.row_number().over(first)).where("__r = 1").select(F.col(order).alias("ord"), *RECORD)
 
 
-def expand(seeds: DataFrame, edges: DataFrame, kinds: tuple[str, ...] = KINDS, depth: int = 1, budget: int | None = None) -> Expansion:
+def expand(seeds: DataFrame, edges: DataFrame | Lists, kinds: tuple[str, ...] = KINDS, depth: int = 1, budget: int | None = None, outcomes: DataFrame | None = None) -> Expansion:
     """``seeds``: ``ord`` (unique) and the columns of RECORD. ``edges``: ``src_source, src_id, kind, pos, record,
-    complete``; the lists of a node. ``kinds`` and their order are fixed: references, then citations."""
+    complete``; the lists of a node, or a function that gets a hop's nodes and asks for their lists. ``outcomes``
+    (``src_source, src_id, complete``): how asking for a node's list ended, so that a node whose list could not be had at
+    all, and so has no edge, is told as failed. ``kinds`` and their order are fixed: references, then citations."""
     spark = seeds.sparkSession
     kinds = tuple(k for k in KINDS if k in kinds)
     rank = F.when(F.col("kind") == KINDS[0], 0).otherwise(1)
-    edges = edges.where(F.col("kind").isin(*kinds)) if kinds else edges.limit(0)
+    asked: Lists = edges if callable(edges) else lambda nodes: (edges, outcomes)
+    of_seeds = None if callable(edges) else edges.where(F.col("kind").isin(*kinds)) if kinds else edges.limit(0)
     frontier = _write(spark, seeds.select(F.col("ord").cast("bigint").alias("parent"), record_node().alias("node")).where("node is not null"))
     seen = seeds.select(F.explode(record_keys()).alias("key")).distinct()
     papers, totals, failed, room = None, [], None, budget
     empty = spark.createDataFrame([], "ord bigint, parent bigint, depth int, kind string, id string, source string, title string, doi string, pmid string, pmcid string")
     for hop in range(1, depth + 1 if kinds else 1):
-        lists = edges.join(frontier.select("parent", F.col("node.source").alias("src_source"), F.col("node.id").alias("src_id")), ["src_source", "src_id"])
+        nodes = frontier.select(F.col("node.source").alias("src_source"), F.col("node.id").alias("src_id"))
+        own, ends = asked(nodes.distinct())
+        own = own.where(F.col("kind").isin(*kinds))
+        of_seeds = own if of_seeds is None else of_seeds
+        lists = own.join(frontier.select("parent", F.col("node.source").alias("src_source"), F.col("node.id").alias("src_id")), ["src_source", "src_id"])
         rows = lists.select("parent", rank.alias("k"), "kind", "pos", "complete", "src_source", "src_id", *[F.col(f"record.{c}").alias(c) for c in RECORD])
         rows = _write(spark, rows.withColumn("keys", record_keys()).withColumn("at", F.struct("parent", "k", "pos")))
         keyed = rows.where("size(keys) > 0")
@@ -123,6 +133,9 @@ def expand(seeds: DataFrame, edges: DataFrame, kinds: tuple[str, ...] = KINDS, d
         done = processed.agg(F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("duplicates")).first()
         totals.append((counts[KINDS[0]], counts[KINDS[1]], done.accepted, done.duplicates))
         partial = read.where("not complete").select(F.concat_ws("/", "src_source", "src_id").alias("node")).distinct()
+        if ends is not None:
+            broken = ends.where("not complete").join(nodes.distinct(), ["src_source", "src_id"], "left_semi")
+            partial = partial.union(broken.select(F.concat_ws("/", "src_source", "src_id").alias("node")).distinct())
         failed = partial if failed is None else failed.union(partial)
         # Parents are numbered anew by the order of acceptance, which also orders the next hop.
         new = _numbered(spark, processed.where("accepted"), "ord").withColumn("ord", F.col("ord") + sum(t[2] for t in totals[:-1]))
@@ -139,7 +152,9 @@ def expand(seeds: DataFrame, edges: DataFrame, kinds: tuple[str, ...] = KINDS, d
     failed = (failed if failed is not None else spark.createDataFrame([], "node string")).distinct()
     sums = [sum(t[i] for t in totals) for i in range(4)]
     stats = spark.createDataFrame([tuple(sums)], "references_found bigint, citations_found bigint, total_unique bigint, duplicates_skipped bigint")
-    return Expansion(papers if papers is not None else empty, stats, failed, coverage(seeds, edges))
+    if of_seeds is None:
+        of_seeds = spark.createDataFrame([], "src_source string, src_id string, kind string")
+    return Expansion(papers if papers is not None else empty, stats, failed, coverage(seeds, of_seeds))
 
 
 def coverage(seeds: DataFrame, edges: DataFrame) -> DataFrame:
@@ -164,6 +179,28 @@ def plan(seeds: DataFrame, papers: DataFrame) -> DataFrame:
     return own.select("pmcid", F.lit("seed").alias("role"), "ordinal").union(new.select("pmcid", F.lit("expanded"), "ordinal"))
 
 
+def versioned(planned: DataFrame) -> DataFrame:
+    """A plan to be kept: ``plan, ordinal, pmcid, role``, seeds first, numbered from 1. ``plan`` is a hash
+    of what was planned, the same for the same papers in the same order: their hashes are added up, so it needs no sort."""
+    spark = planned.sparkSession
+    rows = _numbered(spark, planned.withColumn("at", F.struct(F.when(F.col("role") == "seed", 0).otherwise(1).alias("k"), F.col("ordinal").cast("bigint").alias("o"), "pmcid")).select("at", "pmcid", "role"), "ordinal")
+    written = _write(spark, rows.select("ordinal", "pmcid", "role"))
+    one = F.conv(F.substring(F.md5(F.concat_ws(" ", "ordinal", "pmcid", "role")), 1, 15), 16, 10).cast("decimal(38,0)")
+    total = written.agg(F.coalesce(F.sum(one), F.lit(0)).cast("string").alias("sum"), F.count("*").cast("string").alias("n"))
+    found = total.select(F.substring(F.sha2(F.concat_ws(" ", "sum", "n"), 256), 1, 16)).first()[0]
+    return written.select(F.lit(found).alias("plan"), "ordinal", "pmcid", "role")
+
+
+def resolution(papers: DataFrame, articles: DataFrame) -> DataFrame:
+    """How accepted papers got their PMCID: ``kind, total, own, by_source, by_pmid, none``, one row for each kind."""
+    from corpusloom.functions.ids import normalize_pmcid
+
+    own, source = normalize_pmcid("__given").isNotNull(), (F.col("source") == "PMC") & normalize_pmcid("id").isNotNull()
+    told = resolved(papers.withColumn("__given", F.col("pmcid")), articles)
+    how = F.when(own, "own").when(source, "by_source").when(F.col("pmcid").isNotNull(), "by_pmid").otherwise("none")
+    return told.withColumn("__how", how).groupBy("kind").agg(F.count("*").alias("total"), *[F.count_if(F.col("__how") == k).alias(k) for k in ("own", "by_source", "by_pmid", "none")])
+
+
 def resolved(papers: DataFrame, articles: DataFrame) -> DataFrame:
     """Accepted papers with the PMCID they have: their own, their id if the source is PMC, or that of the article of
     their PMID (``pmid, pmcid``); ``pmcid`` is null if none."""

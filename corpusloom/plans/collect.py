@@ -122,10 +122,10 @@ class Outcome:
     error: str | None = None
 
 
-def _staged(workspace: Workspace, source: str, search: Search, found: DataFrame, stage: str) -> tuple[DataFrame, dict[str, int]]:
+def _staged(workspace: Workspace, source: str, search: Search, key: str, found: DataFrame, stage: str) -> tuple[DataFrame, dict[str, int]]:
     """What a source found, read once and written: (what is to be done, numbered from 1 in ``ordinal``; how many were
     found, how many are left after those done before, and how many of them are new)."""
-    spark, own = workspace.spark, workspace.table("progress").where((F.col("source") == source) & (F.col("config_hash") == search.config_hash()))
+    spark, own = workspace.spark, workspace.table("progress").where((F.col("source") == source) & (F.col("config_hash") == key))
     limit = search._limit(source)
     wanted = found.orderBy("id").limit(limit) if limit else found
     everything, counts = written(wanted.dropDuplicates(["id"]), f"{stage}/found", found=F.count(F.lit(1)))
@@ -167,20 +167,21 @@ def _batch(workspace: Workspace, source: str, key: str, number: str, rows: DataF
 
 def collect_source(
     workspace: Workspace, source: str, search: Search, find: Finder, fetch: Fetcher | None = None, update: bool = False,
-    on_progress: Callable[[Progress], None] | None = None, cadence: Cadence | None = None,
+    on_progress: Callable[[Progress], None] | None = None, cadence: Cadence | None = None, key: str | None = None,
 ) -> Outcome:
     """One source: what is found, less what is done or known, fetched, validated and added, batch by batch.
 
     The source is read once; all counts are observed in the writes that the run makes anyway. Requested articles end as
     resumed, duplicates, errors, or valid, incomplete or invalid. Completed ids of the same configuration aren't fetched
     again, failed ones are. After each batch ``on_progress`` is told. The search's row and, if there is no error, the
-    marker come with a last commit."""
+    marker come with a last commit. ``key`` stands for the configuration by which progress is kept, if it is another than the
+    search's."""
     cadence, report = cadence or Cadence(), reporter(on_progress, source)
-    key, started = search.config_hash(), f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}"
+    key, started = key or search.config_hash(), f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}"
     number, stage = workspace.log.reserve("search_", f"{source}-{key}"), workspace.path(f"staging/{source}-{started}")
     try:
         found = find(workspace.spark, search, workspace.last_day(source) if update else None)
-        todo, told = _staged(workspace, source, search, found, stage)
+        todo, told = _staged(workspace, source, search, key, found, stage)
         counts = {k: 0 for k in ("found", "resumed", "duplicates", "errors", "fetched", "valid", "incomplete", "invalid")}
         counts |= {"found": told["found"], "resumed": told["found"] - told["left"], "duplicates": told["left"] - told["new"]}
         done, size, k, known = 0, cadence.items, 0, told["new"]
@@ -212,7 +213,7 @@ def _tried(workspace: Workspace, source: str, search: Search, finders: dict[str,
     try:
         return collect_source(workspace, source, search, finders[source], (fetchers or {}).get(source), **how)
     except Exception as e:  # noqa: BLE001
-        return Outcome(source, {}, str(e).splitlines()[0] if str(e) else type(e).__name__)
+        return Outcome(source, {}, next((line.strip() for line in str(e).splitlines() if line.strip()), type(e).__name__))
 
 
 def collect(

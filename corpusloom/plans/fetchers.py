@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.ids import normalize_pmcid
+from corpusloom.functions.ids import filled, normalize_pmcid
 from corpusloom.functions.search import Search, arxiv_since, pubmed_since
+from corpusloom.functions import xml
 from corpusloom.functions.xml import validate_jats
-from corpusloom.operators import dedup
+from corpusloom.operators import dedup, graph
 from corpusloom.sources import feeds, services
 
 #: Days that a preprint server is read for where a search has no dates.
 DAYS = 30
+#: Before the publication days of any article.
+FIRST_DAY = date(1700, 1, 1)
 
 
 def _article(source: str, id_: str, day: str, pmcid: Column | None = None, doi: Column | None = None) -> list[Column]:
@@ -36,6 +40,8 @@ class Services:
     transport: str | None = None
     http: dict = field(default_factory=dict)
     call: services.Transport | None = None
+    #: TEI of a PDF file's bytes (and whether the full text is wanted), for sources that have nothing else.
+    pdf: Callable[[bytes, bool], "str | None"] | None = None
 
     def __post_init__(self):
         self.call = self.call or (services._loaded(self.transport) if self.transport else services.Http(**self.http))
@@ -54,12 +60,15 @@ class Services:
         return with_id.select(_article("europepmc", "key", "first_publication_date", F.col("pmcid"), F.col("doi")))
 
     def find_pmc(self, spark: SparkSession, search: Search, since: str | None) -> DataFrame:
+        """All that PubMed finds, by windows of days where one answer can't hold it; ids are converted by tasks."""
         query = pubmed_since(search.pubmed_by_category(), since) if since else search.pubmed_by_category()
-        pmids = services.esearch(self.call, query, search._limit("pmc") or 10_000)
-        known = services.converted(self.call, pmids)
-        rows = [(known[p]["pmcid"], known[p].get("doi")) for p in pmids if known.get(p, {}).get("pmcid")]
-        found = spark.createDataFrame(rows, "pmcid string, doi string").withColumn("pmcid", normalize_pmcid("pmcid"))
-        found = found.where("pmcid is not null").withColumns({"title": F.lit(""), "day": F.lit(None).cast("date"), "key": F.col("pmcid")})
+        limit = search._limit("pmc")
+        if limit and limit <= services.MOST_IDS:
+            ids = spark.createDataFrame([(p,) for p in services.esearch(self.call, query, limit)], "id string")
+        else:
+            ids = services.search_ids(spark, self.call, query, FIRST_DAY, datetime.now(UTC).date() + timedelta(days=366)).select(F.col("pmid").alias("id"))
+        found = services.convert_ids(ids, self.call).select(normalize_pmcid("pmcid").alias("pmcid"), "doi").where("pmcid is not null")
+        found = found.withColumns({"title": F.lit(""), "day": F.lit(None).cast("date"), "key": F.col("pmcid")})
         return found.select(_article("pmc", "key", "day", F.col("pmcid"), F.col("doi")))
 
     def find_arxiv(self, spark: SparkSession, search: Search, since: str | None) -> DataFrame:
@@ -109,58 +118,114 @@ class Services:
         return matching(services.fetch_texts(articles.select(F.col("id").alias("pmcid")), self.call, service="europepmc_text"))
 
     def fetch_preprints(self, server: str):
-        def fetch(articles: DataFrame) -> DataFrame:
-            return services.fetch_texts(articles.select("id"), self.preprint_text(server), "id", server)
-
-        return fetch
+        return lambda articles: services.fetch_texts(articles.select("id"), PreprintText(self.call, server), "id", server)
 
-    def preprint_text(self, server: str):
-        """The JATS text of a preprint by its DOI: the address is in its metadata."""
-        call = self.call
+    def fetch_pdfs(self, source: str):
+        """Texts of a source that has PDF files only. Without a conversion there are none, which is an error of the
+        source and not of its articles."""
 
-        def text(_: str, params: dict) -> str | None:
-            told = call("biorxiv_doi", {"server": server, "doi": params["id"]})
-            versions = (json.loads(told) if told else {}).get("collection") or []
-            address = versions[-1].get("jatsxml") if versions else None
-            if not address:
-                return None
-            raw = getattr(call, "raw", None)
-            found = raw(address, "biorxiv") if raw else call("jatsxml", {"url": address})
-            return found.decode("utf-8", "replace") if isinstance(found, bytes) else found
+        def fetch(articles: DataFrame) -> DataFrame:
+            if self.pdf is None:
+                raise ValueError(f"{source} has PDF files only: a conversion (pdf) is needed for their texts")
+            return services.fetch_texts(articles.select("id"), PdfText(self.call, source, self.pdf), "id", source)
 
-        return text
+        return fetch
 
     def fetchers(self) -> dict:
-        """For the sources that have texts; the others give PDF files, see :mod:`corpusloom.plans.pdf`."""
         return {
-            "pmc": self.fetch_pmc, "europepmc": self.fetch_europepmc,
+            "pmc": self.fetch_pmc, "europepmc": self.fetch_europepmc, "arxiv": self.fetch_pdfs("arxiv"), "chemrxiv": self.fetch_pdfs("chemrxiv"),
             "biorxiv": self.fetch_preprints("biorxiv"), "medrxiv": self.fetch_preprints("medrxiv"),
         }
 
+    def links(self, kinds: tuple[str, ...], limit: int | None = None):
+        """Lists of nodes for :func:`corpusloom.operators.graph.expand`: asked once a hop, for that hop's nodes only."""
+
+        def lists(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+            both = [edges_of(services.link_pages(nodes, self.call, k, limit), k) for k in kinds]
+            edges, outcomes = both[0]
+            for more, ends in both[1:]:
+                edges, outcomes = edges.union(more), outcomes.union(ends)
+            return edges, outcomes
+
+        return lists
+
+
+    def pmcids_of(self, spark: SparkSession, papers: DataFrame) -> DataFrame:
+        """``pmid, pmcid`` of the articles that papers without a PMCID name by their PMID, as the converter knows them."""
+        pmid = F.coalesce(filled("pmid"), F.when(F.col("source") == "MED", filled("id")))
+        ids = papers.where(normalize_pmcid("pmcid").isNull()).select(pmid.alias("id")).where("id is not null").distinct()
+        found = services.convert_ids(ids, self.call)
+        return graph._write(spark, found.select(F.coalesce("pmid", "requested").alias("pmid"), "pmcid"))
+
+
+@dataclass
+class PreprintText:
+    """The JATS text of a preprint by its DOI: the address is in its metadata."""
+
+    call: services.Transport
+    server: str
+
+    def shared(self, readers: int, reader: int) -> PreprintText:
+        return replace(self, call=services.share(self.call, readers, reader))
+
+    def __call__(self, _: str, params: dict) -> str | None:
+        told = self.call("biorxiv_doi", {"server": self.server, "doi": params["id"]})
+        versions = (json.loads(told) if told else {}).get("collection") or []
+        address = versions[-1].get("jatsxml") if versions else None
+        found = services.body_of(self.call, address, "biorxiv", "jatsxml") if address else None
+        return found.decode("utf-8", "replace") if isinstance(found, bytes) else found
+
+
+@dataclass
+class PdfText:
+    """The text of an article that its source has as a PDF file, converted to JATS. ``pdf`` makes TEI of a file's bytes; it
+    is told whether the full text is wanted, and asked for the header alone if that fails."""
+
+    call: services.Transport
+    source: str
+    pdf: Callable[[bytes, bool], "str | None"]
+
+    def shared(self, readers: int, reader: int) -> PdfText:
+        return replace(self, call=services.share(self.call, readers, reader))
+
+    def address(self, id_: str) -> str | None:
+        if self.source == "arxiv":
+            return f"https://arxiv.org/pdf/{id_}.pdf"
+        told = self.call("chemrxiv_item", {"id": id_})
+        return ((((json.loads(told) if told else {}).get("asset") or {}).get("original")) or {}).get("url")
+
+    def __call__(self, _: str, params: dict) -> str | None:
+        address = self.address(params["id"])
+        body = services.body_of(self.call, address, self.source, "pdf") if address else None
+        if body is None:
+            return None
+        data = body if isinstance(body, bytes) else body.encode()
+        return xml.tei_to_jats(self.pdf(data, True) or self.pdf(data, False))
+
 
 def matching(texts: DataFrame) -> DataFrame:
-    """``pmcid, xml`` to ``id, xml``: an answer for another article than was asked for is none. One that names no PMCID
-    is taken."""
+    """``pmcid, xml`` (and ``error``) to ``id, xml, error``: an answer for another article than was asked for is none. One
+    that names no PMCID is taken."""
     told = normalize_pmcid(validate_jats("xml")["pmcid"])
-    return texts.select(
-        F.col("pmcid").alias("id"), F.when(told.isNull() | (told == normalize_pmcid("pmcid")), F.col("xml")).alias("xml")
-    )
+    right = told.isNull() | (told == normalize_pmcid("pmcid"))
+    before = F.col("error") if "error" in texts.columns else F.lit(None).cast("string")
+    return texts.select(F.col("pmcid").alias("id"), F.when(right, F.col("xml")).alias("xml"), F.when(right, before).otherwise("another article").alias("error"))
+
+
+def edges_of(pages: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """Edges and outcomes of the pages of lists, which are written first: both read them."""
+    written = graph._write(pages.sparkSession, pages)
+    outcomes = feeds.link_outcomes(written)
+    edges = feeds.europepmc_links(written.where("json is not null"), kind).drop("complete")
+    ends = outcomes.select("src_source", "src_id", "complete")
+    return edges.join(ends, ["src_source", "src_id"]).select("src_source", "src_id", "kind", "pos", "record", "complete"), outcomes
 
 
 def links(call: services.Transport, spark: SparkSession, nodes: list[tuple[str, str]], kind: str, limit: int | None = None) -> DataFrame:
     """The citations or references of articles (source, id), as edges of :func:`corpusloom.operators.graph.expand`. A list
     that breaks off keeps what was read and is not complete."""
-    rows = []
-    for source, id_ in nodes:
-        page = 0
-        try:
-            for body in services.scan(call, "europepmc_links", {"source": source, "id": id_, "kind": kind}, limit, 1000):
-                rows.append((source, id_, page, body))
-                page += 1
-        except services.ServiceError:
-            continue
-    pages = spark.createDataFrame(rows, "src_source string, src_id string, page int, json string")
-    return feeds.europepmc_links(pages, kind)
+    asked = spark.createDataFrame(nodes, "src_source string, src_id string")
+    return edges_of(services.link_pages(asked, call, kind, limit), kind)[0]
 
 
 def recent(server: str, days: int, today: date | None = None) -> dict:

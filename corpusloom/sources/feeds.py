@@ -42,6 +42,12 @@ def europepmc_articles(pages: DataFrame, column: str = "json") -> DataFrame:
     )
 
 
+def europepmc_records(pages: DataFrame, column: str = "json") -> DataFrame:
+    """``page, at`` and the columns of a record (id, source, title, doi, pmid, pmcid) of search pages, as they are."""
+    each = pages.select("page", F.posexplode(F.from_json(column, _EPMC)["resultList"]["result"]).alias("at", "r"))
+    return each.where(filled("r.id").isNotNull()).select("page", "at", *[f"r.{c}" for c in ("id", "source", "title", "doi", "pmid", "pmcid")])
+
+
 def europepmc_links(pages: DataFrame, kind: str, column: str = "json") -> DataFrame:
     """``src_source, src_id, kind, pos, record, complete`` of pages of a node's citations or references. One item may
     stand without a list; a count that can't be read is null, and the list then counts as complete."""
@@ -55,6 +61,17 @@ def europepmc_links(pages: DataFrame, kind: str, column: str = "json") -> DataFr
     return each.join(counts, node).select(*node, F.lit(kind).alias("kind"), "pos", "record", F.coalesce(F.col("got") >= F.col("hits"), F.lit(True)).alias("complete"))
 
 
+def link_outcomes(pages: DataFrame, column: str = "json") -> DataFrame:
+    """Each asked list's outcome, ``src_source, src_id, kind, pages, hits, got, error, complete``, of pages that may have
+    failed (``json`` null, ``error`` given). A list is complete if no page failed and it holds as many as were told."""
+    outer = lambda n: F.get_json_object(column, f"$.{n}")
+    items = F.coalesce(outer("citationList.citation"), outer("referenceList.reference"))
+    rows = F.when(items.startswith("["), F.size(F.from_json(items, f"array<{_LINK}>"))).when(items.startswith("{"), 1).otherwise(0)
+    told = pages.withColumns({"__rows": rows, "__hits": outer("hitCount").try_cast("long")})
+    by = told.groupBy("src_source", "src_id", "kind").agg(F.count(column).alias("pages"), F.max("__hits").alias("hits"), F.sum("__rows").alias("got"), F.max("error").alias("error"))
+    return by.withColumn("complete", F.col("error").isNull() & (F.col("got") >= F.coalesce("hits", F.lit(0))))
+
+
 def biorxiv_articles(pages: DataFrame, as_of: Column, column: str = "json") -> DataFrame:
     """Articles of either server; ``as_of`` stands for dates that can't be read."""
     r = pages.select(F.explode(F.from_json(column, _BIORXIV)["collection"]).alias("r")).where(filled("r.doi").isNotNull()).select("r.*")

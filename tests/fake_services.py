@@ -26,6 +26,10 @@ def transport(service, params):
         return json.dumps({"messages": [{"cursor": at, "total": str(n)}], "collection": rows})
     if service == "biorxiv_doi":
         return json.dumps({"collection": [{"jatsxml": f"http://x/{params['doi']}"}]})
+    if service == "chemrxiv_item":
+        return json.dumps({"id": params["id"], "asset": {"original": {"url": f"http://x/{params['id']}.pdf"}}})
+    if service == "pdf":
+        return f"%PDF {params['url']}"
     if service == "jatsxml":
         return article("")
     if service == "chemrxiv":

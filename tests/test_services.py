@@ -1,15 +1,20 @@
 import io
+import json
 import os
 import tarfile
 import urllib.error
+from datetime import date, timedelta
 from email.message import Message
 from pathlib import Path
 
 import fake_services
 import pytest
 
+from test_functions import TEI
+
 from corpusloom import __main__, config
 from corpusloom.functions.search import DateRange, Search, SourceOptions
+from corpusloom.operators import graph
 from corpusloom.plans import fetchers, sync
 from corpusloom.plans.collect import Workspace, collect
 from corpusloom.sources import files, services
@@ -113,13 +118,161 @@ def test_every_source_is_collected(spark, fakes, tmp_path):
     options = {"biorxiv": SourceOptions(), "chemrxiv": SourceOptions()}
     sources = ("pmc", "europepmc", "biorxiv", "medrxiv", "arxiv", "chemrxiv")
     search = Search(keywords=("virus",), sources=sources, source_options=options, date_range=DateRange("2024/01/01", "2024/12/31"))
-    w = Workspace(spark, str(tmp_path / "w"))
-    outcomes, _ = collect(w, search, fakes.finders(), fakes.fetchers())
+    w, reached = Workspace(spark, str(tmp_path / "w")), fetchers.Services("fake_services:transport", pdf=conversion())
+    outcomes, _ = collect(w, search, reached.finders(), reached.fetchers())
     by = {o.source: o for o in outcomes}
     assert not any(o.error for o in outcomes)
     assert by["pmc"].counts["valid"] == 1 and by["europepmc"].counts["found"] == 5
     assert by["europepmc"].counts["errors"] == 1  # another article than asked for
-    assert by["biorxiv"].counts["found"] == 1 and by["arxiv"].counts["found"] == 3 and by["chemrxiv"].counts["errors"] == 3
+    assert by["biorxiv"].counts["found"] == 1 and by["arxiv"].counts["found"] == 3
+    assert by["arxiv"].counts["valid"] == 3 and by["chemrxiv"].counts["valid"] == 3 and by["chemrxiv"].counts["errors"] == 0
+    why = {r.error for r in w.table("progress").where("state = 'failed'").collect()}
+    assert why == {"another article"}
+
+
+def conversion():
+    """One that tasks can take along: it reads headers only, so the full text is asked for in vain."""
+    tei = TEI
+    return lambda body, full: None if full or not body.startswith(b"%PDF") else tei
+
+
+def test_a_source_of_pdf_files_needs_a_conversion(spark, fakes, tmp_path):
+    outcomes, _ = collect(Workspace(spark, str(tmp_path / "w")), Search(keywords=("k",), sources=("arxiv",)), fakes.finders(), fakes.fetchers())
+    assert "PDF" in outcomes[0].error and outcomes[0].counts == {}
+
+
+def test_an_empty_page_is_asked_for_again_and_then_fails():
+    def service(empty):
+        left, asked = [empty], []
+
+        def ask(name, params):
+            asked.append(params["start"])
+            if params["start"] == 2 and left[0]:
+                left[0] -= 1
+                return '<feed xmlns:o="x"><o:totalResults>3</o:totalResults></feed>'
+            return fake_services.transport(name, params)
+
+        return ask, asked
+
+    ask, asked = service(2)
+    assert len(list(services.scan(ask, "arxiv", {}))) == 2 and asked == [0, 2, 2, 2]
+    with pytest.raises(services.ServiceError, match="empty page after 2 of 3") as e:
+        list(services.scan(service(9)[0], "arxiv", {}))
+    assert len(e.value.pages) == 1
+
+
+def test_a_list_without_a_count_ends_at_a_short_page():
+    def ask(_, params):
+        n = 1000 if params["page"] < 3 else 7
+        return json.dumps({"citationList": {"citation": [{"id": str(i)} for i in range(n)]}})
+
+    node = {"source": "MED", "id": "1", "kind": "citations"}
+    assert len(list(services.scan(ask, "europepmc_links", node, size=1000))) == 3
+    endless = lambda _, params: ask(_, {"page": 1})
+    assert len(list(services.scan(endless, "europepmc_links", node, size=1000))) == services.MOST_PAGES
+
+
+def test_searches_beyond_one_answer(spark, monkeypatch):
+    days = {date(2024, 1, 1) + timedelta(days=i): [f"{i}-{k}" for k in range(3)] for i in range(10)}
+
+    def ask(_, params):
+        read = lambda name: date.fromisoformat(params[name].replace("/", "-"))
+        first, last = (read("mindate"), read("maxdate")) if "mindate" in params else (min(days), max(days))
+        ids = [x for d, some in days.items() if first <= d <= last for x in some]
+        return json.dumps({"esearchresult": {"count": str(len(ids)), "idlist": ids[: min(params["retmax"], 7)]}})
+
+    monkeypatch.setattr(services, "MOST_IDS", 7)
+    with pytest.raises(services.ServiceError, match="7 of 30"):
+        services.esearch(ask, "q")
+    assert len(services.esearch(ask, "q", 5)) == 5
+    spans = services.windows(ask, "q", date(2023, 1, 1), date(2025, 1, 1))
+    assert all(a <= b for a, b in spans) and sum(len(services.esearch(ask, "q", **services._days(a, b))) for a, b in spans) == 30
+    monkeypatch.setattr(services, "MOST_IDS", 2)
+    with pytest.raises(services.ServiceError, match="3 ids on"):
+        services.windows(ask, "q", date(2024, 1, 1), date(2024, 1, 1))
+
+
+def test_readers_share_the_rate():
+    """Three readers that start at the same time, each with its own clock: together never faster than the host's rate."""
+    times = []
+    for i in range(3):
+        h, clock, _ = http([b"x"] * 5)
+        mine = h.shared(3, i)
+        for _ in range(5):
+            mine("arxiv", {})
+            times.append(clock.now)
+    times.sort()
+    assert len(times) == 15 and min(b - a for a, b in zip(times, times[1:], strict=False)) >= 3.0 - 1e-9
+
+
+def test_texts_are_fetched_by_several_tasks(spark, fakes):
+    ids = spark.createDataFrame([(f"PMC{i}",) for i in range(12)] + [("pmc3",), ("x",), (None,)], "pmcid string").repartition(3)
+    found = {r.pmcid: (r.xml is not None, r.error) for r in services.fetch_texts(ids, fakes.call).collect()}
+    assert len(found) == 15 and found["PMC5"] == (True, None) and found["PMC3"] == found["pmc3"] == (False, "not there") and found["x"] == found[None] == (False, "not an id")
+    assert services.fetch_texts(ids, fakes.call).rdd.getNumPartitions() == services.READERS
+    away = lambda *_: (_ for _ in ()).throw(services.ServiceError("efetch", "HTTP 500"))
+    assert {r.error for r in services.fetch_texts(ids.where("pmcid like 'PMC%'"), away).collect()} == {"efetch: HTTP 500"}
+
+
+def test_articles_of_an_answer_are_told_by_their_own_id():
+    xml = '<set><article><front><article-meta><related-article><pub-id pub-id-type="pmcid">PMC9</pub-id></related-article><article-id pub-id-type="pmcid">PMC7</article-id></article-meta></front></article></set>'
+    assert list(services.split_articles(xml)) == ["7"]
+
+
+def test_a_node_without_its_list_has_failed(spark):
+    def ask(_, params):
+        if params["id"] == "2":
+            raise services.ServiceError("europepmc_links", "HTTP 500")
+        return None if params["id"] == "3" else json.dumps({"hitCount": 1, "referenceList": {"reference": {"id": "9", "source": "MED"}}})
+
+    nodes = spark.createDataFrame([("MED", str(i)) for i in (1, 2, 3, 1)], "src_source string, src_id string")
+    edges, outcomes = fetchers.edges_of(services.link_pages(nodes, ask, "references"), "references")
+    assert [(r.src_id, r.record.id, r.complete) for r in edges.collect()] == [("1", "9", True)]
+    assert sorted((r.src_id, r.pages, r.got, r.error, r.complete) for r in outcomes.collect()) == [("1", 1, 1, None, True), ("2", 0, 0, "HTTP 500", False), ("3", 0, 0, None, True)]
+    seeds = spark.createDataFrame([(i, str(i), "MED") + (None,) * 4 for i in (1, 2, 3)], "ord long, id string, source string, title string, doi string, pmid string, pmcid string")
+    for given in ((edges, outcomes), (lambda asked: (edges, outcomes), None)):
+        made = graph.expand(seeds, given[0], ("references",), outcomes=given[1])
+        assert [r.node for r in made.failed.collect()] == ["MED/2"] and [r.id for r in made.papers.collect()] == ["9"]
+
+
+STREAMED = """
+import json, os
+import fake_services
+from corpusloom.sources.services import ServiceError
+LOG, BROKEN = {log!r}, {broken!r}
+
+def transport(service, params):
+    with open(LOG, "a") as out:
+        out.write(str(params["cursorMark"]) + chr(10))
+    if params["cursorMark"] == "4" and os.path.exists(BROKEN):
+        raise ServiceError(service, "HTTP 500")
+    return fake_services.transport(service, params)
+"""
+
+
+def test_a_stream_asks_for_no_page_twice(spark, tmp_path):
+    log, broken = tmp_path / "log", tmp_path / "broken"
+    (tmp_path / "streamed_service.py").write_text(STREAMED.format(log=str(log), broken=str(broken)))
+    for path in (tmp_path / "streamed_service.py", Path(__file__).with_name("fake_services.py")):
+        spark.sparkContext.addPyFile(str(path))
+
+    def run():
+        pages = services.stream(spark, "europepmc", {"query": "q"}, f"file://{tmp_path}/spool", "streamed_service:transport", each=3)
+        q = pages.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    broken.write_text("")
+    with pytest.raises(Exception, match="HTTP 500"):
+        run()
+    assert set(log.read_text().split()) == {"*", "2", "4"} and log.read_text().split().count("*") == 1
+    broken.unlink()
+    run()
+    run()
+    run()
+    asked = log.read_text().split()
+    assert asked.count("*") == asked.count("2") == asked.count("5") == 1
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.page for r in found.collect()) == [0, 1, 2, 3] and found.where("error is not null").count() == 0
 
 
 def test_mirror_sync(spark, tmp_path, monkeypatch):
