@@ -7,7 +7,7 @@ import json
 import sys
 from pathlib import Path
 
-from corpusloom.functions.search import Search, SearchError
+from corpusloom.functions.search import Search
 
 
 def _spark():
@@ -56,6 +56,10 @@ def workspace(args: argparse.Namespace) -> None:
         _shown(w.statistics().collect())
     elif args.action == "searches":
         _shown(w.history().limit(args.n).collect())
+    elif args.action == "init":
+        Workspace.init(w.spark, args.root)
+    elif args.action == "compact":
+        print(json.dumps({"merged": w.log.compact(), "removed": w.log.vacuum()}))
     else:
         w.clear(keep_history=args.keep_history)
 
@@ -77,12 +81,14 @@ def _services(args: argparse.Namespace):
 
 
 def fetch(args: argparse.Namespace) -> None:
-    """Collects from the sources of a search, or shows what would be collected."""
+    """Collects from the sources of a search or what a plan names, or shows what would be collected."""
     from dataclasses import asdict, replace
 
     from corpusloom.plans.collect import Workspace, collect
 
     s = Search.from_json(Path(args.config).read_text())
+    if args.plan:
+        return _replayed(args, s)
     if args.source:
         s = replace(s, sources=tuple(args.source))
     if args.max_results is not None:
@@ -99,6 +105,35 @@ def fetch(args: argparse.Namespace) -> None:
     print(json.dumps({"source": "all", "counts": total}))
 
 
+def expand(args: argparse.Namespace) -> None:
+    """Search, links, resolution; keeps the plan and prints its name, what it will take and how it came about."""
+    from corpusloom.plans import expansion
+
+    s = Search.from_json(Path(args.config).read_text())
+    spark = _spark()
+    made = expansion.expand_search(spark, _services(args), s, args.root)
+    plans = expansion.Plans(spark, args.root)
+    print(json.dumps({"plan": made.plan, "seeds": made.seeds, "invalid_seeds": made.invalid_seeds, "planned": made.planned}))
+    _shown(made.expansion.stats.collect())
+    _shown(made.expansion.coverage.collect())
+    _shown(plans.log.table("outcomes").where(f"plan = '{made.plan}'").drop("plan").orderBy("kind").collect())
+    print(json.dumps({"failed": made.expansion.failed.count()}))
+    _shown(plans.estimate(made.plan).collect())
+
+
+def _replayed(args: argparse.Namespace, s: Search) -> None:
+    from dataclasses import asdict
+
+    from corpusloom.plans import expansion
+    from corpusloom.plans.collect import Workspace
+
+    spark = _spark()
+    if args.dry_run:
+        _shown(expansion.Plans(spark, args.root).estimate(args.plan, args.max_results).collect())
+    else:
+        print(json.dumps(asdict(expansion.replay(Workspace(spark, args.root), _services(args), args.plan, s, args.max_results))))
+
+
 def update(args: argparse.Namespace) -> None:
     from dataclasses import asdict
 
@@ -161,7 +196,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("config")
     p.set_defaults(run=search)
     p = sub.add_parser("workspace", help="counts, searches, or clearing of a workspace")
-    p.add_argument("action", choices=("status", "searches", "clear"))
+    p.add_argument("action", choices=("init", "status", "searches", "compact", "clear"))
     p.add_argument("root")
     p.add_argument("-n", type=int, default=5)
     p.add_argument("--keep-history", action="store_true")
@@ -176,8 +211,14 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--max-results", type=int)
     p.add_argument("--update", action="store_true", help="only what is new since the last run without errors")
     p.add_argument("--dry-run", action="store_true")
+    p.add_argument("--plan", help="the name of a kept expansion plan, whose articles are fetched")
     _reaching(p)
     p.set_defaults(run=fetch)
+    p = sub.add_parser("expand", help="follow the citations or references of what a search finds; keeps a plan for fetch --plan")
+    p.add_argument("config")
+    p.add_argument("root")
+    _reaching(p)
+    p.set_defaults(run=expand)
     p = sub.add_parser("update", help="each source of a workspace again, for what is new")
     p.add_argument("root")
     _reaching(p)
@@ -200,7 +241,7 @@ def main(argv: list[str] | None = None) -> int:
     args = top.parse_args(argv)
     try:
         args.run(args)
-    except SearchError as e:
+    except ValueError as e:
         print(e, file=sys.stderr)
         return 1
     return 0

@@ -42,7 +42,8 @@ def transport(service, params):
     if service == "esearch":
         return json.dumps({"esearchresult": {"count": "2", "idlist": ["1", "2"]}})
     if service == "idconv":
-        return json.dumps({"records": [{"requested-id": "1", "pmid": 1, "pmcid": "PMC1", "doi": "10.1/1"}, {"requested-id": "2", "status": "error"}]})
+        known = [{"requested-id": i, "pmid": int(i), "pmcid": f"PMC{i}"} for i in params["ids"].split(",") if int(i) >= 10 and int(i) % 2 == 0]
+        return json.dumps({"records": [{"requested-id": "1", "pmid": 1, "pmcid": "PMC1", "doi": "10.1/1"}, {"requested-id": "2", "status": "error"}, *known]})
     if service == "efetch":
         return "<pmc-articleset>" + "".join(article(f"PMC{i}") for i in params["id"].split(",") if i != "3") + "</pmc-articleset>"
     if service == "europepmc_text":
