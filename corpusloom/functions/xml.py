@@ -1,11 +1,10 @@
 """Article XML: validation of JATS, metadata of TEI, TEI to JATS. Pandas UDFs, as Spark's XPath functions fail the job on
-malformed documents."""
+malformed documents. What is told of a JATS article is gathered in one pass of the parser, without a tree."""
 
 from __future__ import annotations
 
 import re
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -29,26 +28,97 @@ def spaced_text(element: ET.Element) -> str:
     return " ".join(" ".join(element.itertext()).split())
 
 
-def named(root: ET.Element, tag: str) -> Iterator[ET.Element]:
-    """Elements of that name, those of the JATS namespace after those of none."""
-    yield from root.iter(tag)
-    yield from root.iter(f"{{{JATS_NS}}}{tag}")
+#: Characters that the parser gets at once, and what stands for the place of an id of the exact type: no type can be it.
+CHUNK, PLACE = 1 << 16, "\0"
+
+
+class _Facts:
+    """What a parser tells, event by event: words in titles, abstracts and bodies, and ids. Elements count by their name in
+    no namespace or JATS's; ids in none."""
+
+    def __init__(self) -> None:
+        self.title = self.abstract = 0
+        self.has_title = self.has_abstract = False
+        #: Characters of bodies that are closed; words and their characters of those that are open.
+        self.chars, self.bodies = 0, []
+        self.ids: list[tuple[str, str]] = []
+        #: Type of the id that is open, before its first child.
+        self.kind: str | None = None
+        self.pieces: list[str] = []
+
+    def _piece(self) -> None:
+        """The text between two tags is whole."""
+        if self.pieces:
+            text = "".join(self.pieces)
+            self.pieces = []
+            words = text.split() if self.title or self.abstract or self.bodies else ()
+            self.has_title, self.has_abstract = self.has_title or bool(self.title and words), self.has_abstract or bool(self.abstract and words)
+            for body in self.bodies:
+                body[0] += len(words)
+                body[1] += sum(map(len, words))
+            if self.kind is not None:
+                self.ids.append((self.kind, text))
+        self.kind = None
+
+    def start(self, tag: str, attributes: dict) -> None:
+        self._piece()
+        if tag == "article-id":
+            self.kind = attributes.get("pub-id-type", "")
+            if self.kind == "doi":
+                self.ids.append((PLACE, ""))  # even if it stays empty
+        name = tag.removeprefix(f"{{{JATS_NS}}}")
+        self.title, self.abstract = self.title + (name == "article-title"), self.abstract + (name == "abstract")
+        if name == "body":
+            self.bodies.append([0, 0])
+
+    def end(self, tag: str) -> None:
+        self._piece()
+        name = tag.removeprefix(f"{{{JATS_NS}}}")
+        self.title, self.abstract = self.title - (name == "article-title"), self.abstract - (name == "abstract")
+        if name == "body":
+            words, chars = self.bodies.pop()
+            self.chars += chars + max(0, words - 1)
+
+    def data(self, text: str) -> None:
+        if self.kind is not None or self.title or self.abstract or self.bodies:
+            self.pieces.append(text)
+
+    def close(self) -> _Facts:
+        return self
+
+
+def facts(xml: str | None, body_min_chars: int = BODY_MIN_CHARS) -> dict:
+    """Status and what an article has, its PMCID and DOIs. It is valid with a title, an abstract or a body of that many
+    characters. One pass, without a tree: beyond the text itself, memory doesn't grow with it."""
+    parser, text = ET.XMLParser(target=_Facts()), xml or ""
+    try:
+        for i in range(0, len(text), CHUNK):
+            parser.feed(text[i : i + CHUNK])
+        f = parser.close()
+    except (ET.ParseError, ValueError) as e:
+        return {"status": "invalid", "has_title": False, "has_abstract": False, "has_body": False, "body_chars": 0, "errors": [BROKEN.format(e)], "pmcid": None, "doi": None, "exact_doi": None}
+    body = f.chars >= body_min_chars
+    errors = [MISSING.format(tag) for tag, there in (("article-title", f.has_title), ("abstract", f.has_abstract), ("body", body or f.chars)) if not there]
+    if f.chars and not body:
+        errors.append(SHORT.format(f.chars, body_min_chars))
+    pmcid = next((t.strip() for k, t in f.ids if k.lower() == "pmcid"), None)
+    doi = next((t.strip() for k, t in f.ids if k.lower() == "doi" and t.strip()), None)
+    status = "valid" if f.has_title or f.has_abstract or body else "incomplete"
+    return {"status": status, "has_title": f.has_title, "has_abstract": f.has_abstract, "has_body": body, "body_chars": f.chars, "errors": errors, "pmcid": pmcid, "doi": doi, "exact_doi": _exact(f.ids)}
+
+
+def _exact(ids: list[tuple[str, str]]) -> str | None:
+    """The first DOI of just that type: what follows its place, if anything does before the next one's."""
+    at = next((i for i, (kind, _) in enumerate(ids) if kind == PLACE), None)
+    if at is None or at + 1 == len(ids) or ids[at + 1][0] != "doi":
+        return None
+    return ids[at + 1][1].strip() or None
 
 
 def validate(xml: str | None, body_min_chars: int = BODY_MIN_CHARS) -> dict:
-    """Status and what an article has. It is valid with a title, an abstract or a body of that many characters."""
-    try:
-        root = ET.fromstring(xml or "")
-    except (ET.ParseError, ValueError) as e:
-        return {"status": "invalid", "has_title": False, "has_abstract": False, "has_body": False, "body_chars": 0, "errors": [BROKEN.format(e)], "pmcid": None}
-    title, abstract = (any(map(spaced_text, named(root, tag))) for tag in ("article-title", "abstract"))
-    chars = sum(len(spaced_text(b)) for b in named(root, "body"))
-    body = chars >= body_min_chars
-    errors = [MISSING.format(tag) for tag, there in (("article-title", title), ("abstract", abstract), ("body", body or chars)) if not there]
-    if chars and not body:
-        errors.append(SHORT.format(chars, body_min_chars))
-    ids = (e.text.strip() for e in root.iter("article-id") if e.get("pub-id-type", "").lower() == "pmcid" and e.text)
-    return {"status": "valid" if title or abstract or body else "incomplete", "has_title": title, "has_abstract": abstract, "has_body": body, "body_chars": chars, "errors": errors, "pmcid": next(ids, None)}
+    """:func:`facts` without DOIs."""
+    found = facts(xml, body_min_chars)
+    return {k: found[k] for k in VALIDATION.names}
 
 
 def jats_validator(body_min_chars: int = BODY_MIN_CHARS):
@@ -62,21 +132,18 @@ def jats_validator(body_min_chars: int = BODY_MIN_CHARS):
 
 
 validate_jats = jats_validator()
+FACTS = T.StructType([*VALIDATION.fields, T.StructField("doi", T.StringType())])
+
+
+@F.pandas_udf(FACTS)
+def jats_facts(x: pd.Series) -> pd.DataFrame:
+    """A struct as in FACTS: what the validator finds, with the DOI, of one parse."""
+    return pd.DataFrame([facts(t) for t in x], columns=FACTS.names)
 
 
 def article_doi(xml: str | None, exact: bool = False) -> str | None:
     """An article's DOI. ``exact``: that of the first element of just that type, even if it is empty."""
-    try:
-        root = ET.fromstring(xml or "")
-    except (ET.ParseError, ValueError):
-        return None
-    for e in root.iter("article-id"):
-        kind = e.get("pub-id-type", "")
-        if exact and kind == "doi":
-            return (e.text or "").strip() or None
-        if not exact and kind.lower() == "doi" and e.text and e.text.strip():
-            return e.text.strip()
-    return None
+    return facts(xml)["exact_doi" if exact else "doi"]
 
 
 @F.pandas_udf(T.StringType())

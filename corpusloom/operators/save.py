@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.ids import safe_file_name
@@ -11,11 +11,12 @@ from corpusloom.operators.dedup import changed, unknown
 from corpusloom.operators.stats import manifest as manifest_counts
 
 
-def validated(articles: DataFrame, xml: str = "xml", body_min_chars: int = BODY_MIN_CHARS) -> DataFrame:
-    """With what the validator finds, and the hash of the content."""
-    v = articles.withColumn("__v", jats_validator(body_min_chars)(xml))
-    kept = [c for c in articles.columns if c not in ("status", "has_title", "has_abstract", "has_body", "body_chars", "errors")]
-    return v.select(*kept, *[F.col(f"__v.{c}").alias(c) for c in ("status", "has_title", "has_abstract", "has_body", "body_chars", "errors")], F.sha2(F.col(xml), 256).alias("sha256"))
+def validated(articles: DataFrame, xml: str = "xml", body_min_chars: int = BODY_MIN_CHARS, found: Column | None = None) -> DataFrame:
+    """With what the validator finds (or what it has ``found`` before), and the hash of the content."""
+    v = articles.withColumn("__v", jats_validator(body_min_chars)(xml) if found is None else found)
+    told = ("status", "has_title", "has_abstract", "has_body", "body_chars", "errors")
+    kept = [c for c in articles.columns if c not in told]
+    return v.select(*kept, *[F.col(f"__v.{c}").alias(c) for c in told], F.sha2(F.col(xml), 256).alias("sha256"))
 
 
 def to_save(articles: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.ids import doi_key, filled, normalize_pmcid, safe_file_name
 from corpusloom.functions.search import SOURCES, Search
 from corpusloom.functions.text import is_full_text
-from corpusloom.functions.xml import jats_doi
+from corpusloom.functions.xml import jats_facts
 from corpusloom.operators import dedup, graph, save, state, stats
 from corpusloom.operators.commits import CommitLog
 from corpusloom.operators.observed import Progress, reporter, written
@@ -147,11 +147,12 @@ def _batch(workspace: Workspace, source: str, key: str, number: str, rows: DataF
         got, _ = written(got.select("id", F.col("xml").alias("__xml"), why.alias("__error")), f"{stage}/{name}")  # fetched once, whatever reads it
         rows = rows.join(got, "id", "left").withColumns({"xml": F.coalesce("xml", "__xml"), "__why": F.coalesce("__why", "__error")}).drop("__xml", "__error")
     usable = F.coalesce(is_full_text("xml"), F.lit(False))
-    with_doi = rows.withColumn("doi", F.coalesce(filled("doi"), F.when(usable, jats_doi("xml"))))
-    texts, seen = written(with_doi.where(usable).withColumn("pmcid", F.coalesce(normalize_pmcid("pmcid"), F.col("pmcid"))).withColumn("key", doi_key("doi")), f"{stage}/{name}-texts", usable=F.count(F.lit(1)))
+    parsed = rows.where(usable).withColumn("facts", jats_facts("xml"))  # each text is parsed once
+    named = parsed.withColumns({"doi": F.coalesce(filled("doi"), F.col("facts.doi")), "pmcid": F.coalesce(normalize_pmcid("pmcid"), F.col("pmcid"))})
+    texts, seen = written(named.withColumn("key", doi_key("doi")), f"{stage}/{name}-texts", usable=F.count(F.lit(1)))
     # A DOI that only the text tells may be known, or come twice.
     old = log.known("doi_index", texts, "key").select("id")
-    judged = dedup.winners(save.validated(texts.join(old, "id", "left_anti")), path="id")
+    judged = dedup.winners(save.validated(texts.join(old, "id", "left_anti"), found=F.col("facts")), path="id")
     file = F.when(doi_key("doi").isNotNull(), safe_file_name("source", doi_key("doi"))).otherwise(F.concat("source", F.lit("_"), "id", F.lit(".xml")))
     folder = F.when(F.col("status") == "valid", "valid").otherwise("incomplete")
     saved = judged.select("source", "id", "pmcid", doi_key("doi").alias("doi"), "title", file.alias("file"), "status", "body_chars", "sha256", "xml", F.lit(number).alias("search_id"), folder.alias("folder"))

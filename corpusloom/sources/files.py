@@ -9,13 +9,12 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
 
 from corpusloom.functions.ids import detect_id_type, filled, manifest_entry_id, normalize_id, path_stem
 from corpusloom.operators.compare import parse_ids
+from corpusloom.sources.archives import in_values, members
 
-ARCHIVES = (".tar.gz", ".tgz", ".tar.bz2", ".tbz2", ".tar")
+ARCHIVES = (".tar.gz", ".tgz", ".tar.bz2", ".tbz2", ".tar.xz", ".txz", ".tar")
 
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
@@ -68,26 +67,9 @@ def pdfs(spark: SparkSession, root: str, only: tuple[str, ...] = ()) -> DataFram
     return found.where(F.lower(F.regexp_extract("path", r"([^/]+)\z", 1)).isin([n.lower() for n in only])) if only else found
 
 
-@udtf(returnType=T.StructType([T.StructField("name", T.StringType()), T.StructField("size", T.LongType()), T.StructField("body", T.BinaryType())]))
-class TarMembers:
-    """Files in an archive of any compression; none of what isn't an archive."""
-
-    def eval(self, content: bytes) -> Iterator[tuple[str, int, bytes]]:
-        try:
-            with tarfile.open(fileobj=io.BytesIO(bytes(content)), mode="r:*") as tar:
-                for m in tar:
-                    if m.isfile():
-                        yield m.name, m.size, tar.extractfile(m).read()
-        except (tarfile.TarError, EOFError, OSError):
-            return
-
-
 def tar_members(archives: DataFrame) -> DataFrame:
-    """``path, content`` to ``path, name, size, body``."""
-    spark = archives.sparkSession
-    spark.udtf.register("corpusloom_tar_members", TarMembers)
-    archives.createOrReplaceTempView("corpusloom_archives")
-    return spark.sql("select a.path, m.name, m.size, m.body from corpusloom_archives a, lateral corpusloom_tar_members(a.content) m")
+    """``path, content`` to ``path, name, size, body, error``."""
+    return in_values(archives)
 
 
 _FILE = "struct<pmcid: string, doi: string, path: string, filename: string>"
@@ -109,8 +91,8 @@ def archive_ids(members: DataFrame) -> DataFrame:
 
 def corpus_ids(spark: SparkSession, path: str) -> DataFrame:
     """``id, id_type`` of an archive or an id list, by the suffix."""
-    if path.endswith(ARCHIVES):
-        return archive_ids(tar_members(spark.read.format("binaryFile").load(path).select("path", "content"))).select("id", "id_type")
+    if path.lower().endswith(ARCHIVES):
+        return archive_ids(members(spark, path)).select("id", "id_type")
     return id_list(spark, path)
 
 
