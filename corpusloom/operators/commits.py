@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators.observed import written
 
-_COMMIT = "batch string, ts timestamp, replaces array<string>"
+_COMMIT = "batch string, ts timestamp, replaces array<string>, buckets array<int>"
 
 
 class CommitLog:
@@ -42,7 +42,7 @@ class CommitLog:
         fs.delete(at, True)
 
     def commits(self) -> DataFrame:
-        """``batch, ts, replaces`` of what has been published."""
+        """``batch, ts, replaces, buckets`` of what has been published."""
         return self.spark.read.schema(_COMMIT).json(self.path("commits")) if self.exists("commits") else self.spark.createDataFrame([], _COMMIT)
 
     def live(self) -> DataFrame:
@@ -67,14 +67,14 @@ class CommitLog:
         dealt.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
         return self.spark.read.schema(self.tables[name]).parquet(path), {}
 
-    def publish(self, batch: str, replaces: tuple[str, ...] | list[str] = ()) -> None:
+    def publish(self, batch: str, replaces: tuple[str, ...] | list[str] = (), buckets: tuple[int, ...] | list[int] = ()) -> None:
         """Makes a batch seen. The rename is the commit: before it nothing of the batch counts, after it all does."""
         if self.published(batch):
             return
         fs, at = self.fs(f"commits/{batch}.json")
         _, part = self.fs(f"commits/.{batch}.part")
         out = fs.create(part, True)
-        out.write(bytearray(json.dumps({"batch": batch, "ts": datetime.now(UTC).isoformat(), "replaces": list(replaces)}).encode()))
+        out.write(bytearray(json.dumps({"batch": batch, "ts": datetime.now(UTC).isoformat(), "replaces": list(replaces), "buckets": list(buckets)}).encode()))
         out.close()
         if not fs.rename(part, at) and not self.published(batch):
             raise OSError(f"{at}: the commit could not be renamed into place")
@@ -85,8 +85,8 @@ class CommitLog:
             self.write(batch, name, df)
         self.publish(batch)
 
-    def _all(self, name: str) -> DataFrame:
-        extra = ", batch string" + (", bucket int" if name in self.keyed else "")
+    def _all(self, name: str, more: str = "") -> DataFrame:
+        extra = ", batch string" + (", bucket int" if name in self.keyed else more)
         if not self.exists(name):
             return self.spark.createDataFrame([], self.tables[name] + extra)
         return self.spark.read.schema(self.tables[name] + extra).option("basePath", self.path(name)).parquet(self.path(name))
@@ -155,3 +155,56 @@ class CommitLog:
     def close(self, number: str) -> None:
         fs, at = self.fs(f"ids/{number}.closed")
         fs.createNewFile(at)
+
+
+class KeyedTable:
+    """A table with one row for each key, kept in hash buckets: an upsert writes the buckets of its keys anew, beside the
+    old ones, and a commit makes them the current ones all at once. Cost follows the buckets that are touched and not the
+    table; readers see the table before the upsert or after it. One writer at a time."""
+
+    def __init__(self, spark: SparkSession, root: str, schema: str, key: str, buckets: int = 256):
+        self.spark, self.key, self.n, self.schema = spark, key, buckets, schema
+        self.columns = [c.split()[0] for c in schema.split(", ")]
+        self.log = CommitLog(spark, root, {"rows": schema})
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.n)).cast("int")
+
+    def _current(self, some: list[int] | None = None) -> DataFrame:
+        """Rows with their bucket, of each bucket as the last commit that wrote it has them. Names of batches ascend."""
+        held = self.log._all("rows", ", bucket int")
+        last = self.log.commits().select("batch", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.max("batch").alias("batch"))
+        if some is not None:
+            held, last = (x.where(F.col("bucket").isin(some)) for x in (held, last))
+        return held.join(last, ["batch", "bucket"], "left_semi")
+
+    def table(self) -> DataFrame:
+        return self._current().select(*self.columns)
+
+    def upsert(self, rows: DataFrame) -> list[int]:
+        """Puts in or replaces rows by key; of several rows of a key any one stays, null keys are refused. Returns the
+        buckets that were written, of which there are at most as many as the table has."""
+        batch = f"{datetime.now(UTC):%Y%m%dT%H%M%S%f}"
+        new, counts = written(rows.select(*self.columns, self._bucket().alias("bucket")), self.log.path(f"staging/{batch}"), nulls=F.count_if(F.col(self.key).isNull()))
+        if counts["nulls"]:
+            raise ValueError(f"{counts['nulls']} rows without {self.key}")
+        some = sorted(r.bucket for r in new.select("bucket").distinct().collect())
+        if some:
+            one = new.dropDuplicates([self.key])
+            old = self._current(some).select(*self.columns, "bucket").join(one.select(self.key), self.key, "left_anti")
+            merged = one.unionByName(old).repartition(min(len(some), self.n), "bucket")
+            merged.write.mode("overwrite").partitionBy("bucket").parquet(self.log.path(f"rows/batch={batch}"))
+            self.log.publish(batch, buckets=some)
+        self.log.delete(f"staging/{batch}")
+        return some
+
+    def vacuum(self) -> int:
+        """Deletes batches of which no bucket is current, but for the last two; returns how many."""
+        last = self.log.commits().select("batch", F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.max("batch").alias("batch"))
+        live = {r.batch for r in last.select("batch").distinct().toLocalIterator()}
+        fs, at = self.log.fs("rows")
+        names = sorted(s.getPath().getName().partition("=")[2] for s in fs.listStatus(at)) if self.log.exists("rows") else []
+        gone = [x for x in names[:-2] if x and x not in live]
+        for x in gone:
+            self.log.delete(f"rows/batch={x}")
+        return len(gone)

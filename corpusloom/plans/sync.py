@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators import mirror
+from corpusloom.operators import graph, mirror
+from corpusloom.operators.commits import KeyedTable
 
 MANIFEST = "accession_id string, filename string, subset string, size_bytes bigint, sha256 string, source_updated string"
 #: Files after which the manifest is saved.
@@ -21,39 +22,39 @@ class Synced:
     downloaded: int = 0
     bytes: int = 0
     failed: tuple[str, ...] = ()
+    #: Why a file failed, where it is known.
+    reasons: dict[str, str] = field(default_factory=dict)
 
 
 class Mirror:
-    """Files below ``root`` and the manifest of what is there: a table written anew beside the old one, so that a run that
-    is lost loses what came after its last save, no more."""
+    """Files below ``root`` and the manifest of what is there, a table in hash buckets: a save writes the buckets of its
+    entries anew and commits them at once, so a run that is lost loses what came after its last save, no more."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.entries = KeyedTable(spark, f"{self.root}/manifest", MANIFEST, "accession_id")
 
     def _fs(self):
         jvm = self.spark._jvm.org.apache.hadoop.fs
         return jvm.Path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.Path
 
-    def _versions(self) -> list[int]:
-        fs, path = self._fs()
-        at = path(f"{self.root}/manifest")
-        found = [s.getPath() for s in fs.listStatus(at)] if fs.exists(at) else []
-        return sorted(int(p.getName()) for p in found if p.getName().isdigit() and fs.exists(path(f"{p}/_SUCCESS")))
-
     def manifest(self) -> DataFrame:
-        have = self._versions()
-        if not have:
-            return self.spark.createDataFrame([], MANIFEST)
-        return self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/{have[-1]}")
-
-    def save(self, done: list[tuple]) -> None:
-        """Puts in or replaces entries."""
-        have = self._versions()
-        new = mirror.merged(self.manifest(), self.spark.createDataFrame(done, MANIFEST))
-        new.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/{(have or [0])[-1] + 1}")
-        fs, path = self._fs()
-        for old in have[:-1]:  # the last but one stays for who reads it now
-            fs.delete(path(f"{self.root}/manifest/{old}"), True)
+        return self.entries.table()
+
+    def save(self, done: list[tuple] | DataFrame) -> list[int]:
+        """Puts in or replaces entries; returns the buckets that were written."""
+        rows = done if isinstance(done, DataFrame) else self.spark.createDataFrame(done, MANIFEST)
+        return self.entries.upsert(rows)
+
+    def take_in(self, remote: DataFrame) -> DataFrame:
+        """Files that are there already but not in the manifest, with the remote entry of their name if any; matched ones
+        are put into the manifest. Returns ``filename, accession_id, matched``."""
+        here = self.files()
+        known = graph._write(self.spark, mirror.imported(here, remote))
+        entry = remote.select("accession_id", "subset", "last_updated").dropDuplicates(["accession_id"])
+        rows = known.where("matched").join(here, "filename").join(entry, "accession_id")
+        self.save(rows.select("accession_id", "filename", "subset", F.col("length").alias("size_bytes"), F.lit(None).cast("string").alias("sha256"), F.col("last_updated").alias("source_updated")))
+        return known
 
     def pending(self, remote: DataFrame) -> DataFrame:
         return mirror.updates(remote, self.manifest())
@@ -66,9 +67,11 @@ class Mirror:
         fs, path = self._fs()
         for r in (todo.limit(limit) if limit is not None else todo).toLocalIterator():
             try:
+                if ".." in r.filename.split("/") or r.filename.startswith("/"):
+                    raise ValueError("a name that leads out of the mirror")
                 body = fetch(r.filename)
-            except Exception:  # noqa: BLE001
-                body = None
+            except Exception as e:  # noqa: BLE001
+                body, out.reasons[r.filename] = None, str(e) or type(e).__name__
             if body is None:
                 failed.append(r.filename)
                 continue

@@ -7,36 +7,45 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.functions.ids import doi_key
+from corpusloom.operators import graph
+from corpusloom.operators.commits import CommitLog
 
 
-def distinct_stream(stream: DataFrame, *keys: str) -> DataFrame:
-    """Each key's first row, across batches and restarts. State holds every key."""
-    return stream.dropDuplicates(list(keys))
+def distinct_stream(stream: DataFrame, *keys: str, time: str | None = None, horizon: str = "30 days") -> DataFrame:
+    """Each key's first row, across batches and restarts. With ``time`` state forgets keys that the watermark has left
+    ``horizon`` behind, so it is bounded by what arrives in that span; without, it holds every key."""
+    if time is None:
+        return stream.dropDuplicates(list(keys))
+    return stream.withWatermark(time, horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
-def index_stream(stream: DataFrame, index_path: str, out_path: str, checkpoint: str, doi: str = "doi") -> StreamingQuery:
+def _index(spark: SparkSession, index_path: str, buckets: int) -> CommitLog:
+    return CommitLog(spark, index_path, {"keys": "key string"}, keyed={"keys": ("key", buckets)})
+
+
+def index_stream(stream: DataFrame, index_path: str, out_path: str, checkpoint: str, doi: str = "doi", buckets: int = 256) -> StreamingQuery:
     """Appends rows of DOIs that are new to ``out_path`` and their DOIs to the index; rows without a DOI always pass.
-    Each batch writes to folders of its own number, so that one that runs again writes the same."""
+
+    The index is kept in hash buckets, of which a batch reads those of its own keys. Each batch writes to folders of its
+    own number and is committed by one rename, so one that runs again writes the same and counts once."""
 
     def batch(df: DataFrame, n: int) -> None:
-        spark = df.sparkSession
-        keyed = df.withColumn("__key", doi_key(doi))
-        known = _index(spark, index_path, n)
-        fresh = keyed.where("__key is not null").dropDuplicates(["__key"]).join(known, "__key", "left_anti").unionByName(keyed.where("__key is null"))
-        fresh.drop("__key").write.mode("overwrite").parquet(f"{out_path}/batch={n}")
-        written = spark.read.parquet(f"{out_path}/batch={n}").select(doi_key(doi).alias("__key")).where("__key is not null")
-        written.write.mode("overwrite").parquet(f"{index_path}/batch={n}")
+        spark, name = df.sparkSession, f"{n:012d}"
+        index = _index(spark, index_path, buckets)
+        if index.published(name):
+            return
+        keyed = graph._write(spark, df.withColumn("__key", doi_key(doi)).withColumn("__row", F.monotonically_increasing_id()))
+        first = keyed.where("__key is not null").dropDuplicates(["__key"])
+        old = index.known("keys", first.select("__key", "__row"), "__key").select("__row")
+        fresh = first.join(old, "__row", "left_anti").unionByName(keyed.where("__key is null"))
+        fresh = graph._write(spark, fresh)
+        fresh.drop("__key", "__row").write.mode("overwrite").parquet(f"{out_path}/batch={n}")
+        index.write(name, "keys", fresh.where("__key is not null").select(F.col("__key").alias("key")))
+        index.publish(name)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _index(spark: SparkSession, path: str, before: int) -> DataFrame:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not before or not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
-        return spark.createDataFrame([], "__key string")
-    return spark.read.parquet(path).where(F.col("batch") < before).select("__key")
-
-
 def windowed_counts(events: DataFrame, window: str = "1 hour", late: str = "2 hours") -> DataFrame:
     """Events and their values by type and window of event time; what is later than ``late`` is left out."""
     return events.withWatermark("ts", late).groupBy(F.window("ts", window), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
