@@ -38,15 +38,21 @@ class Expansion:
         return self.papers.groupBy("depth", "kind").agg(F.count("*").alias("n"))
 
 
-def _write(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Cuts the lineage of a hop by a written table in the shared folder, which survives lost executors."""
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share; a local session (tests) that names
+    none gets a temporary one, on a cluster that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='corpusloom-')}")
         root = spark.sparkContext.getCheckpointDir()
-    path, schema = f"{root.rstrip('/')}/corpusloom/graph-{uuid.uuid4().hex}", df.schema
+    return f"{root.rstrip('/')}/corpusloom/graph-{uuid.uuid4().hex}"
+
+
+def _write(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Cuts the lineage of a hop by a written table in the shared folder, which survives lost executors."""
+    path, schema = shared_folder(spark), df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 

@@ -5,34 +5,19 @@ from __future__ import annotations
 import io
 import tarfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ids, search, text, xml
 from corpusloom.operators import compare, dedup, graph, mirror, save, state, stats
-from corpusloom.plans import derive
+from corpusloom.plans import derive, journeys  # noqa: F401
+from corpusloom.plans.catalogue import ORACLE, QUERIES, query  # noqa: F401
 from corpusloom.plans.derive import MIXED, PAPERS, mixed_id, papers, table
 from corpusloom.sources import feeds, files
 from corpusloom.streaming import incremental
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a query under its name."""
-
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return put
-
-
 # Identifiers.
 
 
