@@ -107,3 +107,36 @@ def test_recall_of_clustered_vectors(spark):
         held = [np.isin(hashing.own(unit, t), hashing.visited(unit[q : q + 1], t)) for t in range(hashing.tables)]
         seen += np.any(held, axis=0).sum()
     assert len(found) == 48 and hits >= 0.95 * 5 * 48 and seen < 0.05 * 48 * len(unit)
+
+
+def test_rows_that_repeat_in_any_order_count_once(spark):
+    """(1, A), (1, B), (1, A) of one sign code, which a sort by code and id alone may leave in this order."""
+    a, b = [0.5, 0.25, 1.0], [0.5, 0.375, 1.0]
+    rows = [(1, a), (1, b), (1, a), (20, [1.0, 1.0, 1.0]), (1, b), (1, a), (20, [1.0, 1.0, 1.0])]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1), "vec_id = 20", 9).collect()
+    score = lambda v: sum(64 * math.floor(64 * x) for x in v)
+    assert sorted((r["rank"], r.vec_id, r.score) for r in found) == [(1, 1, score(b)), (2, 1, score(a))]
+
+
+@pytest.mark.parametrize("size", [1, 300, 1 << 20, 1 << 40])
+def test_integers_travel_in_the_narrowest_type(size):
+    m = np.array([[0, -size, size - 1], [5, 6, -7]])
+    data = topk.narrow(m)
+    assert (topk.opened(data, 3) == m).all() and len(data) == 1 + 6 * (2 if size < 1 << 15 else 4 if size < 1 << 31 else 8)
+
+
+def test_rows_of_the_index_that_no_query_needs_do_not_travel(spark, monkeypatch):
+    """Clusters far apart: by the bounds, a group of queries needs few rows."""
+    monkeypatch.setattr(topk, "ROW", 64)
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    rng = np.random.default_rng(3)
+    rows = [(i, (np.eye(8)[i % 8] * 40 + rng.normal(0, 0.1, 8)).tolist()) for i in range(2000)]
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    told = []
+    save = topk.Scratch.save
+    monkeypatch.setattr(topk.Scratch, "save", lambda self, df, name, *a: (lambda t: told.append((name, t.count())) or t)(save(self, df, name, *a)))
+    found = topk.top_k(given, "vec_id = 8", 5).collect()
+    q = np.floor(64 * np.array(rows[8][1]))
+    best = sorted((-int(q @ np.floor(64 * np.array(v))), i) for i, v in rows if i != 8)[:5]
+    assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [(i, -s) for s, i in best]
+    assert dict(told)["wanted"] < dict(told)["index"] / 3
