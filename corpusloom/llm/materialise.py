@@ -1,13 +1,15 @@
 """Token sequences in training order, as binary shards of fixed stride.
 
-Every sequence has a dense number: its task's offset and its place in the task's output. A keyed Feistel network over
-the next power of four permutes the numbers; walking its cycle until a number below the count comes up makes that a
+Every sequence has a dense number: documents are put in order of their id and a hash of their text, by ranges, and each
+range numbers its sequences behind those of the ranges before it. The numbers are the corpus's own, however Spark splits
+the input. A keyed Feistel network over the next power of four permutes the numbers; walking its cycle until a number below the count comes up makes that a
 permutation of the numbers themselves. The result is the sequence's slot, and each shard holds a range of slots: the
 sequence of a slot lies at a place that arithmetic gives, so reading goes on from any step without an index.
 """
 
 from __future__ import annotations
 
+import bisect
 import uuid
 from collections.abc import Iterator
 
@@ -18,11 +20,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import bpe
 from corpusloom.llm.packing import U, mix
-from corpusloom.llm.scratch import Scratch, bound_batches, lean
+from corpusloom.llm.scratch import Scratch, bins, bound_batches, lean
 
 ROUNDS = 6
 #: Characters that the library encodes at once: this operator is about order, not about encoding.
 LEAF = 16_384
+#: Input bytes of a range of documents, and keys of the sample that its borders come from.
+RANGE_BYTES, SAMPLE = 64 << 20, 1 << 15
+CUT = "range int, doc_id bigint, h bigint, n bigint, tokens binary"
 STAGED = "part bigint, first bigint, doc_id bigint, n bigint, tokens binary"
 SLOTTED = "shard bigint, slot bigint, doc_id bigint, seq_no bigint, n_tokens bigint, tokens binary"
 INDEX = "slot bigint, doc_id bigint, seq_no bigint, n_tokens bigint, shard string, offset bigint"
@@ -45,25 +50,48 @@ def permute(x: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _stage(path: str, pattern: str, length: int, end: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+def _key(doc: int | None, h: int) -> tuple[bool, int, int]:
+    """Order of documents: those without an id first."""
+    return doc is not None, doc or 0, h
+
+
+def borders(documents: DataFrame, ranges: int) -> list[tuple[bool, int, int]]:
+    """Keys that cut the documents into about even ranges, from at most about SAMPLE keys. Where they lie only deals the
+    work; the order is that of the keys."""
+    keys = documents.select("doc_id", F.xxhash64("text").alias("h"))
+    every = max(1, keys.count() // SAMPLE)
+    some = sorted(_key(*r) for r in keys.where(F.pmod(F.xxhash64("doc_id", "h"), F.lit(every)) == 0).collect())
+    return sorted({some[len(some) * i // ranges] for i in range(1, ranges)}) if some else []
+
 
-        part, first, encoder = TaskContext.get().partitionId(), 0, bpe.load(path, pattern, LEAF)
+def _cut(path: str, pattern: str, length: int, end: int, at: list[tuple[bool, int, int]]):
+    """Tokens of each document, and the range that it belongs to."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = bpe.load(path, pattern, LEAF)
         for batch in batches:
             out = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            for doc, h, text in zip(batch["doc_id"].to_pylist(), batch["h"].to_pylist(), batch["text"], strict=True):
                 ids = encoder.encode(text.as_py() or "")
                 if ids:
-                    n = -(-(len(ids) + 1) // length)
-                    out.append((first, doc, n, np.array([*ids, end], np.uint16).tobytes()))
-                    first += n
-            cols = list(zip(*out, strict=True)) or [[]] * 4
-            yield pa.record_batch({"part": pa.array([part] * len(out), pa.int64()), **{k: pa.array(cols[i], pa.int64()) for i, k in enumerate(("first", "doc_id", "n"))}, "tokens": pa.array(cols[3], pa.binary())})
+                    out.append((bisect.bisect_right(at, _key(doc, h)), doc, h, -(-(len(ids) + 1) // length), np.array([*ids, end], np.uint16).tobytes()))
+            cols = list(zip(*out, strict=True)) or [[]] * 5
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.record_batch({k: pa.array(c, t) for k, c, t in zip(("range", "doc_id", "h", "n", "tokens"), cols, kinds, strict=True)})
 
     return run
 
 
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first number of each document within its range, whose documents come in order."""
+    first = 0
+    for batch in batches:
+        n = batch["n"].to_numpy(zero_copy_only=False)
+        begin = first + np.cumsum(n) - n
+        first += int(n.sum())
+        yield pa.record_batch({"part": batch["range"].cast(pa.int64()), "first": pa.array(begin, pa.int64()), "doc_id": batch["doc_id"], "n": batch["n"], "tokens": batch["tokens"]})
+
+
 def _slots(offsets: dict[int, int], total: int, key: int, length: int, per_shard: int, lowest: int, highest: int):
     """Sequences whose slots lie in a range."""
 
@@ -126,9 +154,10 @@ def materialise(documents: DataFrame, path: str, pattern: str, out: str | None =
 
     A document's tokens and ``end`` are cut into sequences of ``length`` tokens of two bytes, the last one filled with
     ``end``; ``n_tokens`` tells how many count. Sequence ``slot`` lies in shard ``slot // per_shard`` at byte ``offset``.
-    Slots depend on the key and on how Spark splits the input. Shards are written in ``waves`` of slots, so that only a
-    part of the tokens is being shuffled at a time. To the driver comes a number for each input task. Null and empty
-    texts have no sequence; rows that repeat, and rows without an id, have sequences of their own. Texts are cut,
+    Slots depend on the key and the corpus alone: sequences are numbered in order of the ids and hashes of their
+    documents (rows of one id and text are alike). Shards are written in ``waves`` of slots, so that only a part of the
+    tokens is being shuffled at a time, by ranges of shards. To the driver come a bounded sample of keys and a number for
+    each range. Null and empty texts have no sequence; rows that repeat, and rows without an id, have sequences of their own. Texts are cut,
     never shortened. An empty table gives no shard and no row. Ranks that two bytes can't hold, and an ``end`` that is a
     rank, are refused.
     """
@@ -139,7 +168,11 @@ def materialise(documents: DataFrame, path: str, pattern: str, out: str | None =
     bound_batches(spark)
     scratch = Scratch(spark, "materialise")
     uri = out or scratch.path("shards")
-    staged = scratch.save(documents.select("doc_id", "text").mapInArrow(lean(_stage(path, pattern, length, end)), STAGED), "staged")
+    given = documents.select("doc_id", "text")
+    at = borders(given, bins(given, RANGE_BYTES))
+    cut = given.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(lean(_cut(path, pattern, length, end, at)), CUT)
+    ordered = cut.repartitionById(len(at) + 1, "range").sortWithinPartitions("doc_id", "h")
+    staged = scratch.save(ordered.mapInArrow(_number, STAGED), "staged")
     counts = staged.groupBy("part").agg(F.max(F.col("first") + F.col("n")).alias("n")).orderBy("part").collect()
     offsets, total = {}, 0
     for r in counts:
@@ -150,7 +183,9 @@ def materialise(documents: DataFrame, path: str, pattern: str, out: str | None =
         lowest, highest = shards * wave // waves, shards * (wave + 1) // waves
         if lowest < highest:
             cut = staged.mapInArrow(_slots(offsets, total, key, length, per_shard, lowest * per_shard, highest * per_shard), SLOTTED)
-            dealt = cut.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), "shard").sortWithinPartitions("slot")
+            n = max(1, min(highest - lowest, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+            range_ = F.floor((F.col("shard") - lowest) * n / (highest - lowest)).cast("int")
+            dealt = cut.repartitionById(n, range_).sortWithinPartitions("slot")
             found.append(scratch.save(dealt.mapInArrow(_write(uri, length, per_shard, end), INDEX), f"index{wave}"))
     scratch.drop("staged")
     index = found[0] if found else spark.createDataFrame([], INDEX)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm import bpe, langid, licences, materialise, mixing, toxicity
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+PINNED = [0, 4, 2, 5, 6, 1, 7, 3], [281036, 731005, 425186]
 EN = "the quick brown fox jumps over the lazy dog and then the dog barks at the other foxes with what they had".split()
 DE = "der schnelle braune fuchs springt über den faulen hund und dann bellt der hund die anderen füchse nicht an".split()
 
@@ -53,6 +54,24 @@ def test_shards_hold_every_sequence(spark, tmp_path):
             materialise.materialise(df, PATH, public_tokenizers.PATTERN, end=end)
 
 
+def test_slots_come_from_key_and_corpus_alone(spark, monkeypatch):
+    monkeypatch.setattr(materialise, "RANGE_BYTES", 1 << 10)
+    rng = random.Random(4)
+    rows = [(i, prose(rng, EN, rng.randint(1, 50))) for i in range(80)] + [(None, prose(rng, DE, 30 + i)) for i in range(40)] + [(7, "one more text of this id")] + [(9, "twice the same")] * 2
+    rows += [(500, prose(rng, EN, 20_000))]
+    shuffled = rows[:]
+    rng.shuffle(shuffled)
+    layouts = (spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), spark.createDataFrame(shuffled, "doc_id long, text string").repartition(7))
+    found = [sorted((r.slot, r.doc_id or -1, r.seq_no, r.n_tokens) for r in materialise.materialise(x, PATH, public_tokenizers.PATTERN, length=16, per_shard=32).collect()) for x in layouts]
+    assert found[0] == found[1] and [r[0] for r in found[0]] == list(range(len(found[0])))
+
+
+def test_slots_are_pinned():
+    """Slots of a key never change: shards that were written stay readable by arithmetic."""
+    assert materialise.permute(np.arange(8), 8, 1).tolist() == PINNED[0]
+    assert materialise.permute(np.array([0, 1, 999_999]), 1_000_000, 42).tolist() == PINNED[1]
+
+
 # Licences.
 
 
