@@ -187,8 +187,12 @@ from kept join coded using (r), sha
 
 
 def _licence_sql() -> str:
+    """Lines, whole texts and runs of words, each in common table expressions of its own."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    rows = ", ".join(f"({quoted(k)}, [{', '.join(map(quoted, licences.bigrams(t)))}])" for k, texts in licences.TEMPLATES.items() for t in texts)
+    listed = lambda pairs: f"[{', '.join(map(quoted, pairs))}]"
+    rows = ", ".join(f"({quoted(k)}, {listed(licences.bigrams(t))})" for k, texts in licences.TEMPLATES.items() for t in texts)
+    both = (licences.TEMPLATES, licences.PASSAGES)
+    runs = ", ".join(f"({quoted(k)}, {len(licences._pairs(t))}, {listed(licences.bigrams(t))})" for m in both for k, texts in m.items() for t in texts)
     return rf"""
 with t(licence, pairs) as (values {rows}),
 d as (select doc_id, row_number() over () as r, string_split(coalesce(text, ''), chr(10)) as lines from documents),
@@ -199,10 +203,38 @@ u as (
   select r, 0, list_filter(string_split(regexp_replace(lower(array_to_string(lines, chr(10))), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), ' '), lambda x: x <> '') from d),
 p as (select r, line, len(w) - 1 as n, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) as own from u where len(w) between 2 and 400),
 h as (
-  select r, line, licence, 2.0::double * len(list_intersect(own, pairs)) / (n + len(pairs)) as dice
+  select distinct r, line, licence, 2.0::double * len(list_intersect(own, pairs)) / (n + len(pairs)) as dice
   from p join t on 200 * least(n, len(pairs)) >= 80 * (n + len(pairs)) and 200 * len(list_intersect(own, pairs)) >= 80 * (n + len(pairs))),
-b as (select r, first(licence order by dice desc, line, licence) as licence, max(dice) as dice, first(line order by dice desc, line, licence)::int as line_no, count(distinct line) filter (where line > 0)::int as n_notices from h group by r)
-select doc_id, licence, dice, line_no, coalesce(n_notices, 0)::int as n_notices from d left join b using (r)
+-- Runs: pairs of words with their places in the text, those of a template, and the runs that begin with one of them.
+tr(licence, long, pairs) as (select distinct * from (values {runs})),
+tn as (select *, row_number() over () as t from tr),
+tp as (select t, licence, long, len(pairs) as tn, unnest(pairs) as pair from tn),
+whole as (select r, w, len(w) - 1 as n from u where line = 0),
+pairs as (select r, n, i - 1 as pos, w[i] || ' ' || w[i + 1] as pair from (select *, unnest(range(1, len(w))) as i from whole)),
+near as (select r, t, n, pos, pair, licence, long, tn from pairs join tp using (pair)),
+possible as (select r, t from near group by r, t having 120 * count(distinct pair) >= 80 * any_value(tn)),
+own as (select near.* from near semi join possible using (r, t)),
+run as (
+  select a.r, a.t, a.licence, a.long, a.pos, a.n, 2 * count(distinct b.pair) as c, least(a.long, a.n - a.pos) + a.tn as total
+  from own a join own b on a.r = b.r and a.t = b.t and b.pos between a.pos and a.pos + a.long - 1 group by all),
+good as (select *, c::double / total as dice from run where 100 * c >= 80 * total),
+kept as (
+  select * from good g where not exists (
+    select 1 from good o where o.r = g.r and o.t = g.t and 2 * abs(o.pos - g.pos) < g.long and (o.dice > g.dice or (o.dice = g.dice and o.pos < g.pos)))),
+words as (select r, line, sum(len(w)) over (partition by r order by line) as upto, len(w) as n from u where line > 0 and r in (select r from kept)),
+placed as (
+  select k.r, k.licence, k.dice, a.line as from_line, b.line as to_line
+  from kept k join words a on a.r = k.r and k.pos >= a.upto - a.n and k.pos < a.upto
+  join words b on b.r = k.r and least(k.pos + k.long, k.n) >= b.upto - b.n and least(k.pos + k.long, k.n) < b.upto),
+outside as (
+  select * from placed x where not exists (select 1 from h where h.r = x.r and (h.line = 0 or (x.from_line = x.to_line and h.line = x.from_line)))),
+alls as (select r, dice, 1 as alone, line, licence from h union all select r, dice, 0, from_line, licence from outside),
+b as (select r, first(licence order by dice desc, alone desc, line, licence) as licence, max(dice) as dice, first(line order by dice desc, alone desc, line, licence)::int as line_no from alls group by r),
+noticed as (
+  select r, line from h where line > 0
+  union select r, from_line from outside x where not exists (select 1 from h where h.r = x.r and h.line between x.from_line and x.to_line)),
+m as (select r, count(*)::int as n_notices from noticed group by r)
+select doc_id, licence, dice, line_no, coalesce(n_notices, 0)::int as n_notices from d left join b using (r) left join m using (r)
 """
 
 

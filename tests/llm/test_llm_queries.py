@@ -37,3 +37,21 @@ def test_held_out_rows_are_those_of_the_checksum(spark):
     for name, n, remainder in (("op9_toxicity", 3, 1), ("op10_language_id", 4, 2)):
         for r in queries.QUERIES[name](spark, DATA).select("doc_id", "held_out").collect():
             assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % n == remainder)
+
+
+def test_licence_sql_on_wrapped_and_embedded_notices(spark, tmp_path):
+    """The SQL finds runs of words too, not only lines and whole texts."""
+    mit = queries.licences.TEMPLATES["MIT"][2]
+    words = mit.split()
+    texts = [
+        "a b c\n" + " ".join(words[:20]) + "\n" + " ".join(words[20:]) + "\nmore words here", "x " + mit + " y " + mit, "\n".join(words), mit, "", None,
+        queries.licences.TEMPLATES["Apache-2.0"][0] + "\n" + "zz " * 30 + "Licensed under the MIT License. and so on " + "q " * 50,
+    ]
+    rows = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    found = queries.op6_licence_scan(spark, str(tmp_path)).collect()
+    expected = con.sql(queries.ORACLE["op6_licence_scan"]).fetchall()
+    assert sum(r.licence is not None for r in found) == 5
+    assert sorted(([plain(v) for v in r] for r in found), key=repr) == sorted(([plain(v) for v in r] for r in expected), key=repr)
