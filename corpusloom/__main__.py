@@ -8,6 +8,7 @@ import sys
 from pathlib import Path
 
 from corpusloom.functions.search import Search
+from corpusloom.sources.services import ServiceError
 
 
 def _spark():
@@ -58,6 +59,8 @@ def workspace(args: argparse.Namespace) -> None:
         _shown(w.history().limit(args.n).collect())
     elif args.action == "init":
         Workspace.init(w.spark, args.root)
+    elif args.action == "build":
+        print(json.dumps(w.build(args.out or f"{args.root}/archives", args.include_incomplete)))
     elif args.action == "compact":
         print(json.dumps({"merged": w.log.compact(), "removed": w.log.vacuum()}))
     else:
@@ -89,6 +92,13 @@ def fetch(args: argparse.Namespace) -> None:
     s = Search.from_json(Path(args.config).read_text())
     if args.plan:
         return _replayed(args, s)
+    if args.pmcid:
+        from corpusloom.plans import expansion
+        from corpusloom.plans.collect import collect_source
+
+        find = expansion.given(args.pmcid)  # before anything starts
+        print(json.dumps(asdict(collect_source(Workspace(_spark(), args.root), "pmc", s, find, _services(args).fetch_pmc))))
+        return
     if args.source:
         s = replace(s, sources=tuple(args.source))
     if args.max_results is not None:
@@ -156,6 +166,12 @@ def mirror(args: argparse.Namespace) -> None:
         _shown(m.status().collect())
     elif args.action == "verify":
         _shown(m.verify().where("state <> 'verified'").collect())
+    elif args.action == "import":
+        from pyspark.sql import functions as F
+
+        known = m.take_in(file_list(spark, args.list, args.subset))
+        _shown(known.agg(F.count("*").alias("scanned"), F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched")).collect())
+        _shown(known.where("not matched").select("filename").orderBy("filename").limit(10).collect())
     else:
         remote = file_list(spark, args.list, args.subset)
         if not args.go:
@@ -166,6 +182,38 @@ def mirror(args: argparse.Namespace) -> None:
         print(json.dumps({"downloaded": done.downloaded, "bytes": done.bytes, "failed": done.failed}))
 
 
+def pdf(args: argparse.Namespace) -> None:
+    """Converts PDF files below a folder: articles as Parquet, metadata as CSV. Files of known content aren't sent again."""
+    from pyspark.sql import functions as F
+
+    from corpusloom.operators.save import metadata_csv
+    from corpusloom.plans import pdf as conversion
+    from corpusloom.sources.conversion import TeiService
+    from corpusloom.sources.files import pdfs
+
+    spark, service = _spark(), TeiService(args.service, args.ocr).checked()
+    cache = spark.read.parquet(args.cache) if args.cache else None
+    made = conversion.tei_of(pdfs(spark, args.folder, tuple(args.only or ())), service, cache)
+    made.write.mode("overwrite").parquet(f"{args.out}/tei")
+    rows = conversion.articles(spark.read.parquet(f"{args.out}/tei"))
+    rows.write.mode("overwrite").parquet(f"{args.out}/articles")
+    rows = spark.read.parquet(f"{args.out}/articles")
+    table = conversion.metadata_table(rows)
+    metadata_csv(table.withColumn("notes", F.split("notes", ";")), f"{args.out}/metadata")
+    _shown(rows.groupBy("status", "source").agg(F.count("*").alias("n")).orderBy("status", "source").collect())
+
+
+def check(args: argparse.Namespace) -> None:
+    """Validates the article files below folders: counts, and the first files that are not valid."""
+    from corpusloom.operators import checks, graph
+    from corpusloom.sources.files import tree
+
+    spark = _spark()
+    report = graph._write(spark, checks.file_report(tree(spark, args.folders, include_incomplete=args.include_incomplete)))
+    _shown(checks.report_counts(report).collect())
+    _shown(report.where("status <> 'valid'").orderBy("path").limit(args.n).collect())
+
+
 def archive(args: argparse.Namespace) -> None:
     from corpusloom.sources.files import archive_folder, embed_documents
 
@@ -196,10 +244,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("config")
     p.set_defaults(run=search)
     p = sub.add_parser("workspace", help="counts, searches, or clearing of a workspace")
-    p.add_argument("action", choices=("init", "status", "searches", "compact", "clear"))
+    p.add_argument("action", choices=("init", "status", "searches", "build", "compact", "clear"))
     p.add_argument("root")
     p.add_argument("-n", type=int, default=5)
     p.add_argument("--keep-history", action="store_true")
+    p.add_argument("--out", help="where build writes its archives")
+    p.add_argument("--include-incomplete", action="store_true")
     p.set_defaults(run=workspace)
     p = sub.add_parser("config", help="the settings that hold, the key masked")
     _reaching(p)
@@ -211,6 +261,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--max-results", type=int)
     p.add_argument("--update", action="store_true", help="only what is new since the last run without errors")
     p.add_argument("--dry-run", action="store_true")
+    p.add_argument("--pmcid", action="append", help="fetch just this article, as often as needed")
     p.add_argument("--plan", help="the name of a kept expansion plan, whose articles are fetched")
     _reaching(p)
     p.set_defaults(run=fetch)
@@ -223,8 +274,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("root")
     _reaching(p)
     p.set_defaults(run=update)
-    p = sub.add_parser("mirror", help="sync (dry unless --go), status or verification of a mirror")
-    p.add_argument("action", choices=("sync", "status", "verify"))
+    p = sub.add_parser("mirror", help="sync (dry unless --go), status or verification of a mirror, or import of files that are there")
+    p.add_argument("action", choices=("sync", "status", "verify", "import"))
     p.add_argument("root")
     p.add_argument("--list", help="the remote list of files")
     p.add_argument("--subset", default="oa_comm")
@@ -233,6 +284,19 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("-n", type=int)
     _reaching(p)
     p.set_defaults(run=mirror)
+    p = sub.add_parser("pdf", help="PDF files to articles by a conversion service")
+    p.add_argument("folder")
+    p.add_argument("out")
+    p.add_argument("--service", default="http://localhost:8070")
+    p.add_argument("--ocr", action="store_true", help="read scans too; refused where the service can't")
+    p.add_argument("--cache", help="the TEI table of an earlier run")
+    p.add_argument("--only", action="append", help="the name of a file, as often as needed")
+    p.set_defaults(run=pdf)
+    p = sub.add_parser("check", help="validate article files below folders")
+    p.add_argument("folders", nargs="+")
+    p.add_argument("--include-incomplete", action="store_true")
+    p.add_argument("-n", type=int, default=20)
+    p.set_defaults(run=check)
     p = sub.add_parser("archive", help="archive of a folder, with a document of provenance if given")
     p.add_argument("folder")
     p.add_argument("path")
@@ -241,7 +305,7 @@ def main(argv: list[str] | None = None) -> int:
     args = top.parse_args(argv)
     try:
         args.run(args)
-    except ValueError as e:
+    except (ValueError, ServiceError) as e:
         print(e, file=sys.stderr)
         return 1
     return 0

@@ -23,6 +23,7 @@ from corpusloom.functions.xml import jats_facts
 from corpusloom.operators import dedup, graph, save, state, stats
 from corpusloom.operators.commits import CommitLog
 from corpusloom.operators.observed import Progress, reporter, written
+from corpusloom.sources.archives import write_parts
 
 ARTICLE = "source string, id string, pmcid string, doi string, title string, first_date date, xml string"
 #: A source's articles for a search: DataFrame of ARTICLE; xml may be null if it has to be fetched.
@@ -108,6 +109,18 @@ class Workspace:
     def statistics(self) -> DataFrame:
         return stats.manifest(self.table("articles"))
 
+    def build(self, uri: str, include_incomplete: bool = False, parts: int = 8) -> dict[str, int]:
+        """Archives of the articles below ``uri``, written by tasks, with the workspace's history as a document in each.
+        Returns how many files and bytes they hold, and how many of the files are valid."""
+        rows = self.table("articles")
+        rows = rows if include_incomplete else rows.where("status = 'valid'")
+        history = [r.asDict() for r in self.history().select("id", "source", F.col("ts").cast("string").alias("ts"), "config", "statistics").limit(1000).collect()]
+        named = rows.select(F.concat("folder", F.lit("/"), "file").alias("name"), F.col("xml").cast("binary").alias("body"))
+        told = graph._write(self.spark, write_parts(named, uri, parts, {"searches": {"searches": history}}))
+        held = told.agg(F.coalesce(F.sum("files"), F.lit(0)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+        by = {r.status: r["n"] for r in rows.groupBy("status").agg(F.count("*").alias("n")).collect()}
+        return {"files": held.files, "bytes": held.bytes, "valid": by.get("valid", 0), "incomplete": by.get("incomplete", 0), "invalid": by.get("invalid", 0)}
+
     def last_day(self, source: str) -> str | None:
         day = self.table("markers").where(F.col("source") == source).agg(F.max(F.to_date("last_fetch")).cast("string")).first()[0]
         return day

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,6 +105,25 @@ def finder(plans: Plans, name: str, limit: int | None = None) -> Finder:
     return find
 
 
+def given(pmcids: list[str]) -> Finder:
+    """Ids that a user names as what is found. All of them have to be PMCIDs: one that isn't refuses the whole."""
+    wrong = [p for p in pmcids if pmcid_of(p) is None]
+    if wrong:
+        raise ValueError(f"not a PMCID: {', '.join(wrong)}")
+
+    def find(spark: SparkSession, search: Search, since: str | None) -> DataFrame:
+        none, own = F.lit(None).cast("string"), spark.createDataFrame([(pmcid_of(p),) for p in pmcids], "pmcid string")
+        return own.select(F.lit("pmc").alias("source"), F.col("pmcid").alias("id"), "pmcid", none.alias("doi"), F.lit("").alias("title"), F.lit(None).cast("date").alias("first_date"), none.alias("xml"))
+
+    return find
+
+
+def pmcid_of(text: str) -> str | None:
+    """A PMCID as users write it, in its one form."""
+    found = re.fullmatch(r"(?i)(?:PMC)?0*(\d+)", text.strip())
+    return f"PMC{found[1]}" if found else None
+
+
 def replay(workspace: Workspace, reached: Services, name: str, search: Search, limit: int | None = None, **how) -> Outcome:  # noqa: ANN003
     """Fetches what a kept plan names, all of it or its first ``limit`` rows. The progress of a plan is its own."""
     plans = Plans(workspace.spark, workspace.root)

@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ids, search, sql, xml
-from corpusloom.operators import graph, mirror, save
+from corpusloom.operators import checks, graph, mirror, save
 from corpusloom.operators.commits import CommitLog, KeyedTable
 from corpusloom.plans import collect, derive, expansion, fetchers, pdf
 from corpusloom.plans.catalogue import query
 from corpusloom.plans.derive import MIXED, PAPERS, mixed_id, papers, table
-from corpusloom.sources import feeds, files
+from corpusloom.sources import archives, feeds, files
 
 # Lists of links and how asking for them ended.
 
@@ -267,6 +267,41 @@ def q_archive_documents(spark, d):
     return files.archive_documents(members)
 
 
+@query("select count(*) as files, sum(strlen(text))::bigint as bytes, count(distinct doc_id % 97) as folders from documents")
+def q_archive_parts(spark, d):
+    """All texts written to archives by tasks, which are then read back."""
+    path = graph.shared_folder(spark)
+    name = F.concat((F.col("doc_id") % 97).cast("string"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    rows = papers(spark, d).select(name.alias("name"), F.col("text").cast("binary").alias("body"))
+    graph._write(spark, archives.write_parts(rows, path, 6, {"run": {"query": "q_archive_parts"}}))
+    back = archives.members(spark, path, only=r"[.]txt\z")
+    return back.agg(F.count("name").alias("files"), F.sum("size").alias("bytes"), F.countDistinct(F.substring_index("name", "/", 1)).alias("folders"))
+
+
+@query("select count(*) as total_files, sum(strlen(text))::bigint as total_bytes, count(*) filter (where doc_id % 7 <> 0 and doc_id % 11 <> 3) as valid_count, count(*) filter (where doc_id % 7 = 0 or doc_id % 11 = 3) as invalid_count from documents")
+def q_file_report(spark, d):
+    """Article files, of which a seventh isn't well-formed and an eleventh isn't text."""
+    p = papers(spark, d)
+    xmls = derive.jats(p).join(p.select("doc_id", "path", F.octet_length("text").cast("bigint").alias("length")), "doc_id")
+    content = F.when(F.col("doc_id") % 11 == 3, F.concat(F.unhex(F.lit("FF")), F.col("xml").cast("binary"))).otherwise(F.col("xml").cast("binary"))
+    return checks.report_counts(checks.file_report(xmls.select("path", "length", content.alias("content"))))
+
+
+@query(f"""with {PAPERS}, u as (
+  select pmcid, doc_id, 'https://pmc.ncbi.nlm.nih.gov/pub/' || doc_id || '.pdf' as url, 0 as k, doc_id % 3 = 0 as here from p
+  union all select pmcid, doc_id, 'https://example.org/pdf/a' || doc_id || '.pdf', 1, doc_id % 4 <> 1 from p
+  union all select pmcid, doc_id, 'https://pmc.ncbi.nlm.nih.gov/articles/' || pmcid || '/pdf/suppl' || doc_id || '.pdf', 2, doc_id % 5 <> 2 from p),
+  o as (select pmcid, url, k, row_number() over (partition by pmcid order by k)::int as ordinal from u where here)
+  select pmcid, url, ordinal, ordinal = coalesce(min(ordinal) filter (where k = 1) over (partition by pmcid), 1) as is_primary from o""")
+def q_pdf_addresses(spark, d):
+    i, p = F.col("doc_id").cast("string"), papers(spark, d).withColumn("pmcid", ids.normalize_pmcid("raw_pmcid"))
+    oa = F.concat(F.lit('<OA><link format="tgz" href="ftp://x/a.tar.gz"/>'), F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('<link format="pdf" href="/pub/'), i, F.lit('.pdf"/>'))).otherwise(""), F.lit("</OA>"))
+    meta = F.concat(F.lit("<head><meta name='other' content='x.pdf'>"), F.when(F.col("doc_id") % 4 != 1, F.concat(F.lit("<META name='citation_pdf_url' content='https://example.org/pdf/a"), i, F.lit(".pdf'>"))).otherwise(""))
+    index = F.concat(F.lit('<a href="index.html">up</a>'), F.when(F.col("doc_id") % 5 != 2, F.concat(F.lit('<a class="x" href="suppl'), i, F.lit('.pdf">s</a><a href="suppl'), i, F.lit('.pdf">again</a>'))).otherwise(""))
+    bodies = F.array(*[F.struct(F.lit(k).alias("kind"), b.alias("body")) for k, b in zip(checks.KINDS, (oa, meta, index), strict=True)])
+    return checks.pdf_addresses(p.select("pmcid", F.explode(bodies).alias("b")).select("pmcid", "b.kind", "b.body"))
+
+
 # Answers of services, gates, facts.
 
 

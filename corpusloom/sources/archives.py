@@ -141,3 +141,46 @@ def members(spark: SparkSession, *paths: str, only: str | None = None) -> DataFr
     read = dealt.mapInArrow(ranges, MEMBER)
     failed = listed.where("error is not null").select("path", "name", "size", F.lit(None).cast("binary").alias("body"), "error")
     return streamed.where(wanted | F.col("error").isNotNull()).union(read).union(failed)
+
+
+def write_parts(rows: DataFrame, uri: str, parts: int = 8, documents: dict[str, dict] | None = None, folder: str = ".provenance") -> DataFrame:
+    """Writes ``name, body`` rows to ``parts`` compressed archives below ``uri``, each by one task: ``archive, files, bytes``.
+
+    Rows are dealt by name and written in its order, so the same rows give the same archives; of rows of one name each is
+    kept, numbered. Every archive has the JSON documents about the whole in ``folder``. An archive appears whole or not at
+    all, whichever attempt of a task ends first."""
+    import json
+    import uuid
+
+    extra = [(f"{folder}/{k}.json", json.dumps(v, indent=2, sort_keys=True).encode()) for k, v in (documents or {}).items()]
+    told = pa.schema([("archive", pa.string()), ("files", pa.int64()), ("bytes", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        where, root = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+        where.create_dir(root, recursive=True)
+        name = f"part-{TaskContext.get().partitionId():05d}.tar.gz"
+        temp, last, again, files, size = f"{root}/.{name}-{uuid.uuid4().hex}", None, 0, 0, 0
+        with where.open_output_stream(temp, compression=None) as out, tarfile.open(fileobj=out, mode="w|gz") as tar:
+
+            def add(as_name: str, body: bytes) -> None:
+                info = tarfile.TarInfo(as_name)
+                info.size = len(body)
+                tar.addfile(info, io.BytesIO(body))
+
+            for b in batches:
+                for own, body in zip(b["name"].to_pylist(), b["body"], strict=True):
+                    again, last = (again + 1, own) if own == last else (0, own)
+                    stem, dot, suffix = own.rpartition(".")
+                    data = body.as_py() or b""
+                    add(own if not again else f"{stem}-{again}{dot}{suffix}" if dot else f"{own}-{again}", data)
+                    files, size = files + 1, size + len(data)
+            for as_name, data in extra:
+                add(as_name, data)
+        where.move(temp, f"{root}/{name}")
+        yield pa.RecordBatch.from_pylist([{"archive": name, "files": files, "bytes": size}], told)
+
+    dealt = rows.select("name", "body").repartitionById(parts, F.pmod(F.xxhash64("name"), F.lit(parts)).cast("int")).sortWithinPartitions("name")
+    return dealt.mapInArrow(run, "archive string, files bigint, bytes bigint")
