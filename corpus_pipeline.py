@@ -63,12 +63,14 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as many times as the mix takes it."""
+    """Each document as many times as the mix takes it, which is none for one without a word. Null sources are one source
+    and null ids one id; rows that repeat an id are taken alike; an empty table gives no rows."""
     return mixing.mixed(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids, lossless`` of each row."""
+    """``doc_id, n_tokens, ids, lossless`` of each row, null ids and repeated rows included; a null text has no token.
+    Other columns go, whatever they are named; an empty table gives no rows."""
     return bpe.checked(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
