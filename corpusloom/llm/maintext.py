@@ -51,6 +51,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
 _NAMED = re.compile(r"\b(?:class|id|role|hidden|style|aria-hidden)\b", re.I)
+#: A name that tells what an element has beside or in it, not what it is.
+_MODIFIER = re.compile(r"(?:^|(?<=\s))(?:has|is|js|no|show|supports|with|without)[-_]\S*")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _END_OF = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 #: Weights of the two neighbours on each side and of the node itself: a Gaussian of standard deviation 1.
@@ -90,7 +92,7 @@ def attributes(given: str) -> tuple[frozenset[str], bool]:
     if not _NAMED.search(given):
         return frozenset(), False
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(given)}
-    names = " ".join(found.get(k, "") for k in ("class", "id", "role"))
+    names = _MODIFIER.sub(" ", " ".join(found.get(k, "") for k in ("class", "id", "role")))
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
     return frozenset(w.lower() for w in _WORDS.findall(names)), hidden
 
