@@ -523,12 +523,13 @@ def q_tei_to_jats(spark, d):
 # Feeds and archives.
 
 
-@query(f"""with {PAPERS} select doc_id::varchar as id, source, pmid, pmcid, trim(raw_doi) as doi, title, 'A B|C' as authors, year(pub_date)::int as pub_year, pub_date::varchar as first_publication_date,
+@query(f"""with {PAPERS} select doc_id::varchar as id, source, pmid, pmcid, trim(raw_doi) as doi, title, case when doc_id % 3 = 0 then 'Full ' || doc_id || '|F L' else 'A ' || lang || '|C' || doc_id end as authors, year(pub_date)::int as pub_year, pub_date::varchar as first_publication_date,
   doc_id % 2 = 0 as is_open_access, source = 'pmc' as has_full_text from p""")
 def q_feed_europepmc(spark, d):
     i = F.col("doc_id")
     item = F.struct(
-        i.cast("string").alias("id"), "source", "pmid", F.col("raw_pmcid").alias("pmcid"), F.trim("raw_doi").alias("doi"), "title", F.lit("A B, C,").alias("authorString"),
+        i.cast("string").alias("id"), "source", "pmid", F.col("raw_pmcid").alias("pmcid"), F.trim("raw_doi").alias("doi"), "title", F.concat(F.lit("A "), F.col("lang"), F.lit(", C"), i.cast("string"), F.lit(",")).alias("authorString"),
+        F.when(i % 3 == 0, F.struct(F.array(F.struct(F.concat(F.lit("Full "), i.cast("string")).alias("fullName"), F.lit("x").alias("firstName"), F.lit("y").alias("lastName")), F.struct(F.lit(None).cast("string").alias("fullName"), F.lit("F").alias("firstName"), F.lit("L").alias("lastName"))).alias("author"))).alias("authorList"),
         F.year("pub_date").cast("string").alias("pubYear"), F.col("pub_date").cast("string").alias("firstPublicationDate"), F.when(i % 2 == 0, "Y").otherwise("N").alias("isOpenAccess"),
         F.when(F.col("source") == "pmc", "Y").otherwise("N").alias("hasFullText"),
     )
@@ -537,11 +538,11 @@ def q_feed_europepmc(spark, d):
     return a.select("id", "source", "pmid", "pmcid", "doi", "title", F.array_join("authors", "|").alias("authors"), "pub_year", F.col("first_publication_date").cast("string").alias("first_publication_date"), "is_open_access", "has_full_text")
 
 
-@query(f"with {PAPERS} select trim(raw_doi) as doi, 'A|B' as authors, case when doc_id % 5 = 0 then '2030-01-01' else pub_date::varchar end as date, (doc_id % 3 + 1)::int as version, case when doc_id % 2 = 0 then '10.1/x' end as published_doi from p")
+@query(f"with {PAPERS} select trim(raw_doi) as doi, 'A' || doc_id || '|B ' || lang as authors, case when doc_id % 5 = 0 then '2030-01-01' else pub_date::varchar end as date, (doc_id % 3 + 1)::int as version, case when doc_id % 2 = 0 then '10.1/x' end as published_doi from p")
 def q_feed_biorxiv(spark, d):
     i = F.col("doc_id")
     item = F.struct(
-        F.trim("raw_doi").alias("doi"), "title", F.lit("A; B;").alias("authors"), F.when(i % 5 == 0, "soon").otherwise(F.col("pub_date").cast("string")).alias("date"),
+        F.trim("raw_doi").alias("doi"), "title", F.concat(F.lit(" A"), i.cast("string"), F.lit(" ; ;B "), F.col("lang"), F.lit(";")).alias("authors"), F.when(i % 5 == 0, "soon").otherwise(F.col("pub_date").cast("string")).alias("date"),
         (i % 3 + 1).cast("string").alias("version"), F.when(i % 2 == 0, "10.1/x").otherwise("NA").alias("published"),
     )
     pages = papers(spark, d).select(F.to_json(F.struct(F.array(item).alias("collection"))).alias("json"))
@@ -549,28 +550,31 @@ def q_feed_biorxiv(spark, d):
     return a.select("doi", F.array_join("authors", "|").alias("authors"), F.col("date").cast("string").alias("date"), "version", "published_doi")
 
 
-@query(f"with {PAPERS} select 'item_' || doc_id as item_id, trim(raw_doi) as doi, 'A B' as authors, 'catalysis' as categories, pub_date::varchar as day from p")
+@query(f"with {PAPERS} select 'item_' || doc_id as item_id, trim(raw_doi) as doi, 'A' || doc_id || ' B|C' as authors, case when doc_id % 3 = 0 then '' else lang || '|' || source end as categories, pub_date::varchar as day from p")
 def q_feed_chemrxiv(spark, d):
     i = F.col("doc_id").cast("string")
-    person = F.struct(F.lit("A").alias("firstName"), F.lit("B").alias("lastName"))
+    people = F.array(F.struct(F.concat(F.lit("A"), i).alias("firstName"), F.lit("B").alias("lastName")), F.struct(F.lit("").alias("firstName"), F.lit(" C").alias("lastName")), F.struct(F.lit(None).cast("string").alias("firstName"), F.lit("").alias("lastName")))
+    named = F.array(*[F.struct(F.col(c).alias("name")) for c in ("lang", "source")])
     item = F.struct(
-        ids.chemrxiv_id(F.concat(F.lit("https://example.org/item_"), i)).alias("id"), F.trim("raw_doi").alias("doi"), "title", F.array(person).alias("authors"),
-        F.array(F.struct(F.lit("catalysis").alias("name"))).alias("categories"), F.concat(F.col("pub_date").cast("string"), F.lit("T00:00:00Z")).alias("publishedDate"),
+        ids.chemrxiv_id(F.concat(F.lit("https://example.org/item_"), i)).alias("id"), F.trim("raw_doi").alias("doi"), "title", people.alias("authors"),
+        F.when(F.col("doc_id") % 3 != 0, named).alias("categories"), F.concat(F.col("pub_date").cast("string"), F.lit("T00:00:00Z")).alias("publishedDate"),
     )
     pages = papers(spark, d).select(F.to_json(F.struct(F.array(F.struct(item.alias("item"))).alias("itemHits"))).alias("json"))
     a = feeds.chemrxiv_articles(pages, F.lit("2030-01-01"))
     return a.select("item_id", "doi", F.array_join("authors", "|").alias("authors"), F.array_join("categories", "|").alias("categories"), F.date_format("published_date", "yyyy-MM-dd").alias("day"))
 
 
-@query(f"with {PAPERS} select doc_id || 'v1' as arxiv_id, 'q-bio.PE|cs.LG' as categories, lower(trim(raw_doi)) as doi, pub_date::varchar as day from p")
+@query(f"with {PAPERS} select doc_id || 'v' || (doc_id % 4 + 1) as arxiv_id, case when doc_id % 2 = 0 then lang || '|cs.LG|' || source else 'cs.LG|' || source end as categories, 'A' || doc_id || '|B ' || lang as authors, lower(trim(raw_doi)) as doi, pub_date::varchar as day from p")
 def q_feed_arxiv(spark, d):
     page = F.concat(
-        F.lit('<feed xmlns="http://www.w3.org/2005/Atom" xmlns:arxiv="http://arxiv.org/schemas/atom"><entry><id>http://arxiv.org/abs/'), F.col("doc_id").cast("string"), F.lit("v1</id><title>"), derive.escaped("title"),
-        F.lit('</title><published>'), F.col("pub_date").cast("string"), F.lit('T10:00:00Z</published><link title="doi" href="http://dx.doi.org/'), F.lower(F.trim("raw_doi")),
-        F.lit('"/><arxiv:primary_category term="q-bio.PE"/><category term="cs.LG"/><category term="q-bio.PE"/></entry></feed>'),
+        F.lit('<feed xmlns="http://www.w3.org/2005/Atom" xmlns:arxiv="http://arxiv.org/schemas/atom"><entry><id>http://arxiv.org/abs/'), F.col("doc_id").cast("string"), F.lit("v"), (F.col("doc_id") % 4 + 1).cast("string"), F.lit("</id><title>"), derive.escaped("title"),
+        F.lit("</title><author><name> A"), F.col("doc_id").cast("string"), F.lit("</name></author><author><name>B\n "), F.col("lang"), F.lit("</name></author><author><name> </name></author>"),
+        F.lit('<published>'), F.col("pub_date").cast("string"), F.lit('T10:00:00Z</published><link title="doi" href="http://dx.doi.org/'), F.lower(F.trim("raw_doi")),
+        F.lit('"/>'), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit('<arxiv:primary_category term="'), F.col("lang"), F.lit('"/>'))).otherwise(""),
+        F.lit('<category term="cs.LG"/><category term="'), F.col("source"), F.lit('"/><category term="'), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("cs.LG"), F.lit('"/></entry></feed>'),
     )
     a = feeds.arxiv_articles(papers(spark, d).select(page.alias("xml")), F.lit("2030-01-01"))
-    return a.select("arxiv_id", F.array_join("categories", "|").alias("categories"), "doi", F.date_format("published", "yyyy-MM-dd").alias("day"))
+    return a.select("arxiv_id", F.array_join("categories", "|").alias("categories"), F.array_join("authors", "|").alias("authors"), "doi", F.date_format("published", "yyyy-MM-dd").alias("day"))
 
 
 def _tarred(rows: Iterator) -> Iterator:

@@ -1,7 +1,13 @@
+import hashlib
+import os
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ids, search, text, xml
+from corpusloom.functions.text import LETTERS
+from corpusloom.plans import registry
 
 
 def each(spark, column, values):
@@ -113,3 +119,22 @@ def test_predicate(spark):
     s = search.Search(virus_keywords=("EBOLA",), vaccine_keywords=("vaccine",))
     assert [[r.i for r in df.where(s.predicate(m)).orderBy("i").collect()] for m in ("any", "category")] == [[1, 2], [2]]
     assert df.where(search.in_dates(F.lit("2020-01-01").cast("date"), None, "2020-01-01")).count() == 3
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+def test_cleaning_of_whole_tables(spark):
+    """Against a plain version, text by text."""
+    def cleaned(text):
+        t = unicodedata.normalize("NFKC", text or "").replace("\u00a0", " ").replace("\u200b", "")
+        return " ".join(t.split())
+
+    def plain_ascii(text):
+        t = "".join(LETTERS.get(c, c) for c in cleaned(text))
+        t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+        return "".join(c for c in "".join(LETTERS.get(c, c) for c in t) if ord(c) < 128)
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for name, column, of in (("q_clean_nfkc", "cleaned", cleaned), ("q_transliterate", "ascii", plain_ascii)):
+        found = {r.doc_id: r[column] for r in registry.QUERIES[name](spark, "/root/testdata/sf0.001").collect()}
+        assert found == {i: sha(of(t)) for i, t in texts.items()}
