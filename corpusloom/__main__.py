@@ -30,7 +30,9 @@ def compare(args: argparse.Namespace) -> None:
 
     spark = _spark()
     reference, candidate = (corpus_ids(spark, p) for p in (args.reference, args.candidate))
-    if args.full:
+    if args.out:
+        _shown(c.write_report(reference, candidate, args.out).collect())
+    elif args.full:
         print(c.report(reference, candidate).first().json)
     else:
         _shown(c.metrics(reference, candidate).collect())
@@ -46,7 +48,7 @@ def ids(args: argparse.Namespace) -> None:
 def search(args: argparse.Namespace) -> None:
     s = Search.from_json(Path(args.config).read_text())
     forms = {"pubmed": s.pubmed, "pubmed_by_category": s.pubmed_by_category, "europepmc": s.europepmc, "arxiv": s.arxiv, "biorxiv": s.biorxiv, "chemrxiv": s.chemrxiv}
-    print(json.dumps({k: f() for k, f in forms.items()} | {"hash": s.config_hash()}, indent=2))
+    print(json.dumps({k: f() for k, f in forms.items()} | {"hash": s.config_hash(), "unknown_categories": s.unknown_categories()}, indent=2))
 
 
 def workspace(args: argparse.Namespace) -> None:
@@ -236,6 +238,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("reference")
     p.add_argument("candidate")
     p.add_argument("--full", action="store_true", help="with the ids of the differences")
+    p.add_argument("--out", help="a folder for the numbers and the ids of overlap and differences, of corpora of any size")
     p.set_defaults(run=compare)
     p = sub.add_parser("ids", help="ids in an id list or an archive")
     p.add_argument("path")

@@ -181,6 +181,12 @@ class Search:
             out["category_ids"] = chemrxiv_categories(own)
         return out | ({"date_from": self.date_range.iso("start"), "date_to": self.date_range.iso("end")} if self.date_range else {})
 
+    def unknown_categories(self) -> dict[str, list[str]]:
+        """Categories that a source's vocabulary doesn't have, by source: the services would find nothing in them."""
+        known = {"biorxiv": BIORXIV, "medrxiv": MEDRXIV, "chemrxiv": tuple(CHEMRXIV)}
+        missing = {s: [c for c in o.categories if category_key(c) not in known[s]] for s, o in self.source_options.items() if s in known}
+        return {s: names for s, names in missing.items() if names}
+
     # Predicates.
 
     def predicate(self, mode: str = "category", text: tuple[str, ...] = ("title", "abstract"), authors: str | None = None, date: str | None = None, open_access: str | None = None) -> Column:
@@ -283,6 +289,12 @@ def category_key(name: str) -> str:
     return name.lower().replace(" ", "_").replace("-", "_")
 
 
+def preprint_category(name: Column, server: str) -> Column:
+    """A category in the form that the server's service takes, null for what its vocabulary doesn't have."""
+    key = F.translate(F.lower(name), " -", "__")
+    return F.when(key.isin(*(BIORXIV if server == "biorxiv" else MEDRXIV)), key)
+
+
 def chemrxiv_categories(names: tuple[str, ...] | list[str]) -> list[int]:
     """Ids of named categories; unknown names are left out."""
     return [CHEMRXIV[k] for n in names if (k := category_key(n)) in CHEMRXIV]

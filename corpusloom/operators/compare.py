@@ -70,6 +70,20 @@ def report(reference: DataFrame, candidate: DataFrame) -> DataFrame:
     return row.join(listed).select(F.to_json(F.struct("*")).alias("json"))
 
 
+def write_report(reference: DataFrame, candidate: DataFrame, path: str) -> DataFrame:
+    """The comparison of corpora of any size below ``path``: the ids of the overlap and of both differences as sorted text
+    files, written by ranges, and the numbers as JSON. Returns the numbers."""
+    spark, rounded = reference.sparkSession, [F.bround(c, 4).alias(c) for c in ("jaccard", "recall", "precision")]
+    ids = flagged(reference, candidate)
+    which = F.when(F.expr("in_reference and in_candidate"), "overlap").when(F.col("in_reference"), "reference_only").otherwise("candidate_only")
+    dealt = ids.select("id", which.alias("list")).repartitionByRange("list", "id").sortWithinPartitions("list", "id")
+    dealt.write.mode("overwrite").partitionBy("list").text(f"{path}/ids")
+    counts = [F.col(f"{k}_count") for k in ("reference", "candidate", "overlap", "reference_only", "candidate_only")]
+    metrics(reference, candidate).select(*counts, *rounded).coalesce(1).write.mode("overwrite").json(f"{path}/metrics")
+    schema = ", ".join([f"{k}_count bigint" for k in ("reference", "candidate", "overlap", "reference_only", "candidate_only")] + [f"{k} double" for k in ("jaccard", "recall", "precision")])
+    return spark.read.schema(schema).json(f"{path}/metrics")
+
+
 def resolve(ids: DataFrame, articles: DataFrame) -> DataFrame:
     """``id`` to ``id, resolved``: the PMCID of the article that has it as its DOI or PMID, else the id as it is.
     ``articles`` has ``pmcid, doi, pmid``."""

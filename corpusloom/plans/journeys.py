@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import ids, search, sql, xml
-from corpusloom.operators import checks, graph, mirror, save
+from corpusloom.operators import checks, compare, graph, mirror, save
 from corpusloom.operators.commits import CommitLog, KeyedTable
 from corpusloom.plans import collect, derive, expansion, fetchers, pdf
 from corpusloom.plans.catalogue import query
@@ -431,3 +431,26 @@ def q_converter_keys(spark, d):
     value = F.when(i % 3 == 0, F.col("raw_doi")).when(i % 3 == 1, F.col("raw_pmcid")).otherwise(F.col("pmid"))
     kind = F.when(i % 3 == 0, "doi").when(i % 3 == 1, "pmcid").otherwise("pmid")
     return papers(spark, d).select("doc_id", ids.id_key(value, kind).alias("id_key"))
+
+
+_NAMES = "['Cell Biology', 'Surgery', 'Plant-Biology', 'Alchemy', 'Public and Global Health', 'Epidemiology', 'pathology']"
+
+
+@query(f"""with n as (select doc_id, ({_NAMES})[(doc_id % 7 + 1)::int] as name from documents)
+  select doc_id, case when doc_id % 7 in (0, 2, 5, 6) then replace(replace(lower(name), ' ', '_'), '-', '_') end as biorxiv,
+  case when doc_id % 7 in (1, 4, 5, 6) then replace(replace(lower(name), ' ', '_'), '-', '_') end as medrxiv from n""")
+def q_preprint_categories(spark, d):
+    names = F.array(*map(F.lit, ("Cell Biology", "Surgery", "Plant-Biology", "Alchemy", "Public and Global Health", "Epidemiology", "pathology")))
+    name = F.element_at(names, (F.col("doc_id") % 7 + 1).cast("int"))
+    return table(spark, d, "documents").select("doc_id", *[search.preprint_category(name, s).alias(s) for s in ("biorxiv", "medrxiv")])
+
+
+@query(f"""with {PAPERS}, r as (select distinct pmcid as id from p where doc_id % 2 = 0), c as (select distinct pmcid as id from p where doc_id % 3 = 0)
+  select id, case when id in (select id from r) and id in (select id from c) then 'overlap' when id in (select id from r) then 'reference_only' else 'candidate_only' end as list
+  from (select id from r union select id from c)""")
+def q_compare_lists(spark, d):
+    """The lists of a written comparison, read back."""
+    path = graph.shared_folder(spark)
+    of = lambda k: papers(spark, d).where(F.col("doc_id") % k == 0).select(ids.normalize_pmcid("raw_pmcid").alias("id"))
+    compare.write_report(of(2), of(3), path)
+    return spark.read.schema("value string, list string").text(f"{path}/ids").select(F.col("value").alias("id"), "list")

@@ -10,7 +10,7 @@ import pytest
 from test_functions import TEI
 
 from corpusloom import __main__
-from corpusloom.functions.search import Search
+from corpusloom.functions.search import Search, SourceOptions
 from corpusloom.operators import checks
 from corpusloom.plans import expansion
 from corpusloom.sources import archives, conversion
@@ -130,3 +130,17 @@ def test_addresses_of_pdf_files(spark):
     found = sorted((r.pmcid, r.ordinal, r.url, r.is_primary) for r in checks.pdf_addresses(spark.createDataFrame(rows, "pmcid string, kind string, body string")).collect())
     at = "https://pmc.ncbi.nlm.nih.gov/articles/PMC1/pdf/"
     assert found == [("PMC1", 1, "https://h/pdf/m.pdf", True), ("PMC1", 2, f"{at}suppl/s.pdf", False), ("PMC1", 3, f"{at}main.pdf?x=1", False), ("PMC2", 1, "ftp://h/suppl.pdf", True)]
+
+
+def test_comparisons_of_any_size(run, tmp_path):
+    for name, some in (("a", range(10)), ("b", range(5, 25))):
+        (tmp_path / name).write_text("".join(f"PMC{i}\n" for i in some))
+    status, out, _ = run("compare", tmp_path / "a", tmp_path / "b", "--out", tmp_path / "out")
+    assert status == 0 and (out[0]["overlap_count"], out[0]["reference_only_count"], out[0]["recall"], out[0]["jaccard"]) == (5, 5, 0.5, 0.2)
+    of = lambda k: [x for p in sorted((tmp_path / f"out/ids/list={k}").glob("*.txt")) for x in p.read_text().split()]
+    assert of("overlap") == [f"PMC{i}" for i in range(5, 10)] and of("reference_only") == [f"PMC{i}" for i in range(5)] and len(of("candidate_only")) == 15
+
+
+def test_categories_that_a_source_does_not_have():
+    options = {"biorxiv": SourceOptions(categories=("Cell Biology", "alchemy")), "chemrxiv": SourceOptions(categories=("Catalysis",)), "arxiv": SourceOptions(categories=("x",))}
+    assert Search(keywords=("k",), source_options=options).unknown_categories() == {"biorxiv": ["alchemy"]}
