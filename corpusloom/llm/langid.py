@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,8 +14,8 @@ from corpusloom.llm.scratch import Scratch, bound_batches, lean
 
 #: Longest n-gram, in characters (three code points of 21 bits fill a key), and n-grams in a profile.
 LONGEST, PROFILE = 3, 400
-#: Characters that are counted at once.
-BLOCK = 1 << 20
+#: Characters that are counted at once, and where a text may be cut: at what is no letter.
+BLOCK, _CUT = 1 << 20, re.compile(r"[\W\d_]")
 UNKNOWN = "und"
 _letters: np.ndarray | None = None
 
@@ -41,6 +42,16 @@ def grams(texts: list[str]) -> np.ndarray:
     return np.concatenate([one, two, three])
 
 
+def blocks(text: str) -> Iterator[str]:
+    """A text in parts of BLOCK characters or a little more: each ends between words, so the parts have the text's words."""
+    at = 0
+    while at < len(text):
+        cut = _CUT.search(text, at + BLOCK)
+        end = cut.end() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
 def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, and how often each occurs."""
     keys = np.sort(keys)
@@ -62,9 +73,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size: dict[str, int] = {}
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            for i in range(0, len(text), BLOCK):  # whole texts, in blocks: a word that a block's end cuts counts as two
-                waiting.setdefault(lang, []).append(text[i : i + BLOCK])
-                size[lang] = size.get(lang, 0) + min(BLOCK, len(text) - i)
+            for part in blocks(text):
+                waiting.setdefault(lang, []).append(part)
+                size[lang] = size.get(lang, 0) + len(part)
                 if size[lang] >= BLOCK:
                     yield flush(lang, waiting.pop(lang))
                     size[lang] = 0
@@ -97,7 +108,7 @@ class Classifier:
         """The nearest profile's language (ties: the first in code point order) and 1 - distance / largest distance."""
         if text is None or not self.langs:
             return UNKNOWN, 0.0
-        parts = [counted(grams([text[i : i + BLOCK]])) for i in range(0, len(text), BLOCK)] or [(np.empty(0, np.uint64), np.empty(0, np.int64))]
+        parts = [counted(grams([part])) for part in blocks(text)] or [(np.empty(0, np.uint64), np.empty(0, np.int64))]
         keys, n = parts[0]
         if len(parts) > 1:
             keys, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
@@ -114,10 +125,12 @@ class Classifier:
 
 
 def identify(documents: DataFrame, learned: DataFrame, size: int = PROFILE) -> DataFrame:
-    """``doc_id, text`` with ``learned`` (of :func:`profiles`) to ``doc_id, lang_pred, score``; extra columns go along.
+    """``doc_id, text`` with ``learned`` (of :func:`profiles`) to ``doc_id, lang_pred, score``; extra columns go along, but for ones named
+    ``lang_pred`` or ``score``, in whose place the results stand.
 
     The profiles are collected: ``size`` rows for each language. Null texts and texts without a letter are ``und`` with
-    score 0, and so is every text if nothing was learned; equal texts get equal results. Texts are read whole.
+    score 0, and so is every text if nothing was learned; equal texts get equal results. Texts are read whole. Rows that
+    repeat, and rows without an id, each get theirs; an empty table gives no rows.
     """
     bound_batches(documents.sparkSession)
     known = Classifier([(r.lang, r.rank, r.gram) for r in learned.collect()], size)

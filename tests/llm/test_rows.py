@@ -314,3 +314,24 @@ def test_language_id(spark):
     assert {r.rank for r in again.collect()} == {"x"}
     assert langid.identify(df.limit(0), learned).count() == 0
     assert {r.lang_pred for r in langid.identify(df, learned.limit(0)).collect()} == {"und"}
+
+
+def test_blocks_of_long_texts_end_between_words(monkeypatch):
+    rng = random.Random(8)
+    text = "".join(rng.choice(["wort", "straße", "x", "été", " ", ", ", "7", "_", "'", "漢字", "。", "\n"]) for _ in range(900)) + "z" * 400 + " end"
+    keys, n = langid.counted(langid.grams([text]))
+    for size in (1, 7, 64, 10_000):
+        monkeypatch.setattr(langid, "BLOCK", size)
+        parts = list(langid.blocks(text))
+        assert "".join(parts) == text and (size > len(text) or len(parts) > 1)
+        found, m = langid.counted(np.concatenate([langid.grams([p]) for p in parts]))
+        assert found.tolist() == keys.tolist() and m.tolist() == n.tolist()
+
+
+def test_clashing_columns_give_way_to_the_results(spark):
+    rows = [(1, prose(random.Random(1), EN, 30), "en", "old", 7.0), (2, prose(random.Random(2), DE, 30), "de", "old", 7.0), (2, prose(random.Random(2), DE, 30), "de", "old", 7.0), (None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double")
+    found = langid.identify(docs, langid.learn(docs))
+    assert sorted(found.columns) == ["doc_id", "lang", "lang_pred", "score"]
+    assert sorted((r.doc_id or 0, r.lang_pred) for r in found.collect()) == [(0, "und"), (1, "en"), (2, "de"), (2, "de")]
+    assert langid.identify(docs.limit(0), langid.learn(docs)).count() == 0
