@@ -21,11 +21,11 @@ def documents(spark):
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
 
 
-def test_stages(spark):
+def test_stages(spark, tmp_path):
     docs = documents(spark)
     columns, out = docs.columns, {}
     for name, stage in corpus_pipeline.STAGES:
-        path = f"/tmp/corpusloom-test-{name}"
+        path = f"{tmp_path}/{name}"
         stage(spark, docs, "").write.mode("overwrite").parquet(path)
         docs = spark.read.parquet(path)
         out[name] = docs.collect()
