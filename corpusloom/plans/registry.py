@@ -610,7 +610,7 @@ def q_stream_dedup(spark, d):
     source = base.inputFiles()[0].rpartition("/")[0]
     root = source.rpartition("/")[0] + f"/stream-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    q = incremental.index_stream(stream, f"{root}/index", f"{root}/out", f"{root}/checkpoint")
+    q = incremental.index_stream(stream, f"{root}/index", f"{root}/out", f"{root}/checkpoint", buckets=16)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("doi")
 
