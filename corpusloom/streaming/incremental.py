@@ -38,9 +38,10 @@ def index_stream(stream: DataFrame, index_path: str, out_path: str, checkpoint:
         first = keyed.where("__key is not null").dropDuplicates(["__key"])
         old = index.known("keys", first.select("__key", "__row"), "__key").select("__row")
         fresh = first.join(old, "__row", "left_anti").unionByName(keyed.where("__key is null"))
-        fresh = graph._write(spark, fresh)
-        fresh.drop("__key", "__row").write.mode("overwrite").parquet(f"{out_path}/batch={n}")
-        index.write(name, "keys", fresh.where("__key is not null").select(F.col("__key").alias("key")))
+        fresh = fresh.drop("__key", "__row")
+        fresh.write.mode("overwrite").parquet(f"{out_path}/batch={n}")
+        written = spark.read.schema(fresh.schema).parquet(f"{out_path}/batch={n}")
+        index.write(name, "keys", written.select(doi_key(doi).alias("key")).where("key is not null"))
         index.publish(name)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
