@@ -59,6 +59,8 @@ _END_OF = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 SMOOTH = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 #: A path is content from this many standard deviations of the nodes' scores on.
 THRESHOLD = 0.5
+#: Share of the content from which the only marked article of a page is taken for it: unmarked comments may be longer.
+ONLY = 0.2
 
 
 class Element:
@@ -229,7 +231,7 @@ def scores(found: list[Leaf]) -> tuple[np.ndarray, np.ndarray]:
 
 def region(found: list[Leaf], elements: list[Element], mass: np.ndarray) -> tuple[Element, bool]:
     """The element that holds the article, and whether its tag says so: the outermost ``article``, or else ``main``,
-    that has more than half of the content; otherwise the innermost element that holds nine tenths of it."""
+    that has more than half of the content, or as the only one on the page more than ``ONLY`` of it; otherwise the innermost element that holds nine tenths of it."""
     for x, m in zip(found, mass.tolist(), strict=True):
         x.element.mass += m
     for e in reversed(elements):
@@ -237,7 +239,8 @@ def region(found: list[Leaf], elements: list[Element], mass: np.ndarray) -> tupl
             e.parent.mass += e.mass
     total = elements[0].mass
     for tag in ("article", "main"):
-        large = [e for e in elements if e.tag == tag and tag not in e.within and e.mass > total / 2]
+        outer = [e for e in elements if e.tag == tag and tag not in e.within and not e.dropped]
+        large = [e for e in outer if e.mass > total * (ONLY if len(outer) == 1 else 0.5)]
         if large:
             return large[0], True
     best = elements[0]

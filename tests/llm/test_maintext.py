@@ -35,6 +35,7 @@ LAYOUTS = {
     "notice": f"<div class='cookie-notice'><p>We use cookies, as all do, to make money; click here, or there, to agree.</p></div><article><h1>A Title</h1>{paragraphs()}<div class='newsletter'>Read more, by mail.</div></article>",
     "sections": f"<div class='sidebar'><h3>Latest</h3><p>{COMMENT}</p></div><div id='content' class='article has-sidebar'><h1>A Title</h1><section>{paragraphs(LONG[:3])}</section><section>{paragraphs(LONG[3:])}</section></div>",
     "modifiers": f"<div class='menu-top'>{MENU}</div><article class='story has-comments no-sidebar'><h2>A Title</h2>{paragraphs()}</article><div class='reader_comments'><p>{COMMENT}</p></div>",
+    "long comments": f"<article><h1>A Title</h1>{paragraphs()}</article><section><h2>What readers say</h2>{paragraphs([COMMENT] * 12)}</section>",
     "unclosed": "<body><article><h1>A Title</h1><p>" + "<p>".join(LONG) + "</article><footer>The end, at last.",
     "attributes": f"<article data-x='a>b' title=\"x < y\"><h1>A Title</h1><!-- <p>old, text</p> -->{paragraphs()}<script>if (a < b) document.write('</p><p>no</p>')</script></article>",
 }
