@@ -231,7 +231,8 @@ def scores(found: list[Leaf]) -> tuple[np.ndarray, np.ndarray]:
 
 def region(found: list[Leaf], elements: list[Element], mass: np.ndarray) -> tuple[Element, bool]:
     """The element that holds the article, and whether its tag says so: the outermost ``article``, or else ``main``,
-    that has more than half of the content, or as the only one on the page more than ``ONLY`` of it; otherwise the innermost element that holds nine tenths of it."""
+    that has more than half of the content, or as the only one on the page more than ``ONLY`` of it; otherwise the
+    innermost element that holds nine tenths of it."""
     for x, m in zip(found, mass.tolist(), strict=True):
         x.element.mass += m
     for e in reversed(elements):
