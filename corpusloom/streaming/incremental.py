@@ -35,9 +35,13 @@ def index_stream(stream: DataFrame, index_path: str, out_path: str, checkpoint:
         if index.published(name):
             return
         keyed = graph._write(spark, df.withColumn("__key", doi_key(doi)).withColumn("__row", F.monotonically_increasing_id()))
-        first = keyed.where("__key is not null").dropDuplicates(["__key"])
-        old = index.known("keys", first.select("__key", "__row"), "__key").select("__row")
-        fresh = first.join(old, "__row", "left_anti").unionByName(keyed.where("__key is null"))
+        # Which row of a key stays is told by its number, and what is old by its key: both are the same whenever they are
+        # computed again, in whatever order a shuffle brings the rows.
+        told = keyed.where("__key is not null")
+        first = told.groupBy("__key").agg(F.min("__row").alias("__row"))
+        old = index.known("keys", first.select("__key"), "__key")
+        new = first.join(old, "__key", "left_anti").select("__row")
+        fresh = told.join(new, "__row", "left_semi").unionByName(keyed.where("__key is null"))
         fresh = fresh.drop("__key", "__row")
         fresh.write.mode("overwrite").parquet(f"{out_path}/batch={n}")
         written = spark.read.schema(fresh.schema).parquet(f"{out_path}/batch={n}")

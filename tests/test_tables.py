@@ -1,6 +1,9 @@
 """Keyed tables, the index of a stream, functions in SQL."""
 
+import random
+
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import sql, xml
@@ -68,6 +71,24 @@ def test_an_index_stream_runs_again(spark, tmp_path):
     assert sorted(r.key for r in incremental._index(spark, f"{tmp_path}/index", 8).table("keys").collect()) == ["10.1/a", "10.1/b", "10.1/c"]
 
 
+def test_an_index_stream_passes_no_known_doi_in_whatever_order_its_rows_come(spark, tmp_path, monkeypatch):
+    """Executors' shuffles bring rows in any order, each time they are computed; here any row of a key may come first."""
+    frame, place = type(spark.range(1)), F.udf(lambda: random.SystemRandom().random(), "double").asNondeterministic()
+
+    def any_of_each(self, subset):
+        drawn = self.withColumn("__place", place()).withColumn("__n", F.row_number().over(Window.partitionBy(*subset).orderBy("__place")))
+        return drawn.where("__n = 1").drop("__place", "__n")
+
+    monkeypatch.setattr(frame, "dropDuplicates", any_of_each)
+    for n in (1, 2):
+        rows = [(f"10.1/{k}", k * 100 + i) for i in range(20) for k in range(30 * n)]
+        spark.createDataFrame(rows, "doi string, at long").repartition(3).write.parquet(f"{tmp_path}/in/{n}")
+        stream = spark.readStream.schema("doi string, at long").option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+        incremental.index_stream(stream, f"{tmp_path}/index", f"{tmp_path}/out", f"{tmp_path}/checkpoint", buckets=4).awaitTermination()
+    found = sorted(r.doi for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert found == sorted(f"10.1/{k}" for k in range(60))
+
+
 def test_state_of_a_distinct_stream_has_a_horizon(spark, tmp_path):
     rows = [("a", "2024-01-01"), ("a", "2024-01-02"), ("b", "2024-03-01")]
     spark.createDataFrame(rows, "k string, t string").withColumn("t", F.to_timestamp("t")).coalesce(1).write.parquet(f"{tmp_path}/in")
