@@ -25,7 +25,7 @@ from corpusloom.llm.packing import U, dealt, mix, pack, starts, unpack
 from corpusloom.llm.scratch import FILTER_BITS, Scratch, bins, bound_batches, id_filter, lean
 
 #: Signatures that a task sorts at once, and input bytes for each bin they are dealt to.
-FLUSH, BIN_BYTES = 1 << 19, 2 << 20
+FLUSH, BIN_BYTES = 1 << 19, 8 << 20
 #: Sets that share a signature and are kept as one list; larger groups are kept as rows, compared chunk by chunk.
 LIST, CHUNK = 64, 1024
 #: What a row costs against a set that shares a part by chance, and the chance that two sets share an element of it:
@@ -37,7 +37,7 @@ NEAREST = 1
 SALTS = 32
 #: Sets made at once when they are fetched.
 FETCHED = 256
-INDEX, PROBE, EMPTY, HEAVY = 1, 2, 4, 8
+INDEX, PROBE, HEAVY = 1, 2, 4
 #: Bytes of a packed signature: its upper bits, the document, the flags.
 PACKED = (6, 8, 1)
 
@@ -102,6 +102,7 @@ class Scheme:
         self.deletions = cost(near, near + most) < cost(whole, whole)
         self.parts = near if self.deletions else whole
         self.salt = mix(np.arange(self.parts, dtype=U) + U(band << 32))
+        self.bare = mix(np.array([(band << 32) + (1 << 32) - 1], U))
 
     def split(self, s: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The part of each element, and each part's count and sum of g."""
@@ -111,30 +112,41 @@ class Scheme:
         ends = np.cumsum(n)
         return part, n, upto[ends] - upto[ends - n]
 
-    def keys(self, s: np.ndarray, g: np.ndarray, index: bool, probes: int) -> tuple[np.ndarray, np.ndarray]:
-        """Signatures and flags. ``probes``: parts to probe if compared whole."""
+    def keys(self, s: np.ndarray, g: np.ndarray, index: bool, probes: int, prefix: int) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures and flags. ``probes``: parts to probe if compared whole; ``prefix``: how many of the least elements
+        of two linked sets have one in common.
+
+        An empty part tells nothing of a set, so it has no signature. Two sets that agree in empty parts alone have both
+        fewer filled parts than ``probes`` (compared whole: they agree in all but ``apart`` parts), or both a part of one
+        element at most (one-deletion neighbourhoods): such sets are few, and meet by the elements of their prefixes."""
         with np.errstate(over="ignore"):
             part, n, sums = self.split(s, g)
             whole = mix(sums ^ self.salt)
-            flags = np.where(n == 0, np.uint8(EMPTY), np.uint8(0)) | np.uint8(INDEX if index else 0)
+            both = np.uint8(INDEX | PROBE)
+            flags = np.full(self.parts, np.uint8(INDEX if index else 0))
             if self.deletions:
-                less = mix((sums[part] - g) ^ self.salt[part])
-                less_flags = np.where(n[part] == 1, np.uint8(EMPTY), np.uint8(0)) | np.uint8(INDEX | PROBE)
-                return np.r_[whole, less], np.r_[flags | np.uint8(INDEX | PROBE), less_flags]
-        chosen = np.argsort(-n, kind="stable")[:probes]
-        flags[chosen] |= np.uint8(PROBE)
-        keep = flags & np.uint8(INDEX | PROBE) > 0
-        return whole[keep], flags[keep]
+                less = mix((sums[part] - g) ^ self.salt[part])[n[part] > 1]
+                filled, bare = n > 0, bool((n < 2).any())
+                key, flag = np.r_[whole[filled], less], np.full(int(filled.sum()) + len(less), both)
+            else:
+                chosen, bare = np.argsort(-n, kind="stable")[:probes], int((n > 0).sum()) < probes
+                flags[chosen] |= np.uint8(PROBE)
+                keep = (n > 0) & (flags > 0)
+                key, flag = whole[keep], flags[keep]
+            if bare:
+                own = mix(g[:prefix] ^ self.bare)
+                key, flag = np.r_[key, own], np.r_[flag, np.full(len(own), both if index else np.uint8(PROBE))]
+        return key, flag
 
 
 def signatures(s: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     size, g = len(s), mix(s)
     band = int(np.searchsorted(rule.edges(), size, "right")) - 1
     own, up = rule.scheme(band), rule.scheme(band + 1)
-    largest = size * 100 // rule.p
-    found = [own.keys(s, g, True, own.apart + 1)] if own.apart else []
+    largest, prefix = size * 100 // rule.p, size - -(-rule.p * size // 100) + 1
+    found = [own.keys(s, g, True, own.apart + 1, prefix)] if own.apart else []
     if largest >= rule.edges()[band + 1] and up.apart:
-        found.append(up.keys(s, g, False, min(up.apart, rule.bound(size + largest)) + 1))
+        found.append(up.keys(s, g, False, min(up.apart, rule.bound(size + largest)) + 1, prefix))
     return (np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])) if found else (np.empty(0, U), np.empty(0, np.uint8))
 
 
@@ -219,8 +231,7 @@ PAIRED = "a bigint, b bigint"
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """A bin's packed signatures to lists of documents that share one (kind 1), rows of large groups (2) and pairs
-    for probes of an empty part (3)."""
+    """A bin's packed signatures to lists of documents that share one (kind 1) and rows of large groups (2)."""
     key, doc, flag = unpack(table["packed"], PACKED)
     doc, flag = doc.view(np.int64), flag.astype(np.uint8)
     out: list[tuple[int, int, list[int]]] = []
@@ -231,16 +242,11 @@ def _shared(table: pa.Table) -> pa.Table:
         key, doc, flag = key[order], doc[order], flag[order]
         start = starts(key)
         count = np.diff(np.r_[start, len(key)])
-        any_, all_ = np.bitwise_or.reduceat(flag, start), np.bitwise_and.reduceat(flag, start)
+        any_ = np.bitwise_or.reduceat(flag, start)
         lists: set[tuple[int, ...]] = set()
         for i in np.flatnonzero((count > 1) & (any_ & (INDEX | PROBE) == INDEX | PROBE) | (any_ & HEAVY > 0)):
             at = slice(start[i], start[i] + count[i])
             ids = np.unique(doc[at])
-            if all_[i] & EMPTY and not any_[i] & HEAVY:
-                probes = np.unique(doc[at][flag[at] & PROBE > 0])
-                if len(probes) < len(ids):
-                    out += [(3, 0, [p, o]) for p in probes.tolist() for o in ids.tolist() if p != o]
-                    continue
             if len(ids) > LIST or any_[i] & HEAVY:
                 k = int(key[start[i]].view(np.int64))
                 out += [(2, k, [d]) for d in ids.tolist()]
@@ -389,7 +395,6 @@ class _Join:
         stars = (
             lists.select(F.col("docs")[0].alias("a"), others.alias("b"))
             .union(_with(large, heads).where("a <> doc").select("a", F.col("doc").alias("b")))
-            .union(groups.where("kind = 3").select(F.array_min("docs").alias("a"), F.array_max("docs").alias("b")))
             .distinct()
         )
         mine = profile.withColumnRenamed("doc_id", "a")

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import jaccard
@@ -97,3 +98,15 @@ def test_texts_of_one_id_all_count(spark):
         df = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
         found = {(r.doc_id, r.component_id) for r in jaccard.near_duplicates(df, 4, 85).collect()}
         assert found == {(3, 3), (7, 3), (9, 3), (5, 3), (11, 11)}
+
+
+def test_short_sets_meet_by_what_they_hold():
+    """Sets of other elements share no signature, however many have an empty part in common."""
+    rule, rng, counts = jaccard.Rule(80), np.random.default_rng(5), {}
+    for n in (500, 2000):
+        texts = [" ".join(map(str, rng.integers(0, 1 << 40, int(rng.integers(6, 40))))) for _ in range(n)]
+        given = pa.record_batch({"doc_id": pa.array(range(n), pa.int64()), "text": pa.array(texts)})
+        made = pa.Table.from_batches(list(jaccard._profile(rule, 5, 1)(iter([given])))).select(["kind", "bin", "packed"]).to_pylist()
+        rows = [r for r in made if r["kind"] == 1]
+        counts[n] = len(jaccard._shared(pa.table({"bin": pa.array([r["bin"] for r in rows], pa.int64()), "packed": pa.array([r["packed"] for r in rows], pa.binary())})))
+    assert counts == {500: 0, 2000: 0}
