@@ -26,6 +26,8 @@ from corpusloom.llm.scratch import FILTER_BITS, Scratch, bins, bound_batches, id
 
 #: Signatures that a task sorts at once, and input bytes for each bin they are dealt to.
 FLUSH, BIN_BYTES = 1 << 19, 8 << 20
+#: Bytes that a byte of the written tables becomes: ids are packed well.
+PACKED_BY = 8.0
 #: Sets that share a signature and are kept as one list; larger groups are kept as rows, compared chunk by chunk.
 LIST, CHUNK = 64, 1024
 #: What a row costs against a set that shares a part by chance, and the chance that two sets share an element of it:
@@ -336,17 +338,18 @@ def _verify(rule: Rule):
 
 
 def _with(members: DataFrame, keys: DataFrame) -> DataFrame:
-    """``members`` (``key, doc``) with the one row of their ``key``. A key of very many members is dealt over SALTS."""
+    """``members`` (``key, doc``) with the one row of their ``key``. A key of very many members is dealt over SALTS. Spark
+    takes the repeated keys for as few as they were and would broadcast them, so the sort-merge join is asked for."""
     salt, salts = F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"), F.sequence(F.lit(0), F.lit(SALTS - 1))
     each = keys.withColumn("salt", F.explode(salts))
-    return members.withColumn("salt", salt).join(each, ["key", "salt"]).drop("salt")
+    return members.withColumn("salt", salt).join(each.hint("merge"), ["key", "salt"]).drop("salt")
 
 
 class _Join:
     def __init__(self, documents: DataFrame, k: int, percent: int):
         self.spark: SparkSession = documents.sparkSession
         bound_batches(self.spark)
-        self.rule, self.k, self.scratch = Rule(percent), k, Scratch(self.spark, "jaccard")
+        self.rule, self.k, self.scratch = Rule(percent), k, Scratch(self.spark, "jaccard", PACKED_BY)
         self.texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
@@ -355,7 +358,7 @@ class _Join:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
         fetch = lean(_fetch(self.k, id_filter(ids)))
         some = self.texts.where("doc_id is not null").withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
-        sets = some.mapInArrow(fetch, "doc_id bigint, elements binary").join(ids, "doc_id", "left_semi")
+        sets = some.mapInArrow(fetch, "doc_id bigint, elements binary").join(ids.hint("merge"), "doc_id", "left_semi")
         sets = self.scratch.save(sets, f"{name}_sets")
         other = sets.select(F.col("doc_id").alias("b"), F.col("elements").alias("elements2"))
         joined = pairs.join(sets.withColumnRenamed("doc_id", "a"), "a").join(other, "b")
@@ -415,19 +418,21 @@ class _Join:
 
     def across(self, profile: DataFrame, lists: DataFrame, large: DataFrame, found: DataFrame, nearest: bool, name: str) -> DataFrame:
         """Pairs of documents of different components that share a signature and may be linked."""
+        # An id has one row of each of these tables, and no more than a few lists: no join by it has a hot key or needs a
+        # broadcast, whose size would follow the input.
         known = self.scratch.save(
-            profile.select(F.col("doc_id").alias("doc"), "n", "sketch").join(found.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc")), f"{name}_known"
+            profile.select(F.col("doc_id").alias("doc"), "n", "sketch").join(found.withColumnRenamed("node", "doc").hint("merge"), "doc", "left").withColumn("component", F.coalesce("component", "doc")), f"{name}_known"
         )
         member = F.struct("component", "doc", "n", "sketch")
         # Whether a list is open shows without the sketches, which only open lists need.
-        placed = lists.select("key", F.explode("docs").alias("doc")).join(known.select("doc", "component"), "doc")
+        placed = lists.select("key", F.explode("docs").alias("doc")).join(known.select("doc", "component").hint("merge"), "doc")
         apart = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("key")
-        open_lists = placed.select("key", "doc").join(apart, "key").join(known, "doc").groupBy("key").agg(F.collect_list(member).alias("left")).select("left", F.col("left").alias("right"))
-        tagged = large.join(known.select("doc", "component"), "doc")
+        open_lists = placed.select("key", "doc").join(apart, "key").join(known.hint("merge"), "doc").groupBy("key").agg(F.collect_list(member).alias("left")).select("left", F.col("left").alias("right"))
+        tagged = large.join(known.select("doc", "component").hint("merge"), "doc")
         sizes = tagged.groupBy("key", "component").agg(F.count("*").alias("m"))
         open_keys = sizes.groupBy("key").agg(F.count("*").alias("c"), F.sum("m").alias("m"), F.max_by("component", "m").alias("main")).where("c > 1").select("key", "m", "main")
         members = self.scratch.save(
-            _with(tagged, open_keys).withColumn("chunk", F.pmod(F.xxhash64("doc"), F.ceil(F.col("m") / CHUNK))).join(known.drop("component"), "doc"), name
+            _with(tagged, open_keys).withColumn("chunk", F.pmod(F.xxhash64("doc"), F.ceil(F.col("m") / CHUNK))).join(known.drop("component").hint("merge"), "doc"), name
         )
         chunks = members.groupBy("key", "chunk").agg(F.collect_list(member).alias("right"))
         few = members.where("component <> main").groupBy("key", "chunk").agg(F.collect_list(member).alias("left")).drop("chunk")
@@ -446,4 +451,4 @@ def near_duplicates(documents: DataFrame, k: int, percent: int) -> DataFrame:
     group is capped. An empty table gives no rows.
     """
     rows, found = _Join(documents, k, percent).run()
-    return rows.join(found, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows.join(found.hint("merge"), "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

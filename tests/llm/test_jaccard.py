@@ -110,3 +110,9 @@ def test_short_sets_meet_by_what_they_hold():
         rows = [r for r in made if r["kind"] == 1]
         counts[n] = len(jaccard._shared(pa.table({"bin": pa.array([r["bin"] for r in rows], pa.int64()), "packed": pa.array([r["packed"] for r in rows], pa.binary())})))
     assert counts == {500: 0, 2000: 0}
+
+
+def test_keys_that_are_dealt_over_salts_are_not_broadcast(spark):
+    members = spark.range(50).selectExpr("id % 7 as key", "id as doc")
+    joined = jaccard._with(members, members.groupBy("key").count())
+    assert joined.count() == 50 and "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
