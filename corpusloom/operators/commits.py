@@ -14,7 +14,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.operators.observed import written
+from corpusloom.operators.observed import FEW, small, written
 
 _COMMIT = "batch string, ts timestamp, replaces array<string>, buckets array<int>"
 
@@ -98,12 +98,15 @@ class CommitLog:
 
     def known(self, name: str, rows: DataFrame, key: str) -> DataFrame:
         """``rows`` (of a written table) whose ``key`` a keyed table has. Only the buckets of these keys are read: their
-        numbers, at most as many as there are buckets, prune folders."""
+        numbers, at most as many as there are buckets, prune folders. Of these, only rows with one of the keys are shuffled
+        if the keys are few: a batch then costs no more as the table grows, but for the reading."""
         column, n = self.keyed[name]
-        mine = rows.select(F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias("bucket")).where(F.col(key).isNotNull()).distinct()
-        some = [r.bucket for r in mine.collect()]
-        held = self._all(name).where(F.col("bucket").isin(some)).join(self.live(), "batch", "left_semi").select(F.col(column).alias("__known")).distinct()
-        return rows.join(held, rows[key] == held["__known"], "left_semi")
+        keys = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("__asked"))
+        mine = {r.bucket: r["count"] for r in keys.groupBy(F.pmod(F.xxhash64("__asked"), F.lit(n)).cast("int").alias("bucket")).count().collect()}
+        held = self._all(name).where(F.col("bucket").isin(list(mine))).join(self.live(), "batch", "left_semi").select(F.col(column).alias("__known"))
+        if (total := sum(mine.values())) <= FEW:
+            held = held.join(small(keys, total), F.col("__known") == F.col("__asked"), "left_semi")
+        return rows.join(held.distinct(), rows[key] == F.col("__known"), "left_semi")
 
     def compact(self) -> str | None:
         """Merges all live batches into one, which replaces them; returns its name, or None where there is nothing to

@@ -12,6 +12,14 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 
 log = logging.getLogger("corpusloom")
 
+#: Rows of ids and titles that are sent to all tasks, so that the texts which they are joined with stay where they are.
+FEW = 50_000
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, to be broadcast if it has at most FEW ``rows``; else Spark chooses how to join it."""
+    return F.broadcast(df) if rows <= FEW else df
+
 
 def written(df: DataFrame, path: str, keep: Column | None = None, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
     """Writes ``df`` (of it what ``keep`` says) as Parquet and returns the written table with ``counts``, aggregates that

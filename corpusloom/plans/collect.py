@@ -22,7 +22,7 @@ from corpusloom.functions.text import is_full_text
 from corpusloom.functions.xml import jats_facts
 from corpusloom.operators import dedup, graph, save, state, stats
 from corpusloom.operators.commits import CommitLog
-from corpusloom.operators.observed import Progress, reporter, written
+from corpusloom.operators.observed import Progress, reporter, small, written
 from corpusloom.sources.archives import write_parts
 
 ARTICLE = "source string, id string, pmcid string, doi string, title string, first_date date, xml string"
@@ -152,29 +152,36 @@ def _staged(workspace: Workspace, source: str, search: Search, key: str, found:
 
 def _batch(workspace: Workspace, source: str, key: str, number: str, rows: DataFrame, fetch: Fetcher | None, name: str, stage: str) -> dict[str, int]:
     """One batch: fetched, judged, written to all tables and published. Returns its counts."""
-    log, now = workspace.log, F.current_timestamp()
-    rows = rows.withColumn("__why", F.lit(None).cast("string"))
+    log, now, none = workspace.log, F.current_timestamp(), F.lit(None).cast("string")
+    asked = rows.withColumn("asked", F.col("xml").isNull())
+    bodies = asked.where("not asked").select("id", "asked", "xml", none.alias("why"))
     if fetch is not None:
-        got = fetch(rows.where("xml is null").drop("__why"))
-        why = F.col("error") if "error" in got.columns else F.lit(None).cast("string")
-        got, _ = written(got.select("id", F.col("xml").alias("__xml"), why.alias("__error")), f"{stage}/{name}")  # fetched once, whatever reads it
-        rows = rows.join(got, "id", "left").withColumns({"xml": F.coalesce("xml", "__xml"), "__why": F.coalesce("__why", "__error")}).drop("__xml", "__error")
-    usable = F.coalesce(is_full_text("xml"), F.lit(False))
-    parsed = rows.where(usable).withColumn("facts", jats_facts("xml"))  # each text is parsed once
-    named = parsed.withColumns({"doi": F.coalesce(filled("doi"), F.col("facts.doi")), "pmcid": F.coalesce(normalize_pmcid("pmcid"), F.col("pmcid"))})
-    texts, seen = written(named.withColumn("key", doi_key("doi")), f"{stage}/{name}-texts", usable=F.count(F.lit(1)))
+        got = fetch(rows.where("xml is null"))
+        why = F.col("error") if "error" in got.columns else none
+        bodies = bodies.union(got.select("id", F.lit(True), "xml", why))
+    # Texts are fetched, parsed and written once, and read again only to be saved: all else is decided without them.
+    parsed = bodies.withColumn("xml", F.when(is_full_text("xml"), F.col("xml"))).withColumn("facts", jats_facts("xml"))
+    found = save.validated(parsed, found=F.col("facts")).select(
+        "id", "asked", "why", "status", "body_chars", "sha256", "xml", F.col("xml").isNotNull().alias("usable"),
+        F.col("facts.doi").alias("own_doi"), F.col("facts.pmcid").alias("own_pmcid"), F.monotonically_increasing_id().alias("body"),
+    )
+    texts, _ = written(found, f"{stage}/{name}")
+    named = {"doi": F.coalesce(filled("doi"), F.col("own_doi")), "pmcid": F.coalesce(normalize_pmcid("pmcid"), F.col("own_pmcid")), "usable": F.coalesce("usable", F.lit(False))}
+    told = asked.drop("xml").join(texts.drop("xml"), ["id", "asked"], "left").withColumns(named).withColumn("key", doi_key("doi"))
+    told, seen = written(told.drop("own_doi", "own_pmcid"), f"{stage}/{name}-told", usable=F.count_if("usable"))
     # A DOI that only the text tells may be known, or come twice.
-    old = log.known("doi_index", texts, "key").select("id")
-    judged = dedup.winners(save.validated(texts.join(old, "id", "left_anti"), found=F.col("facts")), path="id")
+    old = log.known("doi_index", told.where("usable"), "key").select("id")
+    judged = dedup.winners(told.where("usable").join(old, "id", "left_anti"), path="id")
     file = F.when(doi_key("doi").isNotNull(), safe_file_name("source", doi_key("doi"))).otherwise(F.concat("source", F.lit("_"), "id", F.lit(".xml")))
     folder = F.when(F.col("status") == "valid", "valid").otherwise("incomplete")
-    saved = judged.select("source", "id", "pmcid", doi_key("doi").alias("doi"), "title", file.alias("file"), "status", "body_chars", "sha256", "xml", F.lit(number).alias("search_id"), folder.alias("folder"))
+    saved = judged.select("source", "id", "pmcid", doi_key("doi").alias("doi"), "title", file.alias("file"), "status", "body_chars", "sha256", F.lit(number).alias("search_id"), folder.alias("folder"), "body")
     by = {k: F.count_if(F.col("status") == k) for k in ("valid", "incomplete", "invalid")}
-    saved, counts = log.write(name, "articles", saved, fetched=F.count(F.lit(1)), **by)
+    saved, counts = written(saved, f"{stage}/{name}-saved", fetched=F.count(F.lit(1)), **by)
+    log.write(name, "articles", texts.select("body", "xml").join(small(saved, counts["fetched"]), "body"))
     log.write(name, "doi_index", saved.where("doi is not null").select("doi", "file", "source", "search_id", now.alias("added")))
-    none = F.lit(None).cast("string")
-    done = texts.select("id", F.lit("completed").alias("state"), none.alias("error")).union(rows.where(~usable).select("id", F.lit("failed"), F.coalesce("__why", F.lit("no full text"))))
-    _, ended = log.write(name, "progress", done.select(F.lit(source).alias("source"), F.lit(key).alias("config_hash"), "id", "state", "error", now.alias("ts")), errors=F.count_if(F.col("state") == "failed"))
+    failed = F.when(~F.col("usable"), F.coalesce("why", F.lit("no full text")))
+    done = told.select(F.lit(source).alias("source"), F.lit(key).alias("config_hash"), "id", F.when(F.col("usable"), "completed").otherwise("failed").alias("state"), failed.alias("error"), now.alias("ts"))
+    _, ended = log.write(name, "progress", done, errors=F.count_if(F.col("state") == "failed"))
     log.publish(name)
     return counts | ended | {"duplicates": seen["usable"] - counts["fetched"]}
 

@@ -162,3 +162,30 @@ def test_a_callback_that_fails_stops_nothing(spark, tmp_path):
     find = lambda s, *_: s.createDataFrame([], ARTICLE)
     outcome = collect_source(Workspace(spark, str(tmp_path / "w")), "pmc", Search(keywords=("k",)), find, on_progress=fails)
     assert set(outcome.counts.values()) == {0}
+
+
+def test_texts_are_not_shuffled_by_batches(spark, tmp_path):
+    """Each text is written where it was fetched and read from there, however many batches there are."""
+    import random
+
+    sc, draw = spark.sparkContext._jsc.sc(), random.Random(3)
+    texts = {f"PMC{i}": xml(f"10.1/{i // 2}").replace("</body>", f"{draw.randbytes(50_000).hex()}</body>") for i in range(24)}
+    rows = [("pmc", i, i, None, i, None, None) for i in [*texts, "PMC99"]]
+
+    def shuffled():
+        sc.listenerBus().waitUntilEmpty(60_000)
+        return sc.statusStore().executorList(True).apply(0).totalShuffleWrite()
+
+    def fetch(articles):
+        return spark.createDataFrame([(r.id, texts.get(r.id)) for r in articles.select("id").collect()], "id string, xml string")
+
+    w, before = Workspace(spark, str(tmp_path / "w")), shuffled()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        told = collect_source(w, "pmc", Search(keywords=("k",)), lambda *_: spark.createDataFrame(rows, ARTICLE), fetch, cadence=Cadence(items=9))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert told.counts["fetched"] == 12 and told.counts["duplicates"] == 12 and told.counts["errors"] == 1
+    assert shuffled() - before < 600_000  # of 2.4 MB of texts, none
+    assert {r.id: r.xml for r in w.table("articles").collect()} == {i: texts[i] for i in [r.id for r in w.table("articles").collect()]}
+    assert {r.id: r.error for r in w.table("progress").where("state = 'failed'").collect()} == {"PMC99": "no full text"}
