@@ -6,10 +6,11 @@ Arrow's file systems. An archive that ends too early or isn't one tells so in a
 
 from __future__ import annotations
 
+import gzip
 import io
 import re
 import tarfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of member bodies in a batch of rows, and in a range of a plain archive that one task reads.
 BATCH_BYTES, RANGE_BYTES = 8 << 20, 64 << 20
+#: Members in a batch of rows, and rows of a batch that are Python's at once.
+BATCH_ROWS, SLICE = 4096, 64
 MEMBER = "path string, name string, size bigint, body binary, error string"
 _MEMBER = pa.schema([("path", pa.string()), ("name", pa.string()), ("size", pa.int64()), ("body", pa.binary()), ("error", pa.string())])
 _INDEX = "path string, name string, size bigint, offset bigint, error string"
@@ -54,12 +57,31 @@ def batched(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
     for r in rows:
         held.append({k: r[k] for k in _MEMBER.names})
         size += len(r["body"] or b"")
-        if size >= BATCH_BYTES:
+        if size >= BATCH_BYTES or len(held) >= BATCH_ROWS:
             yield pa.RecordBatch.from_pylist(held, _MEMBER)
             held, size = [], 0
     yield pa.RecordBatch.from_pylist(held, _MEMBER)
 
 
+def packed(members: Iterable[tuple[str, bytes]], compressed: bool = False) -> bytes:
+    """A small archive as a value. It is compressed as a whole: files of gzip hold themselves, and their buffers of some
+    hundred KB would stay until Python looks for such circles."""
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as tar:
+        for name, body in members:
+            info = tarfile.TarInfo(name)
+            info.size = len(body)
+            tar.addfile(info, io.BytesIO(body))
+    return gzip.compress(out.getvalue()) if compressed else out.getvalue()
+
+
+def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of batches, of which only some at once are Python's."""
+    for b in batches:
+        for i in range(0, b.num_rows, SLICE):
+            yield from b.slice(i, SLICE).to_pylist()
+
+
 def _opened(path: str, seekable: bool):  # noqa: ANN202
     """A file of any system that Arrow knows. Spark writes local paths with one slash."""
     from pyarrow import fs
@@ -72,11 +94,14 @@ def in_values(archives: DataFrame) -> DataFrame:
     """``path, content`` to MEMBER, for small archives that are values of rows already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for path, content in zip(b["path"].to_pylist(), b["content"], strict=True):
-                data = content.as_py()
-                if data is not None:
-                    yield from batched(members_of(path, lambda data=data: tarfile.open(fileobj=io.BytesIO(data), mode="r:*")))
+        def rows() -> Iterator[dict]:
+            for b in batches:
+                for path, content in zip(b["path"], b["content"], strict=True):
+                    data = content.as_py()
+                    if data is not None:
+                        yield from members_of(path.as_py(), lambda data=data: tarfile.open(fileobj=io.BytesIO(data), mode="r:*"))
+
+        yield from batched(rows())
 
     return archives.select("path", "content").mapInArrow(run, MEMBER)
 

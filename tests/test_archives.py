@@ -59,3 +59,27 @@ def test_an_archive_cut_between_members_says_so(spark, tmp_path):
     (tmp_path / "a.tar").write_bytes(made(ENTRIES[:1], "w")[:512])  # one empty member, then nothing
     found = archives.members(spark, str(tmp_path)).collect()
     assert sorted((r.name, r.error) for r in found if r.name) == [("valid/PMC0.xml", None)] and [r.error for r in found if r.error] == ["EOFError: no end of archive"]
+
+
+def test_archives_in_values_take_little_memory():
+    """Making archives leaves nothing for the collector; their members come in batches of many archives, none of them large."""
+    import gc
+
+    import pyarrow as pa
+
+    from corpusloom.plans import journeys, registry
+    from corpusloom.sources import archives
+
+    n = 3000
+    texts = pa.record_batch({"doc_id": pa.array(range(n)), "path": [str(i) for i in range(n)], "text": ["x" * 100] * n, "pmcid": ["pmc1"] * n, "doi": ["10.1/a"] * n})
+    for made in (registry._tarred, journeys._packed):
+        gc.collect()
+        gc.disable()
+        try:
+            batches = list(made(iter([texts])))
+            assert gc.collect() < 100  # a file of gzip was such a circle, one for each archive
+        finally:
+            gc.enable()
+        assert max(b.num_rows for b in batches) <= archives.SLICE and [p for b in batches for p in b["path"].to_pylist()] == texts["path"].to_pylist()
+    rows = [{"path": str(i), "name": "a", "size": 0, "body": b"", "offset": 0, "error": None} for i in range(n * 3)]
+    assert [b.num_rows for b in archives.batched(iter(rows))] == [archives.BATCH_ROWS, archives.BATCH_ROWS, 3 * n - 2 * archives.BATCH_ROWS]
