@@ -54,3 +54,22 @@ def test_one_pass_tells_what_the_tree_tells(monkeypatch, chunk):
 def test_broken_documents(text):
     f = xml.facts(text)
     assert (f["status"] == "invalid", f["doi"]) == (by_tree(text, 800)[0] == "invalid", None)
+
+
+def test_texts_of_a_batch_are_strings_one_at_a_time():
+    """A batch's texts stay Arrow's: what Python allocates beside them doesn't grow with their sum."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = pa.array([f"<article><body>{i} {'x ' * 5000}</body></article>" for i in range(2000)] + [None])
+    for f, told in ((xml.jats_facts, "body_chars"), (xml.validate_jats, "status"), (xml.jats_doi, None), (xml.jats_of_tei, None)):
+        tracemalloc.start()
+        try:
+            found = f.func(texts)
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert isinstance(found, pa.Array) and len(found) == len(texts) and peak < 3_000_000  # the texts are 20 MB
+        if told == "status":
+            assert found.field("status").to_pylist() == ["valid"] * 2000 + ["invalid"]
